@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     # 64 MiB: small dimensions are broadcast by size, anything else is shuffled.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
