@@ -9,7 +9,11 @@ def compose(final_sql: str, extra_ctes: list[tuple[str, str]] | None = None) ->
     parts = [duckdb_ctes()]
     parts += [f"{n} AS ({t.strip()}\n)" for n, t in BASE_CTES]
     parts += [f"{n} AS ({t.strip()}\n)" for n, t in (extra_ctes or [])]
-    return "WITH " + ",\n".join(parts) + "\n" + final_sql.strip()
+    final_sql = final_sql.strip()
+    if final_sql[:4].upper() == "WITH":
+        # the statement's own CTEs continue the list
+        return "WITH " + ",\n".join(parts) + ",\n" + final_sql[4:].lstrip()
+    return "WITH " + ",\n".join(parts) + "\n" + final_sql
 
 
 __all__ = ["AS_OF", "compose"]

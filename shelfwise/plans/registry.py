@@ -37,3 +37,26 @@ def _base_query(name: str) -> Query:
 
 for _id, _name in BASE_IDS:
     register(f"{_id}_{_name}", _base_query(_name), f"SELECT * FROM x_{_name}")
+
+
+# ----------------------------------------------------------------- marts V01-V26
+from shelfwise.oracle.mart_sql import MART_SQL, V14_AS_OF, duplicates_across_sql  # noqa: E402
+from shelfwise.operators import marts  # noqa: E402
+
+# V23 / V24 take their two locations as a parameter (fixed values of the test mapping).
+DUP_LOCATIONS = {"V23": ["l1", "l2"], "V24": ["l3", "l2"]}
+
+
+def _mart_query(fn, as_of) -> Query:
+    return lambda spark, sf_dir: fn(context.base(spark, sf_dir), as_of)
+
+
+for _id, (_name, _fn) in marts.MARTS.items():
+    _as_of = V14_AS_OF if _id == "V14" else context.AS_OF
+    register(f"{_id}_{_name}", _mart_query(_fn, _as_of), MART_SQL[_id])
+
+for _id, _name in (("V23", "duplicate_items_2ra_2rabi"), ("V24", "duplicate_items_3ra_2rabi")):
+    _locs = DUP_LOCATIONS[_id]
+    register(f"{_id}_{_name}",
+             (lambda locs: lambda spark, sf_dir: marts.duplicates_across(context.base(spark, sf_dir), locs))(_locs),
+             duplicates_across_sql(_locs))
