@@ -60,3 +60,51 @@ for _id, _name in (("V23", "duplicate_items_2ra_2rabi"), ("V24", "duplicate_item
     register(f"{_id}_{_name}",
              (lambda locs: lambda spark, sf_dir: marts.duplicates_across(context.base(spark, sf_dir), locs))(_locs),
              duplicates_across_sql(_locs))
+
+
+# ----------------------------------------------------------------- canned queries and reports
+from shelfwise.oracle.report_sql import REPORT_SQL  # noqa: E402
+from shelfwise.operators import reports as R  # noqa: E402
+
+# Named parameters of the parametrised reports (values of the test mapping).
+SHELF_LOCATION = "l5"
+BRANCH = "Nation_5"
+FORMAT = "Leased DVD"
+SUBJECT = "red"
+
+
+def _on_base(fn, *args) -> Query:
+    return lambda spark, sf_dir: fn(context.base(spark, sf_dir), *args)
+
+
+def _on_sources(fn) -> Query:
+    return lambda spark, sf_dir: fn(context.sources(spark, sf_dir))
+
+
+register("Q01_items_by_branch", _on_base(R.items_by_branch), REPORT_SQL["Q01"])
+register("Q02_top_holds", lambda spark, sf: R.top_holds(context.sources(spark, sf), context.base(spark, sf)),
+         REPORT_SQL["Q02"])
+register("Q03_most_checked_out", _on_base(R.most_checked_out), REPORT_SQL["Q03"])
+register("Q04_available_items_by_format", _on_base(R.available_items_by_format), REPORT_SQL["Q04"])
+register("Q05_recently_added", _on_base(R.recently_added, context.AS_OF), REPORT_SQL["Q05"])
+register("R03_bib_hold_strings", _on_sources(R.bib_hold_strings), REPORT_SQL["R03"])
+register("R04_bib_holds", _on_sources(R.bib_holds), REPORT_SQL["R04"])
+register("R05_holds_by_patron_activity", _on_base(R.holds_by_patron_activity), REPORT_SQL["R05"])
+register("R06_holds_by_pickup_branch", _on_base(R.holds_by_pickup_branch), REPORT_SQL["R06"])
+register("R07_active_holds_by_title", _on_base(R.active_holds_by_title, context.AS_OF), REPORT_SQL["R07"])
+register("R09_shelf_list", _on_base(R.shelf_list, SHELF_LOCATION),
+         REPORT_SQL["R09"].replace("{location}", SHELF_LOCATION))
+register("R10_random_active_items", _on_base(R.random_active_items))
+register("R11_titles_with_items", _on_base(R.titles_with_items), REPORT_SQL["R11"])
+register("R12_items_per_bib", _on_base(R.items_per_bib), REPORT_SQL["R12"])
+register("R13_location_branch_listing", _on_base(R.location_branch_listing), REPORT_SQL["R13"])
+register("R15_items_by_location_in_branch", _on_base(R.items_by_location_in_branch, BRANCH),
+         REPORT_SQL["R15"].replace("{branch}", BRANCH))
+register("R16_titles_by_decade", _on_base(R.titles_by_decade), REPORT_SQL["R16"])
+register("R17_branches_with_format", _on_base(R.branches_with_format, FORMAT),
+         REPORT_SQL["R17"].replace("{item_format}", FORMAT))
+register("R18_top_circulating_by_subject", _on_base(R.top_circulating_by_subject, SUBJECT),
+         REPORT_SQL["R18"].replace("{subject}", SUBJECT))
+register("R19_distinct_locations", _on_base(R.distinct_locations), REPORT_SQL["R19"])
+register("R20_in_transit_status", _on_base(R.in_transit_status), REPORT_SQL["R20"])
+register("R22_in_transit_too_long_by_branch", _on_base(R.in_transit_too_long_by_branch), REPORT_SQL["R22"])
