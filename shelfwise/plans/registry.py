@@ -108,3 +108,51 @@ register("R18_top_circulating_by_subject", _on_base(R.top_circulating_by_subject
 register("R19_distinct_locations", _on_base(R.distinct_locations), REPORT_SQL["R19"])
 register("R20_in_transit_status", _on_base(R.in_transit_status), REPORT_SQL["R20"])
 register("R22_in_transit_too_long_by_branch", _on_base(R.in_transit_too_long_by_branch), REPORT_SQL["R22"])
+
+
+# ----------------------------------------------------------------- exploration E01-E08
+from shelfwise.operators import explore as E  # noqa: E402
+
+
+def _explore_e01(spark, sf_dir):
+    iv = marts.item_view(context.base(spark, sf_dir))
+    return E.facet_counts(iv, ["location_code", "item_format"], size=30)
+
+
+register("E01_facet_counts", _explore_e01, """
+SELECT facet, value, count, rank FROM (
+  SELECT facet, value, count, row_number() OVER (PARTITION BY facet ORDER BY count DESC, value NULLS FIRST) AS rank
+  FROM (SELECT 'location_code' AS facet, CAST(location_code AS VARCHAR) AS value, count(*) AS count FROM x_item GROUP BY 2
+        UNION ALL
+        SELECT 'item_format', CAST(item_format AS VARCHAR), count(*) FROM x_item GROUP BY 2))
+WHERE rank <= 30""")
+register("E02_exact_filter",
+         lambda spark, sf: E.where(marts.location_view(context.base(spark, sf)), "location_code", "exact", "l5"),
+         MART_SQL["V03"].strip() + "\nAND l.code = 'l5'")
+register("E03_range_filter",
+         lambda spark, sf: E.where_all(context.base(spark, sf)["bib"].select(
+             "bib_record_num", "best_title", "publish_year"),
+             [("publish_year", "gte", 1980), ("publish_year", "lte", 1990)]),
+         "SELECT bib_record_num, best_title, publish_year FROM x_bib WHERE publish_year BETWEEN 1980 AND 1990")
+register("E04_in_notin_filter",
+         lambda spark, sf: E.where_all(marts.item_view(context.base(spark, sf)).select(
+             "item_record_num", "item_format", "location_code"),
+             [("item_format", "in", ["DVD", "Leased DVD"]), ("location_code", "notin", ["l1", "l2", "l3"])]),
+         """SELECT item_record_num, item_format, location_code FROM x_item
+            WHERE item_format IN ('DVD', 'Leased DVD') AND location_code NOT IN ('l1', 'l2', 'l3')""")
+register("E05_array_contains",
+         lambda spark, sf: E.where(context.base(spark, sf)["bib"].select("bib_record_num", "genres"),
+                                   "genres", "arraycontains", "ring"),
+         "SELECT bib_record_num, genres FROM x_bib WHERE list_contains(genres, 'ring')")
+register("E06_sort_desc",
+         lambda spark, sf: E.sort_page(marts.genre_view(context.base(spark, sf)), ["count_bibs", "genre"],
+                                       descending=True, limit=5),
+         MART_SQL["V26"].strip() + "\nORDER BY count_bibs DESC, g.genre DESC LIMIT 5")
+register("E07_page",
+         lambda spark, sf: E.sort_page(context.base(spark, sf)["bib"].select("bib_record_num", "best_title"),
+                                       ["bib_record_num"], limit=100, offset=200),
+         "SELECT bib_record_num, best_title FROM x_bib ORDER BY bib_record_num LIMIT 100 OFFSET 200")
+register("E08_json_rows",
+         lambda spark, sf: E.as_json_rows(E.where(marts.genre_view(context.base(spark, sf)), "count_bibs", "gte", 100)),
+         """SELECT json_object('genre', genre, 'count_bibs', count_bibs, 'link', link)::VARCHAR AS json
+            FROM (""" + MART_SQL["V26"] + ") WHERE count_bibs >= 100")
