@@ -29,3 +29,12 @@ def base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if "base" not in entry:
         entry["base"] = extract.build_base_tables(s, AS_OF)
     return entry["base"]
+
+
+def use_snapshot(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Serve ``base()`` for this folder from a published snapshot instead of re-deriving it."""
+    from shelfwise.plans import publish
+
+    names = list(extract.BASE_TABLES) + ["branch_locations"]
+    sources(spark, sf_dir)
+    _CACHE[(id(spark), sf_dir)]["base"] = publish.read_snapshot(spark, root, names)
