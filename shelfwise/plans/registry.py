@@ -156,3 +156,18 @@ register("E08_json_rows",
          lambda spark, sf: E.as_json_rows(E.where(marts.genre_view(context.base(spark, sf)), "count_bibs", "gte", 100)),
          """SELECT json_object('genre', genre, 'count_bibs', count_bibs, 'link', link)::VARCHAR AS json
             FROM (""" + MART_SQL["V26"] + ") WHERE count_bibs >= 100")
+
+
+# ----------------------------------------------------------------- R14 full-text search
+from shelfwise.oracle.search_sql import search_bibs_sql, search_documents_sql  # noqa: E402
+from shelfwise.operators import search as S  # noqa: E402
+
+BIB_QUERY = dict(any_of=["red", "ring"], none_of=["small"])
+DOC_QUERY = dict(all_of=["the", "and"], any_of=["was", "it"], none_of=["en"], phrase=["of", "the"])
+
+_ctes, _final = search_bibs_sql(**BIB_QUERY)
+register("R14_search_bibs", lambda spark, sf: S.search_bibs(context.base(spark, sf), **BIB_QUERY), _final, _ctes)
+_ctes, _final = search_documents_sql(**DOC_QUERY)
+register("R14_search_documents",
+         lambda spark, sf: S.search_documents(spark.read.parquet(f"{sf}/documents.parquet"), **DOC_QUERY),
+         _final, _ctes)
