@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
+from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.dates import as_date, to_jd
 from shelfwise.functions.text import (IN_TRANSIT, IN_TRANSIT_TOO_LONG, ISBN_PATTERN,
                                       TRANSIT_ROUTE, TRANSIT_TIME, empty_to_null,
@@ -103,7 +104,7 @@ def bib_children(s) -> dict[str, DataFrame]:
                 .join(s["item_record"].select(F.col("record_id").alias("item_record_id"), "itype_code_num"),
                       "item_record_id")
                 .groupBy("bib_record_id", "itype_code_num").agg(F.count(F.lit(1)).alias("n")))
-    item_types = (per_type.join(F.broadcast(itypes), "itype_code_num")
+    item_types = (per_type.join(bounded_broadcast(itypes), "itype_code_num")
                   .groupBy("bib_record_id")
                   .agg(ordered_values(F.col("name"), -F.col("n"), F.col("name")).alias("item_types")))
     return dict(control=control, isbn=isbn, publisher=publisher, callnum=callnum,
@@ -171,7 +172,7 @@ def item(s, since=None) -> DataFrame:
            .join(vlink, "item_record_id", "left")
            .join(vstat, "volume_record_id", "left")
            .join(patron, "patron_record_id", "left")
-           .join(F.broadcast(itype), "itype_code_num", "left"))
+           .join(bounded_broadcast(itype), "itype_code_num", "left"))
     return out.select(
         "item_record_num", "item_record_id", "bib_record_num", "creation_date", "record_last_updated",
         "barcode", "agency_code_num", "location_code", "checkout_statistic_group_code_num",
@@ -255,9 +256,9 @@ def item_message(s, as_of) -> DataFrame:
     brp = s["bib_record_property"].select("bib_record_id", "publish_year", "best_title", "best_author")
     out = (msgs.join(irp, "item_record_id", "left").join(ir, "item_record_id", "left")
            .join(co, "item_record_id", "left")
-           .join(F.broadcast(status), "item_status_code", "left")
+           .join(bounded_broadcast(status), "item_status_code", "left")
            .join(link, "item_record_id", "left").join(brp, "bib_record_id", "left")
-           .join(F.broadcast(itype), "itype_code_num", "left"))
+           .join(bounded_broadcast(itype), "itype_code_num", "left"))
     return out.select(
         "item_barcode", "campus_code", "call_number", "item_record_id", "varfield_id", "has_in_transit",
         "in_transit_julianday", "in_transit_days", "transit_from", "transit_to",
@@ -414,7 +415,7 @@ def circ_agg(s, as_of) -> DataFrame:
     loc = s["location"].select(F.col("code").alias("location_code"), "branch_code_num")
     dims = (_stat_groups(s).join(loc, "location_code").join(_branches(s), "branch_code_num")
             .select("stat_group_code_num", "stat_group_name", "branch_code_num", "branch_name"))
-    return (daily.join(F.broadcast(dims), "stat_group_code_num")
+    return (daily.join(bounded_broadcast(dims), "stat_group_code_num")
             .select("transaction_day", "stat_group_code_num", "op_code", "itype_code_num",
                     "loanrule_code_num", "count_op_code", "count_distinct_patrons",
                     "stat_group_name", "branch_code_num", "branch_name"))
@@ -444,7 +445,7 @@ def circ_leased_items(s, as_of) -> DataFrame:
             .select("stat_group_code_num", "stat_group_name", "stat_group_location_code",
                     "stat_group_branch_name"))
     irp = s["item_record_property"].select("item_record_id", "barcode")
-    out = (ct.join(F.broadcast(dims), "stat_group_code_num", "left")
+    out = (ct.join(bounded_broadcast(dims), "stat_group_code_num", "left")
            .join(nums.select(F.col("rid").alias("item_record_id"), F.col("rnum").alias("item_record_num")),
                  "item_record_id", "left")
            .join(irp, "item_record_id", "left")

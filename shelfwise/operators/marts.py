@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
+from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.dates import as_date, from_jd, jd_of, monday_before, plus_months_overflow
 from shelfwise.functions.text import json_object, ordered_values, truncate_ellipsis
 
@@ -120,8 +121,8 @@ def item_view(t, as_of=None) -> DataFrame:
     b = t["bib"].select("bib_record_num", "best_author", "best_title", "publish_year")
     st = t["item_status_property"].select("item_status_code", "item_status_name")
     out = (i.join(b, "bib_record_num", "left")
-           .join(F.broadcast(_location_dim(t)), "location_code", "left")
-           .join(F.broadcast(st), "item_status_code", "left"))
+           .join(bounded_broadcast(_location_dim(t)), "location_code", "left")
+           .join(bounded_broadcast(st), "item_status_code", "left"))
     return out.select(
         "item_record_num", "volume_record_num", "bib_record_num", "creation_date", "barcode", "item_format",
         "location_code", "location_name", "branch_name", "item_callnumber",
@@ -141,7 +142,7 @@ def branch_30_day_circ_view(t, as_of=None) -> DataFrame:
                                .alias("circ_type"))
                 .agg(F.sum("count_op_code").alias("sum_circ_type")))
     loc = t["branch_locations"].select(F.col("code_num").alias("branch_code_num"), "latitude", "longitude")
-    out = (per_type.join(F.broadcast(loc), "branch_code_num")
+    out = (per_type.join(bounded_broadcast(loc), "branch_code_num")
            .groupBy("branch_name", "latitude", "longitude")
            .agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
                 F.struct("circ_type", "sum_circ_type"))))).alias("circulations"),
@@ -167,7 +168,7 @@ def collection_value_branch_view(t, as_of=None) -> DataFrame:
     dim = (loc.join(ln, "location_id").join(br, F.col("branch_code_num") == F.col("b_code_num"))
            .join(bn, "branch_id").select("location_code", "location_name", "branch_name"))
     return (t["item"].select("location_code", "item_format", "item_record_num", "price_cents")
-            .join(F.broadcast(dim), "location_code")
+            .join(bounded_broadcast(dim), "location_code")
             .groupBy("branch_name", "location_name", "item_format")
             .agg(F.count("item_record_num").alias("count_items"),
                  (F.sum("price_cents") / F.lit(100.0)).alias("sum_price")))
@@ -188,8 +189,8 @@ def hold_view(t, as_of=None) -> DataFrame:
     campus = (loc.join(ln, "location_id").groupBy(F.col("location_code").alias("campus_code"))
               .agg(F.min("location_name").alias("campus_location_name")))
     out = (h.join(b, "bib_record_num").join(vol, "volume_record_num", "left")
-           .join(F.broadcast(pickup), "pickup_location_code", "left")
-           .join(F.broadcast(campus), "campus_code", "left"))
+           .join(bounded_broadcast(pickup), "pickup_location_code", "left")
+           .join(bounded_broadcast(campus), "campus_code", "left"))
     return out.select(
         "hold_id", "title", "cat_date", "bib_record_num", "item_record_num", "volume_record_num",
         "volume_statement", "campus_code", "record_type_on_hold", "hold_status", "is_frozen", "is_ir",
@@ -259,7 +260,7 @@ def leased_item_view(t, as_of=None) -> DataFrame:
     st = t["item_status_property"].select("item_status_code", "item_status_name")
     b = t["bib"].select("bib_record_num", "best_author", "best_title", "publisher", "publish_year",
                         "bib_level_callnumber", F.col("cataloging_date").alias("bib_cataloging_date"))
-    return (i.join(F.broadcast(st), "item_status_code", "left").join(b, "bib_record_num", "left")
+    return (i.join(bounded_broadcast(st), "item_status_code", "left").join(b, "bib_record_num", "left")
             .select("item_format", "bib_record_num", "barcode", "price_cents", "checkout_date", "due_date",
                     "last_checkout_date", "last_checkin_date", "checkout_total", "item_status_name",
                     F.col("creation_date").alias("item_creation_date"),
@@ -337,7 +338,7 @@ def location_percent_checkout_view(t, as_of=None) -> DataFrame:
     loc, ln, br, bn = _loc_names(t)
     dim = (loc.join(ln, "location_id").join(br, F.col("branch_code_num") == F.col("b_code_num"))
            .join(bn, "branch_id").select("location_code", "location_id", "location_name", "branch_name"))
-    out = agg.join(F.broadcast(dim), "location_code")
+    out = agg.join(bounded_broadcast(dim), "location_code")
     pct = F.floor((F.col("count_checkout") * 20000 + F.col("count_total")) / (F.col("count_total") * 2))
     return (out.orderBy("location_id")
             .select("count_checkout", "count_total", "location_code", "location_name", "branch_name",
@@ -416,7 +417,7 @@ def last_copy_view(t, as_of=None, strict: bool = True) -> DataFrame:
     blv = branch_location_view(t).select(F.col("code").alias("location_code"), "branch_name")
     b = t["bib"]
     out = items.join(b.select("bib_record_num", "isbn_values", "best_title", "best_author", "publish_year",
-                              "bib_level_callnumber"), "bib_record_num").join(F.broadcast(blv), "location_code")
+                              "bib_level_callnumber"), "bib_record_num").join(bounded_broadcast(blv), "location_code")
     num = F.col("bib_record_num")
     return out.select(
         "bib_record_num", "branch_name", "location_code", "barcode", "item_format", "item_callnumber",
@@ -515,7 +516,7 @@ def item_in_transit_view(t, as_of=None) -> DataFrame:
 def circ_agg_branch_view(t, as_of=None) -> DataFrame:
     it = t["itype_property"].select(F.col("itype_code").alias("itype_code_num"), "itype_name")
     month = (t["circ_agg"].filter(F.col("op_code").isin("f", "o"))
-             .join(F.broadcast(it), "itype_code_num")
+             .join(bounded_broadcast(it), "itype_code_num")
              .groupBy(F.substring("transaction_day", 1, 7).alias("transaction_month"), "branch_name", "itype_name")
              .agg(F.sum(F.when(F.col("op_code") == "o", F.col("count_op_code"))).alias("o_sum"),
                   F.sum(F.when(F.col("op_code") == "f", F.col("count_op_code"))).alias("f_sum")))
@@ -546,8 +547,8 @@ def collection_detail_view(t, as_of=None) -> DataFrame:
                 .groupBy(F.col("location_code").alias("item_location_code"))
                 .agg(F.min("branch_name").alias("item_branch_name")))
     out = (br.join(rm, "record_id").join(item, "bib_record_num", "left")
-           .join(F.broadcast(names), "item_location_code", "left")
-           .join(F.broadcast(branches), "item_location_code", "left"))
+           .join(bounded_broadcast(names), "item_location_code", "left")
+           .join(bounded_broadcast(branches), "item_location_code", "left"))
     return out.select(
         "bib_record_num", "bib_cat_date", from_jd(F.col("creation_julianday")).alias("creation_date"),
         from_jd(F.col("record_last_updated_julianday")).alias("record_last_update"), "language_code", "bcode1",

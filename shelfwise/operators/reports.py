@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
+from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.dates import as_date, jd_of, to_jd
 from shelfwise.functions.text import ordered_values
 from shelfwise.operators.marts import _loc_names, _per_item_2dp, location_view
@@ -121,7 +122,7 @@ def holds_by_pickup_branch(t, as_of=None) -> DataFrame:
               .groupBy(F.col("location_code").alias("pickup_location_code"))
               .agg(F.min(F.when(F.col("branch_name") == MAIN_BRANCH, F.lit(" " + MAIN_BRANCH))
                          .otherwise(F.col("branch_name"))).alias("pickup_location")))
-    g = (h.join(F.broadcast(pickup), "pickup_location_code", "left")
+    g = (h.join(bounded_broadcast(pickup), "pickup_location_code", "left")
          .groupBy("pickup_location", "patron_ptype_code")
          .agg(F.countDistinct("bib_record_num").alias("count_distinct_titles"), F.count(F.lit(1)).alias("count")))
     return (g.withColumn("avg_hold_per_title", _per_item_2dp(F.col("count"), F.col("count_distinct_titles")))
@@ -224,7 +225,7 @@ def branches_with_format(t, item_format: str) -> DataFrame:
     having = t["item"].filter(F.col("item_format") == item_format).select("location_code")
     bl = t["branch_locations"].select(F.col("code_num").alias("branch_code_num"), "address", "latitude",
                                       "longitude")
-    return (lv.join(having, "location_code", "left_semi").join(F.broadcast(bl), "branch_code_num")
+    return (lv.join(having, "location_code", "left_semi").join(bounded_broadcast(bl), "branch_code_num")
             .select("location_code", "is_public", "is_requestable", "location_name", "branch_name", "address",
                     "latitude", "longitude"))
 
@@ -279,7 +280,7 @@ def in_transit_too_long_by_branch(t, as_of=None) -> DataFrame:
     loc, ln, br, bn = _loc_names(t)
     dest = (loc.join(br, F.col("branch_code_num") == F.col("b_code_num")).join(bn, "branch_id")
             .select(F.col("location_code").alias("transit_to"), F.col("branch_name").alias("destination_branch")))
-    return (v.join(F.broadcast(dest), "transit_to", "left")
+    return (v.join(bounded_broadcast(dest), "transit_to", "left")
             .select("destination_branch", "transit_from", "transit_to", "item_record_num", "barcode",
                     "in_transit_days", "in_transit_date", "item_format", "item_callnumber")
             .orderBy("destination_branch", "transit_from", F.desc("in_transit_days")))
