@@ -284,3 +284,24 @@ def in_transit_too_long_by_branch(t, as_of=None) -> DataFrame:
             .select("destination_branch", "transit_from", "transit_to", "item_record_num", "barcode",
                     "in_transit_days", "in_transit_date", "item_format", "item_callnumber")
             .orderBy("destination_branch", "transit_from", F.desc("in_transit_days")))
+
+
+# ----------------------------------------------------------------- R01 (legacy bib export)
+def legacy_bib_export(s) -> DataFrame:
+    """Flat bib export: ','-joined control numbers and subjects, first ISBN only."""
+    from shelfwise.operators.extract import _records, bib_children
+
+    kids = bib_children(s)
+    r = _records(s, "b").select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bib_record_num"),
+                                F.to_date("creation_date_gmt").alias("creation_date"),
+                                F.to_date("record_last_updated_gmt").alias("record_last_updated"))
+    p = s["bib_record_property"].select("bib_record_id", "best_author", "best_author_norm", "best_title",
+                                        "best_title_norm", "publish_year")
+    out = r.join(p, "bib_record_id")
+    for k in ("control", "isbn", "publisher", "callnum", "subjects"):
+        out = out.join(kids[k], "bib_record_id", "left")
+    return out.select(
+        "bib_record_num", "bib_record_id", F.array_join("control_numbers", ",").alias("control_numbers"),
+        "creation_date", "record_last_updated", F.substring(F.get("isbn_values", 0), 1, 30).alias("isbn"),
+        "best_author", "best_author_norm", "best_title", "best_title_norm", "publisher", "publish_year",
+        "bib_level_callnumber", F.array_join("indexed_subjects", ",").alias("indexed_subjects"))
