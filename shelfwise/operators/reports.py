@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
-from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.dates import as_date, jd_of, to_jd
+from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.text import ordered_values
 from shelfwise.operators.marts import _loc_names, _per_item_2dp, location_view
 
@@ -305,3 +305,49 @@ def legacy_bib_export(s) -> DataFrame:
         "creation_date", "record_last_updated", F.substring(F.get("isbn_values", 0), 1, 30).alias("isbn"),
         "best_author", "best_author_norm", "best_title", "best_title_norm", "publisher", "publish_year",
         "bib_level_callnumber", F.array_join("indexed_subjects", ",").alias("indexed_subjects"))
+
+
+# ----------------------------------------------------------------- R02, R21 (legacy exports)
+def legacy_item_export(s) -> DataFrame:
+    """Flat item export with the bib's first ISBN and a 2-decimal money price."""
+    from shelfwise.operators.extract import _itype_names, _records, bib_children
+
+    rm = s["record_metadata"]
+    r = _records(s, "i").select(F.col("id").alias("item_record_id"), F.col("record_num").alias("item_record_num"),
+                                F.to_date("creation_date_gmt").alias("creation_date"),
+                                F.to_date("record_last_updated_gmt").alias("record_last_updated"))
+    irp = s["item_record_property"].select("item_record_id", "barcode",
+                                           F.col("call_number_norm").alias("item_callnumber"))
+    ir = s["item_record"].select(
+        F.col("record_id").alias("item_record_id"), "agency_code_num", "location_code",
+        "checkout_statistic_group_code_num", "checkin_statistics_group_code_num",
+        F.to_date("last_checkout_gmt").alias("last_checkout_date"),
+        F.to_date("last_checkin_gmt").alias("last_checkin_date"), "checkout_total", "renewal_total",
+        "itype_code_num", "item_status_code", F.col("price").cast("decimal(30,2)").alias("price"))
+    co = s["checkout"].select("item_record_id", "patron_record_id", F.to_date("checkout_gmt").alias("checkout_date"),
+                              F.to_date("due_gmt").alias("due_date"))
+    patron = s["patron_record"].groupBy(F.col("record_id").alias("patron_record_id")).agg(
+        F.min("home_library_code").alias("patron_branch_code"))
+    link = (s["bib_record_item_record_link"].select("item_record_id", "bib_record_id")
+            .join(rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bib_record_num")),
+                  "bib_record_id"))
+    isbn = bib_children(s)["isbn"].select("bib_record_id", F.substring(F.get("isbn_values", 0), 1, 30).alias("isbn"))
+    itype = _itype_names(s).groupBy("itype_code_num").agg(F.min("name").alias("item_format"))
+    out = (r.join(irp, "item_record_id").join(ir, "item_record_id").join(co, "item_record_id", "left")
+           .join(link, "item_record_id").join(patron, "patron_record_id", "left")
+           .join(isbn, "bib_record_id", "left").join(bounded_broadcast(itype), "itype_code_num", "left"))
+    return out.select(
+        "item_record_id", "item_record_num", "bib_record_id", "bib_record_num", "creation_date", "record_last_updated",
+        "barcode", "agency_code_num", "location_code", "checkout_statistic_group_code_num",
+        "checkin_statistics_group_code_num", "checkout_date", "due_date", "patron_branch_code", "last_checkout_date",
+        "last_checkin_date", "checkout_total", "renewal_total", "isbn", "item_format", "item_status_code", "price",
+        "item_callnumber")
+
+
+def bib_varfields(s) -> DataFrame:
+    """Every varfield of the library's bibs, one row per field (long table)."""
+    rm = s["record_metadata"].filter((F.col("record_type_code") == "b") & (F.col("campus_code") == ""))
+    return (rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bib_record_num"))
+            .join(s["varfield"].withColumnRenamed("record_id", "bib_record_id"), "bib_record_id")
+            .select("bib_record_id", "bib_record_num", F.col("id").alias("varfield_id"), "varfield_type_code",
+                    "marc_tag", "marc_ind1", "marc_ind2", "occ_num", "field_content"))
