@@ -36,8 +36,12 @@ def main() -> None:
     # Stage 1: the rebuild (all 21 base tables written once into a published snapshot).
     root = os.path.join(checkpoint_dir(spark, tempfile.mkdtemp(prefix="shelfwise-bench-")), "snapshot")
     os.makedirs(root, exist_ok=True)
+    # Stage 0: land the source relations once (production: the JDBC extraction into a landing zone).
     t0 = time.perf_counter()
-    pipeline.rebuild(spark, context.sources(spark, sf_dir), root, context.AS_OF)
+    landed = pipeline.land_sources(spark, context.sources(spark, sf_dir), os.path.join(root, "..", "landing"))
+    times["land_sources"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    pipeline.rebuild(spark, landed["sources"], root, context.AS_OF)
     times["rebuild_base_tables"] = round(time.perf_counter() - t0, 3)
     context.use_snapshot(spark, sf_dir, root)
     # Stage 2: marts and reports over the published base tables.

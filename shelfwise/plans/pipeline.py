@@ -88,3 +88,12 @@ def incremental(spark: SparkSession, sources: dict[str, DataFrame], root: str, a
     stats = _write_all(tables, build, workers)
     publish.publish(root, build)
     return {"build": build, "since": since, "stats": stats}
+
+
+def land_sources(spark: SparkSession, sources: dict[str, DataFrame], folder: str, workers: int = 4) -> dict:
+    """Land every source relation once as parquet (the extraction from the live
+    source system) and return readers over the landed copies (S03)."""
+    stats = _write_all(sources, folder, workers)
+    from shelfwise.sources.tables import read_parquet_sources
+
+    return {"sources": read_parquet_sources(spark, folder, list(sources)), "stats": stats}
