@@ -35,15 +35,19 @@ def where_all(df: DataFrame, filters: list[tuple[str, str, object]]) -> DataFram
 def facet_counts(df: DataFrame, columns: list[str], size: int = 30) -> DataFrame:
     """The ``size`` most frequent values of each facet column, with counts.
 
-    One aggregation per facet over the (already filtered) relation; the
-    per-facet top-k runs on the small aggregated rows only.
+    One aggregation per facet over the (already filtered) relation, then a
+    per-facet top-k (``orderBy().limit()`` plans as a per-partition top-k plus
+    a k-row merge), so a facet with billions of distinct values never lands in
+    one task; only the surviving ``size`` rows per facet are ranked.
     """
-    parts = [df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
-             .withColumn("facet", F.lit(c)) for c in columns]
-    counts = reduce(DataFrame.unionByName, parts)
+    parts = []
+    for c in columns:
+        counts = df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
+        parts.append(counts.orderBy(F.desc("count"), F.asc_nulls_first("value")).limit(size)
+                     .withColumn("facet", F.lit(c)))
+    top = reduce(DataFrame.unionByName, parts)
     w = Window.partitionBy("facet").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    return (counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= size)
-            .select("facet", "value", "count", "rank"))
+    return top.withColumn("rank", F.row_number().over(w)).select("facet", "value", "count", "rank")
 
 
 def sort_page(df: DataFrame, keys: list[str], descending: bool = False, limit: int = 100,
