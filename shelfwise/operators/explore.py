@@ -47,7 +47,7 @@ def facet_counts(df: DataFrame, columns: list[str], size: int = 30) -> DataFrame
                      .withColumn("facet", F.lit(c)))
     top = reduce(DataFrame.unionByName, parts)
     w = Window.partitionBy("facet").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    return top.withColumn("rank", F.row_number().over(w)).select("facet", "value", "count", "rank")
+    return top.withColumn("rank", F.row_number().over(w).cast("long")).select("facet", "value", "count", "rank")
 
 
 def sort_page(df: DataFrame, keys: list[str], descending: bool = False, limit: int = 100,

@@ -87,7 +87,7 @@ def bib_holds(s) -> DataFrame:
 
 def top_holds(s, t, as_of=None, k: int = 50) -> DataFrame:
     """Q02: titles with the most holds; the count is read from the ';'-joined text."""
-    hs = bib_holds(s).withColumn("hold_count", F.size(F.split("holds", ";")))
+    hs = bib_holds(s).withColumn("hold_count", F.size(F.split("holds", ";")).cast("long"))
     b = t["bib"].select("bib_record_num", "best_title", "best_author", "publish_year")
     return (hs.join(b, "bib_record_num")
             .orderBy(F.desc("hold_count"), "bib_record_num").limit(k)
