@@ -38,10 +38,12 @@ def main() -> None:
     os.makedirs(root, exist_ok=True)
     # Stage 0: land the source relations once (production: the JDBC extraction into a landing zone).
     t0 = time.perf_counter()
-    landed = pipeline.land_sources(spark, context.sources(spark, sf_dir), os.path.join(root, "..", "landing"))
+    workers = int(cpus) if cpus.isdigit() else 8
+    landed = pipeline.land_sources(spark, context.sources(spark, sf_dir), os.path.join(root, "..", "landing"),
+                                   workers=workers)
     times["land_sources"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    pipeline.rebuild(spark, landed["sources"], root, context.AS_OF)
+    pipeline.rebuild(spark, landed["sources"], root, context.AS_OF, workers=workers)
     times["rebuild_base_tables"] = round(time.perf_counter() - t0, 3)
     context.use_snapshot(spark, sf_dir, root)
     # Stage 2: marts and reports over the published base tables.
