@@ -69,7 +69,7 @@ def pg_url(host: str, port: int, db: str, sslmode: str = "require") -> str:
 
 
 BRANCH_LOCATIONS_SCHEMA = T.StructType([
-    T.StructField("chpl_branch_location_name", T.StringType()),
+    T.StructField("branch_location_name", T.StringType()),
     T.StructField("code_num", T.IntegerType()),
     T.StructField("address", T.StringType()),
     T.StructField("latitude", T.DoubleType()),
