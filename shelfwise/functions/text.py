@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Longest alternative first: Java regex takes the first matching alternative
-# where the source system's engine takes the longest one.
+# Patterns that must match the source system's ISBN fields and
+# item messages.  The ISBN alternation is written longest alternative first:
+# Java regex takes the first matching alternative where the source system's
+# engine takes the longest one.
 ISBN_PATTERN = r"(?i)([0-9]{12,13}x?|[0-9]{9,10}x?)"
 IN_TRANSIT = r"(?i).*IN\sTRANSIT.*"
 IN_TRANSIT_TOO_LONG = r"(?i).*IN\sTRANSIT\sTOO\sLONG.*"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.oracle import compose
 from shelfwise.plans import context
@@ -228,3 +229,64 @@ SELECT rm.id AS bib_record_id, rm.record_num AS bib_record_num, v.id AS varfield
   v.marc_tag, v.marc_ind1, v.marc_ind2, v.occ_num, v.field_content
 FROM record_metadata rm JOIN varfield v ON v.record_id = rm.id
 WHERE rm.record_type_code = 'b' AND rm.campus_code = ''""")
+
+
+# ----------------------------------------------------------------- X02a-g: the per-bib child aggregates
+from shelfwise.operators.extract import bib_children  # noqa: E402
+
+_ISBN_RE = "(?i)([0-9]{12,13}x?|[0-9]{9,10}x?)"
+BIB_CHILD_SQL = {
+    "control": """SELECT record_id AS bib_record_id, list(index_entry ORDER BY occurrence, id) AS control_numbers
+FROM phrase_entry WHERE index_tag = 'o' AND varfield_type_code = 'o' GROUP BY 1""",
+    "isbn": f"""SELECT bib_record_id, list(m ORDER BY occ_num, vid) AS isbn_values FROM (
+  SELECT record_id AS bib_record_id, regexp_extract(field_content, '{_ISBN_RE}', 1) AS m, occ_num, id AS vid
+  FROM varfield WHERE marc_tag || varfield_type_code = '020i') WHERE m <> '' GROUP BY 1""",
+    "publisher": """SELECT record_id AS bib_record_id, first(content ORDER BY display_order, id) AS publisher
+FROM subfield WHERE field_type_code = 'p' AND tag = 'b' GROUP BY 1""",
+    "callnum": """SELECT record_id AS bib_record_id, first(index_entry ORDER BY id) AS bib_level_callnumber
+FROM phrase_entry WHERE index_tag = 'c' AND varfield_type_code = 'c' GROUP BY 1""",
+    "subjects": """SELECT record_id AS bib_record_id, list(index_entry ORDER BY occurrence, id) AS indexed_subjects
+FROM phrase_entry WHERE index_tag = 'd' GROUP BY 1""",
+    "genres": """SELECT v.record_id AS bib_record_id, list(s.content ORDER BY s.occ_num, s.id) AS genres
+FROM varfield v JOIN subfield s ON s.varfield_id = v.id WHERE v.varfield_type_code = 'j' AND s.tag = 'a' GROUP BY 1""",
+    "item_types": """SELECT bib_record_id, list(name ORDER BY cnt DESC, name) AS item_types FROM (
+  SELECT l.bib_record_id, n.name, count(*) AS cnt FROM bib_record_item_record_link l
+  JOIN item_record ir ON ir.record_id = l.item_record_id
+  JOIN itype_property ip ON ip.code_num = ir.itype_code_num
+  JOIN itype_property_name n ON n.itype_property_id = ip.id
+  GROUP BY 1, 2) GROUP BY 1""",
+}
+for _sub, _key in (("a", "control"), ("b", "isbn"), ("c", "publisher"), ("d", "callnum"), ("e", "subjects"),
+                   ("f", "genres"), ("g", "item_types")):
+    register(f"X02{_sub}_bib_{_key}",
+             (lambda k: lambda spark, sf: bib_children(context.sources(spark, sf))[k])(_key),
+             BIB_CHILD_SQL[_key])
+
+
+# ----------------------------------------------------------------- X06a: item-message parsing alone
+from shelfwise.operators.extract import parse_message  # noqa: E402
+
+
+def _message_parse(spark, sf_dir):
+    vf = context.sources(spark, sf_dir)["varfield"].filter("varfield_type_code = 'm'")
+    return parse_message(vf.select(F.col("id").alias("varfield_id"), "field_content"), as_of=context.AS_OF).select(
+        "varfield_id", "has_in_transit", "has_in_transit_too_long", "transit_from", "transit_to",
+        "transit_time_string", "in_transit_julianday", "in_transit_days")
+
+
+register("X06a_message_parse", _message_parse, """
+SELECT varfield_id, has_in_transit, has_in_transit_too_long, transit_from, transit_to, transit_time_string,
+  in_transit_julianday, in_transit_days FROM x_item_message_parsed""", [("x_item_message_parsed", f"""
+SELECT varfield_id, has_in_transit, has_in_transit_too_long, transit_from, transit_to, stamp AS transit_time_string,
+  CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS INTEGER) + 2440588 AS in_transit_julianday,
+  CAST(DATE '{context.AS_OF.isoformat()}' - CAST(ts AS DATE) AS INTEGER) AS in_transit_days
+FROM (
+  SELECT *, try_strptime(substr(stamp, 5), '%b %d %Y %I:%M%p') AS ts FROM (
+    SELECT id AS varfield_id,
+      regexp_matches(field_content, '(?i)IN\\sTRANSIT') AS has_in_transit,
+      regexp_matches(field_content, '(?i)IN\\sTRANSIT\\sTOO\\sLONG') AS has_in_transit_too_long,
+      nullif(regexp_extract(field_content, '(?i).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 1), '') AS transit_from,
+      nullif(regexp_extract(field_content, '(?i).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 2), '') AS transit_to,
+      nullif(regexp_extract(field_content, '(?i)^[a-z]{{3}}\\s[a-z]{{1,3}}\\s[0-9]{{2}}\\s[0-9]{{4}}\\s[0-9]{{2}}:[0-9]{{2}}[AP]M', 0), '') AS stamp
+    FROM varfield WHERE varfield_type_code = 'm') q
+  WHERE transit_from IS NOT NULL OR stamp IS NOT NULL)""")])
