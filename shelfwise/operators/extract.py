@@ -353,10 +353,17 @@ def hold(s, as_of) -> DataFrame:
     rm = s["record_metadata"]
     as_of = as_date(as_of)
     bib_num = rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bnum"))
-    # "first" bib of an item / a volume: the smallest bib number (deterministic LIMIT 1)
-    item_bib = (s["bib_record_item_record_link"].join(bib_num, "bib_record_id")
+    # Only links of held records matter: reduce the (large) link tables to the
+    # held ids first (a map-side semi join when the id set is small), then take
+    # the "first" bib of an item / a volume: the smallest bib number.
+    held = bounded_broadcast(s["hold"].select("record_id").distinct())
+    item_bib = (s["bib_record_item_record_link"]
+                .join(held.withColumnRenamed("record_id", "item_record_id"), "item_record_id", "left_semi")
+                .join(bib_num, "bib_record_id")
                 .groupBy(F.col("item_record_id").alias("record_id")).agg(F.min("bnum").alias("item_bib")))
-    vol_bib = (s["bib_record_volume_record_link"].join(bib_num, "bib_record_id")
+    vol_bib = (s["bib_record_volume_record_link"]
+               .join(held.withColumnRenamed("record_id", "volume_record_id"), "volume_record_id", "left_semi")
+               .join(bib_num, "bib_record_id")
                .groupBy(F.col("volume_record_id").alias("record_id")).agg(F.min("bnum").alias("vol_bib")))
     h = s["hold"].join(rm.select(F.col("id").alias("record_id"), "record_num", "record_type_code",
                                  "campus_code"), "record_id")
@@ -431,7 +438,7 @@ def circ_leased_items(s, as_of) -> DataFrame:
                     "item_record_id"))
     since = _dt.datetime.combine(as_of - _dt.timedelta(days=180), _dt.time())
     ct = (s["circ_trans"].filter((F.col("transaction_gmt") > F.lit(since)) & F.col("op_code").isin("o", "i"))
-          .join(leased.select("item_record_id"), "item_record_id", "left_semi"))
+          .join(bounded_broadcast(leased.select("item_record_id")), "item_record_id", "left_semi"))
     nums = rm.select(F.col("id").alias("rid"), F.col("record_num").alias("rnum"))
     loc = s["location"].select(F.col("code").alias("location_code"), "branch_code_num")
     dims = (s["statistic_group"].select(F.col("code_num").alias("stat_group_code_num"), "id",

@@ -214,11 +214,18 @@ def hold_title_view(t, as_of) -> DataFrame:
                         truncate_ellipsis("best_title", 37).alias("title"),
                         truncate_ellipsis("best_author", 37).alias("author"))
     vol = t["volume_record"].select("volume_record_num", F.col("volume_statement").alias("vol"))
-    item = t["item"]
+    # Supply counts are needed only for titles / volumes that have active holds:
+    # the item and link relations are reduced to those keys before aggregating.
+    held_bibs = bounded_broadcast(h.select("bib_record_num").distinct())
+    held_vols = bounded_broadcast(h.select("volume_record_num").filter(F.col("volume_record_num").isNotNull())
+                                  .distinct())
+    item = t["item"].join(held_bibs, "bib_record_num", "left_semi")
     avail = item.filter(F.col("item_status_code").isin(*codes.AVAILABLE_STATUS) & _avail_due_ok(as_of))
     per_bib = avail.groupBy("bib_record_num").agg(F.count(F.lit(1)).alias("bib_items"))
+    avail_any = t["item"].filter(F.col("item_status_code").isin(*codes.AVAILABLE_STATUS) & _avail_due_ok(as_of))
     per_vol = (t["volume_record_item_record_link"].select("volume_record_num", "item_record_num")
-               .join(avail.select("item_record_num"), "item_record_num")
+               .join(held_vols, "volume_record_num", "left_semi")
+               .join(avail_any.select("item_record_num"), "item_record_num")
                .groupBy("volume_record_num").agg(F.count(F.lit(1)).alias("vol_items")))
     formats = (item.select("bib_record_num", "item_format").distinct()
                .groupBy("bib_record_num")
