@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions import codes
 from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.dates import as_date, to_jd
-from shelfwise.functions.text import (IN_TRANSIT, IN_TRANSIT_TOO_LONG, ISBN_PATTERN,
-                                      TRANSIT_ROUTE, TRANSIT_TIME, empty_to_null,
-                                      nullif_empty, ordered_values)
+from shelfwise.functions.text import (IN_TRANSIT, IN_TRANSIT_TOO_LONG, ISBN_PATTERN, TRANSIT_ROUTE,
+                                      TRANSIT_TIME, nullif_empty, ordered_values)
 
 FULL_REBUILD = _dt.datetime(1969, 1, 1)
 
@@ -37,10 +36,6 @@ def _records(s, rtype: str, since=None, live_only=True) -> DataFrame:
     return rm.filter(cond)
 
 
-def _join_list(values: F.Column, sep: str) -> F.Column:
-    return F.when(F.size(values) > 0, F.array_join(values, sep))
-
-
 def _named(prop: DataFrame, names: DataFrame, fk: str, how: str = "inner") -> DataFrame:
     """A property table joined to its name table (``names.fk = prop.id``).
 

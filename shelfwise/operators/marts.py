@@ -9,9 +9,7 @@ item/bib/hold relations are joined by shuffle on their record number.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
-from shelfwise.functions.dates import as_date, jd_of, to_jd
+from shelfwise.functions.dates import as_date, jd_of
 from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.text import ordered_values
 from shelfwise.operators.marts import _loc_names, _per_item_2dp, location_view

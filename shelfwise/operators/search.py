@@ -11,8 +11,6 @@ term, term frequency per document) and broadcast-free equi-joins.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

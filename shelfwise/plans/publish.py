@@ -122,3 +122,13 @@ def run_stats_table(spark: SparkSession, run_started: str, stats: list[dict]) ->
              (s["rows"] / s["elapsed_seconds"]) if s.get("rows") and s["elapsed_seconds"] > 0 else None)
             for s in stats]
     return spark.createDataFrame(rows, RUN_STATS_SCHEMA)
+
+
+def write_per_group(df: DataFrame, path: str, group_cols: list[str], fmt: str = "json") -> None:
+    """One output folder per group value (e.g. R22: one in-transit listing per branch).
+
+    Rows are shuffled by the group columns first so each group is written by
+    few tasks instead of every task writing a small file for every group.
+    """
+    (df.repartition(*[F.col(c) for c in group_cols]).write.mode("overwrite")
+     .partitionBy(*group_cols).format(fmt).save(path))

@@ -64,3 +64,11 @@ def test_telemetry_views(spark, scratch):
     assert [(r["run_id"], r["stages_completed"], r["last_stage"]) for r in fail] == [(2, 1, "bib")]
     trends = telemetry.stage_trends(run, stage).collect()
     assert [(r["stage"], r["run_id"]) for r in trends] == [("bib", 2), ("bib", 1), ("item", 1)]
+
+
+def test_write_per_group(spark, scratch):
+    df = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3)], "branch string, n int")
+    path = os.path.join(scratch, "per_branch")
+    publish.write_per_group(df, path, ["branch"])
+    assert sorted(os.listdir(path)) == ["_SUCCESS", "branch=A", "branch=B"]
+    assert spark.read.json(os.path.join(path, "branch=A")).count() == 2
