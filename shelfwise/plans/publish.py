@@ -124,11 +124,14 @@ def run_stats_table(spark: SparkSession, run_started: str, stats: list[dict]) ->
     return spark.createDataFrame(rows, RUN_STATS_SCHEMA)
 
 
-def write_per_group(df: DataFrame, path: str, group_cols: list[str], fmt: str = "json") -> None:
+def write_per_group(df: DataFrame, path: str, group_cols: list[str], fmt: str = "json", salt: int = 16) -> None:
     """One output folder per group value (e.g. R22: one in-transit listing per branch).
 
-    Rows are shuffled by the group columns first so each group is written by
-    few tasks instead of every task writing a small file for every group.
+    Rows are shuffled by the group columns plus a deterministic salt (a hash of
+    the row modulo ``salt``), so a hot group is written by up to ``salt`` tasks
+    instead of one, and every task writes files for few groups.  The salt is a
+    pure function of the row, so a retried task sees the same partitioning.
     """
-    (df.repartition(*[F.col(c) for c in group_cols]).write.mode("overwrite")
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt))
+    (df.repartition(*[F.col(c) for c in group_cols], bucket).write.mode("overwrite")
      .partitionBy(*group_cols).format(fmt).save(path))
