@@ -90,7 +90,7 @@ def duplicate_items_in_location_view(t, as_of=None) -> DataFrame:
             .groupBy("bib_record_num", "volume_record_statement", "location_code", "count_item_records")
             .agg(F.to_json(F.array_sort(F.collect_set("obj")), {"ignoreNullFields": "false"})
                  .alias("item_data")))
-    return data.orderBy(F.desc("count_item_records"))
+    return data.orderBy(F.desc("count_item_records"), "bib_record_num", "location_code", "volume_record_statement")
 
 
 def location_view(t, as_of=None) -> DataFrame:
@@ -145,7 +145,7 @@ def branch_30_day_circ_view(t, as_of=None) -> DataFrame:
            .agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
                 F.struct("circ_type", "sum_circ_type"))))).alias("circulations"),
                 F.sum("sum_circ_type").alias("total")))
-    return out.orderBy(F.desc("total"))
+    return out.orderBy(F.desc("total"), "branch_name")
 
 
 def branch_location_view(t, as_of=None) -> DataFrame:
@@ -158,7 +158,7 @@ def branch_location_view(t, as_of=None) -> DataFrame:
                        F.col("b_code_num").alias("branch_code_num"), "branch_name",
                        F.concat(F.lit(codes.ITEM_VIEW_URL_PREFIX), F.col("location_code"))
                        .alias("location_item_view"))
-            .orderBy("branch_code_num", "location_name"))
+            .orderBy("branch_code_num", "location_name", "code"))
 
 
 def collection_value_branch_view(t, as_of=None) -> DataFrame:
@@ -239,7 +239,7 @@ def hold_title_view(t, as_of) -> DataFrame:
                    .otherwise(F.coalesce("bib_items", F.lit(0))))
     return (out.select(*keys, F.coalesce("item_types", F.lit("[]")).alias("item_types"),
                        "count_active_holds", count_items.alias("count_items"))
-            .orderBy(F.desc("count_active_holds")))
+            .orderBy(F.desc("count_active_holds"), "bib_record_num", "volume_record_num", "item_record_num"))
 
 
 def active_holds_view(t, as_of) -> DataFrame:
@@ -332,7 +332,7 @@ def two_months_leased_item_view(t, as_of) -> DataFrame:
     return (out.select("item_format", "bib_record_num", "best_title", "best_author", "count_items",
                        "sum_total_items_checkouts", "item_creation_date", "earliest_circ_date",
                        "_2_months_from_earliest_circ_date", "count_checkouts_2_months_from_earliest_circ_date")
-            .orderBy(F.desc("_2_months_from_earliest_circ_date")))
+            .orderBy(F.desc("_2_months_from_earliest_circ_date"), "bib_record_num", "item_format"))
 
 
 # ----------------------------------------------------------------- V12, V13
@@ -376,8 +376,9 @@ def new_downloadable_book_view(t, as_of) -> DataFrame:
                      F.col("item_callnumber"),
                      label=F.concat(F.col("best_title"), F.coalesce("vol_statement", F.lit(""))))
         .alias("catalog_link"),
-        F.coalesce("best_author", F.lit("Zzzz")).alias("_a"), F.col("best_title").alias("_t"))
-        .orderBy(F.desc("date added"), "_a", "_t").drop("_a", "_t"))
+        F.coalesce("best_author", F.lit("Zzzz")).alias("_a"), F.col("best_title").alias("_t"),
+        F.col("item_record_num").alias("_i"))
+        .orderBy(F.desc("date added"), "_a", "_t", "_i").drop("_a", "_t", "_i"))
 
 
 def new_titles_view(t, as_of) -> DataFrame:
@@ -389,8 +390,8 @@ def new_titles_view(t, as_of) -> DataFrame:
         "cataloging_date", "indexed_subjects", jacket(num, F.col("isbn_values")).alias("jacket"),
         catalog_link(num, F.col("best_title"), F.col("best_author"), F.col("publish_year"),
                      F.col("bib_level_callnumber")).alias("catalog_link"),
-        F.col("modal_format").alias("item_format"))
-        .orderBy(F.desc("cataloging_date")))
+        F.col("modal_format").alias("item_format"), F.col("bib_record_num").alias("_b"))
+        .orderBy(F.desc("cataloging_date"), "_b").drop("_b"))
 
 
 def genre_view(t, as_of=None) -> DataFrame:
@@ -457,7 +458,7 @@ def dup_at_location_view(t, as_of=None) -> DataFrame:
         catalog_link(num, F.col("best_title"), F.col("best_author"), F.col("publish_year"),
                      F.col("bib_level_callnumber")).alias("catalog_link"),
         "barcodes", F.col("modal_format").alias("item_format"))
-        .orderBy("bib_level_callnumber"))
+        .orderBy("bib_level_callnumber", "bib_record_num", "location_code", "vol"))
 
 
 def duplicates_across(t, locations: list[str], as_of=None) -> DataFrame:

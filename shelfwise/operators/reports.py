@@ -36,7 +36,7 @@ def most_checked_out(t, as_of=None, k: int = 100) -> DataFrame:
 
 def available_items_by_format(t, as_of=None) -> DataFrame:
     return (t["item"].filter(F.col("item_status_code") == "-").groupBy("item_format")
-            .agg(F.count(F.lit(1)).alias("available_count")).orderBy(F.desc("available_count")))
+            .agg(F.count(F.lit(1)).alias("available_count")).orderBy(F.desc("available_count"), "item_format"))
 
 
 def recently_added(t, as_of, k: int = 200) -> DataFrame:
