@@ -29,3 +29,17 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Data
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
+
+
+def skew_safe_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """``left LEFT OUTER JOIN right USING (on)`` when the *right* side may hold hot keys.
+
+    AQE can split a skewed partition only on the preserved side of an outer
+    join, so a hot key on the right of a left join would run in one task.  The
+    same result is an inner join (splittable on both sides) plus the left rows
+    without a match (anti join against the distinct right keys, NULL keys
+    included), with the right columns NULL.
+    """
+    matched = left.join(right, on, "inner")
+    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

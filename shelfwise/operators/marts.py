@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
-from shelfwise.functions.plan import bounded_broadcast
+from shelfwise.functions.plan import bounded_broadcast, skew_safe_left_join
 from shelfwise.functions.dates import as_date, from_jd, jd_of, monday_before, plus_months_overflow
 from shelfwise.functions.text import json_object, ordered_values, truncate_ellipsis
 
@@ -70,7 +70,7 @@ def _avail_due_ok(as_of) -> Column:
 def isbn_view(t, as_of=None) -> DataFrame:
     b = t["bib"].select("bib_record_num", "bib_level_callnumber", F.explode("isbn_values").alias("isbn"))
     i = t["item"].select("bib_record_num", "item_record_num", "location_code", "item_status_code")
-    return (b.join(i, "bib_record_num", "left")
+    return (skew_safe_left_join(b, i, ["bib_record_num"])
             .select("isbn", "bib_level_callnumber", "bib_record_num", "item_record_num", "location_code",
                     "item_status_code"))
 
@@ -552,7 +552,7 @@ def collection_detail_view(t, as_of=None) -> DataFrame:
     branches = (loc.join(brn, F.col("branch_code_num") == F.col("b_code_num")).join(bn, "branch_id")
                 .groupBy(F.col("location_code").alias("item_location_code"))
                 .agg(F.min("branch_name").alias("item_branch_name")))
-    out = (br.join(rm, "record_id").join(item, "bib_record_num", "left")
+    out = (skew_safe_left_join(br.join(rm, "record_id"), item, ["bib_record_num"])
            .join(bounded_broadcast(names), "item_location_code", "left")
            .join(bounded_broadcast(branches), "item_location_code", "left"))
     return out.select(
