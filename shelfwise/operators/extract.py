@@ -52,6 +52,16 @@ def _itype_names(s, how: str = "inner") -> DataFrame:
         F.col("code_num").alias("itype_code_num"), "name")
 
 
+def _record_nums(s, rtype: str, id_name: str, num_name: str) -> DataFrame:
+    """id -> record number lookup for one record type.
+
+    Links always point at records of a known type, so restricting the (largest)
+    record table to that type first shrinks every lookup join's shuffle.
+    """
+    return (s["record_metadata"].filter(F.col("record_type_code") == rtype)
+            .select(F.col("id").alias(id_name), F.col("record_num").alias(num_name)))
+
+
 # --------------------------------------------------------------------------- X01
 def record_metadata(s, since=None) -> DataFrame:
     rm = s["record_metadata"]
@@ -153,13 +163,10 @@ def item(s, since=None) -> DataFrame:
     patron = s["patron_record"].groupBy(F.col("record_id").alias("patron_record_id")).agg(
         F.min("home_library_code").alias("patron_branch_code"))
     itype = (_itype_names(s).groupBy("itype_code_num").agg(F.min("name").alias("item_format")))
-    rm = s["record_metadata"]
     link = (s["bib_record_item_record_link"].select("item_record_id", "bib_record_id")
-            .join(rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bib_record_num")),
-                  "bib_record_id"))
+            .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id"))
     vlink = (s["volume_record_item_record_link"].select("item_record_id", "volume_record_id")
-             .join(rm.select(F.col("id").alias("volume_record_id"),
-                             F.col("record_num").alias("volume_record_num")), "volume_record_id", "left"))
+             .join(_record_nums(s, "j", "volume_record_id", "volume_record_num"), "volume_record_id", "left"))
     vstat = _statements(s, "volume_record_id", ["v"]).withColumnRenamed("statement", "volume_record_statement")
     out = (r.join(irp, "item_record_id").join(ir, "item_record_id")
            .join(co, "item_record_id", "left")
@@ -197,9 +204,8 @@ def volume_record(s, since=None) -> DataFrame:
            .join(rm.filter(F.col("record_last_updated_gmt") >= _since(since))
                  .select(F.col("id").alias("volume_record_id"), F.col("record_num").alias("volume_record_num"),
                          to_jd("creation_date_gmt").alias("creation_julianday")), "volume_record_id"))
-    link = (s["bib_record_volume_record_link"]
-            .join(rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bib_record_num")),
-                  "bib_record_id"))
+    link = s["bib_record_volume_record_link"].join(_record_nums(s, "b", "bib_record_id", "bib_record_num"),
+                                                    "bib_record_id")
     stat = _statements(s, "volume_record_id", None).withColumnRenamed("statement", "volume_statement")
     return (vol.join(link, "volume_record_id").join(stat, "volume_record_id", "left")
             .select("volume_record_id", "volume_record_num", "bib_record_id", "bib_record_num",
@@ -347,7 +353,7 @@ def material_property(s) -> DataFrame:
 def hold(s, as_of) -> DataFrame:
     rm = s["record_metadata"]
     as_of = as_date(as_of)
-    bib_num = rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bnum"))
+    bib_num = _record_nums(s, "b", "bib_record_id", "bnum")
     # Only links of held records matter: reduce the (large) link tables to the
     # held ids first (a map-side semi join when the id set is small), then take
     # the "first" bib of an item / a volume: the smallest bib number.
@@ -434,7 +440,7 @@ def circ_leased_items(s, as_of) -> DataFrame:
     since = _dt.datetime.combine(as_of - _dt.timedelta(days=180), _dt.time())
     ct = (s["circ_trans"].filter((F.col("transaction_gmt") > F.lit(since)) & F.col("op_code").isin("o", "i"))
           .join(bounded_broadcast(leased.select("item_record_id")), "item_record_id", "left_semi"))
-    nums = rm.select(F.col("id").alias("rid"), F.col("record_num").alias("rnum"))
+
     loc = s["location"].select(F.col("code").alias("location_code"), "branch_code_num")
     dims = (s["statistic_group"].select(F.col("code_num").alias("stat_group_code_num"), "id",
                                         F.col("location_code").alias("stat_group_location_code"))
@@ -448,13 +454,10 @@ def circ_leased_items(s, as_of) -> DataFrame:
                     "stat_group_branch_name"))
     irp = s["item_record_property"].select("item_record_id", "barcode")
     out = (ct.join(bounded_broadcast(dims), "stat_group_code_num", "left")
-           .join(nums.select(F.col("rid").alias("item_record_id"), F.col("rnum").alias("item_record_num")),
-                 "item_record_id", "left")
+           .join(_record_nums(s, "i", "item_record_id", "item_record_num"), "item_record_id", "left")
            .join(irp, "item_record_id", "left")
-           .join(nums.select(F.col("rid").alias("bib_record_id"), F.col("rnum").alias("bib_record_num")),
-                 "bib_record_id", "left")
-           .join(nums.select(F.col("rid").alias("volume_record_id"), F.col("rnum").alias("volume_record_num")),
-                 "volume_record_id", "left"))
+           .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id", "left")
+           .join(_record_nums(s, "j", "volume_record_id", "volume_record_num"), "volume_record_id", "left"))
     return out.select(
         "id", F.date_format("transaction_gmt", "yyyy-MM-dd").alias("transaction_day"), "stat_group_code_num",
         "stat_group_name", "stat_group_location_code", "stat_group_branch_name", "op_code",

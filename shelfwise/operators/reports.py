@@ -56,7 +56,8 @@ def bib_hold_strings(s) -> DataFrame:
     h = s["hold"]
     r = rm.filter(F.col("record_type_code") == "b").select(
         F.col("id").alias("record_id"), "record_type_code", "record_num")
-    pr = rm.select(F.col("id").alias("patron_record_id"), F.col("record_num").alias("patron_record_num"))
+    pr = rm.filter(F.col("record_type_code") == "p").select(F.col("id").alias("patron_record_id"),
+                                                            F.col("record_num").alias("patron_record_num"))
     placed = F.to_date("placed_gmt")
     nnb = F.date_add(placed, F.col("delay_days"))
     nna = F.coalesce(F.to_date("expires_gmt"), F.date_add(placed, 255))
@@ -310,9 +311,8 @@ def legacy_bib_export(s) -> DataFrame:
 # ----------------------------------------------------------------- R02, R21 (legacy exports)
 def legacy_item_export(s) -> DataFrame:
     """Flat item export with the bib's first ISBN and a 2-decimal money price."""
-    from shelfwise.operators.extract import _itype_names, _records, bib_children
+    from shelfwise.operators.extract import _itype_names, _record_nums, _records, bib_children
 
-    rm = s["record_metadata"]
     r = _records(s, "i").select(F.col("id").alias("item_record_id"), F.col("record_num").alias("item_record_num"),
                                 F.to_date("creation_date_gmt").alias("creation_date"),
                                 F.to_date("record_last_updated_gmt").alias("record_last_updated"))
@@ -329,8 +329,7 @@ def legacy_item_export(s) -> DataFrame:
     patron = s["patron_record"].groupBy(F.col("record_id").alias("patron_record_id")).agg(
         F.min("home_library_code").alias("patron_branch_code"))
     link = (s["bib_record_item_record_link"].select("item_record_id", "bib_record_id")
-            .join(rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bib_record_num")),
-                  "bib_record_id"))
+            .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id"))
     isbn = bib_children(s)["isbn"].select("bib_record_id", F.substring(F.get("isbn_values", 0), 1, 30).alias("isbn"))
     itype = _itype_names(s).groupBy("itype_code_num").agg(F.min("name").alias("item_format"))
     out = (r.join(irp, "item_record_id").join(ir, "item_record_id").join(co, "item_record_id", "left")
