@@ -12,18 +12,26 @@ from shelfwise.sources.tables import load_sources
 # Reproducible "now" of the registered queries (the oracles use the same date).
 AS_OF = _dt.date(2024, 2, 1)
 
-_CACHE: dict[tuple[int, str], dict] = {}
+_CACHE: dict[tuple, dict] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        app = None
+    return (id(spark), app, sf_dir)
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = {"sources": load_sources(spark, sf_dir)}
     return _CACHE[key]["sources"]
 
 
 def base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     s = sources(spark, sf_dir)
     entry = _CACHE[key]
     if "base" not in entry:
@@ -37,4 +45,4 @@ def use_snapshot(spark: SparkSession, sf_dir: str, root: str) -> None:
 
     names = list(extract.BASE_TABLES) + ["branch_locations"]
     sources(spark, sf_dir)
-    _CACHE[(id(spark), sf_dir)]["base"] = publish.read_snapshot(spark, root, names)
+    _CACHE[_key(spark, sf_dir)]["base"] = publish.read_snapshot(spark, root, names)
