@@ -34,6 +34,17 @@ def ordered_values(value: Column, *order: Column, keep_nulls: bool = True) -> Co
     return F.transform(arr, lambda s: s["v"])
 
 
+def ordered_values_where(cond: Column, value: Column, *order: Column) -> Column:
+    """Aggregate: like ``ordered_values`` over only the rows where ``cond`` holds.
+
+    Rows failing the condition contribute a NULL struct, which ``collect_list``
+    skips; a row that matches with a NULL value still contributes its entry.
+    """
+    fields = [o.alias(f"k{i}") for i, o in enumerate(order)] + [value.alias("v")]
+    arr = F.array_sort(F.collect_list(F.when(cond, F.struct(*fields))))
+    return F.transform(arr, lambda s: s["v"])
+
+
 def empty_to_null(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, arr)
 

@@ -18,7 +18,8 @@ from shelfwise.functions import codes
 from shelfwise.functions.plan import bounded_broadcast
 from shelfwise.functions.dates import as_date, to_jd
 from shelfwise.functions.text import (IN_TRANSIT, IN_TRANSIT_TOO_LONG, ISBN_PATTERN, TRANSIT_ROUTE,
-                                      TRANSIT_TIME, nullif_empty, ordered_values)
+                                      TRANSIT_TIME, empty_to_null, nullif_empty, ordered_values,
+                                      ordered_values_where)
 
 FULL_REBUILD = _dt.datetime(1969, 1, 1)
 
@@ -80,10 +81,24 @@ def bib_children(s) -> dict[str, DataFrame]:
     pe = s["phrase_entry"]
     vf = s["varfield"]
     sf = s["subfield"]
-    control = (pe.filter((F.col("index_tag") == "o") & (F.col("varfield_type_code") == "o"))
+    # Control numbers, call number and subjects all come from the phrase index:
+    # one scan and one shuffle of it, one conditional aggregate per output.
+    is_control = (F.col("index_tag") == "o") & (F.col("varfield_type_code") == "o")
+    is_callnum = (F.col("index_tag") == "c") & (F.col("varfield_type_code") == "c")
+    is_subject = F.col("index_tag") == "d"
+    phrases = (pe.filter(is_control | is_callnum | is_subject)
                .groupBy(F.col("record_id").alias("bib_record_id"))
-               .agg(ordered_values(F.col("index_entry"), F.col("occurrence"), F.col("id"))
-                    .alias("control_numbers")))
+               .agg(empty_to_null(ordered_values_where(is_control, F.col("index_entry"), F.col("occurrence"),
+                                                       F.col("id"))).alias("control_numbers"),
+                    F.min_by(F.when(is_callnum, F.col("index_entry")), F.when(is_callnum, F.col("id")))
+                    .alias("bib_level_callnumber"),
+                    F.count(F.when(is_callnum, F.lit(1))).alias("_n_callnum"),
+                    empty_to_null(ordered_values_where(is_subject, F.col("index_entry"), F.col("occurrence"),
+                                                       F.col("id"))).alias("indexed_subjects")))
+    control = phrases.filter(F.col("control_numbers").isNotNull()).select("bib_record_id", "control_numbers")
+    callnum = phrases.filter(F.col("_n_callnum") > 0).select("bib_record_id", "bib_level_callnumber")
+    subjects = phrases.filter(F.col("indexed_subjects").isNotNull()).select("bib_record_id", "indexed_subjects")
+    phrases = phrases.drop("_n_callnum")
     isbn = (vf.filter(F.concat(F.col("marc_tag"), F.col("varfield_type_code")) == "020i")
             .withColumn("isbn", F.regexp_extract("field_content", ISBN_PATTERN, 1))
             .filter(F.col("isbn") != "")
@@ -92,13 +107,6 @@ def bib_children(s) -> dict[str, DataFrame]:
     publisher = (sf.filter((F.col("field_type_code") == "p") & (F.col("tag") == "b"))
                  .groupBy(F.col("record_id").alias("bib_record_id"))
                  .agg(F.min_by("content", F.struct("display_order", "id")).alias("publisher")))
-    callnum = (pe.filter((F.col("index_tag") == "c") & (F.col("varfield_type_code") == "c"))
-               .groupBy(F.col("record_id").alias("bib_record_id"))
-               .agg(F.min_by("index_entry", "id").alias("bib_level_callnumber")))
-    subjects = (pe.filter(F.col("index_tag") == "d")
-                .groupBy(F.col("record_id").alias("bib_record_id"))
-                .agg(ordered_values(F.col("index_entry"), F.col("occurrence"), F.col("id"))
-                     .alias("indexed_subjects")))
     genres = (vf.filter(F.col("varfield_type_code") == "j").select(F.col("id").alias("vid"), "record_id")
               .join(sf.filter(F.col("tag") == "a").select("varfield_id", "occ_num", "id", "content"),
                     F.col("vid") == F.col("varfield_id"))
@@ -113,7 +121,7 @@ def bib_children(s) -> dict[str, DataFrame]:
                   .groupBy("bib_record_id")
                   .agg(ordered_values(F.col("name"), -F.col("n"), F.col("name")).alias("item_types")))
     return dict(control=control, isbn=isbn, publisher=publisher, callnum=callnum,
-                subjects=subjects, genres=genres, item_types=item_types)
+                subjects=subjects, genres=genres, item_types=item_types, phrases=phrases)
 
 
 def bib(s, since=None) -> DataFrame:
@@ -125,7 +133,7 @@ def bib(s, since=None) -> DataFrame:
                                            "publish_year")
     kids = bib_children(s)
     out = r.join(br, "bib_record_id").join(prop, "bib_record_id", "left")
-    for k in ("control", "isbn", "publisher", "callnum", "subjects", "genres", "item_types"):
+    for k in ("phrases", "isbn", "publisher", "genres", "item_types"):
         out = out.join(kids[k], "bib_record_id", "left")
     return out.select("bib_record_num", "bib_record_id", "control_numbers", "isbn_values",
                       "best_author", "best_title", "publisher", "publish_year",
