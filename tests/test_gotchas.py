@@ -110,3 +110,35 @@ def test_empty_inputs_give_typed_empty_outputs(spark, base):
                reports.items_by_branch):
         out = fn(empty)
         assert out.count() == 0 and len(out.schema.fields) > 0
+
+
+def test_genre_counts_repeats_and_skips_empty_arrays(spark, base):
+    bib = frame(spark, base["bib"], [dict(bib_record_num=1, genres=["fantasy", "fantasy"]),
+                                     dict(bib_record_num=2, genres=[]), dict(bib_record_num=3, genres=None),
+                                     dict(bib_record_num=4, genres=["fantasy", "poetry"])])
+    got = {r.genre: r.count_bibs for r in marts.genre_view(dict(base, bib=bib)).collect()}
+    assert got == {"fantasy": 3, "poetry": 1}
+
+
+def test_two_month_window_monday_and_year_end(spark, base):
+    items = frame(spark, base["item"], [
+        item_row(item_record_num=1, bib_record_num=11, item_format="Leased Book", creation_date=dt.date(2023, 12, 28)),
+        item_row(item_record_num=2, bib_record_num=12, item_format="Leased Book", creation_date=dt.date(2024, 1, 1)),
+        item_row(item_record_num=3, bib_record_num=13, item_format="Leased DVD", creation_date=dt.date(2023, 11, 1))])
+    circ = frame(spark, base["circ_leased_items"], [
+        dict(bib_record_num=13, op_code="o", transaction_day="2023-11-20"),    # earliest overall: excluded
+        dict(bib_record_num=11, op_code="o", transaction_day="2023-12-31"),    # Sunday -> Monday Dec 25
+        dict(bib_record_num=11, op_code="o", transaction_day="2024-02-25"),    # inside window (<= Feb 25)
+        dict(bib_record_num=11, op_code="o", transaction_day="2024-02-26"),    # outside
+        dict(bib_record_num=12, op_code="i", transaction_day="2024-01-01"),    # Monday -> previous Monday
+        dict(bib_record_num=12, op_code="o", transaction_day="2024-01-08")])
+    bibs = frame(spark, base["bib"], [dict(bib_record_num=b, best_title=f"t{b}") for b in (11, 12, 13)])
+    out = {r.bib_record_num: r for r in marts.two_months_leased_item_view(
+        dict(base, item=items, circ_leased_items=circ, bib=bibs), "2024-06-01").collect()}
+    assert set(out) == {11, 12}
+    assert out[11]._2_months_from_earliest_circ_date == dt.date(2024, 2, 25)
+    assert out[11].count_checkouts_2_months_from_earliest_circ_date == 2
+    assert out[12].earliest_circ_date == "2024-01-01"
+    assert out[12]._2_months_from_earliest_circ_date == dt.date(2024, 2, 25)     # Dec 25 + 2 months
+    # checkouts counted against the window of the first *checkout* (Jan 8 -> Mon Jan 1 -> Mar 1)
+    assert out[12].count_checkouts_2_months_from_earliest_circ_date == 1
