@@ -43,7 +43,8 @@ def main() -> None:
                                    workers=workers)
     times["land_sources"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    pipeline.rebuild(spark, landed["sources"], root, context.AS_OF, workers=workers)
+    pipeline.rebuild(spark, landed["sources"], root, context.AS_OF, workers=workers,
+                     buckets=int(os.environ.get("BENCH_BUCKETS", "16")) or None)
     times["rebuild_base_tables"] = round(time.perf_counter() - t0, 3)
     context.use_snapshot(spark, sf_dir, root)
     # Stage 2: marts and reports over the published base tables.

@@ -27,10 +27,19 @@ UPSERT_KEYS = {"record_metadata": "record_id", "bib": "bib_record_id", "item": "
                "bib_record": "id", "volume_record": "volume_record_id"}
 
 
-def _write_all(tables: dict[str, DataFrame], build: str, workers: int) -> list[dict]:
+# Base tables joined on the bib number by many marts (item-bib, hold-bib): with
+# ``buckets=n`` the snapshot stores them bucketed on it, so those joins read
+# co-partitioned files instead of shuffling both sides.
+BUCKET_KEYS = {"item": "bib_record_num", "bib": "bib_record_num", "hold": "bib_record_num"}
+
+
+def _write_all(tables: dict[str, DataFrame], build: str, workers: int,
+               buckets: dict[str, tuple[str, int]] | None = None) -> list[dict]:
+    buckets = buckets or {}
+
     def one(name: str) -> dict:
         t0 = time.perf_counter()
-        rows = publish.write_table(tables[name], os.path.join(build, name))
+        rows = publish.write_table(tables[name], os.path.join(build, name), bucket_by=buckets.get(name))
         return {"stage": name, "rows": rows, "elapsed_seconds": time.perf_counter() - t0}
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
@@ -38,7 +47,7 @@ def _write_all(tables: dict[str, DataFrame], build: str, workers: int) -> list[d
 
 
 def rebuild(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of, since=None,
-            telemetry=None, run_id: int = 1, workers: int = 4) -> dict:
+            telemetry=None, run_id: int = 1, workers: int = 4, buckets: int | None = None) -> dict:
     """Full (or since-filtered) build of every base table, then atomic publish."""
     started = _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
     t0 = time.perf_counter()
@@ -47,7 +56,10 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of
     ok = False
     try:
         build = publish.new_staging(root)
-        stats = _write_all(extract.build_base_tables(sources, as_of, since), build, workers)
+        spec = {k: (c, buckets) for k, c in BUCKET_KEYS.items()} if buckets else {}
+        stats = _write_all(extract.build_base_tables(sources, as_of, since), build, workers, spec)
+        if spec:
+            publish.write_bucket_manifest(build, spec)
         publish.run_stats_table(spark, started, stats).coalesce(1).write.mode("overwrite").parquet(
             os.path.join(build, "_pipeline_run"))
         if telemetry is not None:

@@ -9,6 +9,7 @@ untouched.  Paths must be on the shared filesystem of the cluster.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -19,20 +20,47 @@ from pyspark.sql import types as T
 POINTER = "CURRENT"
 
 
-def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=None) -> int:
+def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=None,
+                bucket_by: tuple[str, int] | None = None) -> int:
     """Write one table and return its row count from the same job.
 
     The count is an ``Observation`` metric collected while writing, not a
-    second pass over the data.
+    second pass over the data.  ``bucket_by=(column, n)`` writes the files
+    hash-bucketed and sorted on ``column`` (a transient external catalog entry
+    is created for the write and dropped again; the files stay), so readers
+    that register the same bucket spec join on that column without a shuffle.
     """
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if bucket_by is None:
+        writer.parquet(path)
+    else:
+        col, n = bucket_by
+        name = f"shelfwise_write_{uuid.uuid4().hex[:12]}"
+        writer.bucketBy(n, col).sortBy(col).format("parquet").option("path", path).saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     return int(obs.get["rows"])
 
 
+BUCKET_MANIFEST = "_buckets.json"
+
+
+def write_bucket_manifest(build: str, spec: dict[str, tuple[str, int]]) -> None:
+    with open(os.path.join(build, BUCKET_MANIFEST), "w") as fh:
+        json.dump({k: [c, n] for k, (c, n) in spec.items()}, fh)
+
+
+def _bucketed_table(spark: SparkSession, path: str, build_id: str, name: str, col: str, n: int) -> DataFrame:
+    """Register an external table over bucketed files with their bucket spec and read it."""
+    table = f"shelfwise_{build_id[:16]}_{name}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+              f"CLUSTERED BY (`{col}`) SORTED BY (`{col}`) INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def encode_for_text(df: DataFrame) -> DataFrame:
     """arrays/structs/maps as JSON text, dates and timestamps as ISO text (text sinks only)."""
     cols = []
@@ -75,7 +103,16 @@ def read_snapshot(spark: SparkSession, root: str, names) -> dict[str, DataFrame]
     snap = current(root)
     if snap is None:
         raise FileNotFoundError(f"no published snapshot under {root}")
-    return {n: spark.read.parquet(os.path.join(snap, n)) for n in names}
+    manifest = os.path.join(snap, BUCKET_MANIFEST)
+    buckets = json.load(open(manifest)) if os.path.exists(manifest) else {}
+    out = {}
+    for n in names:
+        path = os.path.join(snap, n)
+        if n in buckets:
+            out[n] = _bucketed_table(spark, path, os.path.basename(snap), n, *buckets[n])
+        else:
+            out[n] = spark.read.parquet(path)
+    return out
 
 
 def upsert(existing: DataFrame, delta: DataFrame, key: str | list[str], order_col: str | None = None,

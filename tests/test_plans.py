@@ -38,3 +38,23 @@ def test_snapshot_scans_push_filters_and_prune_columns(spark, scratch):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(barcode,L000000000000\)", item_scan)
     scanned = re.search(r"FileScan parquet \[([^\]]*)\]", item_scan).group(1)
     assert "barcode" in scanned and "volume_record_statement" not in scanned and "item_callnumber" not in scanned
+
+
+def test_bucketed_snapshot_joins_without_shuffle(spark, scratch):
+    root = os.path.join(scratch, "bsnap")
+    os.makedirs(root)
+    pipeline.rebuild(spark, context.sources(spark, SF_SMALL), root, context.AS_OF, workers=2, buckets=4)
+    base = publish.read_snapshot(spark, root, ["item", "bib"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = marts.item_view({**context.base(spark, SF_SMALL), "item": base["item"], "bib": base["bib"]})
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows) == base["item"].count()
+    smj = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln and "bib_record_num" in ln]
+    assert smj and "Bucketed: true" in plan
+    # the item and bib scans feed the join directly: no exchange on the bib number
+    assert "hashpartitioning(bib_record_num" not in plan
