@@ -96,8 +96,11 @@ def incremental(spark: SparkSession, sources: dict[str, DataFrame], root: str, a
             tables[name] = publish.upsert(live[name], df, key, deleted_keys=gone)
         else:
             tables[name] = df
+    spec = publish.read_bucket_manifest(publish.current(root))   # keep the live layout
     build = publish.new_staging(root)
-    stats = _write_all(tables, build, workers)
+    stats = _write_all(tables, build, workers, spec)
+    if spec:
+        publish.write_bucket_manifest(build, spec)
     publish.publish(root, build)
     return {"build": build, "since": since, "stats": stats}
 

@@ -52,6 +52,14 @@ def write_bucket_manifest(build: str, spec: dict[str, tuple[str, int]]) -> None:
         json.dump({k: [c, n] for k, (c, n) in spec.items()}, fh)
 
 
+def read_bucket_manifest(build: str) -> dict[str, tuple[str, int]]:
+    path = os.path.join(build, BUCKET_MANIFEST)
+    if not os.path.exists(path):
+        return {}
+    with open(path) as fh:
+        return {k: (c, int(n)) for k, (c, n) in json.load(fh).items()}
+
+
 def _bucketed_table(spark: SparkSession, path: str, build_id: str, name: str, col: str, n: int) -> DataFrame:
     """Register an external table over bucketed files with their bucket spec and read it."""
     table = f"shelfwise_{build_id[:16]}_{name}"
@@ -103,8 +111,7 @@ def read_snapshot(spark: SparkSession, root: str, names) -> dict[str, DataFrame]
     snap = current(root)
     if snap is None:
         raise FileNotFoundError(f"no published snapshot under {root}")
-    manifest = os.path.join(snap, BUCKET_MANIFEST)
-    buckets = json.load(open(manifest)) if os.path.exists(manifest) else {}
+    buckets = read_bucket_manifest(snap)
     out = {}
     for n in names:
         path = os.path.join(snap, n)

@@ -48,7 +48,7 @@ def test_rebuild_then_incremental(spark, scratch):
     root = os.path.join(scratch, "snap")
     os.makedirs(root)
     tm = Telemetry(spark, os.path.join(scratch, "telemetry"))
-    out = pipeline.rebuild(spark, s, root, AS_OF, telemetry=tm, workers=2)
+    out = pipeline.rebuild(spark, s, root, AS_OF, telemetry=tm, workers=2, buckets=4)
     counts = {st["stage"]: st["rows"] for st in out["stats"]}
     assert counts["item"] == extract.item(s).count() and counts["bib"] > 0
     run, stage = tm.tables()
@@ -61,6 +61,7 @@ def test_rebuild_then_incremental(spark, scratch):
     assert after["item"].count() == counts["item"]        # same source: upsert is idempotent
     assert after["bib"].count() == counts["bib"]
     assert inc["since"].date() == wm
+    assert publish.read_bucket_manifest(publish.current(root))["item"] == ("bib_record_num", 4)
 
 
 def test_branch_locations_csv(spark, scratch):
