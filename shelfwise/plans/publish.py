@@ -145,9 +145,9 @@ def upsert(existing: DataFrame, delta: DataFrame, key: str | list[str], order_co
 def export_csv(df: DataFrame, path: str, columns: list[str], sep: str = "|", quote_all: bool = True) -> None:
     """Delimited text export of a column subset with a header row.
 
-    Spark quotes either all fields or only those that need it; the
-    "quote non-numerics only" mode of the source exporter is approximated by
-    ``quote_all`` (documented difference).
+    Spark's CSV writer quotes either all fields or only those that need it;
+    ``export_nonnumeric_quoted`` reproduces the source exporter's "quote every
+    non-numeric field" format exactly.
     """
     (encode_for_text(df.select(*columns)).write.mode("overwrite")
      .option("header", True).option("sep", sep).option("quoteAll", quote_all).csv(path))
@@ -179,3 +179,41 @@ def write_per_group(df: DataFrame, path: str, group_cols: list[str], fmt: str =
     bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt))
     (df.repartition(*[F.col(c) for c in group_cols], bucket).write.mode("overwrite")
      .partitionBy(*group_cols).format(fmt).save(path))
+
+
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def export_nonnumeric_quoted(df: DataFrame, path: str, columns: list[str], sep: str = "|") -> None:
+    """K06 exact: delimited export quoting every non-numeric field (header included).
+
+    Numbers are written bare; NULL is written as ``""``; text, dates and other
+    values are quoted with embedded quotes doubled; booleans read ``True`` /
+    ``False``.  Each row becomes one text value (built with built-in
+    expressions), written as a single unquoted column whose name is the header
+    line, so every output file starts with the header and no row passes
+    through the driver.  Lines end with ``\\n``.
+    """
+    fields = {f.name: f.dataType for f in df.schema.fields}
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    parts = []
+    for name in columns:
+        c, t = F.col(f"`{name}`"), fields[name]
+        if isinstance(t, _NUMERIC):
+            text = c.cast("string")
+        elif isinstance(t, T.BooleanType):
+            text = F.when(c, F.lit("True")).otherwise(F.lit("False"))
+        elif isinstance(t, (T.ArrayType, T.StructType, T.MapType)):
+            text = quoted(F.to_json(c))
+        elif isinstance(t, T.DateType):
+            text = quoted(F.date_format(c, "yyyy-MM-dd"))
+        else:
+            text = quoted(c.cast("string"))
+        parts.append(F.coalesce(text, F.lit('""')))
+    header = sep.join('"' + n.replace('"', '""') + '"' for n in columns)
+    (df.select(F.concat_ws(sep, *parts).alias(header)).write.mode("overwrite")
+     .option("header", True).option("sep", "\u0001").option("quote", "").option("escape", "")
+     .csv(path))

@@ -72,3 +72,24 @@ def test_write_per_group(spark, scratch):
     publish.write_per_group(df, path, ["branch"])
     assert sorted(d for d in os.listdir(path) if d.startswith("branch=")) == ["branch=A", "branch=B"]
     assert spark.read.json(os.path.join(path, "branch=A")).count() == 2
+
+
+def test_nonnumeric_quoted_export_matches_python_csv(spark, scratch):
+    import csv
+    import datetime as dt
+    import io
+    from decimal import Decimal
+
+    rows = [(12, None, 'a|"b', dt.date(2024, 1, 2), 1.5, True, Decimal("2.50")),
+            (None, "plain", None, None, None, False, None)]
+    schema = "n long, s string, t string, d date, f double, b boolean, m decimal(10,2)"
+    df = spark.createDataFrame(rows, schema)
+    path = os.path.join(scratch, "nn")
+    publish.export_nonnumeric_quoted(df.coalesce(1), path, df.columns)
+    got = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.endswith(".csv"))
+    buf = io.StringIO()
+    w = csv.writer(buf, delimiter="|", quotechar='"', quoting=csv.QUOTE_NONNUMERIC, lineterminator="\n")
+    w.writerow(df.columns)
+    for r in rows:
+        w.writerow(r)
+    assert got == buf.getvalue()
