@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe
+from shelfwise.llm import bpe, mixing, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,5 +26,46 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe}
-ORACLES: dict[str, str] = {}
+# ------------------------------------------------------------------ 6: mixing sources
+def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.plan(docs).select(
+        F.col("id").alias("doc_id"), "size", F.col("source_size").cast("long").alias("source_size"), "target",
+        (F.col("size") * F.col("copies")).alias("taken"))
+
+
+# ------------------------------------------------------------------ 9: URL filters
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP9_SQL = """
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT row_number() OVER () AS n, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut),
+rules(rule_host, rule_path, verdict) AS (VALUES """ + ", ".join(map(repr, URL_RULES)) + """),
+best AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM parts JOIN rules ON starts_with(path, rule_path) AND (host = rule_host OR ends_with(host, '.' || rule_host))
+  GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)"""
+
+
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op6_fair_queue_mix": op6_fair_queue_mix,
+    "op9_url_rules": op9_url_rules,
+}
+ORACLES: dict[str, str] = {"op9_url_rules": OP9_SQL}
