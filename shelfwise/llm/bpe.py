@@ -32,9 +32,11 @@ from pyspark.sql import types as T
 from shelfwise.llm.common import slices
 
 #: Pieces remembered in a task between blocks.
-MEMO_PIECES = 400_000
-#: Text bytes of one block.
+MEMO_PIECES = 250_000
+#: Text bytes whose new pieces are replayed together, text bytes split at once, and ids decoded at once.
 REPLAY_BYTES = 12 << 20
+SPLIT_BYTES = 1 << 20
+DECODE_IDS = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -151,7 +153,7 @@ class _Encoder:
     """Encodes arrays of texts, with the pieces of earlier blocks remembered."""
 
     def __init__(self, merges: Merges, pattern: str):
-        self.merges, self.first = merges, merges.byte_pairs()
+        self.merges, self.byte_pairs = merges, merges.byte_pairs()
         self.find = regex.compile(pattern).findall
         self.forget()
 
@@ -161,26 +163,30 @@ class _Encoder:
         self.ends = np.zeros(0, np.int64)
 
     def __call__(self, texts: pa.Array) -> pa.ListArray:
-        found = [self.find(t) if t else [] for t in texts.to_pylist()]
-        coded = pa.array(flat.from_iterable(found), pa.large_string()).dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        if len(self.place) + len(pieces) > MEMO_PIECES:
+        if len(self.place) > MEMO_PIECES:
             self.forget()
-        new = [p for p in pieces if p not in self.place]
+        codes, counts, new = [np.zeros(0, np.int32)], [0], []
+        for i, j in slices(texts, SPLIT_BYTES):
+            found = [self.find(t) if t else [] for t in texts.slice(i, j - i).to_pylist()]
+            coded = pa.array(flat.from_iterable(found), pa.large_string()).dictionary_encode()
+            pieces = coded.dictionary.to_pylist()
+            for p in pieces:
+                if p not in self.place:
+                    self.place[p] = len(self.place)
+                    new.append(p.encode())
+            at = np.fromiter((self.place[p] for p in pieces), np.int32, len(pieces))
+            codes.append(at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else at[:0])
+            counts += map(len, found)
         if new:
-            ids, ends = replay([p.encode() for p in new], self.merges, self.first)
-            self.place.update(zip(new, range(len(self.ends), len(self.ends) + len(new))))
+            ids, ends = replay(new, self.merges, self.byte_pairs)
             self.ends = np.concatenate([self.ends, ends + len(self.ids)])
             self.ids = np.concatenate([self.ids, ids])
-        at = np.fromiter((self.place[p] for p in pieces), np.int64, len(pieces))
-        known = pa.LargeListArray.from_arrays(np.concatenate([[0], self.ends]), pa.array(self.ids))
-        codes = at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
         starts = np.concatenate([[0], self.ends])
-        lengths = (starts[1:] - starts[:-1])[codes]
+        known = pa.LargeListArray.from_arrays(starts, pa.array(self.ids))
+        codes = np.concatenate(codes)
         gathered = known.take(pa.array(codes)).flatten()
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        texts_end = np.cumsum([0, *map(len, found)])
-        return pa.ListArray.from_arrays(pa.array(upto[texts_end], pa.int32()), gathered)
+        upto = np.concatenate([[0], np.cumsum(np.diff(starts)[codes])])
+        return pa.ListArray.from_arrays(pa.array(upto[np.cumsum(counts)], pa.int32()), gathered)
 
 
 def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
@@ -222,15 +228,21 @@ def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str =
                 for token, rank in ranks.value.items():
                     tokens[rank] = token
                 table = pa.array(tokens, pa.large_binary())
-            ids = batch.column(batch.schema.get_field_index(ids_col))
-            got = table.take(ids.flatten())
-            if got.null_count:
-                raise ValueError("an id is null or not in the vocabulary")
-            at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
-            byte_at = np.frombuffer(got.buffers()[1], np.int64)[got.offset:got.offset + len(got) + 1]
-            upto = byte_at[at] if len(byte_at) else np.zeros(len(at), np.int64)
-            decoded = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(np.ascontiguousarray(upto)), got.buffers()[2]])
-            cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, decoded.cast(pa.binary())], [*names, out_col])
+            lists = batch.column(batch.schema.get_field_index(ids_col))
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            i = 0
+            while i < len(batch):
+                j = max(i + 1, int(np.searchsorted(upto, upto[i] + DECODE_IDS, "right")) - 1)
+                part = batch.slice(i, j - i)
+                got = table.take(lists.slice(i, j - i).flatten())
+                if got.null_count:
+                    raise ValueError("an id is null or not in the vocabulary")
+                byte_at = np.frombuffer(got.buffers()[1], np.int64)[:len(got) + 1] if len(got) else np.zeros(1, np.int64)
+                ends = np.ascontiguousarray(byte_at[upto[i:j + 1] - upto[i]])
+                decoded = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends), got.buffers()[2]])
+                cols = [part.column(part.schema.get_field_index(c)) for c in names]
+                yield pa.RecordBatch.from_arrays([*cols, decoded.cast(pa.binary())], [*names, out_col])
+                i = j
 
     return df.mapInArrow(run, schema)
