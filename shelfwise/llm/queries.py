@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, mixing, urlfilter
+from shelfwise.llm import bpe, mixing, polytope, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+# ------------------------------------------------------------------ 7: embedding near-duplicates
+def op7_polytope_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.link(_table(spark, sf_dir, "embeddings"))
+
+
 # ------------------------------------------------------------------ 9: URL filters
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -66,6 +71,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op6_fair_queue_mix": op6_fair_queue_mix,
+    "op7_polytope_dedup": op7_polytope_dedup,
     "op9_url_rules": op9_url_rules,
 }
 ORACLES: dict[str, str] = {"op9_url_rules": OP9_SQL}
