@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, mixing, polytope, urlfilter
+from shelfwise.llm import bpe, mixing, polytope, topk, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,25 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ 2: exact top-k
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, x.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, x.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
 # ------------------------------------------------------------------ 6: mixing sources
 def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -70,8 +89,9 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_exact_topk": op2_exact_topk,
     "op6_fair_queue_mix": op6_fair_queue_mix,
     "op7_polytope_dedup": op7_polytope_dedup,
     "op9_url_rules": op9_url_rules,
 }
-ORACLES: dict[str, str] = {"op9_url_rules": OP9_SQL}
+ORACLES: dict[str, str] = {"op2_exact_topk": OP2_SQL, "op9_url_rules": OP9_SQL}
