@@ -32,9 +32,9 @@ from pyspark.sql import types as T
 from shelfwise.llm.common import slices
 
 #: Pieces remembered in a task between blocks.
-MEMO_PIECES = 250_000
+MEMO_PIECES = 150_000
 #: Text bytes whose new pieces are replayed together, text bytes split at once, and ids decoded at once.
-REPLAY_BYTES = 12 << 20
+REPLAY_BYTES = 4 << 20
 SPLIT_BYTES = 1 << 20
 DECODE_IDS = 1 << 20
 
@@ -49,7 +49,7 @@ class Merges:
     """Symbol pairs that a vocabulary joins, and the rank of what they become."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.shift = max(ranks.values()).bit_length()
         pairs: dict[int, int] = {}
         for token, rank in ranks.items():
@@ -58,15 +58,15 @@ class Merges:
                 if a is not None and b is not None:
                     pairs[a << self.shift | b] = rank
         self.keys = np.array(sorted(pairs), np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
 
-    def rank(self, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of what the pairs (a, b) become, -1 where nothing joins them."""
-        key = a << self.shift | b
+        key = a.astype(np.int64) << self.shift | b
         if not len(self.keys):
-            return np.full(len(key), -1, np.int64)
+            return np.full(len(key), -1, np.int32)
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.values[at], -1)
+        return np.where(self.keys[at] == key, self.values[at], np.int32(-1))
 
     def byte_pairs(self) -> np.ndarray:
         """``rank`` of all pairs of single bytes."""
@@ -107,15 +107,15 @@ def replay(pieces: list[bytes], merges: Merges, byte_pairs: np.ndarray) -> tuple
         return np.zeros(0, np.int32), ends
     last = np.zeros(n, bool)
     last[ends[ends > 0] - 1] = True
-    here = np.arange(n)
+    here = np.arange(n, dtype=np.int32)  # a block holds far less than 2^31 bytes
     sym = merges.byte_ids[data]
-    nxt = np.where(last, -1, here + 1)
-    prv = np.where(np.concatenate([[True], last[:-1]]), -1, here - 1)
-    rank = np.full(n, -1, np.int64)  # of the pair that begins at a position
+    nxt = np.where(last, np.int32(-1), here + np.int32(1))
+    prv = np.where(np.concatenate([[True], last[:-1]]), np.int32(-1), here - np.int32(1))
+    rank = np.full(n, -1, np.int32)  # of the pair that begins at a position
     rank[:-1] = np.where(last[:-1], -1, byte_pairs[data[:-1], data[1:]])
     alive = np.ones(n, bool)
     index = _Index()
-    some = np.flatnonzero(rank >= 0)
+    some = np.flatnonzero(rank >= 0).astype(np.int32)
     if len(some):
         index.add(rank[some], some)
     while index.todo:
