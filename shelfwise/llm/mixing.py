@@ -31,7 +31,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 42
 #: Rows that a range holds on average.
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 5_000
 
 
 def word_count(text: Column) -> Column:
