@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, mixing, polytope, topk, urlfilter
+from shelfwise.llm import bpe, linededup, mixing, polytope, topk, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,38 @@ def op7_polytope_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polytope.link(_table(spark, sf_dir, "embeddings"))
 
 
+# ------------------------------------------------------------------ 8: line dedup
+def op8_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def line_dedup_sql(table: str) -> str:
+    """CTEs that end in ``kept``: (doc_id, n_lines, n_dropped, text) of the documents of ``table``."""
+    space = " || ".join(f"chr({c})" for c in (0x20, *range(0x09, 0x0E)))
+    return f"""lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nth
+  FROM {table}),
+keyed AS (
+  SELECT *, translate(trim(line, {space}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+losing AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND doc_id <> keeper) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (keeper IS NULL OR doc_id = keeper), '') AS text
+  FROM keyed LEFT JOIN losing USING (key) GROUP BY doc_id)"""
+
+
+OP8_SQL = f"""
+WITH {line_dedup_sql('documents')}
+SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept"""
+
+
 # ------------------------------------------------------------------ 9: URL filters
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -92,6 +124,11 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op6_fair_queue_mix": op6_fair_queue_mix,
     "op7_polytope_dedup": op7_polytope_dedup,
+    "op8_bloom_line_dedup": op8_bloom_line_dedup,
     "op9_url_rules": op9_url_rules,
 }
-ORACLES: dict[str, str] = {"op2_exact_topk": OP2_SQL, "op9_url_rules": OP9_SQL}
+ORACLES: dict[str, str] = {
+    "op2_exact_topk": OP2_SQL,
+    "op8_bloom_line_dedup": OP8_SQL,
+    "op9_url_rules": OP9_SQL,
+}
