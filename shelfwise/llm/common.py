@@ -165,3 +165,37 @@ def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     edges = np.array([((b << 64) + buckets - 1) // buckets for b in range(1, buckets)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges, "left"), [len(keys)]]).astype(np.int64)
 
+
+
+# ------------------------------------------------------------------ whole groups of a sorted partition
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole groups, in order, of a partition sorted by ``keys`` (integers without nulls)."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+        same = np.all([c == c[-1] for c in columns], axis=0)
+        cut = int(np.argmax(same))
+        if cut == 0 and rest:
+            last = [rest[-1].column(rest[-1].schema.get_field_index(k))[-1].as_py() for k in keys]
+            if [c[0] for c in columns] != last:
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(batch)
+            continue
+        if cut:
+            yield pa.Table.from_batches([*rest, batch.slice(0, cut)])
+        rest = [batch.slice(cut)]
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the groups of a sorted table begin, and its length."""
+    new = np.zeros(len(table), bool)
+    new[0] = True
+    for k in keys:
+        c = table.column(k).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return np.append(np.flatnonzero(new), len(table))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, linededup, mixing, polytope, topk, urlfilter
+from shelfwise.llm import bpe, linededup, mixing, ngramjoin, polytope, topk, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +119,11 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)"""
 
 
+# ------------------------------------------------------------------ 10: n-gram Jaccard join
+def op10_ngram_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.classes(_table(spark, sf_dir, "documents"), size=3, similarity=(9, 10))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_topk": op2_exact_topk,
@@ -126,6 +131,7 @@ QUERIES = {
     "op7_polytope_dedup": op7_polytope_dedup,
     "op8_bloom_line_dedup": op8_bloom_line_dedup,
     "op9_url_rules": op9_url_rules,
+    "op10_ngram_classes": op10_ngram_classes,
 }
 ORACLES: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
