@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, linededup, mixing, ngramjoin, polytope, topk, urlfilter
+from shelfwise.llm import bpe, linededup, lmscore, mixing, ngramjoin, polytope, topk, urlfilter
+from shelfwise.llm.common import crc_fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,15 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+# ------------------------------------------------------------------ 5: language-model scores
+def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id")) == 1
+    scores = lmscore.score(docs, ~held_out)
+    return scores.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 # ------------------------------------------------------------------ 6: mixing sources
 def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -127,6 +137,7 @@ def op10_ngram_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_topk": op2_exact_topk,
+    "op5_backoff_lm": op5_backoff_lm,
     "op6_fair_queue_mix": op6_fair_queue_mix,
     "op7_polytope_dedup": op7_polytope_dedup,
     "op8_bloom_line_dedup": op8_bloom_line_dedup,
