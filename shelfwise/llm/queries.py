@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, linededup, lmscore, mixing, ngramjoin, polytope, topk, urlfilter
+from shelfwise.llm import bpe, linededup, lmscore, mixing, ngramjoin, polytope, topk, toxicity, urlfilter
 from shelfwise.llm.common import crc_fold
 
 
@@ -46,6 +46,14 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+# ------------------------------------------------------------------ 4: toxicity
+def op4_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = crc_fold(F.col("doc_id"))
+    scored = toxicity.score(docs, _table(spark, sf_dir, "labels"), fold != 0)
+    return scored.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 # ------------------------------------------------------------------ 5: language-model scores
 def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -137,6 +145,7 @@ def op10_ngram_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_topk": op2_exact_topk,
+    "op4_toxic_neighbours": op4_toxic_neighbours,
     "op5_backoff_lm": op5_backoff_lm,
     "op6_fair_queue_mix": op6_fair_queue_mix,
     "op7_polytope_dedup": op7_polytope_dedup,
