@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (Words, bucket_bounds, chain, checkpointed, fingerprints, group_starts, mix,
@@ -396,3 +396,17 @@ def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIM
     return every.join(whole, every["id"] == whole["of"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
+
+
+def representatives(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIMILARITY, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row of each class, that of its least doc_id, with all columns; rows with a null id all stay.
+
+    Of rows that repeat the id, the one whose text has the least hash stays.
+    """
+    kept = (classes(docs, size, similarity, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
+            .select(F.col(id_col).alias("_kept_id")).distinct())
+    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(text_col))))
+    one = (docs.join(kept, F.col(id_col).cast("long") == F.col("_kept_id")).withColumn("_kept_nth", nth)
+           .filter("_kept_nth = 1").select(*[f"`{c}`" for c in docs.columns]))
+    return one.union(docs.filter(F.col(id_col).isNull()))

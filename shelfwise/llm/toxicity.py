@@ -37,12 +37,12 @@ from shelfwise.llm.common import Words, slices, written
 #: Labelled rows of each label that are learned from at most.
 EXAMPLES = 4096
 #: Terms kept at most, and the least chi-square that a term needs.
-TERMS, CHI_SQUARE = 512, 18.0
+TERMS, CHI_SQUARE = 512, 20.0
 STEMS = (4, 5, 6)
 K = 15
 BLOCK = 64
-#: Distance at which a neighbour's vote is half that of an equal one.
-HALF_DISTANCE = 0.25
+#: A neighbour at distance d votes with weight (1 - d) ** NEARNESS; the prior has a weight of its own.
+NEARNESS, PRIOR_WEIGHT = 2.0, 0.5
 SEED = 11
 #: Text bytes of which the words are held at once.
 AT_ONCE = 8 << 20
@@ -108,10 +108,10 @@ def _telling_terms(sample: DataFrame, counts: dict[int, int]) -> list[str]:
     return [r["term"] for r in found.orderBy(F.col("chi").desc(), "term").limit(TERMS).select("term").collect()]
 
 
-def _term_counts(docs: DataFrame, terms: list[str], carry: list[str]) -> DataFrame:
+def _term_counts(docs: DataFrame, terms: list[str], carry: list[str], text_col: str = "text") -> DataFrame:
     """(*carry, terms, counts): the chosen terms that each text holds, and how often."""
     place = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
-    docs = docs.select(*carry, "text")
+    docs = docs.select(*carry, F.col(text_col).cast("string").alias("_term_text"))
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField("terms", T.ArrayType(T.IntegerType())),
                            T.StructField("counts", T.ArrayType(T.IntegerType()))])
 
@@ -216,8 +216,9 @@ class Model(NamedTuple):
     curve: tuple[float, float]
 
     def vote(self, near: Neighbours) -> float:
-        weight = HALF_DISTANCE / (HALF_DISTANCE + 1 - near.cosines) * self.stands_for[near.places]
-        return float(((weight * self.toxic[near.places]).sum() + 0.5 * self.prior) / (weight.sum() + 0.5))
+        weight = near.cosines ** NEARNESS * self.stands_for[near.places]
+        toxic = (weight * self.toxic[near.places]).sum()
+        return float((toxic + PRIOR_WEIGHT * self.prior) / (weight.sum() + PRIOR_WEIGHT))
 
     def score(self, near: Neighbours) -> float:
         return _sigmoid(self.curve[0] + self.curve[1] * _logit(self.vote(near))) if len(near.places) else self.alone
@@ -292,8 +293,7 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
     terms = _telling_terms(sample, counts)
 
     kept = [id_col, *(c for c in carry if c != id_col)]
-    bags = written(_term_counts(docs.select(*kept, F.col(text_col).cast("string").alias("text")) if text_col not in kept
-                                else docs.select(*kept), terms, kept), "toxicity-bags")
+    bags = written(_term_counts(docs, terms, kept, text_col), "toxicity-bags")
     frequency = {r["term"]: r["count"] for r in bags.select(F.explode("terms").alias("term")).groupBy("term").count().collect()}
     learned = _term_counts(sample, terms, ["id", "toxic"]).collect()  # at most 2 * examples rows
     model = spark.sparkContext.broadcast(_model(learned, counts, frequency, bags.count(), len(terms), k))
@@ -332,3 +332,13 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
     return to_arrow_type(kind)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, is_training, id_col: str = "doc_id", text_col: str = "text",
+                  **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted to be toxic."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # no column of ``docs`` meets one of the scores'
+    plain = docs.toDF(*names)
+    scored = score(plain, labels, is_training, id_col=names[docs.columns.index(id_col)],
+                   text_col=names[docs.columns.index(text_col)], carry=names, **options)
+    return scored.filter("predicted = 0").select(*names).toDF(*docs.columns)
