@@ -9,14 +9,18 @@ similarity are verified on the sets.  Pairs that links found before already conn
 Points of unrelated texts of one length lie close together, so one tree over the corpus would compare
 nearly everything with everything.  Trees are therefore built per candidate block, and blocks lose no
 link: two sets of similarity s differ in at most D = (1-s)/(1+s) (|A|+|B|) shingles, so if both are
-dealt by hash into D+1 parts, some part is equal in both.  Documents that share a part (same place, same
-content) are joined, transitively, into blocks.  A part of a document holds some ten shingles, so parts
-of a common passage are rarely alone in one, and blocks stay near the true classes.
+dealt by hash into parts, of any D+1 parts of one set some part is equal in the other.  Each set gives
+its D+1 fullest parts (with ties), where rare shingles fill a part more than common ones: of the two
+sets, take the one whose last part is fuller; its equal part is full enough to be given by both.
+Documents that share a part (same place, same content) are joined, transitively, into blocks; as parts
+of rare shingles are given first, a common passage rarely ties documents together.  Which shingles are
+common is read off a sketch of fixed size, counted over all documents; it orders parts and nothing else.
 
 Parts travel as packed arrays, once per part and block of documents, so a part that a third of all
 documents share is a few rows.  Equal sets are one set throughout.  A block of more than ``TILE`` sets is
-cut into tiles: tiles first, then one set of each class found in each tile, then the pairs of tiles that
-still hold different classes.  Nothing is capped and no list of all pairs is made.
+cut into tiles of sets of about one size: tiles first, then one set of each class found in each tile,
+then the pairs of tiles of matching sizes that still hold different classes.  Nothing is capped and no
+list of all pairs is made.
 
 Sets hold 64-bit fingerprints of shingles.  Defined results: a text without words, or null, is an empty
 set, linked with nothing; a text of fewer words than a shingle is one shingle.  Ids are integers; rows of
@@ -36,21 +40,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (Words, bucket_bounds, chain, checkpointed, fingerprints, group_starts, mix,
-                                  pack_sorted, planes, slices, unpack_sorted, unplanes, whole_groups)
+                                  pack_sorted, planes, slices, squeeze, unpack_sorted, unplanes, unsqueeze,
+                                  whole_groups)
 from shelfwise.llm.components import connected
 
 SIZE, SIMILARITY = 5, (4, 5)
-GROUPS = 32
+#: Groups of a count vector: one for so many shingles of the largest set, between these bounds.
+PER_GROUP, GROUPS = 16, (32, 512)
+#: Cells of the sketch of common shingles, and how far above the mean a common one's cell lies.
+CELLS, COMMON = 1 << 22, 4
 #: Children of a node of the tree.
 FANOUT = 16
 #: Sets that one tree holds.
 TILE = 1024
-#: Ratio of the set sizes that share one number of parts.
-STEP = 1.5
+#: Ratio of the set sizes that share one number of parts, and parts made for each that may be needed.
+STEP, SPARE = 1.2, 1.3
 #: Parts that a reduce task merges, about.
 PARTS_PER_BUCKET = 500_000
+#: Pieces in which sketches are merged.
+SEGMENTS = 64
 #: Pairs of nodes that are expanded at once.
-PAIRS_AT_ONCE = 50_000
+PAIRS_AT_ONCE = 20_000
 
 
 # ------------------------------------------------------------------ sets of shingles
@@ -99,8 +109,11 @@ def size_levels(largest: int) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
-def part_keys(sets: list[np.ndarray], similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(key, place of the set) of every part; sets with the similarity share a key at least."""
+def part_keys(sets: list[np.ndarray], similarity: tuple[int, int], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, place of the set) of the parts that each set gives; sets with the similarity share a key.
+
+    ``common``: cells of the sketch that hold a common shingle.
+    """
     p, q = similarity
     sizes = np.array([len(s) for s in sets], np.int64)
     levels = size_levels(int(sizes.max(initial=1)) * q // p + 1)
@@ -112,7 +125,7 @@ def part_keys(sets: list[np.ndarray], similarity: tuple[int, int]) -> tuple[np.n
             continue
         level = low[some] + k
         differ = 2 * levels[level] * (q - p) // (q + p)
-        parts = differ + 1
+        parts = np.ceil((differ + 1) * SPARE).astype(np.int64)
         base = np.cumsum(parts) - parts
         of = np.repeat(np.arange(len(some)), sizes[some])
         h = np.concatenate([sets[i] for i in some.tolist()])
@@ -123,11 +136,13 @@ def part_keys(sets: list[np.ndarray], similarity: tuple[int, int]) -> tuple[np.n
         half = np.uint64(32)
         left = np.bincount(cell, weights=(content >> half).astype(float), minlength=n).astype(np.uint64)
         right = np.bincount(cell, weights=(content & np.uint64(0xFFFFFFFF)).astype(float), minlength=n).astype(np.uint64)
-        held = np.bincount(cell, minlength=n) > 0
+        fills = np.where(common[(h % np.uint64(len(common))).astype(np.int64)], 1.0, 256.0)
+        held = np.bincount(cell, weights=fills, minlength=n)
         owner = np.repeat(np.arange(len(some)), parts)
         number = np.arange(n) - base[owner]
-        # The equal part might be an empty one only if differences can touch all that are not.
-        emit = held | (np.bincount(owner, weights=held, minlength=len(some)) <= differ)[owner]
+        # The fullest parts, one more than can differ, and those as full as the last of them.
+        by_size = held[np.lexsort((-held, owner))]
+        emit = held >= by_size[base + differ][owner]
         key = chain(mix(left * np.uint64(0x9E3779B97F4A7C15) + right), mix((level[owner] << 32 | number).astype(np.uint64)))
         keys.append(key[emit])
         places.append(some[owner[emit]])
@@ -154,15 +169,36 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-def _candidate_edges(docs: DataFrame, size: int, similarity, buckets: int) -> DataFrame:
+def _common_cells(sketches: DataFrame) -> np.ndarray:
+    """Cells that a common shingle has raised, from the tasks' sketches (segment, cells)."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for segment, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = unsqueeze(cells, np.uint32).astype(np.uint64)
+                sums[segment] = sums[segment] + part if segment in sums else part
+        for segment, cells in sums.items():
+            yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "cells": [squeeze(cells)]})
+
+    total = np.zeros(CELLS, np.uint64)
+    width = CELLS // SEGMENTS
+    for row in sketches.repartition(SEGMENTS, "segment").mapInArrow(merge, "segment int, cells binary").toLocalIterator():
+        total[row["segment"] * width:(row["segment"] + 1) * width] = unsqueeze(row["cells"], np.uint64)
+    return total > COMMON * total.mean() + COMMON
+
+
+def _candidate_edges(docs: DataFrame, size: int, similarity, buckets: int, common: np.ndarray) -> DataFrame:
     """(a, b): each document that shares a part with others, and the least of them."""
+    marked = docs.sparkSession.sparkContext.broadcast(np.packbits(common))  # CELLS bits
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = TaskContext.get().partitionId()
+        common = np.unpackbits(marked.value).astype(bool)
         for batch in batches:
             all_ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for i, j in slices(batch.column(1)):
-                keys, places = part_keys(shingle_sets(batch.column(1).slice(i, j - i), size), similarity)
+                keys, places = part_keys(shingle_sets(batch.column(1).slice(i, j - i), size), similarity, common)
                 keys, ids, a, b = _stars(keys, all_ids[i:j][places])
                 at = bucket_bounds(keys, buckets)
                 turn += 1
@@ -195,7 +231,9 @@ class CountTree:
     Points are ordered by median splits on the widest coordinate; ``FANOUT`` neighbours make a node.
     """
 
-    def __init__(self, sets: list[np.ndarray], groups: int = GROUPS):
+    def __init__(self, sets: list[np.ndarray]):
+        most = max(map(len, sets), default=0)
+        groups = int(np.clip(1 << (most // PER_GROUP).bit_length(), *GROUPS))
         points = np.zeros((len(sets), groups), np.int32)
         for i, s in enumerate(sets):
             points[i] = np.bincount((s % np.uint64(groups)).astype(np.int64), minlength=groups)
@@ -313,14 +351,24 @@ def _link_tiles(tiled: DataFrame, size: int, similarity) -> DataFrame:
 
 
 def _links_in_blocks(members: DataFrame, size: int, similarity) -> DataFrame:
-    """Links (a, b) that connect what is linked in the blocks of ``members`` (block, rep, text)."""
-    sizes = members.groupBy("block").count()
-    tiled = (members.join(sizes, "block").withColumn("tiles", F.ceil(F.col("count") / TILE)).drop("count")
-             .withColumn("low", F.pmod(F.xxhash64("rep"), "tiles")).withColumn("high", F.col("low"))
-             .withColumn("class", F.col("rep")))
-    tiled = checkpointed(tiled)
+    """Links (a, b) that connect what is linked in the blocks of ``members`` (block, rep, n, text)."""
+    p, q = similarity
+    # Sets that link are of one size class or of neighbouring ones.
+    members = members.withColumn("z", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(q / p)))).withColumn("class", F.col("rep"))
+
+    def tile(rows: DataFrame) -> DataFrame:
+        """``rows`` with the tile of each: the whole block, or a part of one of its size classes."""
+        count = rows.groupBy("block", "z").agg(F.count("*").alias("of_z"))
+        whole = Window.partitionBy("block")
+        count = count.withColumn("of_block", F.sum("of_z").over(whole))
+        sub = F.pmod(F.xxhash64("rep"), F.ceil(F.col("of_z") / TILE))
+        rows = rows.join(count, ["block", "z"])
+        rows = rows.withColumn("low", F.when(F.col("of_block") <= TILE, -1).otherwise((F.col("z") + 1) * (1 << 32) + sub))
+        return rows.withColumn("high", F.col("low")).drop("of_z", "of_block")
+
+    tiled = checkpointed(tile(members))
     found = checkpointed(_link_tiles(tiled, size, similarity))
-    large = tiled.filter("tiles > 1")
+    large = tiled.filter("low >= 0")
     if large.isEmpty():
         return found
 
@@ -328,26 +376,29 @@ def _links_in_blocks(members: DataFrame, size: int, similarity) -> DataFrame:
         roots = connected(edges).withColumnRenamed("node", "rep")
         return large.drop("class").join(roots, "rep", "left").withColumn("class", F.coalesce("root", "rep")).drop("root")
 
-    # One set of each class in each tile stands for it; they are few where tiles hold few classes.
+    # One set of each class found in a tile stands for it, where that joins two or more.
     now = classed(found)
-    heads = now.groupBy("block", "low", "class").agg(F.min_by(F.struct("rep", "text"), "rep").alias("one"))
-    heads = heads.select("block", "class", "one.*").join(heads.groupBy("block").count(), "block")
-    heads = (heads.withColumn("low", F.pmod(F.xxhash64("class"), F.ceil(F.col("count") / TILE)))
-             .withColumn("high", F.col("low")))
+    heads = now.groupBy("block", "low", "class").agg(F.count("*").alias("n_in"), F.min_by(F.struct("rep", "n", "z", "text"), "rep").alias("one"))
+    heads = tile(heads.filter("n_in > 1").select("block", "class", "one.*"))
     found = checkpointed(found.union(_link_tiles(heads, size, similarity)))
 
-    # Tiles anew, each of one class or of leftovers; pairs of tiles of one and the same class are done.
-    now = checkpointed(classed(found))
-    count = now.groupBy("block", "class").agg(F.count("*").alias("n")).withColumn(
-        "own", F.when(F.col("n") >= TILE, F.col("class")))
-    now = now.drop("low", "high", "tiles").join(count, ["block", "class"])
-    now = now.withColumn("tile", F.when(F.col("own").isNotNull(), F.xxhash64("own", F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / TILE)))))
-    rest = now.filter("own is null").groupBy("block").agg(F.count("*").alias("left"))
-    now = now.join(rest, "block", "left").withColumn("tile", F.coalesce("tile", F.pmod(F.xxhash64("rep"), F.ceil(F.col("left") / TILE))))
-    tiles = now.select("block", "tile", "own").distinct()
-    other = tiles.select("block", F.col("tile").alias("tile_2"), F.col("own").alias("own_2"))
-    pairs = tiles.join(other, "block").filter("tile <= tile_2 and not (own <=> own_2 and own is not null)")
-    pairs = pairs.select("block", F.col("tile").alias("low"), F.col("tile_2").alias("high"))
+    # Tiles anew, of one large class each or of leftovers; pairs of tiles of one and the same class are done.
+    now = classed(found)
+    count = now.groupBy("block", "z", "class").agg(F.count("*").alias("of_class"))
+    now = now.drop("low", "high").join(count, ["block", "z", "class"]).withColumn(
+        "own", F.when(F.col("of_class") >= TILE, F.col("class")))
+    left = now.groupBy("block", "z").agg(F.count_if(F.col("own").isNull()).alias("left"))
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce(F.when(F.col("own").isNotNull(), F.col("of_class")), "left") / TILE))
+    now = checkpointed(now.join(left, ["block", "z"]).withColumn("tile", F.xxhash64("z", F.coalesce("own", F.lit(-1)), part))
+                       .select("block", "z", "own", "tile", "rep", "class", "text"))
+    tiles = now.select("block", "z", "own", "tile").distinct()
+    near = tiles.withColumn("z", F.explode(F.array("z", F.col("z") + 1))).toDF("block", "z", "own_2", "tile_2")
+    # A tile meets those of its own size class once, and all of the class below.
+    first = tiles.withColumnRenamed("tile", "t").withColumnRenamed("own", "o")
+    pairs = (first.join(near.join(tiles.select("block", F.col("z").alias("z_2"), F.col("tile").alias("tile_2")), ["block", "tile_2"]),
+                        ["block", "z"])
+             .filter("(z = z_2 and t <= tile_2 or z <> z_2) and (o is null or own_2 is null or o <> own_2)"))
+    pairs = checkpointed(pairs.select("block", F.col("t").alias("low"), F.col("tile_2").alias("high")))
     ends = pairs.select("block", F.col("low").alias("tile"), "low", "high").union(
         pairs.filter("low <> high").select("block", "high", "low", "high"))
     again = now.select("block", "tile", "rep", "class", "text").join(ends, ["block", "tile"])
@@ -360,30 +411,44 @@ def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIM
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, np.uint32)
+        nothing = lambda n, t: pa.nulls(n, t)
+        names = ["id", "n", "set_a", "set_b", "segment", "cells"]
         for batch in batches:
             for i, j in slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(i, j - i), size)
                 a, b = set_identity(sets)
+                cells += np.bincount((np.concatenate(sets) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(b),
+                     nothing(j - i, pa.int32()), nothing(j - i, pa.binary())], names)
+        width = CELLS // SEGMENTS
+        for k in range(SEGMENTS):
+            if cells[k * width:(k + 1) * width].any():
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(b)],
-                    ["id", "n", "set_a", "set_b"])
+                    [*(nothing(1, pa.int64()) for _ in range(4)), pa.array([k], pa.int32()),
+                     pa.array([squeeze(cells[k * width:(k + 1) * width])], pa.binary())], names)
 
-    every = checkpointed(texts.mapInArrow(describe, "id long, n long, set_a long, set_b long"))
+    described = checkpointed(texts.mapInArrow(
+        describe, "id long, n long, set_a long, set_b long, segment int, cells binary"))
+    every = described.filter("segment is null").drop("segment", "cells")
+    common = _common_cells(described.filter("segment is not null").select("segment", "cells"))
     some = every.filter("id is not null and n > 0")
     equal = some.groupBy("n", "set_a", "set_b").agg(F.min("id").alias("rep"))
     known = checkpointed(some.join(equal, ["n", "set_a", "set_b"]).select("id", "rep").distinct())
 
     total = every.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     p, q = similarity
-    per_shingle = 2 * STEP ** 2 * (q - p) / (q + p)
+    per_shingle = 4 * STEP * (q - p) / (q + p)
     buckets = max(4, int(total * per_shingle) // PARTS_PER_BUCKET)
-    edges = _candidate_edges(texts.filter("id is not null"), size, similarity, buckets)
+    edges = _candidate_edges(texts.filter("id is not null"), size, similarity, buckets, common)
     rep_of = known.select(F.col("id").alias("a"), F.col("rep").alias("rep_a"))
     edges = (edges.join(rep_of, "a").join(rep_of.toDF("b", "rep_b"), "b")
              .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).filter("a <> b").distinct())
     blocks = checkpointed(connected(edges))
     member = blocks.union(blocks.select("root", "root").distinct()).select(F.col("node").alias("rep"), F.col("root").alias("block"))
-    members = texts.join(member, texts["id"] == member["rep"]).select("block", "rep", "text")
+    member = member.join(some.select(F.col("id").alias("rep"), "n").groupBy("rep").agg(F.max("n").alias("n")), "rep")
+    members = texts.join(member, texts["id"] == member["rep"]).select("block", "rep", "n", "text")
     found = _links_in_blocks(members, size, similarity)
 
     # An id of several rows ties the sets of all of them.
