@@ -151,14 +151,17 @@ FROM bib_record_item_record_link l
 JOIN record_metadata r ON r.id = l.bib_record_id
 JOIN record_metadata ir ON ir.id = l.item_record_id"""),
     ("x_volume_record_item_record_link", """
-SELECT l.id, r.id AS volume_record_id, r.record_num AS volume_record_num, ri.id AS item_record_id,
-  ri.record_num AS item_record_num, l.items_display_order,
-  (SELECT string_agg(v.field_content, ', ' ORDER BY v.occ_num, v.id) FROM varfield v
-    WHERE v.record_id = r.id AND v.varfield_type_code = 'v') AS volume_statement
-FROM record_metadata r
-JOIN volume_record_item_record_link l ON l.volume_record_id = r.id
-LEFT JOIN record_metadata ri ON ri.id = l.item_record_id
-WHERE r.record_type_code = 'j' AND r.campus_code = ''"""),
+WITH statements AS (
+  SELECT record_id, string_agg(field_content, ', ' ORDER BY occ_num, id) AS txt
+  FROM varfield WHERE varfield_type_code = 'v' GROUP BY record_id),
+volumes AS (
+  SELECT m.id, m.record_num, st.txt FROM record_metadata m LEFT JOIN statements st ON st.record_id = m.id
+  WHERE m.record_type_code = 'j' AND m.campus_code = '')
+SELECT l.id, l.volume_record_id, volumes.record_num AS volume_record_num, items.id AS item_record_id,
+  items.record_num AS item_record_num, l.items_display_order, volumes.txt AS volume_statement
+FROM volume_record_item_record_link l
+JOIN volumes ON volumes.id = l.volume_record_id
+LEFT JOIN record_metadata items ON items.id = l.item_record_id"""),
     ("x_location", "SELECT id, code, branch_code_num, parent_location_code, is_public, is_requestable FROM location"),
     ("x_location_name", "SELECT location_id, name FROM location_name"),
     ("x_branch_name", "SELECT branch_id, name FROM branch_name"),
@@ -179,22 +182,29 @@ FROM bib_level_property p LEFT JOIN bib_level_property_name n ON n.bib_level_pro
 SELECT p.code AS material_property_code, p.display_order, p.is_public, n.name AS material_property_name
 FROM material_property p LEFT JOIN material_property_name n ON n.material_property_id = p.id"""),
     ("x_hold", f"""
-WITH item_first_bib AS (
-  SELECT lk.item_record_id AS rid, min(b.record_num) AS bnum FROM bib_record_item_record_link lk
-  JOIN record_metadata b ON b.id = lk.bib_record_id GROUP BY lk.item_record_id),
-vol_first_bib AS (
-  SELECT lk.volume_record_id AS rid, min(b.record_num) AS bnum FROM bib_record_volume_record_link lk
-  JOIN record_metadata b ON b.id = lk.bib_record_id GROUP BY lk.volume_record_id),
+WITH targets AS (
+  -- What a hold can be placed on, with the (first) bib it belongs to.
+  SELECT id AS record_id, record_num AS bib_record_num,
+         CAST(NULL AS BIGINT) AS item_record_num, CAST(NULL AS BIGINT) AS volume_record_num
+  FROM record_metadata WHERE record_type_code = 'b'
+  UNION ALL
+  SELECT i.id, min(b.record_num), any_value(i.record_num), NULL
+  FROM record_metadata i
+  LEFT JOIN bib_record_item_record_link l ON l.item_record_id = i.id
+  LEFT JOIN record_metadata b ON b.id = l.bib_record_id
+  WHERE i.record_type_code = 'i' GROUP BY i.id
+  UNION ALL
+  SELECT v.id, min(b.record_num), NULL, any_value(v.record_num)
+  FROM record_metadata v
+  LEFT JOIN bib_record_volume_record_link l ON l.volume_record_id = v.id
+  LEFT JOIN record_metadata b ON b.id = l.bib_record_id
+  WHERE v.record_type_code = 'j' GROUP BY v.id),
 status_text(code, txt) AS (VALUES ('0', 'on hold'), ('b', 'bib hold ready for pickup'),
   ('j', 'volume hold ready for pickup'), ('i', 'item hold ready for pickup'),
   ('t', 'in transit to pickup location'))
 SELECT hq.id AS hold_id,
-  coalesce(CASE rec.record_type_code WHEN 'b' THEN rec.record_num END,
-           CASE rec.record_type_code WHEN 'i' THEN ifb.bnum END,
-           CASE rec.record_type_code WHEN 'j' THEN vfb.bnum END) AS bib_record_num,
-  rec.campus_code, rec.record_type_code AS record_type_on_hold,
-  if(rec.record_type_code = 'i', rec.record_num, NULL) AS item_record_num,
-  if(rec.record_type_code = 'j', rec.record_num, NULL) AS volume_record_num,
+  tg.bib_record_num, rec.campus_code, rec.record_type_code AS record_type_on_hold,
+  tg.item_record_num, tg.volume_record_num,
   {jd('hq.placed_gmt')} AS placed_julianday, hq.is_frozen, hq.delay_days, hq.location_code,
   {jd('hq.expires_gmt')} AS expires_julianday, coalesce(st.txt, hq.status) AS hold_status,
   hq.is_ir, hq.is_ill, hq.pickup_location_code, hq.ir_pickup_location_code, hq.ir_print_name,
@@ -205,8 +215,7 @@ SELECT hq.id AS hold_id,
 FROM hold hq
 JOIN record_metadata rec ON rec.id = hq.record_id
 LEFT JOIN patron_record pat ON pat.record_id = hq.patron_record_id
-LEFT JOIN item_first_bib ifb ON ifb.rid = hq.record_id
-LEFT JOIN vol_first_bib vfb ON vfb.rid = hq.record_id
+LEFT JOIN targets tg ON tg.record_id = hq.record_id
 LEFT JOIN status_text st ON st.code = hq.status"""),
     ("x_circ_agg", f"""
 WITH places AS (
@@ -255,6 +264,3 @@ LEFT JOIN nums nb ON nb.id = tr.bib_record_id
 LEFT JOIN nums nv ON nv.id = tr.volume_record_id
 WHERE tr.op_code IN ('o', 'i') AND tr.transaction_gmt > TIMESTAMP '{AS_OF}' - INTERVAL 180 DAY"""),
 ]
-
-# Base tables as the marts see them (x_<name> -> <name> inside view oracles).
-BASE_ALIASES = [name[2:] for name, _ in BASE_CTES]

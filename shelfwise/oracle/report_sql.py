@@ -138,3 +138,63 @@ LEFT JOIN x_location l ON l.code = m.transit_to
 LEFT JOIN x_branch br ON br.code_num = l.branch_code_num LEFT JOIN x_branch_name bn ON bn.branch_id = br.id
 WHERE i.item_status_code = 't' AND m.has_in_transit_too_long""",
 }
+
+
+# First ISBN of each bib: fields with tag 020 and type i, in display order.
+_FIRST_ISBN = """first_isbn AS (
+  SELECT record_id AS bib_record_id, left(arg_min(hit, (occ_num, id)), 30) AS isbn
+  FROM (SELECT record_id, occ_num, id,
+               regexp_extract(field_content, '(?i)([0-9]{12,13}x?|[0-9]{9,10}x?)', 1) AS hit
+        FROM varfield WHERE marc_tag = '020' AND varfield_type_code = 'i')
+  WHERE hit <> '' GROUP BY record_id)"""
+
+REPORT_SQL["R01"] = f"""
+WITH {_FIRST_ISBN},
+phrases AS (
+  SELECT record_id AS bib_record_id,
+    string_agg(index_entry, ',' ORDER BY occurrence, id) FILTER (index_tag = 'o' AND varfield_type_code = 'o') AS control_numbers,
+    first(index_entry ORDER BY id) FILTER (index_tag = 'c' AND varfield_type_code = 'c') AS bib_level_callnumber,
+    string_agg(index_entry, ',' ORDER BY occurrence, id) FILTER (index_tag = 'd') AS indexed_subjects
+  FROM phrase_entry GROUP BY record_id),
+publishers AS (
+  SELECT record_id AS bib_record_id, first(content ORDER BY display_order, id) AS publisher
+  FROM subfield WHERE field_type_code = 'p' AND tag = 'b' GROUP BY record_id),
+bibs AS (
+  SELECT id AS bib_record_id, record_num AS bib_record_num, CAST(creation_date_gmt AS DATE) AS creation_date,
+    CAST(record_last_updated_gmt AS DATE) AS record_last_updated
+  FROM record_metadata WHERE record_type_code = 'b' AND campus_code = '' AND deletion_date_gmt IS NULL)
+SELECT bibs.*, control_numbers, isbn, best_author, best_author_norm, best_title, best_title_norm, publisher,
+  publish_year, bib_level_callnumber, indexed_subjects
+FROM bibs JOIN bib_record_property USING (bib_record_id)
+LEFT JOIN phrases USING (bib_record_id) LEFT JOIN first_isbn USING (bib_record_id)
+LEFT JOIN publishers USING (bib_record_id)"""
+
+REPORT_SQL["R02"] = f"""
+WITH {_FIRST_ISBN},
+loans AS (
+  SELECT c.item_record_id, CAST(c.checkout_gmt AS DATE) AS checkout_date, CAST(c.due_gmt AS DATE) AS due_date,
+    home.patron_branch_code
+  FROM checkout c LEFT JOIN (SELECT record_id, min(home_library_code) AS patron_branch_code
+                             FROM patron_record GROUP BY record_id) home ON home.record_id = c.patron_record_id),
+formats AS (
+  SELECT ip.code_num AS itype_code_num, min(n.name) AS item_format
+  FROM itype_property ip JOIN itype_property_name n ON n.itype_property_id = ip.id GROUP BY ip.code_num),
+titles AS (
+  SELECT l.item_record_id, l.bib_record_id, m.record_num AS bib_record_num, f.isbn
+  FROM bib_record_item_record_link l JOIN record_metadata m ON m.id = l.bib_record_id
+  LEFT JOIN first_isbn f ON f.bib_record_id = l.bib_record_id),
+items AS (
+  SELECT id AS item_record_id, record_num AS item_record_num, CAST(creation_date_gmt AS DATE) AS creation_date,
+    CAST(record_last_updated_gmt AS DATE) AS record_last_updated
+  FROM record_metadata WHERE record_type_code = 'i' AND campus_code = '' AND deletion_date_gmt IS NULL)
+SELECT items.*, titles.bib_record_id, titles.bib_record_num, p.barcode, i.agency_code_num, i.location_code,
+  i.checkout_statistic_group_code_num, i.checkin_statistics_group_code_num, loans.checkout_date, loans.due_date,
+  loans.patron_branch_code, CAST(i.last_checkout_gmt AS DATE) AS last_checkout_date,
+  CAST(i.last_checkin_gmt AS DATE) AS last_checkin_date, i.checkout_total, i.renewal_total, titles.isbn,
+  formats.item_format, i.item_status_code, CAST(i.price AS DECIMAL(30, 2)) AS price,
+  p.call_number_norm AS item_callnumber
+FROM items JOIN titles USING (item_record_id)
+JOIN item_record_property p USING (item_record_id)
+JOIN item_record i ON i.record_id = items.item_record_id
+LEFT JOIN loans USING (item_record_id)
+LEFT JOIN formats ON formats.itype_code_num = i.itype_code_num"""
