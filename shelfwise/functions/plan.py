@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Dimensions of the library schema (locations, branches, lookups) are a few
 # thousand rows; anything estimated above this bound is left to the planner.
+# Key sets that grow with the data take no hint: AQE broadcasts them if small.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
@@ -31,6 +32,17 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Data
     return df
 
 
+def sparse_left_join(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` for a positive integer key that most left rows lack.
+
+    Rows without a key would all hash to one partition; they get negative
+    stand-ins drawn from ``by``, which match nothing and spread evenly.
+    """
+    spread = F.coalesce(F.col(key).cast("long"), -1 - F.pmod(F.xxhash64(by), F.lit(1 << 40)))
+    right = right.withColumn("__key", F.col(key).cast("long")).drop(key)
+    return left.withColumn("__key", spread).join(right, "__key", "left").drop("__key")
+
+
 def skew_safe_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """``left LEFT OUTER JOIN right USING (on)`` when the *right* side may hold hot keys.
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 ISBN_PATTERN = r"(?i)([0-9]{12,13}x?|[0-9]{9,10}x?)"
 IN_TRANSIT = r"(?i).*IN\sTRANSIT.*"
 IN_TRANSIT_TOO_LONG = r"(?i).*IN\sTRANSIT\sTOO\sLONG.*"
-TRANSIT_ROUTE = r"(?i)IN\sTRANSIT\sfrom\s([0-9a-z]+)\sto\s([0-9a-z]+)"
+# The last route of a message, which may run over several lines.
+LAST_TRANSIT_ROUTE = r"(?is).*IN\sTRANSIT\sfrom\s([0-9a-z]+)\sto\s([0-9a-z]+)"
 TRANSIT_TIME = r"(?i)^([a-z]{3}\s[a-z]{1,3}\s[0-9]{2}\s[0-9]{4}\s[0-9]{2}:[0-9]{2}[AP]M)"
 
 
@@ -21,7 +22,7 @@ def nullif_empty(c) -> Column:
     return F.when(c == "", F.lit(None)).otherwise(c)
 
 
-def ordered_values(value: Column, *order: Column, keep_nulls: bool = True) -> Column:
+def ordered_values(value: Column, *order: Column) -> Column:
     """Aggregate: values ordered by ``order`` keys (NULL values kept as NULL entries).
 
     ``collect_list`` drops NULL inputs, so the value rides inside a struct whose

@@ -35,30 +35,26 @@ def where_all(df: DataFrame, filters: list[tuple[str, str, object]]) -> DataFram
 def facet_counts(df: DataFrame, columns: list[str], size: int = 30) -> DataFrame:
     """The ``size`` most frequent values of each facet column, with counts.
 
-    One aggregation per facet over the (already filtered) relation, then a
-    per-facet top-k (``orderBy().limit()`` plans as a per-partition top-k plus
-    a k-row merge), so a facet with billions of distinct values never lands in
-    one task; only the surviving ``size`` rows per facet are ranked.
+    One pass for all facets: each row gives a (facet, value) pair per column,
+    pairs are counted once, and the rank limit keeps ``size`` rows of a facet
+    per task before they meet.
     """
-    parts = []
-    for c in columns:
-        counts = df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
-        parts.append(counts.orderBy(F.desc("count"), F.asc_nulls_first("value")).limit(size)
-                     .withColumn("facet", F.lit(c)))
-    top = reduce(DataFrame.unionByName, parts)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value"))
+                                for c in columns]))
+    counts = df.select(pairs.alias("p")).groupBy("p.facet", "p.value").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy("facet").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    return top.withColumn("rank", F.row_number().over(w).cast("long")).select("facet", "value", "count", "rank")
+    ranked = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= size)
+    return ranked.select("facet", "value", "count", F.col("rank").cast("long").alias("rank"))
 
 
 def sort_page(df: DataFrame, keys: list[str], descending: bool = False, limit: int = 100,
-              offset: int = 0, max_rows: int = 10_000) -> DataFrame:
+              offset: int = 0) -> DataFrame:
     """Sort by keys (``_sort`` / ``_sort_desc``) and cut one page.
 
-    Pages are capped at ``max_rows`` like the browser; the keys should be unique
-    (append a record number) so pages are stable.
+    The keys should be unique (append a record number) so pages are stable.
     """
     cols = [F.desc_nulls_last(k) if descending else F.asc_nulls_first(k) for k in keys]
-    return df.orderBy(*cols).offset(offset).limit(min(limit, max_rows))
+    return df.orderBy(*cols).offset(offset).limit(limit)
 
 
 def as_json_rows(df: DataFrame) -> DataFrame:

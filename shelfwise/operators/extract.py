@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
-from shelfwise.functions.plan import bounded_broadcast
+from shelfwise.functions.plan import bounded_broadcast, sparse_left_join
 from shelfwise.functions.dates import as_date, to_jd
-from shelfwise.functions.text import (IN_TRANSIT, IN_TRANSIT_TOO_LONG, ISBN_PATTERN, TRANSIT_ROUTE,
+from shelfwise.functions.text import (IN_TRANSIT, IN_TRANSIT_TOO_LONG, ISBN_PATTERN, LAST_TRANSIT_ROUTE,
                                       TRANSIT_TIME, empty_to_null, nullif_empty, ordered_values,
                                       ordered_values_where)
 
@@ -124,6 +124,12 @@ def bib_children(s) -> dict[str, DataFrame]:
                 subjects=subjects, genres=genres, item_types=item_types, phrases=phrases)
 
 
+def _only(s, ids: DataFrame, **columns: str) -> dict[str, DataFrame]:
+    """``s`` with the relations of ``columns`` (relation -> id column) reduced to the given ids."""
+    name = ids.columns[0]
+    return {**s, **{rel: s[rel].join(ids.select(F.col(name).alias(c)), c, "left_semi") for rel, c in columns.items()}}
+
+
 def bib(s, since=None) -> DataFrame:
     r = _records(s, "b", since).select(F.col("id").alias("bib_record_id"),
                                        F.col("record_num").alias("bib_record_num"))
@@ -131,6 +137,9 @@ def bib(s, since=None) -> DataFrame:
                                 F.to_date("cataloging_date_gmt").alias("cataloging_date"))
     prop = s["bib_record_property"].select(F.col("bib_record_id"), "best_author", "best_title",
                                            "publish_year")
+    if since is not None:  # a daily run aggregates only what belongs to changed bibs
+        s = _only(s, r.select("bib_record_id"), phrase_entry="record_id", varfield="record_id",
+                  subfield="record_id", bib_record_item_record_link="bib_record_id")
     kids = bib_children(s)
     out = r.join(br, "bib_record_id").join(prop, "bib_record_id", "left")
     for k in ("phrases", "isbn", "publisher", "genres", "item_types"):
@@ -170,18 +179,20 @@ def item(s, since=None) -> DataFrame:
                               F.to_date("due_gmt").alias("due_date"))
     patron = s["patron_record"].groupBy(F.col("record_id").alias("patron_record_id")).agg(
         F.min("home_library_code").alias("patron_branch_code"))
+    # What hangs on a patron or a volume is joined to the loans and the volume
+    # links first, so that the wide item relation is only ever joined on its own id.
+    co = co.join(patron, "patron_record_id", "left").drop("patron_record_id")
     itype = (_itype_names(s).groupBy("itype_code_num").agg(F.min("name").alias("item_format")))
     link = (s["bib_record_item_record_link"].select("item_record_id", "bib_record_id")
             .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id"))
     vlink = (s["volume_record_item_record_link"].select("item_record_id", "volume_record_id")
              .join(_record_nums(s, "j", "volume_record_id", "volume_record_num"), "volume_record_id", "left"))
     vstat = _statements(s, "volume_record_id", ["v"]).withColumnRenamed("statement", "volume_record_statement")
+    vlink = vlink.join(vstat, "volume_record_id", "left").drop("volume_record_id")
     out = (r.join(irp, "item_record_id").join(ir, "item_record_id")
            .join(co, "item_record_id", "left")
            .join(link, "item_record_id")
            .join(vlink, "item_record_id", "left")
-           .join(vstat, "volume_record_id", "left")
-           .join(patron, "patron_record_id", "left")
            .join(bounded_broadcast(itype), "itype_code_num", "left"))
     return out.select(
         "item_record_num", "item_record_id", "bib_record_num", "creation_date", "record_last_updated",
@@ -214,6 +225,8 @@ def volume_record(s, since=None) -> DataFrame:
                          to_jd("creation_date_gmt").alias("creation_julianday")), "volume_record_id"))
     link = s["bib_record_volume_record_link"].join(_record_nums(s, "b", "bib_record_id", "bib_record_num"),
                                                     "bib_record_id")
+    volumes = vol if since is not None else s["volume_record"].select(F.col("record_id").alias("volume_record_id"))
+    s = _only(s, volumes.select("volume_record_id"), varfield="record_id")
     stat = _statements(s, "volume_record_id", None).withColumnRenamed("statement", "volume_statement")
     return (vol.join(link, "volume_record_id").join(stat, "volume_record_id", "left")
             .select("volume_record_id", "volume_record_num", "bib_record_id", "bib_record_num",
@@ -229,8 +242,8 @@ def parse_message(df: DataFrame, text: str = "field_content", as_of=None) -> Dat
     keeps NULL for the other.
     """
     t = F.col(text)
-    route_from = nullif_empty(F.regexp_extract(t, ".*" + TRANSIT_ROUTE, 1))
-    route_to = nullif_empty(F.regexp_extract(t, ".*" + TRANSIT_ROUTE, 2))
+    route_from = nullif_empty(F.regexp_extract(t, LAST_TRANSIT_ROUTE, 1))
+    route_to = nullif_empty(F.regexp_extract(t, LAST_TRANSIT_ROUTE, 2))
     stamp = nullif_empty(F.regexp_extract(t, TRANSIT_TIME, 1))
     when = F.try_to_timestamp(F.substring(stamp, 5, 100), F.lit("MMM dd yyyy hh:mma"))
     now_jd = F.lit(None) if as_of is None else to_jd(F.lit(as_date(as_of)))
@@ -285,12 +298,9 @@ def language_property(s) -> DataFrame:
 
 
 def bib_record_item_record_link(s) -> DataFrame:
-    rm = s["record_metadata"]
     return (s["bib_record_item_record_link"]
-            .join(rm.select(F.col("id").alias("bib_record_id"), F.col("record_num").alias("bib_record_num")),
-                  "bib_record_id")
-            .join(rm.select(F.col("id").alias("item_record_id"), F.col("record_num").alias("item_record_num")),
-                  "item_record_id")
+            .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id")
+            .join(_record_nums(s, "i", "item_record_id", "item_record_num"), "item_record_id")
             .select("id", "bib_record_id", "bib_record_num", "item_record_id", "item_record_num",
                     "items_display_order", "bibs_display_order"))
 
@@ -363,9 +373,8 @@ def hold(s, as_of) -> DataFrame:
     as_of = as_date(as_of)
     bib_num = _record_nums(s, "b", "bib_record_id", "bnum")
     # Only links of held records matter: reduce the (large) link tables to the
-    # held ids first (a map-side semi join when the id set is small), then take
-    # the "first" bib of an item / a volume: the smallest bib number.
-    held = bounded_broadcast(s["hold"].select("record_id").distinct())
+    # held ids first, then take the "first" bib of an item / a volume: the smallest bib number.
+    held = s["hold"].select("record_id").distinct()
     item_bib = (s["bib_record_item_record_link"]
                 .join(held.withColumnRenamed("record_id", "item_record_id"), "item_record_id", "left_semi")
                 .join(bib_num, "bib_record_id")
@@ -447,7 +456,7 @@ def circ_leased_items(s, as_of) -> DataFrame:
                     "item_record_id"))
     since = _dt.datetime.combine(as_of - _dt.timedelta(days=180), _dt.time())
     ct = (s["circ_trans"].filter((F.col("transaction_gmt") > F.lit(since)) & F.col("op_code").isin("o", "i"))
-          .join(bounded_broadcast(leased.select("item_record_id")), "item_record_id", "left_semi"))
+          .join(leased.select("item_record_id"), "item_record_id", "left_semi"))
 
     loc = s["location"].select(F.col("code").alias("location_code"), "branch_code_num")
     dims = (s["statistic_group"].select(F.col("code_num").alias("stat_group_code_num"), "id",
@@ -464,8 +473,9 @@ def circ_leased_items(s, as_of) -> DataFrame:
     out = (ct.join(bounded_broadcast(dims), "stat_group_code_num", "left")
            .join(_record_nums(s, "i", "item_record_id", "item_record_num"), "item_record_id", "left")
            .join(irp, "item_record_id", "left")
-           .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id", "left")
-           .join(_record_nums(s, "j", "volume_record_id", "volume_record_num"), "volume_record_id", "left"))
+           .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id", "left"))
+    nums = _record_nums(s, "j", "volume_record_id", "volume_record_num")
+    out = sparse_left_join(out, nums, "volume_record_id", by="id")
     return out.select(
         "id", F.date_format("transaction_gmt", "yyyy-MM-dd").alias("transaction_day"), "stat_group_code_num",
         "stat_group_name", "stat_group_location_code", "stat_group_branch_name", "op_code",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import codes
-from shelfwise.functions.plan import bounded_broadcast, skew_safe_left_join
+from shelfwise.functions.plan import bounded_broadcast, skew_safe_left_join, sparse_left_join
 from shelfwise.functions.dates import as_date, from_jd, jd_of, monday_before, plus_months_overflow
 from shelfwise.functions.text import json_object, ordered_values, truncate_ellipsis
 
@@ -186,7 +186,7 @@ def hold_view(t, as_of=None) -> DataFrame:
                       F.col("branch_name").alias("branch_pickup_name")))
     campus = (loc.join(ln, "location_id").groupBy(F.col("location_code").alias("campus_code"))
               .agg(F.min("location_name").alias("campus_location_name")))
-    out = (h.join(b, "bib_record_num").join(vol, "volume_record_num", "left")
+    out = (sparse_left_join(h.join(b, "bib_record_num"), vol, "volume_record_num", by="hold_id")
            .join(bounded_broadcast(pickup), "pickup_location_code", "left")
            .join(bounded_broadcast(campus), "campus_code", "left"))
     return out.select(
@@ -214,9 +214,8 @@ def hold_title_view(t, as_of) -> DataFrame:
     vol = t["volume_record"].select("volume_record_num", F.col("volume_statement").alias("vol"))
     # Supply counts are needed only for titles / volumes that have active holds:
     # the item and link relations are reduced to those keys before aggregating.
-    held_bibs = bounded_broadcast(h.select("bib_record_num").distinct())
-    held_vols = bounded_broadcast(h.select("volume_record_num").filter(F.col("volume_record_num").isNotNull())
-                                  .distinct())
+    held_bibs = h.select("bib_record_num").distinct()
+    held_vols = h.select("volume_record_num").filter(F.col("volume_record_num").isNotNull()).distinct()
     item = t["item"].join(held_bibs, "bib_record_num", "left_semi")
     avail = item.filter(F.col("item_status_code").isin(*codes.AVAILABLE_STATUS) & _avail_due_ok(as_of))
     per_bib = avail.groupBy("bib_record_num").agg(F.count(F.lit(1)).alias("bib_items"))
@@ -229,11 +228,11 @@ def hold_title_view(t, as_of) -> DataFrame:
                .groupBy("bib_record_num")
                .agg(F.to_json(ordered_values(F.col("item_format"), F.col("item_format"))).alias("item_types")))
     keys = ["bib_record_num", "vol", "volume_record_num", "item_record_num", "cataloging_date", "title", "author"]
-    grouped = (h.select("hold_id", "bib_record_num", "volume_record_num", "item_record_num")
-               .join(b, "bib_record_num").join(vol, "volume_record_num", "left")
+    grouped = (sparse_left_join(h.select("hold_id", "bib_record_num", "volume_record_num", "item_record_num")
+                                .join(b, "bib_record_num"), vol, "volume_record_num", by="hold_id")
                .groupBy(*keys).agg(F.count("hold_id").alias("count_active_holds")))
-    out = (grouped.join(formats, "bib_record_num", "left")
-           .join(per_bib, "bib_record_num", "left").join(per_vol, "volume_record_num", "left"))
+    out = grouped.join(formats, "bib_record_num", "left").join(per_bib, "bib_record_num", "left")
+    out = sparse_left_join(out, per_vol, "volume_record_num", by="bib_record_num")
     count_items = (F.when(F.col("item_record_num").isNotNull(), F.lit(1).cast("long"))
                    .when(F.col("volume_record_num").isNotNull(), F.coalesce("vol_items", F.lit(0)))
                    .otherwise(F.coalesce("bib_items", F.lit(0))))
@@ -322,7 +321,10 @@ def two_months_leased_item_view(t, as_of) -> DataFrame:
                        F.date_format("first_any", "yyyy-MM-dd").alias("earliest_circ_date"),
                        F.col("window_any").alias("_2_months_from_earliest_circ_date"),
                        F.coalesce("n_o", F.lit(0)).alias("count_checkouts_2_months_from_earliest_circ_date")))
-    global_first = counted.agg(F.min("earliest_circ_date")).scalar()
+    # The earliest transaction of any leased title: the minimum of the firsts, without building them again.
+    titles = t["item"].filter(F.col("item_format").isin(*codes.LEASED_FORMATS)).select("bib_record_num")
+    global_first = (circ.join(titles, "bib_record_num", "left_semi")
+                    .agg(F.date_format(F.min("day"), "yyyy-MM-dd")).scalar())
     b = t["bib"].select("bib_record_num", "best_title", "best_author")
     out = (counted.filter(F.col("earliest_circ_date").isNotNull()
                           & (F.datediff(F.to_date("earliest_circ_date"), F.col("item_creation_date")) <= 14)
@@ -365,16 +367,17 @@ def book_connections_view(t, as_of=None) -> DataFrame:
 # ----------------------------------------------------------------- titles V15, V16, V26
 def new_downloadable_book_view(t, as_of) -> DataFrame:
     since = F.date_sub(monday_before(F.lit(as_date(as_of))), 60)
-    iv = item_view(t).filter((F.col("creation_date") >= since) & (F.col("item_format") == "Downloadable Book"))
-    b = t["bib"].select("bib_record_num", "isbn_values")
-    out = iv.join(b, "bib_record_num")
+    i = (t["item"].filter((F.col("creation_date") >= since) & (F.col("item_format") == "Downloadable Book"))
+         .select("item_record_num", "bib_record_num", "creation_date", "item_callnumber", "volume_record_statement"))
+    out = i.join(t["bib"].select("bib_record_num", "best_title", "best_author", "publish_year", "isbn_values"),
+                 "bib_record_num")
     num = F.col("bib_record_num")
     return (out.select(
         F.col("creation_date").alias("date added"),
         jacket(num, F.col("isbn_values")).alias("jacket"),
         catalog_link(num, F.col("best_title"), F.col("best_author"), F.col("publish_year"),
                      F.col("item_callnumber"),
-                     label=F.concat(F.col("best_title"), F.coalesce("vol_statement", F.lit(""))))
+                     label=F.concat(F.col("best_title"), F.coalesce("volume_record_statement", F.lit(""))))
         .alias("catalog_link"),
         F.coalesce("best_author", F.lit("Zzzz")).alias("_a"), F.col("best_title").alias("_t"),
         F.col("item_record_num").alias("_i"))
@@ -403,23 +406,17 @@ def genre_view(t, as_of=None) -> DataFrame:
 
 
 # ----------------------------------------------------------------- copies V17, V18, V23, V24
-def last_copy_view(t, as_of=None, strict: bool = True) -> DataFrame:
+def last_copy_view(t, as_of=None) -> DataFrame:
     """Bib+volume groups with exactly one active item, with that item's detail.
 
-    ``strict=True`` joins the group to its own single active item (one row per
-    group).  ``strict=False`` reproduces the source definition, which joins on
-    the bib only and so lists every item of the bib once per qualifying volume
-    group; its output grows with items x groups of a bib, use only on bounded data.
+    One aggregate: a group's count and, as it has one member, that member.
     """
     active = t["item"].filter(F.col("item_status_code").isin(*codes.ACTIVE_STATUS))
-    lac = (active.groupBy("bib_record_num", "volume_record_statement").agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col("n") == 1).drop("n"))
-    if strict:
-        keys = lac.select(F.col("bib_record_num").alias("lac_bib"), F.col("volume_record_statement").alias("lac_vol"))
-        items = active.join(keys, (F.col("bib_record_num") == F.col("lac_bib"))
-                            & F.col("volume_record_statement").eqNullSafe(F.col("lac_vol")))
-    else:
-        items = lac.select("bib_record_num").join(t["item"], "bib_record_num")
+    detail = ["location_code", "barcode", "item_format", "item_callnumber", "last_checkout_date", "due_date",
+              "checkout_total", "renewal_total"]
+    items = (active.groupBy("bib_record_num", "volume_record_statement")
+             .agg(F.count(F.lit(1)).alias("n"), F.any_value(F.struct(*detail)).alias("only"))
+             .filter(F.col("n") == 1).select("bib_record_num", "volume_record_statement", "only.*"))
     blv = branch_location_view(t).select(F.col("code").alias("location_code"), "branch_name")
     b = t["bib"]
     out = items.join(b.select("bib_record_num", "isbn_values", "best_title", "best_author", "publish_year",
@@ -438,18 +435,21 @@ def last_copy_view(t, as_of=None, strict: bool = True) -> DataFrame:
 
 def dup_at_location_view(t, as_of=None) -> DataFrame:
     item = t["item"]
-    b = t["bib"]
-    dil = (item.filter(F.col("item_status_code").isin(*codes.ACTIVE_STATUS))
-           .join(b.select("bib_record_num"), "bib_record_num")
-           .groupBy("bib_record_num", "volume_record_statement", "location_code")
-           .agg(F.count(F.lit(1)).alias("count_items")).filter(F.col("count_items") > 1))
-    barcodes = (item.join(dil.select("bib_record_num", "location_code").distinct(),
-                          ["bib_record_num", "location_code"], "left_semi")
-                .groupBy("bib_record_num", "location_code")
-                .agg(_json_sorted_list(F.col("barcode")).alias("barcodes")))
-    modal = modal_format(item.join(dil.select("bib_record_num").distinct(), "bib_record_num", "left_semi"))
-    out = (dil.join(b, "bib_record_num").join(barcodes, ["bib_record_num", "location_code"], "left")
-           .join(modal, "bib_record_num", "left"))
+    active = F.col("item_status_code").isin(*codes.ACTIVE_STATUS)
+    # One pass over the items: copies and barcodes per volume, then all barcodes of the shelf.
+    by_volume = (item.groupBy("bib_record_num", "location_code", "volume_record_statement")
+                 .agg(F.count_if(active).alias("count_items"),
+                      F.collect_list(F.struct("barcode")).alias("codes")))
+    shelf = (by_volume.groupBy("bib_record_num", "location_code")
+             .agg(F.filter(F.collect_list(F.struct("volume_record_statement", "count_items")),
+                           lambda v: v["count_items"] > 1).alias("volumes"),
+                  F.flatten(F.collect_list("codes")).alias("codes"))
+             .filter(F.size("volumes") > 0))
+    dil = (shelf.withColumn("barcodes", F.to_json(F.transform(F.array_sort("codes"), lambda c: c["barcode"])))
+           .select("bib_record_num", "location_code", "barcodes", F.explode("volumes").alias("v"))
+           .select("bib_record_num", "location_code", "barcodes", "v.*"))
+    modal = modal_format(item)
+    out = dil.join(t["bib"], "bib_record_num").join(modal, "bib_record_num", "left")
     num = F.col("bib_record_num")
     return (out.select(
         "bib_record_num", F.col("volume_record_statement").alias("vol"), "location_code", "count_items",
@@ -470,8 +470,7 @@ def duplicates_across(t, locations: list[str], as_of=None) -> DataFrame:
     item = t["item"].filter(F.col("item_status_code").isin(*codes.ACTIVE_STATUS)
                             & F.col("location_code").isin(*locations))
     b = t["bib"]
-    grouped = (item.join(b.select("bib_record_num"), "bib_record_num")
-               .groupBy("bib_record_num", "volume_record_statement")
+    grouped = (item.groupBy("bib_record_num", "volume_record_statement")
                .agg(F.array_sort(F.collect_list(F.struct("location_code", "barcode", "item_callnumber",
                                                          "item_record_num"))).alias("members"),
                     F.count(F.lit(1)).alias("count_items"))

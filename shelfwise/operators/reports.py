@@ -87,8 +87,10 @@ def bib_holds(s) -> DataFrame:
 
 
 def top_holds(s, t, as_of=None, k: int = 50) -> DataFrame:
-    """Q02: titles with the most holds; the count is read from the ';'-joined text."""
-    hs = bib_holds(s).withColumn("hold_count", F.size(F.split("holds", ";")).cast("long"))
+    """Q02: titles with the most holds: entries of their ';'-joined hold texts, counted without joining them."""
+    entries = F.coalesce(F.sum(F.size(F.split("hold_string", ";"))), F.lit(1))
+    hs = (bib_hold_strings(s).filter(F.col("hold_string").isNotNull())
+          .groupBy("bib_record_id", F.col("record_num").alias("bib_record_num")).agg(entries.alias("hold_count")))
     b = t["bib"].select("bib_record_num", "best_title", "best_author", "publish_year")
     return (hs.join(b, "bib_record_num")
             .orderBy(F.desc("hold_count"), "bib_record_num").limit(k)
@@ -170,15 +172,16 @@ def shelf_list(t, location_code: str, with_bib: bool = True, k: int = 10) -> Dat
 
 
 def random_active_items(t, n: int = 10, seed: int = 42) -> DataFrame:
-    """A random sample of active items (sampling is the feature)."""
+    """A random sample of active items (sampling is the feature), the same however rows are dealt."""
     return (t["item"].filter(F.col("item_status_code").isin(*codes.ACTIVE_STATUS))
             .select("item_record_num", "bib_record_num", "barcode", "location_code", "item_status_code")
-            .orderBy(F.rand(seed)).limit(n))
+            .orderBy(F.md5(F.concat(F.col("item_record_num").cast("string"), F.lit(f":{seed}")).cast("binary")),
+                     "item_record_num", "bib_record_num").limit(n))
 
 
 def titles_with_items(t, as_of=None) -> DataFrame:
     """Number of distinct titles that have at least one item."""
-    return (t["bib"].select("bib_record_num").join(t["item"].select("bib_record_num"), "bib_record_num")
+    return (t["bib"].select("bib_record_num").join(t["item"].select("bib_record_num"), "bib_record_num", "left_semi")
             .agg(F.countDistinct("bib_record_num").alias("count_distinct_titles")))
 
 
@@ -284,7 +287,7 @@ def in_transit_too_long_by_branch(t, as_of=None) -> DataFrame:
     return (v.join(bounded_broadcast(dest), "transit_to", "left")
             .select("destination_branch", "transit_from", "transit_to", "item_record_num", "barcode",
                     "in_transit_days", "in_transit_date", "item_format", "item_callnumber")
-            .orderBy("destination_branch", "transit_from", F.desc("in_transit_days")))
+            .orderBy("destination_branch", "transit_from", F.desc("in_transit_days"), "transit_to", "item_record_num"))
 
 
 # ----------------------------------------------------------------- R01 (legacy bib export)
@@ -328,12 +331,13 @@ def legacy_item_export(s) -> DataFrame:
                               F.to_date("due_gmt").alias("due_date"))
     patron = s["patron_record"].groupBy(F.col("record_id").alias("patron_record_id")).agg(
         F.min("home_library_code").alias("patron_branch_code"))
+    co = co.join(patron, "patron_record_id", "left").drop("patron_record_id")
     link = (s["bib_record_item_record_link"].select("item_record_id", "bib_record_id")
             .join(_record_nums(s, "b", "bib_record_id", "bib_record_num"), "bib_record_id"))
     isbn = bib_children(s)["isbn"].select("bib_record_id", F.substring(F.get("isbn_values", 0), 1, 30).alias("isbn"))
     itype = _itype_names(s).groupBy("itype_code_num").agg(F.min("name").alias("item_format"))
     out = (r.join(irp, "item_record_id").join(ir, "item_record_id").join(co, "item_record_id", "left")
-           .join(link, "item_record_id").join(patron, "patron_record_id", "left")
+           .join(link, "item_record_id")
            .join(isbn, "bib_record_id", "left").join(bounded_broadcast(itype), "itype_code_num", "left"))
     return out.select(
         "item_record_id", "item_record_num", "bib_record_id", "bib_record_num", "creation_date", "record_last_updated",

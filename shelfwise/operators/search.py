@@ -1,17 +1,19 @@
 """Full-text search (R14) as DataFrame operations, no index engine.
 
-``token_table`` turns whole texts into (id, pos, term) rows once;
-``doc_stats`` keeps one length per document.  A query is structured, not
-parsed: ``all_of`` terms must all occur (semi-joins), ``any_of`` needs one of
-them, ``none_of`` excludes (anti-join), ``phrase`` requires consecutive
-positions (self equi-join on (id, pos + k)).  Ranking is Okapi BM25 over the
-matched query terms, computed with two aggregations (document frequency per
-term, term frequency per document) and broadcast-free equi-joins.
+A query is structured, not parsed: ``all_of`` terms must all occur, ``any_of``
+needs one of them, ``none_of`` excludes, ``phrase`` requires consecutive words.
+Each text is split once, and its length, the frequency of each query term and
+the matches are read off the word array, so no word ever becomes a row.
+Ranking is Okapi BM25 over the positive terms: one pass gathers the number of
+documents, their mean length and the document frequencies, a second filters
+and scores.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -19,67 +21,55 @@ K1 = 1.2
 B = 0.75
 
 
-def token_table(df: DataFrame, id_col: str, text_cols: list[str]) -> DataFrame:
-    """(id, pos, term) for every token of the concatenated text columns."""
+def words(text_cols: list[str]) -> Column:
+    """The lower-case words of the concatenated text columns."""
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
-    toks = df.select(F.col(id_col).alias("id"),
-                     F.posexplode(F.split(F.lower(text), TOKEN_SPLIT)).alias("pos", "term"))
-    return toks.filter(F.col("term") != "")
-
-
-def doc_stats(tokens: DataFrame) -> DataFrame:
-    return tokens.groupBy("id").agg(F.count(F.lit(1)).alias("dl"))
+    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda w: w != "")
 
 
-def _with_term(tokens: DataFrame, term: str) -> DataFrame:
-    return tokens.filter(F.col("term") == term.lower()).select("id").distinct()
+def _frequency(tokens: Column, term: str) -> Column:
+    return F.size(F.filter(tokens, lambda w: w == term))
 
 
-def _phrase(tokens: DataFrame, words: list[str]) -> DataFrame:
-    words = [w.lower() for w in words]
-    first = tokens.filter(F.col("term") == words[0]).select("id", F.col("pos").alias("p0"))
-    for k, w in enumerate(words[1:], start=1):
-        nxt = tokens.filter(F.col("term") == w).select("id", (F.col("pos") - k).alias("p0"))
-        first = first.join(nxt, ["id", "p0"])
-    return first.select("id").distinct()
+def _has_phrase(tokens: Column, phrase: list[str]) -> Column:
+    last = F.size(tokens) - len(phrase)
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.exists(starts, lambda i: reduce(
+        lambda x, y: x & y, [F.get(tokens, i + k) == w for k, w in enumerate(phrase)]))
 
 
-def search(tokens: DataFrame, stats: DataFrame, *, all_of=(), any_of=(), none_of=(), phrase=()) -> DataFrame:
-    """Matching ids with their BM25 score over the positive query terms."""
+def search(df: DataFrame, id_col: str, text_cols: list[str], *, all_of=(), any_of=(), none_of=(), phrase=()) -> DataFrame:
+    """Matching (id, score): BM25 over the positive query terms; ids are unique."""
     if not (all_of or any_of or phrase):
         raise ValueError("a query needs at least one positive term or a phrase")
-    cands = None
-    for t in all_of:
-        s = _with_term(tokens, t)
-        cands = s if cands is None else cands.join(s, "id", "left_semi")
-    if any_of:
-        anyset = tokens.filter(F.col("term").isin([t.lower() for t in any_of])).select("id").distinct()
-        cands = anyset if cands is None else cands.join(anyset, "id", "left_semi")
-    if phrase:
-        ph = _phrase(tokens, list(phrase))
-        cands = ph if cands is None else cands.join(ph, "id", "left_semi")
-    for t in none_of:
-        cands = cands.join(_with_term(tokens, t), "id", "left_anti")
-    terms = sorted({t.lower() for t in list(all_of) + list(any_of) + list(phrase)})
-    n_docs = stats.agg(F.count(F.lit(1))).scalar()
-    avgdl = stats.agg(F.avg("dl")).scalar()
-    qt = tokens.filter(F.col("term").isin(terms))
-    df_t = qt.groupBy("term").agg(F.countDistinct("id").alias("df"))
-    tf = qt.join(cands, "id", "left_semi").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = (idf * F.col("tf") * (K1 + 1)
-            / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl)))
-    scored = (tf.join(df_t, "term").join(stats, "id")
-              .groupBy("id").agg(F.round(F.sum(part), 6).alias("score")))
-    return cands.join(scored, "id", "left").select("id", F.coalesce("score", F.lit(0.0)).alias("score"))
+    all_of, any_of, none_of, phrase = ([w.lower() for w in ws] for ws in (all_of, any_of, none_of, phrase))
+    terms = sorted({*all_of, *any_of, *phrase})
+    toks = F.col("tokens")
+    docs = df.select(F.col(id_col).alias("id"), words(text_cols).alias("tokens")).filter(F.size("tokens") > 0)
+    docs = docs.select(
+        "id", F.size(toks).alias("dl"),
+        F.array(*[_frequency(toks, t) for t in terms]).alias("tf"),
+        reduce(lambda x, y: x & y, [F.lit(True), *[F.array_contains(toks, t) for t in all_of],
+                                    *[~F.array_contains(toks, t) for t in none_of],
+                                    *([F.arrays_overlap(toks, F.array(*map(F.lit, any_of)))] if any_of else []),
+                                    *([_has_phrase(toks, phrase)] if phrase else [])]).alias("hit"))
+    corpus = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
+                               F.array(*[F.count_if(F.col("tf")[k] > 0) for k in range(len(terms))]).alias("df")).alias("c"))
+    hits = docs.filter("hit").withColumn("c", corpus.scalar())
+
+    def part(k: int) -> Column:
+        tf, df_t = F.col("tf")[k], F.col("c.df")[k]
+        idf = F.log(F.lit(1.0) + (F.col("c.n") - df_t + 0.5) / (df_t + 0.5))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("c.avgdl")))
+
+    return hits.select("id", F.round(reduce(lambda x, y: x + y, [part(k) for k in range(len(terms))]), 6).alias("score"))
 
 
 def search_bibs(t, **query) -> DataFrame:
     """Bibs matching a query on title, author and subjects, with rank and total checkouts."""
     bib = t["bib"].select("bib_record_num", "best_title", "best_author",
                           F.array_join(F.coalesce("indexed_subjects", F.array()), " ").alias("subjects"))
-    toks = token_table(bib, "bib_record_num", ["best_title", "best_author", "subjects"])
-    hits = search(toks, doc_stats(toks), **query)
+    hits = search(bib, "bib_record_num", ["best_title", "best_author", "subjects"], **query)
     totals = t["item"].groupBy("bib_record_num").agg(F.sum("checkout_total").alias("total_checkouts"))
     return (hits.withColumnRenamed("id", "bib_record_num").join(bib, "bib_record_num")
             .join(totals, "bib_record_num", "left")
@@ -89,7 +79,6 @@ def search_bibs(t, **query) -> DataFrame:
 
 def search_documents(docs: DataFrame, **query) -> DataFrame:
     """R14 over a free-text corpus (whole documents)."""
-    toks = token_table(docs, "doc_id", ["text"])
-    hits = search(toks, doc_stats(toks), **query)
+    hits = search(docs, "doc_id", ["text"], **query)
     return (hits.withColumnRenamed("id", "doc_id").join(docs.select("doc_id", "lang", "source"), "doc_id")
             .orderBy(F.desc("score"), "doc_id"))

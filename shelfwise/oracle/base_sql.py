@@ -115,8 +115,8 @@ WITH parsed AS (
     SELECT rec.id AS item_record_id, rec.campus_code, fld.id AS varfield_id, fld.occ_num, fld.field_content,
       regexp_matches(fld.field_content, '(?i)IN\\sTRANSIT') AS has_in_transit,
       regexp_matches(fld.field_content, '(?i)IN\\sTRANSIT\\sTOO\\sLONG') AS has_in_transit_too_long,
-      nullif(regexp_extract(fld.field_content, '(?i).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 1), '') AS transit_from,
-      nullif(regexp_extract(fld.field_content, '(?i).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 2), '') AS transit_to,
+      nullif(regexp_extract(fld.field_content, '(?is).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 1), '') AS transit_from,
+      nullif(regexp_extract(fld.field_content, '(?is).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 2), '') AS transit_to,
       nullif(regexp_extract(fld.field_content, '(?i)^[a-z]{{3}}\\s[a-z]{{1,3}}\\s[0-9]{{2}}\\s[0-9]{{4}}\\s[0-9]{{2}}:[0-9]{{2}}[AP]M', 0), '') AS stamp
     FROM record_metadata rec JOIN varfield fld ON fld.record_id = rec.id
     WHERE rec.record_type_code = 'i' AND fld.varfield_type_code = 'm')

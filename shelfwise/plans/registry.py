@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions import codes
 from shelfwise.oracle import compose
 from shelfwise.plans import context
 
@@ -95,7 +96,10 @@ register("R06_holds_by_pickup_branch", _on_base(R.holds_by_pickup_branch), REPOR
 register("R07_active_holds_by_title", _on_base(R.active_holds_by_title, context.AS_OF), REPORT_SQL["R07"])
 register("R09_shelf_list", _on_base(R.shelf_list, SHELF_LOCATION),
          REPORT_SQL["R09"].replace("{location}", SHELF_LOCATION))
-register("R10_random_active_items", _on_base(R.random_active_items))
+register("R10_random_active_items", _on_base(R.random_active_items), f"""
+SELECT item_record_num, bib_record_num, barcode, location_code, item_status_code FROM x_item
+WHERE item_status_code IN ({", ".join(repr(c) for c in codes.ACTIVE_STATUS)})
+ORDER BY md5(CAST(item_record_num AS VARCHAR) || ':42'), item_record_num, bib_record_num LIMIT 10""")
 register("R11_titles_with_items", _on_base(R.titles_with_items), REPORT_SQL["R11"])
 register("R12_items_per_bib", _on_base(R.items_per_bib), REPORT_SQL["R12"])
 register("R13_location_branch_listing", _on_base(R.location_branch_listing), REPORT_SQL["R13"])
@@ -246,8 +250,8 @@ FROM (
     SELECT id AS varfield_id,
       regexp_matches(field_content, '(?i)IN\\sTRANSIT') AS has_in_transit,
       regexp_matches(field_content, '(?i)IN\\sTRANSIT\\sTOO\\sLONG') AS has_in_transit_too_long,
-      nullif(regexp_extract(field_content, '(?i).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 1), '') AS transit_from,
-      nullif(regexp_extract(field_content, '(?i).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 2), '') AS transit_to,
+      nullif(regexp_extract(field_content, '(?is).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 1), '') AS transit_from,
+      nullif(regexp_extract(field_content, '(?is).*IN\\sTRANSIT\\sfrom\\s([0-9a-z]+)\\sto\\s([0-9a-z]+)', 2), '') AS transit_to,
       nullif(regexp_extract(field_content, '(?i)^[a-z]{{3}}\\s[a-z]{{1,3}}\\s[0-9]{{2}}\\s[0-9]{{4}}\\s[0-9]{{2}}:[0-9]{{2}}[AP]M', 0), '') AS stamp
     FROM varfield WHERE varfield_type_code = 'm') q
   WHERE transit_from IS NOT NULL OR stamp IS NOT NULL)""")])
