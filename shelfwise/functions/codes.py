@@ -31,7 +31,6 @@ HOLD_STATUS_TEXT = {
     "t": "in transit to pickup location",
 }
 CIRC_OPS = ["o", "i", "f"]
-OP_LABEL = {"o": "check-out", "i": "check-in"}
 
 # Presentation prefixes are configuration, not logic; override per deployment.
 CATALOG_URL_PREFIX = "https://catalog.example.org/Record/"

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
-import os
 import time
 
 from pyspark.sql import SparkSession
 
 from shelfwise.operators import extract, marts
-from shelfwise.plans import pipeline, publish, telemetry
+from shelfwise.plans import pipeline, publish, storage, telemetry
 from shelfwise.sources.adapter import SOURCE_NAMES
 from shelfwise.sources.tables import load_sources, read_parquet_sources
 
@@ -46,10 +45,10 @@ def main(argv: list[str] | None = None) -> dict:
         p.add_argument("--root", required=True)
         p.add_argument("--as-of", default=_dt.date.today().isoformat())
         p.add_argument("--workers", type=int, default=4)
+        p.add_argument("--telemetry")
+        p.add_argument("--run-id", type=int, default=int(time.time()))
         if name == "rebuild":
-            p.add_argument("--buckets", type=int, default=0)
-            p.add_argument("--telemetry")
-            p.add_argument("--run-id", type=int, default=int(time.time()))
+            p.add_argument("--sample", type=int, help="keep only the first rows of each table")
     p = sub.add_parser("marts")
     p.add_argument("--root", required=True)
     p.add_argument("--out", required=True)
@@ -64,14 +63,13 @@ def main(argv: list[str] | None = None) -> dict:
         out = pipeline.land_sources(spark, load_sources(spark, a.sf_dir), a.out)
         return {"stats": out["stats"]}
     if a.cmd in ("rebuild", "incremental"):
-        os.makedirs(a.root, exist_ok=True)
         src = read_parquet_sources(spark, a.sources, SOURCE_NAMES)
         as_of = _dt.date.fromisoformat(a.as_of)
+        tm = telemetry.Telemetry(spark, a.telemetry) if a.telemetry else None
         if a.cmd == "rebuild":
-            tm = telemetry.Telemetry(spark, a.telemetry) if a.telemetry else None
             return pipeline.rebuild(spark, src, a.root, as_of, telemetry=tm, run_id=a.run_id,
-                                    workers=a.workers, buckets=a.buckets or None)
-        return pipeline.incremental(spark, src, a.root, as_of, workers=a.workers)
+                                    workers=a.workers, sample=a.sample)
+        return pipeline.incremental(spark, src, a.root, as_of, workers=a.workers, telemetry=tm, run_id=a.run_id)
     if a.cmd == "marts":
         base = publish.read_snapshot(spark, a.root, BASE_NAMES)
         as_of = _dt.date.fromisoformat(a.as_of)
@@ -80,7 +78,7 @@ def main(argv: list[str] | None = None) -> dict:
         for mid, (name, fn) in marts.MARTS.items():
             if wanted and mid not in wanted and name not in wanted:
                 continue
-            written[name] = publish.write_table(fn(base, as_of), os.path.join(a.out, name))
+            written[name] = publish.write_table(fn(base, as_of), storage.join(a.out, name))
         return {"marts": written}
     run, stage = telemetry.Telemetry(spark, a.telemetry).tables()
     totals, per_run = telemetry.run_report(run, stage)

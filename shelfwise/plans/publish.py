@@ -1,72 +1,51 @@
 """Sinks and write modes (K01-K08): staged build, atomic publish, upsert, exports.
 
-A snapshot is a folder of parquet tables.  A build writes every table into a
-fresh staging folder; only when all succeed is the ``CURRENT`` pointer file
-replaced (write-to-temp then ``os.replace``), so readers always see either the
-old or the new snapshot, never a mix.  Failed builds leave the live snapshot
-untouched.  Paths must be on the shared filesystem of the cluster.
+A snapshot is a set of parquet tables.  A build writes tables into a fresh
+staging folder; only when all succeed does a new ``CURRENT`` file, a manifest
+of table -> path, replace the old one by rename, so readers always see either
+the old or the new snapshot, never a mix.  Failed builds leave the live
+snapshot untouched.  A build that renews some tables carries the others over
+by their paths.  All paths are on the cluster's storage (any Hadoop URI).
+
+Tables are stored as plain parquet, not bucketed: joins on a hot title then
+pass a shuffle, whose partitions can be split at run time.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.plans import storage
+
 POINTER = "CURRENT"
 
 
-def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=None,
-                bucket_by: tuple[str, int] | None = None) -> int:
+def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=None) -> int:
     """Write one table and return its row count from the same job.
 
     The count is an ``Observation`` metric collected while writing, not a
-    second pass over the data.  ``bucket_by=(column, n)`` writes the files
-    hash-bucketed and sorted on ``column`` (a transient external catalog entry
-    is created for the write and dropped again; the files stay), so readers
-    that register the same bucket spec join on that column without a shuffle.
+    second pass over the data.
     """
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if bucket_by is None:
-        writer.parquet(path)
-    else:
-        col, n = bucket_by
-        name = f"shelfwise_write_{uuid.uuid4().hex[:12]}"
-        writer.bucketBy(n, col).sortBy(col).format("parquet").option("path", path).saveAsTable(name)
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    writer.parquet(path)
     return int(obs.get["rows"])
 
 
-BUCKET_MANIFEST = "_buckets.json"
-
-
-def write_bucket_manifest(build: str, spec: dict[str, tuple[str, int]]) -> None:
-    with open(os.path.join(build, BUCKET_MANIFEST), "w") as fh:
-        json.dump({k: [c, n] for k, (c, n) in spec.items()}, fh)
-
-
-def read_bucket_manifest(build: str) -> dict[str, tuple[str, int]]:
-    path = os.path.join(build, BUCKET_MANIFEST)
-    if not os.path.exists(path):
-        return {}
-    with open(path) as fh:
-        return {k: (c, int(n)) for k, (c, n) in json.load(fh).items()}
+def _iso_time(c):
+    """ISO text of a timestamp; microseconds only where there are any, as Python's isoformat."""
+    return F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
+        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
-def _bucketed_table(spark: SparkSession, path: str, build_id: str, name: str, col: str, n: int) -> DataFrame:
-    """Register an external table over bucketed files with their bucket spec and read it."""
-    table = f"shelfwise_{build_id[:16]}_{name}"
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
-              f"CLUSTERED BY (`{col}`) SORTED BY (`{col}`) INTO {n} BUCKETS LOCATION '{path}'")
-    return spark.table(table)
+_KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def encode_for_text(df: DataFrame) -> DataFrame:
@@ -75,71 +54,59 @@ def encode_for_text(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
-            c = F.to_json(c)
+            c = F.to_json(c, _KEEP_NULLS)
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, T.TimestampType):
-            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+            c = _iso_time(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
-def new_staging(root: str) -> str:
+def new_staging(spark: SparkSession, root: str) -> str:
     """A fresh build folder under ``root`` (never reused, never cleared)."""
-    path = os.path.join(root, "builds", uuid.uuid4().hex)
-    os.makedirs(path, exist_ok=False)
+    path = storage.join(root, "builds", uuid.uuid4().hex)
+    storage.make_dirs(spark, path)
     return path
 
 
-def publish(root: str, build_path: str) -> None:
-    """Atomically point ``root/CURRENT`` at a completed build."""
-    tmp = os.path.join(root, f".{POINTER}.{uuid.uuid4().hex}")
-    with open(tmp, "w") as fh:
-        fh.write(build_path)
-    os.replace(tmp, os.path.join(root, POINTER))
+def publish(spark: SparkSession, root: str, tables: dict[str, str]) -> None:
+    """Atomically make ``tables`` (name -> path) the snapshot of ``root``."""
+    storage.replace_text(spark, storage.join(root, POINTER), json.dumps({"tables": tables}, sort_keys=True))
 
 
-def current(root: str) -> str | None:
-    p = os.path.join(root, POINTER)
-    if not os.path.exists(p):
-        return None
-    with open(p) as fh:
-        return fh.read().strip()
+def current(spark: SparkSession, root: str) -> dict[str, str]:
+    """Tables of the published snapshot (name -> path); empty before the first publish."""
+    pointer = storage.join(root, POINTER)
+    if not storage.exists(spark, pointer):
+        return {}
+    return json.loads(storage.read_text(spark, pointer))["tables"]
 
 
-def read_snapshot(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    snap = current(root)
-    if snap is None:
+def read_snapshot(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
+    """The snapshot's tables, all or the named ones."""
+    live = current(spark, root)
+    if not live:
         raise FileNotFoundError(f"no published snapshot under {root}")
-    buckets = read_bucket_manifest(snap)
-    out = {}
-    for n in names:
-        path = os.path.join(snap, n)
-        if n in buckets:
-            out[n] = _bucketed_table(spark, path, os.path.basename(snap), n, *buckets[n])
-        else:
-            out[n] = spark.read.parquet(path)
-    return out
+    return {n: spark.read.parquet(live[n]) for n in (names or sorted(live))}
 
 
 def upsert(existing: DataFrame, delta: DataFrame, key: str | list[str], order_col: str | None = None,
            deleted_keys: DataFrame | None = None) -> DataFrame:
-    """Replace-by-key upsert (last delta row per key wins), optional deletes.
+    """The rows of a key are replaced by those the delta has for it; optional deletes.
 
-    ``existing`` minus keys present in the delta (left anti join, shuffled on the
-    key), plus the delta de-duplicated by key; keys listed in ``deleted_keys``
-    are removed from the result.
+    A key may have several rows (an item linked to two titles, a volume that
+    spans two): all rows of the delta count, or with ``order_col`` all rows of
+    a key's newest version.  Keys listed in ``deleted_keys`` are removed.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if order_col is not None:
-        latest = delta.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in delta.columns]), F.col(order_col)).alias("r"))
-        delta = latest.select("r.*")
-    else:
-        delta = delta.dropDuplicates(keys)
-    out = existing.join(delta.select(*keys), keys, "left_anti").unionByName(delta)
+        newest = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last())
+        delta = delta.withColumn("_version", F.rank().over(newest)).filter("_version = 1").drop("_version")
+    out = existing.join(delta.select(*keys).distinct(), keys, "left_anti").unionByName(delta)
     if deleted_keys is not None:
         out = out.join(deleted_keys.select(*keys), keys, "left_anti")
-    return out
+    return out.select(*existing.columns)
 
 
 def export_csv(df: DataFrame, path: str, columns: list[str], sep: str = "|", quote_all: bool = True) -> None:
@@ -207,7 +174,7 @@ def export_nonnumeric_quoted(df: DataFrame, path: str, columns: list[str], sep:
         elif isinstance(t, T.BooleanType):
             text = F.when(c, F.lit("True")).otherwise(F.lit("False"))
         elif isinstance(t, (T.ArrayType, T.StructType, T.MapType)):
-            text = quoted(F.to_json(c))
+            text = quoted(F.to_json(c, _KEEP_NULLS))
         elif isinstance(t, T.DateType):
             text = quoted(F.date_format(c, "yyyy-MM-dd"))
         else:

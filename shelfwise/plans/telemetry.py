@@ -8,14 +8,17 @@ tiny, the reports are ordinary aggregations.
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import threading
+import time
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.plans import storage
+
 RUN_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType(), False), T.StructField("started_at", T.StringType(), False),
+    T.StructField("id", T.LongType(), False), T.StructField("started_at", T.StringType()),
     T.StructField("completed_at", T.StringType()), T.StructField("total_elapsed_seconds", T.DoubleType()),
     T.StructField("success", T.IntegerType(), False), T.StructField("event_seq", T.LongType(), False),
 ])
@@ -31,16 +34,15 @@ class Telemetry:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-        self._seq = 0
+        self._one = threading.Lock()  # appends to a folder share its temporary files
 
     def _append(self, name: str, rows, schema) -> None:
-        self.spark.createDataFrame(rows, schema).write.mode("append").parquet(os.path.join(self.root, name))
+        with self._one:
+            self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(storage.join(self.root, name))
 
     def start_run(self, run_id: int, started_at: str | None = None) -> None:
         started_at = started_at or _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
-        self._started = started_at
-        self._seq += 1
-        self._append("run", [(run_id, started_at, None, None, 0, self._seq)], RUN_SCHEMA)
+        self._append("run", [(run_id, started_at, None, None, 0, time.time_ns())], RUN_SCHEMA)
 
     def record_stage(self, run_id: int, stage_id: int, stage: str, rows: int | None, elapsed: float) -> None:
         rate = (rows / elapsed) if rows and elapsed > 0 else None
@@ -48,21 +50,22 @@ class Telemetry:
 
     def finish_run(self, run_id: int, success: bool, elapsed: float, completed_at: str | None = None) -> None:
         completed_at = completed_at or _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
-        self._seq += 1
-        self._append("run", [(run_id, self._started, completed_at, float(elapsed), int(success), self._seq)],
-                     RUN_SCHEMA)
+        # When it started is in its start event, which another process may have written.
+        self._append("run", [(run_id, None, completed_at, float(elapsed), int(success), time.time_ns())], RUN_SCHEMA)
 
     def tables(self) -> tuple[DataFrame, DataFrame]:
-        run = self.spark.read.parquet(os.path.join(self.root, "run"))
-        stage = self.spark.read.parquet(os.path.join(self.root, "stage"))
+        run = self.spark.read.parquet(storage.join(self.root, "run"))
+        stage = self.spark.read.parquet(storage.join(self.root, "stage"))
         return latest_runs(run), stage
 
 
 def latest_runs(run_events: DataFrame) -> DataFrame:
-    """Current state of each run: its latest event."""
-    w = Window.partitionBy("id").orderBy(F.desc("event_seq"))
-    return (run_events.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .drop("_rn", "event_seq"))
+    """Current state of each run: its latest event, with the start of its first."""
+    state = ["completed_at", "total_elapsed_seconds", "success"]
+    return (run_events.groupBy("id").agg(F.min_by("started_at", F.when(F.col("started_at").isNotNull(), F.col("event_seq")))
+                                         .alias("started_at"),
+                                         F.max_by(F.struct(*state), "event_seq").alias("last"))
+            .select("id", "started_at", "last.*"))
 
 
 def stage_summary(run: DataFrame, stage: DataFrame) -> DataFrame:

@@ -24,24 +24,6 @@ DEFAULT_CONF = {
 }
 
 
-# Starting point for a large cluster (tune per workload): AQE sizes the reduce side
-# from the advisory partition size and splits skewed join partitions; scans split
-# files into 256 MiB tasks.  shuffle.partitions is an upper bound AQE coalesces from.
-def cluster_conf(total_cores: int) -> dict[str, str]:
-    return {
-        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
-        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-        "spark.sql.session.timeZone": "UTC",
-    }
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "shelfwise", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

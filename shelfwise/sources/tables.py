@@ -90,4 +90,6 @@ def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
     A top-k (TakeOrderedAndProject): every partition keeps its own n smallest,
     only those reach the final merge.
     """
-    return df.orderBy(F.col(key)).limit(n)
+    others = [F.col(f"`{f.name}`") for f in df.schema.fields
+              if f.name != key and not isinstance(f.dataType, T.MapType)]
+    return df.orderBy(F.col(key), *others).limit(n)

@@ -13,14 +13,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import codes
-from shelfwise.plans import publish
+from shelfwise.plans import publish, storage
 
 
 def start_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, root: str, table: str,
@@ -28,14 +26,11 @@ def start_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType,
     """Merge every new landing file into ``root``'s snapshot table ``table`` by ``key``."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        live = publish.current(root)
-        build = publish.new_staging(root)
-        if live is not None and os.path.exists(os.path.join(live, table)):
-            merged = publish.upsert(spark.read.parquet(os.path.join(live, table)), batch, key, order_col)
-        else:
-            merged = publish.upsert(batch.limit(0), batch, key, order_col)
-        publish.write_table(merged, os.path.join(build, table))
-        publish.publish(root, build)
+        live = publish.current(spark, root)
+        existing = spark.read.parquet(live[table]) if table in live else batch.limit(0)
+        path = storage.join(publish.new_staging(spark, root), table)
+        publish.write_table(publish.upsert(existing, batch, key, order_col), path)
+        publish.publish(spark, root, {**live, table: path})  # the other tables stay as they are
 
     stream = spark.readStream.schema(schema).parquet(landing)
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

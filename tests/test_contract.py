@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shelfwise.plans import registry
 from tests.conftest import SF_SMALL
 from tools.check_oracle import TABLES, rows_of
 
@@ -20,9 +21,9 @@ def test_entry_smoke(spark):
     assert "sum_price" in df.columns
 
 
-def test_every_query_has_an_oracle_except_sampling():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing <= {"R10_random_active_items"}
+def test_every_library_query_has_an_oracle():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.plans import publish, telemetry
+from shelfwise.plans import publish, storage, telemetry
 
 
 def test_upsert_replaces_by_key_and_deletes(spark):
@@ -23,24 +23,44 @@ def test_write_table_counts_in_same_job(spark, scratch):
     assert publish.write_table(df, os.path.join(scratch, "t")) == 1234
 
 
-def test_publish_swap_and_failed_build_keeps_live(spark, scratch):
-    root = os.path.join(scratch, "snap")
-    os.makedirs(root)
-    b1 = publish.new_staging(root)
-    publish.write_table(spark.range(3), os.path.join(b1, "t"))
-    publish.publish(root, b1)
-    assert publish.current(root) == b1
-    b2 = publish.new_staging(root)
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_publish_swap_and_failed_build_keeps_live(spark, scratch, scheme):
+    root = scheme + os.path.join(scratch, "snap")
+    assert publish.current(spark, root) == {}
+    b1 = storage.join(publish.new_staging(spark, root), "t")
+    publish.write_table(spark.range(3), b1)
+    publish.publish(spark, root, {"t": b1})
+    assert publish.current(spark, root) == {"t": b1}
+    b2 = storage.join(publish.new_staging(spark, root), "t")
     with pytest.raises(Exception):
-        publish.write_table(spark.range(3).select(F.raise_error(F.lit("boom"))), os.path.join(b2, "t"))
-    assert publish.current(root) == b1            # failed build never published
-    assert publish.read_snapshot(spark, root, ["t"])["t"].count() == 3
+        publish.write_table(spark.range(3).select(F.raise_error(F.lit("boom"))), b2)
+    assert publish.current(spark, root) == {"t": b1}            # failed build never published
+    before = {t.name for t in spark.catalog.listTables()}
+    assert publish.read_snapshot(spark, root)["t"].count() == 3
+    assert {t.name for t in spark.catalog.listTables()} == before
+    publish.publish(spark, root, {"t": b2})
+    assert publish.current(spark, root) == {"t": b2}            # an existing pointer is replaced
+
+
+def test_upsert_keeps_all_rows_of_a_key(spark):
+    # An item linked to two titles has two rows; a repeated version is replaced as a whole.
+    item = spark.createDataFrame([(1, 10, 0), (1, 11, 0), (2, 10, 0)], ["id", "bib", "ts"])
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(publish.upsert(item, item, "id")) == rows(item)
+    delta = spark.createDataFrame([(1, 12, 1), (1, 13, 2), (1, 14, 2)], ["id", "bib", "ts"])
+    assert rows(publish.upsert(item, delta, "id", order_col="ts")) == [(1, 13, 2), (1, 14, 2), (2, 10, 0)]
+    assert rows(publish.upsert(item, delta.limit(0), "id")) == rows(item)
 
 
 def test_encode_for_text(spark):
-    df = spark.createDataFrame([(["a", None], {"k": 1})], "arr array<string>, m map<string,int>")
-    row = publish.encode_for_text(df.withColumn("d", F.lit("2024-01-02").cast("date"))).first()
+    df = spark.createDataFrame([(["a", None], {"k": 1}, (1, None))], "arr array<string>, m map<string,int>, s struct<a:int,b:int>")
+    df = df.withColumn("d", F.lit("2024-01-02").cast("date"))
+    df = df.withColumn("t", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    df = df.withColumn("u", F.lit("2024-01-02 03:04:05.12").cast("timestamp"))
+    row = publish.encode_for_text(df).first()
     assert row["arr"] == '["a",null]' and row["m"] == '{"k":1}' and row["d"] == "2024-01-02"
+    assert row["s"] == '{"a":1,"b":null}'
+    assert row["t"] == "2024-01-02T03:04:05" and row["u"] == "2024-01-02T03:04:05.120000"
 
 
 def test_telemetry_views(spark, scratch):
@@ -58,6 +78,9 @@ def test_telemetry_views(spark, scratch):
     assert summary["item"]["avg_rows"] == 0.0
     labels = {r["id"]: r["result"] for r in telemetry.recent_runs(run).collect()}
     assert labels == {1: "success", 2: "failed"}
+    telemetry.Telemetry(spark, scratch).finish_run(1, True, 6.0, "2024-01-01T00:02:00")  # by another process
+    again = {r["id"]: r for r in tm.tables()[0].collect()}[1]
+    assert again["started_at"] == "2024-01-01T00:00:00" and again["completed_at"] == "2024-01-01T00:02:00"
     totals, per_run = telemetry.run_report(run, stage)
     assert tuple(totals.first()) == (2, 1)
     fail = telemetry.failure_analysis(run, stage).collect()
