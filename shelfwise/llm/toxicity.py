@@ -38,6 +38,8 @@ from shelfwise.llm.common import Words, slices, written
 EXAMPLES = 4096
 #: Terms kept at most, and the least chi-square that a term needs.
 TERMS, CHI_SQUARE = 512, 20.0
+#: Toxic examples that must hold a term: so many, and such a share (a few copies of one text are no evidence).
+LEAST_HOLDERS, LEAST_SHARE = 3, 0.005
 STEMS = (4, 5, 6)
 K = 15
 BLOCK = 64
@@ -104,6 +106,7 @@ def _telling_terms(sample: DataFrame, counts: dict[int, int]) -> list[str]:
     chi = (n[0] + n[1]) * (a * d - b * c) ** 2 / ((a + b) * F.greatest(c + d, F.lit(1.0)) * max(n[0], 1) * max(n[1], 1))
     found = (sample.select("toxic", "text").mapInArrow(count, "term string, clean long, toxic long")
              .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+             .filter(F.col("toxic") >= max(LEAST_HOLDERS, LEAST_SHARE * n[1]))
              .withColumn("chi", chi).filter((F.col("chi") >= CHI_SQUARE) & (a * d > b * c)))
     return [r["term"] for r in found.orderBy(F.col("chi").desc(), "term").limit(TERMS).select("term").collect()]
 
@@ -139,6 +142,20 @@ def _term_counts(docs: DataFrame, terms: list[str], carry: list[str], text_col:
     return docs.mapInArrow(run, schema)
 
 
+def _document_frequency(bags: DataFrame, n_terms: int) -> dict[int, int]:
+    """Documents that hold each term; a task gives one row per term."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            seen += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=n_terms)
+        held = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(seen[held])], ["term", "n"])
+
+    counted = bags.mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return {r["term"]: r["n"] for r in counted.collect()}
+
+
 def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Unit TF-IDF weights of one text's terms."""
     w = (1 + np.log(counts)) * idf[terms]
@@ -294,7 +311,7 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
 
     kept = [id_col, *(c for c in carry if c != id_col)]
     bags = written(_term_counts(docs, terms, kept, text_col), "toxicity-bags")
-    frequency = {r["term"]: r["count"] for r in bags.select(F.explode("terms").alias("term")).groupBy("term").count().collect()}
+    frequency = _document_frequency(bags.select("terms"), len(terms))
     learned = _term_counts(sample, terms, ["id", "toxic"]).collect()  # at most 2 * examples rows
     model = spark.sparkContext.broadcast(_model(learned, counts, frequency, bags.count(), len(terms), k))
     evidence = T.ArrayType(T.StructType([T.StructField("id", bags.schema[id_col].dataType), T.StructField("cosine", T.DoubleType()),
