@@ -17,7 +17,7 @@ from shelfwise.llm.common import checkpointed
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -26,8 +26,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return onward.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node leads to one root, and no root leads on (edges are distinct, from a to a smaller b)."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("leads"), F.lit(0).alias("led")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    wrong = ends.groupBy("n").agg(F.sum("leads").alias("leads"), F.max("led").alias("led")).filter(
+        "leads > 1 or (leads = 1 and led = 1)")
+    return wrong.isEmpty()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -37,10 +42,6 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     edges = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                          .distinct())
-    state = _state(edges)
-    while state[0]:
+    while not _are_stars(edges):
         edges = checkpointed(_small_star(_large_star(edges)))
-        state, before = _state(edges), state
-        if state == before:
-            break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -56,7 +56,7 @@ TILE = 1024
 #: Ratio of the set sizes that share one number of parts, and parts made for each that may be needed.
 STEP, SPARE = 1.2, 1.3
 #: Parts that a reduce task merges, about.
-PARTS_PER_BUCKET = 500_000
+PARTS_PER_BUCKET = 2_000_000
 #: Pieces in which sketches are merged.
 SEGMENTS = 64
 #: Pairs of nodes that are expanded at once.
@@ -290,7 +290,7 @@ class CountTree:
 
 
 def links(sets: list[np.ndarray], similarity, classes: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of places that link sets of different classes, as many as connect them all."""
+    """(place, least place of its class) for the sets whose classes links join."""
     root = list(range(len(sets)))
     first: dict[int, int] = {}
     for i, c in enumerate(classes.tolist()):
@@ -301,7 +301,7 @@ def links(sets: list[np.ndarray], similarity, classes: np.ndarray) -> list[tuple
             root[i] = i = root[root[i]]
         return i
 
-    found = []
+    before = list(root)
     for a, b in CountTree(sets).pairs(similarity):
         now = np.array([find(i) for i in range(len(sets))])
         apart = now[a] != now[b]
@@ -316,8 +316,7 @@ def links(sets: list[np.ndarray], similarity, classes: np.ndarray) -> list[tuple
             at[at == len(t)] = 0
             if int((t[at] == s).sum()) >= need:
                 root[max(x, y)] = min(x, y)
-                found.append((i, j))
-    return found
+    return [(i, find(i)) for i in range(len(sets)) if find(i) != before[i]]
 
 
 _ORDER = ["block", "low", "high"]
@@ -443,7 +442,8 @@ def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIM
     buckets = max(4, int(total * per_shingle) // PARTS_PER_BUCKET)
     edges = _candidate_edges(texts.filter("id is not null"), size, similarity, buckets, common)
     rep_of = known.select(F.col("id").alias("a"), F.col("rep").alias("rep_a"))
-    edges = (edges.join(rep_of, "a").join(rep_of.toDF("b", "rep_b"), "b")
+    # A pair of near-duplicates shares many parts, in several buckets.
+    edges = (edges.distinct().join(rep_of, "a").join(rep_of.toDF("b", "rep_b"), "b")
              .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).filter("a <> b").distinct())
     blocks = checkpointed(connected(edges))
     member = blocks.union(blocks.select("root", "root").distinct()).select(F.col("node").alias("rep"), F.col("root").alias("block"))
