@@ -255,3 +255,44 @@ FROM (
       nullif(regexp_extract(field_content, '(?i)^[a-z]{{3}}\\s[a-z]{{1,3}}\\s[0-9]{{2}}\\s[0-9]{{4}}\\s[0-9]{{2}}:[0-9]{{2}}[AP]M', 0), '') AS stamp
     FROM varfield WHERE varfield_type_code = 'm') q
   WHERE transit_from IS NOT NULL OR stamp IS NOT NULL)""")])
+
+
+# ----------------------------------------------------------------- S04, S07, K02, K04: the daily run's parts
+from shelfwise.operators import extract as X  # noqa: E402
+from shelfwise.plans import pipeline, publish  # noqa: E402
+
+CHANGED_SINCE = "2023-12-15"
+_SINCE = context.AS_OF.__class__.fromisoformat(CHANGED_SINCE)
+
+register("S04_changed_bibs", lambda spark, sf: X.bib(context.sources(spark, sf), _SINCE), f"""
+SELECT b.* FROM x_bib b
+WHERE b.bib_record_id IN (SELECT id FROM record_metadata WHERE record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}')""")
+register("S04_changed_items", lambda spark, sf: X.item(context.sources(spark, sf), _SINCE), f"""
+SELECT i.* FROM x_item i
+WHERE i.item_record_id IN (SELECT id FROM record_metadata WHERE record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}')""")
+register("S04_changed_volumes", lambda spark, sf: X.volume_record(context.sources(spark, sf), _SINCE), f"""
+SELECT v.* FROM x_volume_record v
+WHERE v.volume_record_id IN (SELECT id FROM record_metadata WHERE record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}')""")
+register("S07_watermark", lambda spark, sf: pipeline.watermark_table(context.base(spark, sf)["record_metadata"]), """
+SELECT CAST(DATE '1970-01-01' + CAST(max(record_last_updated_julianday) - 2440588 - 1 AS INTEGER) AS DATE) AS since
+FROM x_record_metadata""")
+
+_LISTS = ("control_numbers", "isbn_values", "indexed_subjects", "genres", "item_types")
+register("K02_text_encoding", lambda spark, sf: publish.encode_for_text(context.base(spark, sf)["bib"]), f"""
+SELECT bib_record_num, bib_record_id, best_author, best_title, publisher, publish_year, bib_level_callnumber,
+  {", ".join(f"to_json({c})::VARCHAR AS {c}" for c in _LISTS)}, strftime(cataloging_date, '%Y-%m-%d') AS cataloging_date
+FROM x_bib""")
+
+
+def _upserted_items(spark, sf_dir):
+    """Items with the rows of changed records renewed (one more checkout) and withdrawn ones deleted."""
+    item = context.base(spark, sf_dir)["item"]
+    delta = X.item(context.sources(spark, sf_dir), _SINCE).withColumn("checkout_total", F.col("checkout_total") + 1)
+    gone = item.filter("item_status_code = 'w'").select("item_record_id")
+    return publish.upsert(item, delta, "item_record_id", deleted_keys=gone)
+
+
+register("K04_upsert_item", _upserted_items, f"""
+SELECT i.* REPLACE (i.checkout_total + if(m.record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}', 1, 0) AS checkout_total)
+FROM x_item i JOIN record_metadata m ON m.id = i.item_record_id
+WHERE i.item_record_id NOT IN (SELECT item_record_id FROM x_item WHERE item_status_code = 'w')""")
