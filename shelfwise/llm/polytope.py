@@ -143,6 +143,9 @@ def _forest(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _join_rows(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """(id, links, root) of rows sorted by (label, key, tile pair), for whole buckets."""
+    lengths = pdf["unit"].map(len)
+    if (lengths != lengths.iloc[0]).any():  # buckets of different spaces
+        return pd.concat([_join_rows(part.reset_index(drop=True), threshold) for _, part in pdf.groupby(lengths)])
     unit = np.stack(pdf["unit"].to_numpy())
     keys = np.stack(pdf["keys"].to_numpy())
     found = _Found(pdf["rep"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), keys)
