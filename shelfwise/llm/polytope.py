@@ -83,6 +83,13 @@ def signatures(unit: np.ndarray, tables: int = TABLES, width: int = WIDTH, probe
     return out
 
 
+def unit_vectors(vectors: pd.Series) -> np.ndarray:
+    """Vectors of one length and none of them zero, scaled to length 1 in double precision."""
+    x = np.stack(vectors.to_numpy()).astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)  # so that squares neither overflow nor vanish
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
 def bucket_keys(unit: np.ndarray, **options) -> np.ndarray:
     """(vectors, tables * probes): 64-bit keys of all buckets of a vector, ascending."""
     sig = signatures(unit, **options)
@@ -143,10 +150,10 @@ def _forest(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _join_rows(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """(id, links, root) of rows sorted by (label, key, tile pair), for whole buckets."""
-    lengths = pdf["unit"].map(len)
+    lengths = pdf["vector"].map(len)
     if (lengths != lengths.iloc[0]).any():  # buckets of different spaces
         return pd.concat([_join_rows(part.reset_index(drop=True), threshold) for _, part in pdf.groupby(lengths)])
-    unit = np.stack(pdf["unit"].to_numpy())
+    unit = unit_vectors(pdf["vector"])
     keys = np.stack(pdf["keys"].to_numpy())
     found = _Found(pdf["rep"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), keys)
     bucket, own = pdf["key"].to_numpy(np.int64), pdf["tile"].to_numpy(np.int64)
@@ -181,7 +188,8 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
          label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each vector."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
-                          F.col(vector_col).cast("array<double>").alias("vector"))
+                          F.col(vector_col).alias("vector"))
+    element = rows.schema["vector"].dataType.elementType.simpleString()
     rows = rows.groupBy("id").agg(F.min(F.struct("label", "vector")).alias("row")).select("id", "row.*")
     fit = (F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull()
            & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -194,27 +202,32 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
             for dim, part in pdf.groupby(pdf["vector"].map(len)):
                 for i in range(0, len(part), 2000):
                     some = part.iloc[i:i + 2000]
-                    x = np.stack(some["vector"].to_numpy()).astype(float)
-                    x = x / np.abs(x).max(1, keepdims=True)  # so that squares neither overflow nor vanish
-                    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
-                    keys = bucket_keys(unit, tables=tables, width=width, probes=probes, seed=seed)
+                    keys = bucket_keys(unit_vectors(some["vector"]), tables=tables, width=width, probes=probes, seed=seed)
                     # Vectors of other lengths are other spaces.
                     yield pd.DataFrame({"label": some["label"], "dim": int(dim), "rep": some["rep"],
-                                        "copies": some["copies"], "unit": list(unit), "keys": list(keys)})
+                                        "copies": some["copies"], "vector": some["vector"], "keys": list(keys)})
 
     hashed = checkpointed(equal.mapInPandas(
-        hash_rows, "label long, dim int, rep long, copies long, unit array<double>, keys array<long>"))
+        hash_rows, f"label long, dim int, rep long, copies long, vector array<{element}>, keys array<long>"))
     # A label number for each (label, length), so that one column tells spaces apart.
     hashed = hashed.withColumn("label", F.xxhash64("label", "dim"))
-    place = hashed.withColumn("key", F.explode("keys"))
-    large = (place.groupBy("label", "key").count().filter(F.col("count") > TILE)
-             .select("label", "key", F.ceil(F.col("count") / TILE).alias("tiles")))
-    tiled = (place.join(large, ["label", "key"], "left").fillna(1, ["tiles"])
+    # Large buckets are found, and noted with their vectors, by keys alone.
+    place = hashed.select("label", "rep", F.explode("keys").alias("key"))
+    large = checkpointed(place.groupBy("label", "key").count().filter(F.col("count") > TILE)
+                         .select("label", "key", F.ceil(F.col("count") / TILE).alias("tiles")))
+    if large.isEmpty():
+        noted = hashed.withColumn("tiles_of", F.create_map().cast("map<bigint,bigint>"))
+    else:
+        held = place.join(large, ["label", "key"]).groupBy("rep").agg(
+            F.map_from_entries(F.collect_list(F.struct("key", "tiles"))).alias("tiles_of"))
+        noted = hashed.join(held, "rep", "left")
+    tiled = (noted.withColumn("key", F.explode("keys"))
+             .withColumn("tiles", F.coalesce(F.col("tiles_of")[F.col("key")], F.lit(1).cast("long")))
              .withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
              .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")}))
     order = ["label", "key", "low", "high"]
-    tiled = tiled.select(*order, "tile", "rep", "copies", "unit", "keys").repartition(*order)
+    tiled = tiled.select(*order, "tile", "rep", "copies", "vector", "keys").repartition(*order)
     tiled = tiled.sortWithinPartitions(*order, "rep")
 
     def join_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -76,6 +76,28 @@ def op7_polytope_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polytope.link(_table(spark, sf_dir, "embeddings"))
 
 
+#: Components of ``pairs`` (a, b), both ways: the least id that each id reaches.
+_REACH = """reach(a, b) AS (
+  SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b)"""
+
+OP7_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+pairs AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM unit x JOIN unit y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_sum(list_transform(list_zip(x.e, y.e), lambda p: p[1] * p[2])) / (x.norm * y.norm) >= 0.93),
+{_REACH},
+links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a),
+roots AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN links ON links.a = vec_id LEFT JOIN roots ON roots.a = vec_id"""
+
+
 # ------------------------------------------------------------------ 8: line dedup
 def op8_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -142,6 +164,27 @@ def op10_ngram_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.classes(_table(spark, sf_dir, "documents"), size=3, similarity=(9, 10))
 
 
+OP10_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN w ELSE w[k:k + 2] END AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS k FROM w WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+pairs AS (
+  SELECT a, b FROM shared JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
+  WHERE 100 * shared.n >= 90 * (sa.n + sb.n - shared.n)),
+{_REACH},
+roots AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(roots.root, w.doc_id) AS component_id
+FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON roots.a = w.doc_id"""
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_topk": op2_exact_topk,
@@ -155,6 +198,8 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
+    "op7_polytope_dedup": OP7_SQL,
     "op8_bloom_line_dedup": OP8_SQL,
     "op9_url_rules": OP9_SQL,
+    "op10_ngram_classes": OP10_SQL,
 }
