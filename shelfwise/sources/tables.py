@@ -31,9 +31,22 @@ def adapt(spark: SparkSession, driver: dict[str, DataFrame]) -> dict[str, DataFr
     return frames
 
 
+def check_item_numbers(lineitem: DataFrame) -> None:
+    """Raise unless the keys fit the bits that the adapter's item numbers give them."""
+    top = lineitem.agg(*[F.max(c).alias(c) for c in adapter.ITEM_KEY_LIMITS]).first().asDict()
+    over = {c: v for c, v in top.items() if v is not None and v >= adapter.ITEM_KEY_LIMITS[c]}
+    if over:
+        raise ValueError(f"test tables too large for the adapter's item numbers: {over}")
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Source schema (record_metadata, item_record, hold, circ_trans, ...) for ``sf_dir``."""
-    frames = adapt(spark, read_driver_tables(spark, sf_dir))
+    """Source schema (record_metadata, item_record, hold, circ_trans, ...) for ``sf_dir``.
+
+    Fails where the adapter's item numbers could collide, rather than give wrong rows.
+    """
+    driver = read_driver_tables(spark, sf_dir)
+    check_item_numbers(driver["lineitem"])
+    frames = adapt(spark, driver)
     return {n: frames[n] for n in adapter.SOURCE_NAMES}
 
 

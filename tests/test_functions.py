@@ -1,10 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import from_jd, jd_of, monday_before, plus_months_overflow, to_jd
 from shelfwise.functions.text import ISBN_PATTERN, ordered_values, truncate_ellipsis
 from shelfwise.operators.extract import parse_message
+from shelfwise.sources.tables import check_item_numbers
 
 
 def _one(spark, col):
@@ -61,3 +63,11 @@ def test_ordered_values_keeps_nulls_and_order(spark):
 def test_truncate_ellipsis(spark):
     assert _one(spark, truncate_ellipsis(F.lit("x" * 40), 37)) == "x" * 37 + "..."
     assert _one(spark, truncate_ellipsis(F.lit("short"), 37)) == "short"
+
+
+@pytest.mark.parametrize("column,value", [("l_partkey", 1 << 18), ("l_suppkey", 1 << 14), ("l_orderkey", 1 << 31)])
+def test_item_numbers_never_collide_silently(spark, column, value):
+    keys = {"l_orderkey": 5, "l_linenumber": 7, "l_partkey": (1 << 18) - 1, "l_suppkey": 3}
+    check_item_numbers(spark.createDataFrame([keys]))
+    with pytest.raises(ValueError):
+        check_item_numbers(spark.createDataFrame([keys | {column: value}]))
