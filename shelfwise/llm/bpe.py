@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import slices
+from shelfwise.llm.common import ship, slices
 
 #: Pieces remembered in a task between blocks.
 MEMO_PIECES = 150_000
@@ -191,7 +191,7 @@ class _Encoder:
 
 def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``docs`` with the token ids of ``text_col`` as an ``array<int>`` column ``out_col``."""
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(vocab_path))
     keep = [c for c in docs.columns if c.lower() != out_col.lower() or c == text_col]
     docs = docs.select(*[f"`{c}`" for c in keep])
@@ -213,7 +213,7 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text
 
 def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes of the ids of ``ids_col`` as a ``binary`` column ``out_col``."""
-    spark = df.sparkSession
+    spark = ship(df.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(vocab_path))
     keep = [c for c in df.columns if c.lower() != out_col.lower() or c == ids_col]
     df = df.select(*[f"`{c}`" for c in keep])

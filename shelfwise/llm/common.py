@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,24 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 M64 = (1 << 64) - 1
 
 
+# ------------------------------------------------------------------ code on the executors
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="llm-code-")) / f"{package.name}_code.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent).as_posix())
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 # ------------------------------------------------------------------ scratch tables
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a fresh one only where that is unset."""

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import mix, slices
+from shelfwise.llm.common import mix, ship, slices
 
 MIN_CHARS, MIN_DOCS = 20, 3
 FILTER_BITS = 1 << 26
@@ -74,6 +74,7 @@ def _hash_all(keys: list[bytes]) -> np.ndarray:
 def repeated_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS, id_col: str = "doc_id",
                     text_col: str = "text") -> np.ndarray:
     """The filter of keys that at least two rows hold (and some others, by chance)."""
+    ship(docs.sparkSession)
     size = bits // 8 // SEGMENTS
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

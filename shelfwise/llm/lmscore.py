@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (Words, bucket_bounds, chain, checkpointed, fingerprints, pack_sorted, planes,
-                                  slices, squeeze, unpack_sorted, unplanes, unsqueeze, written)
+                                  ship, slices, squeeze, unpack_sorted, unplanes, unsqueeze, written)
 
 ORDER = 2
 #: Weight of the shorter context, in counts.
@@ -193,6 +193,7 @@ def score(docs: DataFrame, is_training, order: int = ORDER, mu: float = MU, id_c
 
     ``is_training`` is a condition on the columns of ``docs``.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(is_training, F.lit(True)).alias("trains"),
                        F.col(text_col).cast("string").alias("text"))
     blocks = written(_blocks(rows), "lm-blocks")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (Words, bucket_bounds, chain, checkpointed, fingerprints, group_starts, mix,
-                                  pack_sorted, planes, slices, squeeze, unpack_sorted, unplanes, unsqueeze,
+                                  pack_sorted, planes, ship, slices, squeeze, unpack_sorted, unplanes, unsqueeze,
                                   whole_groups)
 from shelfwise.llm.components import connected
 
@@ -407,6 +407,7 @@ def _links_in_blocks(members: DataFrame, size: int, similarity) -> DataFrame:
 def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIMILARITY, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document; a class's id is its least doc_id."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

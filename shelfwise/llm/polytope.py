@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import checkpointed, mix
+from shelfwise.llm.common import checkpointed, mix, ship
 from shelfwise.llm.components import connected
 
 THRESHOLD = 0.93
@@ -187,6 +187,7 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
          probes: int = PROBES, seed: int = SEED, id_col: str = "vec_id", vector_col: str = "embedding",
          label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each vector."""
+    ship(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
                           F.col(vector_col).alias("vector"))
     element = rows.schema["vector"].dataType.elementType.simpleString()

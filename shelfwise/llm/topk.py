@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import checkpointed
+from shelfwise.llm.common import checkpointed, ship
 
 K = 10
 #: Vectors of a block of candidates, and of a block of queries.
@@ -115,6 +115,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
 
     ``is_query`` is a condition on the column ``id``.
     """
+    ship(vectors.sparkSession)
     fit = F.col("id").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.filter(fit).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import Words, slices, written
+from shelfwise.llm.common import Words, ship, slices, written
 
 #: Labelled rows of each label that are learned from at most.
 EXAMPLES = 4096
@@ -302,7 +302,7 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
     ``labels`` has doc_id and toxic; ``is_training`` is a condition on doc_id that its rows must meet.
     ``evidence``: the nearest examples (id, cosine, toxic), nearest first.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     learn = labels.filter(is_training).select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sample, counts = _sample(texts, learn, examples, seed)
