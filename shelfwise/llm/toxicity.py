@@ -38,14 +38,17 @@ from shelfwise.llm.common import Words, ship, slices, written
 EXAMPLES = 4096
 #: Terms kept at most, and the least chi-square that a term needs.
 TERMS, CHI_SQUARE = 512, 20.0
-#: Toxic examples that must hold a term: so many, and such a share (a few copies of one text are no evidence).
-LEAST_HOLDERS, LEAST_SHARE = 3, 0.005
+#: Least effect of a term: chi-square over the examples.  With many examples chance differences of common
+#: words, and the words of a few copies of one text, pass any fixed chi-square.
+EFFECT = 0.01
 STEMS = (4, 5, 6)
 K = 15
 BLOCK = 64
 #: A neighbour at distance d votes with weight (1 - d) ** NEARNESS; the prior has a weight of its own.
 NEARNESS, PRIOR_WEIGHT = 2.0, 0.5
 SEED = 11
+#: Rows that a task scores, about, where they carry no texts.
+ROWS_PER_TASK = 5_000
 #: Text bytes of which the words are held at once.
 AT_ONCE = 8 << 20
 
@@ -106,8 +109,7 @@ def _telling_terms(sample: DataFrame, counts: dict[int, int]) -> list[str]:
     chi = (n[0] + n[1]) * (a * d - b * c) ** 2 / ((a + b) * F.greatest(c + d, F.lit(1.0)) * max(n[0], 1) * max(n[1], 1))
     found = (sample.select("toxic", "text").mapInArrow(count, "term string, clean long, toxic long")
              .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-             .filter(F.col("toxic") >= max(LEAST_HOLDERS, LEAST_SHARE * n[1]))
-             .withColumn("chi", chi).filter((F.col("chi") >= CHI_SQUARE) & (a * d > b * c)))
+             .withColumn("chi", chi).filter((F.col("chi") >= max(CHI_SQUARE, EFFECT * sum(n))) & (a * d > b * c)))
     return [r["term"] for r in found.orderBy(F.col("chi").desc(), "term").limit(TERMS).select("term").collect()]
 
 
@@ -313,7 +315,8 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
     bags = written(_term_counts(docs, terms, kept, text_col), "toxicity-bags")
     frequency = _document_frequency(bags.select("terms"), len(terms))
     learned = _term_counts(sample, terms, ["id", "toxic"]).collect()  # at most 2 * examples rows
-    model = spark.sparkContext.broadcast(_model(learned, counts, frequency, bags.count(), len(terms), k))
+    n_docs = bags.count()
+    model = spark.sparkContext.broadcast(_model(learned, counts, frequency, n_docs, len(terms), k))
     evidence = T.ArrayType(T.StructType([T.StructField("id", bags.schema[id_col].dataType), T.StructField("cosine", T.DoubleType()),
                                          T.StructField("toxic", T.IntegerType())]))
     schema = T.StructType([*(bags.schema[c] for c in kept), T.StructField("score", T.DoubleType()),
@@ -342,6 +345,8 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()),
                  pa.array(proofs, _arrow(kinds))], [*kept, "score", "predicted", "evidence"])
 
+    if kept == [id_col]:  # narrow rows lie in few small files
+        bags = bags.repartition(max(1, n_docs // ROWS_PER_TASK))
     return bags.mapInArrow(run, schema)
 
 
