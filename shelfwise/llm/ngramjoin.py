@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (Words, bucket_bounds, chain, checkpointed, fingerprints, group_starts, mix,
@@ -51,8 +51,8 @@ PER_GROUP, GROUPS = 16, (32, 512)
 CELLS, COMMON = 1 << 22, 4
 #: Children of a node of the tree.
 FANOUT = 16
-#: Sets that one tree holds.
-TILE = 1024
+#: Sets, and shingles of all its sets, that one tree holds.
+TILE, TILE_SHINGLES = 4096, 2_000_000
 #: Ratio of the set sizes that share one number of parts, and parts made for each that may be needed.
 STEP, SPARE = 1.2, 1.3
 #: Parts that a reduce task merges, about.
@@ -150,14 +150,30 @@ def part_keys(sets: list[np.ndarray], similarity: tuple[int, int], common: np.nd
 
 
 def _stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their least id; and edges (id, least id) of the other holders, each once."""
+    """Distinct keys with their least id; and edges (id, least id) that join the holders of a key."""
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     head = np.ones(len(keys), bool)
     head[1:] = keys[1:] != keys[:-1]
     least = ids[np.maximum.accumulate(np.where(head, np.arange(len(keys)), 0))] if len(keys) else ids
-    a, b = _distinct(ids[~head], least[~head])
-    return keys[head], ids[head], a, b
+    a, b = ids[~head], least[~head]
+    return keys[head], ids[head], *_contract(a, b)
+
+
+def _contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (id, least id of its component) that join what the edges (a, b) join."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    label = np.arange(len(ids))
+    while True:
+        least = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, least)
+        np.minimum.at(new, y, least)
+        new = new[new]
+        if (new == label).all():
+            return _distinct(ids, ids[label])
+        label = new
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +232,7 @@ def _candidate_edges(docs: DataFrame, size: int, similarity, buckets: int, commo
         keys = np.concatenate([unpack_sorted(x) for x in pdf["keys"]])
         ids = np.concatenate([unplanes(x, np.int64) for x in pdf["ids"]])
         _, _, a, b = _stars(keys, ids)
-        a, b = _distinct(np.concatenate([a, *(unplanes(x, np.int64) for x in pdf["a"])]),
+        a, b = _contract(np.concatenate([a, *(unplanes(x, np.int64) for x in pdf["a"])]),
                          np.concatenate([b, *(unplanes(x, np.int64) for x in pdf["b"])]))
         return pd.DataFrame({"a": a, "b": b})
 
@@ -349,23 +365,34 @@ def _link_tiles(tiled: DataFrame, size: int, similarity) -> DataFrame:
     return tiled.mapInArrow(run, "a long, b long")
 
 
-def _links_in_blocks(members: DataFrame, size: int, similarity) -> DataFrame:
-    """Links (a, b) that connect what is linked in the blocks of ``members`` (block, rep, n, text)."""
+def _tiles_for(which) -> Column:
+    """Aggregate: the tiles that the rows for which ``which`` holds need."""
+    return F.greatest(F.ceil(F.count_if(which) / TILE),
+                      F.ceil(F.sum(F.when(which, F.col("n")).otherwise(0)) / TILE_SHINGLES))
+
+
+def _links_in_blocks(members: DataFrame, texts: DataFrame, size: int, similarity) -> DataFrame:
+    """Links (a, b) that connect what is linked in the blocks of ``members`` (block, rep, n)."""
     p, q = similarity
     # Sets that link are of one size class or of neighbouring ones.
     members = members.withColumn("z", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(q / p)))).withColumn("class", F.col("rep"))
 
     def tile(rows: DataFrame) -> DataFrame:
         """``rows`` with the tile of each: the whole block, or a part of one of its size classes."""
-        count = rows.groupBy("block", "z").agg(F.count("*").alias("of_z"))
+        count = rows.groupBy("block", "z").agg(F.count("*").alias("of_z"), F.sum("n").alias("shingles"),
+                                               _tiles_for(F.lit(True)).alias("parts"))
         whole = Window.partitionBy("block")
-        count = count.withColumn("of_block", F.sum("of_z").over(whole))
-        sub = F.pmod(F.xxhash64("rep"), F.ceil(F.col("of_z") / TILE))
-        rows = rows.join(count, ["block", "z"])
-        rows = rows.withColumn("low", F.when(F.col("of_block") <= TILE, -1).otherwise((F.col("z") + 1) * (1 << 32) + sub))
-        return rows.withColumn("high", F.col("low")).drop("of_z", "of_block")
-
-    tiled = checkpointed(tile(members))
+        count = count.select("block", "z", "parts", F.sum("of_z").over(whole).alias("of_block"),
+                             F.sum("shingles").over(whole).alias("of_block_shingles"))
+        rows = rows.join(count, ["block", "z"]).filter("of_block > 1")
+        one = (F.col("of_block") <= TILE) & (F.col("of_block_shingles") <= TILE_SHINGLES)
+        own = (F.col("z") + 1) * (1 << 32) + F.pmod(F.xxhash64("rep"), F.col("parts"))
+        rows = rows.withColumn("low", F.when(one, -1).otherwise(own))
+        return rows.withColumn("high", F.col("low")).drop("parts", "of_block", "of_block_shingles")
+
+    members = tile(members)
+    members = texts.withColumnRenamed("id", "rep").join(members, "rep")
+    tiled = checkpointed(members)
     found = checkpointed(_link_tiles(tiled, size, similarity))
     large = tiled.filter("low >= 0")
     if large.isEmpty():
@@ -383,11 +410,11 @@ def _links_in_blocks(members: DataFrame, size: int, similarity) -> DataFrame:
 
     # Tiles anew, of one large class each or of leftovers; pairs of tiles of one and the same class are done.
     now = classed(found)
-    count = now.groupBy("block", "z", "class").agg(F.count("*").alias("of_class"))
+    count = now.groupBy("block", "z", "class").agg(_tiles_for(F.lit(True)).alias("of_class"))
     now = now.drop("low", "high").join(count, ["block", "z", "class"]).withColumn(
-        "own", F.when(F.col("of_class") >= TILE, F.col("class")))
-    left = now.groupBy("block", "z").agg(F.count_if(F.col("own").isNull()).alias("left"))
-    part = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce(F.when(F.col("own").isNotNull(), F.col("of_class")), "left") / TILE))
+        "own", F.when(F.col("of_class") > 1, F.col("class")))
+    left = now.groupBy("block", "z").agg(_tiles_for(F.col("own").isNull()).alias("left"))
+    part = F.pmod(F.xxhash64("rep"), F.when(F.col("own").isNotNull(), F.col("of_class")).otherwise(F.col("left")))
     now = checkpointed(now.join(left, ["block", "z"]).withColumn("tile", F.xxhash64("z", F.coalesce("own", F.lit(-1)), part))
                        .select("block", "z", "own", "tile", "rep", "class", "text"))
     tiles = now.select("block", "z", "own", "tile").distinct()
@@ -435,29 +462,28 @@ def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIM
     common = _common_cells(described.filter("segment is not null").select("segment", "cells"))
     some = every.filter("id is not null and n > 0")
     equal = some.groupBy("n", "set_a", "set_b").agg(F.min("id").alias("rep"))
-    known = checkpointed(some.join(equal, ["n", "set_a", "set_b"]).select("id", "rep").distinct())
+    known = some.join(equal, ["n", "set_a", "set_b"])
+    # An id has one set, unless rows repeat it: then the sets of all of them are one document's.
+    known = checkpointed(known.groupBy("id", "rep").agg(F.max("n").alias("n")))
+    per_id = checkpointed(known.groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last_rep")))
 
     total = every.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     p, q = similarity
     per_shingle = 4 * STEP * (q - p) / (q + p)
     buckets = max(4, int(total * per_shingle) // PARTS_PER_BUCKET)
     edges = _candidate_edges(texts.filter("id is not null"), size, similarity, buckets, common)
-    rep_of = known.select(F.col("id").alias("a"), F.col("rep").alias("rep_a"))
-    # A pair of near-duplicates shares many parts, in several buckets.
-    edges = (edges.distinct().join(rep_of, "a").join(rep_of.toDF("b", "rep_b"), "b")
-             .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).filter("a <> b").distinct())
-    blocks = checkpointed(connected(edges))
-    member = blocks.union(blocks.select("root", "root").distinct()).select(F.col("node").alias("rep"), F.col("root").alias("block"))
-    member = member.join(some.select(F.col("id").alias("rep"), "n").groupBy("rep").agg(F.max("n").alias("n")), "rep")
-    members = texts.join(member, texts["id"] == member["rep"]).select("block", "rep", "n", "text")
-    found = _links_in_blocks(members, size, similarity)
-
-    # An id of several rows ties the sets of all of them.
-    tied = (known.join(known.groupBy("id").agg(F.min("rep").alias("least")), "id").filter("rep <> least")
-            .select(F.col("rep").alias("a"), F.col("least").alias("b")))
-    roots = connected(found.select("a", "b").union(tied))
-    whole = (known.groupBy("id").agg(F.min("rep").alias("rep"))
-             .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    blocks = connected(edges)
+    blocks = blocks.union(blocks.select("root", "root").distinct())
+    reps = known.filter("id = rep").select("rep", "n")
+    members = blocks.select(F.col("node").alias("rep"), F.col("root").alias("block")).join(reps, "rep")
+    found = _links_in_blocks(members, texts, size, similarity)
+
+    several = per_id.filter("rep <> last_rep")
+    if not several.isEmpty():
+        found = found.union(known.join(several.select("id", F.col("rep").alias("least")), "id").filter("rep <> least")
+                            .select("rep", "least"))
+    roots = connected(found.select("a", "b"))
+    whole = (per_id.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select(F.col("id").alias("of"), F.coalesce("root", "rep").alias("component")))
     return every.join(whole, every["id"] == whole["of"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
