@@ -2,8 +2,9 @@
 
 A query is structured, not parsed: ``all_of`` terms must all occur, ``any_of``
 needs one of them, ``none_of`` excludes, ``phrase`` requires consecutive words.
-Each text is split once, and its length, the frequency of each query term and
-the matches are read off the word array, so no word ever becomes a row.
+Each text is normalised once into words set off by spaces, and its length, the
+frequency of each query term and the matches are read off that string with
+built-in string functions, so no word ever becomes a row or an array element.
 Ranking is Okapi BM25 over the positive terms: one pass gathers the number of
 documents, their mean length and the document frequencies, a second filters
 and scores.
@@ -21,21 +22,14 @@ K1 = 1.2
 B = 0.75
 
 
-def words(text_cols: list[str]) -> Column:
-    """The lower-case words of the concatenated text columns."""
+def normalised(text_cols: list[str]) -> Column:
+    """The lower-case words of the concatenated text columns, each between two spaces of its own."""
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda w: w != "")
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), TOKEN_SPLIT, "  ")), F.lit(" "))
 
 
-def _frequency(tokens: Column, term: str) -> Column:
-    return F.size(F.filter(tokens, lambda w: w == term))
-
-
-def _has_phrase(tokens: Column, phrase: list[str]) -> Column:
-    last = F.size(tokens) - len(phrase)
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.exists(starts, lambda i: reduce(
-        lambda x, y: x & y, [F.get(tokens, i + k) == w for k, w in enumerate(phrase)]))
+def _occurrences(text: Column, part: str) -> Column:
+    return ((F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)).cast("int")
 
 
 def search(df: DataFrame, id_col: str, text_cols: list[str], *, all_of=(), any_of=(), none_of=(), phrase=()) -> DataFrame:
@@ -44,15 +38,15 @@ def search(df: DataFrame, id_col: str, text_cols: list[str], *, all_of=(), any_o
         raise ValueError("a query needs at least one positive term or a phrase")
     all_of, any_of, none_of, phrase = ([w.lower() for w in ws] for ws in (all_of, any_of, none_of, phrase))
     terms = sorted({*all_of, *any_of, *phrase})
-    toks = F.col("tokens")
-    docs = df.select(F.col(id_col).alias("id"), words(text_cols).alias("tokens")).filter(F.size("tokens") > 0)
+    norm = F.col("norm")
+    has = lambda words: F.instr(norm, " " + "  ".join(words) + " ") > 0
+    docs = df.select(F.col(id_col).alias("id"), normalised(text_cols).alias("norm")).filter(F.col("norm") != "  ")
     docs = docs.select(
-        "id", F.size(toks).alias("dl"),
-        F.array(*[_frequency(toks, t) for t in terms]).alias("tf"),
-        reduce(lambda x, y: x & y, [F.lit(True), *[F.array_contains(toks, t) for t in all_of],
-                                    *[~F.array_contains(toks, t) for t in none_of],
-                                    *([F.arrays_overlap(toks, F.array(*map(F.lit, any_of)))] if any_of else []),
-                                    *([_has_phrase(toks, phrase)] if phrase else [])]).alias("hit"))
+        "id", (_occurrences(norm, "  ") + 1).alias("dl"),
+        F.array(*[_occurrences(norm, f" {t} ") for t in terms]).alias("tf"),
+        reduce(lambda x, y: x & y, [F.lit(True), *[has([t]) for t in all_of], *[~has([t]) for t in none_of],
+                                    *([reduce(lambda x, y: x | y, [has([t]) for t in any_of])] if any_of else []),
+                                    *([has(phrase)] if phrase else [])]).alias("hit"))
     corpus = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
                                F.array(*[F.count_if(F.col("tf")[k] > 0) for k in range(len(terms))]).alias("df")).alias("c"))
     hits = docs.filter("hit").withColumn("c", corpus.scalar())
