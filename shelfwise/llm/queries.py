@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, linededup, lmscore, mixing, ngramjoin, polytope, topk, toxicity, urlfilter
+from shelfwise.llm import bpe, linededup, lmscore, mixing, ngramjoin, polytope, pseudonyms, topk, toxicity, urlfilter
 from shelfwise.llm.common import crc_fold
 
 
@@ -46,6 +46,13 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+# ------------------------------------------------------------------ 3: personal data
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, pseudonyms.DEMO_KEY).select(
+        "doc_id", F.size("spans").cast("long").alias("n_found"), "text", "spans")
+
+
 # ------------------------------------------------------------------ 4: toxicity
 def op4_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -188,6 +195,7 @@ FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON roots.a = w.doc_id"""
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_topk": op2_exact_topk,
+    "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
     "op4_toxic_neighbours": op4_toxic_neighbours,
     "op5_backoff_lm": op5_backoff_lm,
     "op6_fair_queue_mix": op6_fair_queue_mix,
