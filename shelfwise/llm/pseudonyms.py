@@ -214,7 +214,7 @@ class Kind(NamedTuple):
 KINDS = (
     Kind("email", re.compile(r"(?<![\w.+-])([A-Za-z0-9][A-Za-z0-9._%+-]*)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"), _email, "@"),
     Kind("access_key", re.compile(r"(?<![A-Za-z0-9])(A[KS]IA)([0-9A-Z]{16})(?![A-Za-z0-9])"), _access_key, "IA"),
-    Kind("access_key", re.compile(r"((?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)([A-Za-z0-9][^\s\"']{5,})"), _access_key),
+    Kind("access_key", re.compile(r"((?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)([A-Za-z0-9][^\s\"']{4,}[A-Za-z0-9])"), _access_key),
     Kind("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), _iban),
     Kind("card", re.compile(r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])"), _card),
     Kind("phone", re.compile(r"(?<![\w.+(-])(\+?1[ .-]?)?(\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-])"), _phone),
