@@ -2,15 +2,19 @@
 
 Terms are words (runs of letters, lower case) and their first 4, 5 and 6 letters, which catch inflected
 and invented forms.  A bounded sample of labelled rows (at most ``EXAMPLES`` of each label, those with
-the least hash of their id) gives the examples, and the terms that tell the labels apart.  Document
-frequencies are counted over all documents.  Each text is then a TF-IDF vector over these terms; its
-nearest examples by cosine vote with weights that fall with the distance, and a logistic curve, fitted to
-the examples with each left out of its own vote, makes the vote a probability.
+the least hash of their id) gives the examples; every term of an example counts.  Each text is a vector
+of TF-IDF weights, document frequencies being counted over all documents, times the relevance frequency
+log2(2 + toxic / clean) of the term among the examples (tf.rf weighting): terms that lean towards toxic
+weigh more, none weighs nothing.  Words that no example has are no terms: they are in no product, and
+would shorten all cosines of a text alike.  A text's nearest examples by cosine vote with weights that
+fall with the distance, and a logistic curve, fitted to the examples with each left out of its own vote,
+makes the vote a probability.
 
 The index keeps, per term, postings in blocks of neighbouring examples and each block's largest weight.
-The sum of a query's weights times these maxima bounds the cosine of every example of a block, so the
+The sum of a query's weights times these maxima bounds the cosine of every example of a block.  The
 blocks with the highest bounds give a k-th best cosine, and of the others only those whose bound reaches
-it are read: the result is that of reading all.  Examples and terms are bounded, so the index is broadcast; texts are not shuffled.
+it are read: the result is that of reading all.
+Examples and so their terms are bounded, so the index is broadcast; terms are known by 64-bit fingerprints.
 
 Defined results: a null or empty text, or one without any of the terms, has no neighbours and gets the
 share of toxic rows among the examples that have none either.  Without labelled rows all scores are the
@@ -22,25 +26,22 @@ rows.  Scores depend on texts and training labels alone.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import Words, ship, slices, written
+from shelfwise.llm.common import Words, planes, ship, slices, squeeze, unplanes, unsqueeze, written
 
 #: Labelled rows of each label that are learned from at most.
 EXAMPLES = 4096
-#: Terms kept at most, and the least chi-square that a term needs.
-TERMS, CHI_SQUARE = 512, 20.0
-#: Least effect of a term: chi-square over the examples.  With many examples chance differences of common
-#: words, and the words of a few copies of one text, pass any fixed chi-square.
-EFFECT = 0.01
 STEMS = (4, 5, 6)
 K = 15
 BLOCK = 64
@@ -49,8 +50,12 @@ NEARNESS, PRIOR_WEIGHT = 2.0, 0.5
 SEED = 11
 #: Rows that a task scores, about, where they carry no texts.
 ROWS_PER_TASK = 5_000
+#: Left-out examples that a task votes on.
+EXAMPLES_PER_TASK = 512
 #: Text bytes of which the words are held at once.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
+#: Terms of which the document frequencies move in one packet.
+PACKET = 512
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -65,6 +70,11 @@ def terms_of(word: bytes) -> list[str]:
     return out
 
 
+@lru_cache(1 << 16)
+def _prints(word: bytes) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(t) for t in terms_of(word)]
+
+
 # ------------------------------------------------------------------ what is learned
 def _sample(docs: DataFrame, labels: DataFrame, examples: int, seed: int) -> tuple[DataFrame, dict[int, int]]:
     """(id, toxic, text) of the examples, and the number of labelled rows of each label."""
@@ -81,86 +91,107 @@ def _sample(docs: DataFrame, labels: DataFrame, examples: int, seed: int) -> tup
     return texts, counts
 
 
-def _telling_terms(sample: DataFrame, counts: dict[int, int]) -> list[str]:
-    """The terms that mark toxic examples, by chi-square."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = (Counter(), Counter())
-        for batch in batches:
-            toxic = batch.column(0).to_pylist()
-            for i, j in slices(batch.column(1), AT_ONCE):
-                words = Words(batch.column(1).slice(i, j - i))
-                terms = [terms_of(w) for w in words.vocab]
-                start = 0
-                for row, end in zip(range(i, j), words.ends.tolist()):
-                    codes = np.unique(words.codes[start:end]).tolist()
-                    seen[toxic[row]].update({t for c in codes for t in terms[c]})
-                    start = end
-        every = list(seen[0].keys() | seen[1].keys())
-        for k in range(0, len(every), 50_000):
-            some = every[k:k + 50_000]
-            yield pa.RecordBatch.from_pydict({"term": pa.array(some, pa.string()),
-                                              "clean": pa.array([seen[0][t] for t in some], pa.int64()),
-                                              "toxic": pa.array([seen[1][t] for t in some], pa.int64())})
-
-    n = [min(counts.get(label, 0), EXAMPLES) for label in (0, 1)]
-    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    c, d = F.lit(float(n[1])) - a, F.lit(float(n[0])) - b
-    chi = (n[0] + n[1]) * (a * d - b * c) ** 2 / ((a + b) * F.greatest(c + d, F.lit(1.0)) * max(n[0], 1) * max(n[1], 1))
-    found = (sample.select("toxic", "text").mapInArrow(count, "term string, clean long, toxic long")
-             .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-             .withColumn("chi", chi).filter((F.col("chi") >= max(CHI_SQUARE, EFFECT * sum(n))) & (a * d > b * c)))
-    return [r["term"] for r in found.orderBy(F.col("chi").desc(), "term").limit(TERMS).select("term").collect()]
-
-
-def _term_counts(docs: DataFrame, terms: list[str], carry: list[str], text_col: str = "text") -> DataFrame:
-    """(*carry, terms, counts): the chosen terms that each text holds, and how often."""
-    place = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+def _expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each range, one range after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def _bags(texts: pa.Array, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(terms, counts) of each text, by term: fingerprints, or places in the sorted fingerprints ``known``."""
+    for i, j in slices(texts, AT_ONCE):
+        words = Words(texts.slice(i, j - i))
+        terms = [_prints(w) for w in words.vocab]
+        size = np.array([len(t) for t in terms], np.int64)
+        prints = np.fromiter(chain.from_iterable(terms), np.uint64, int(size.sum()))
+        if known is None:
+            kept, place = np.unique(prints, return_inverse=True)
+        else:
+            place = np.searchsorted(known, prints)
+            found = np.append(known, np.uint64(0))[place] == prints
+            found &= place < len(known)
+            size = np.bincount(np.repeat(np.arange(len(size)), size)[found], minlength=len(size))
+            place, kept = place[found], np.arange(len(known), dtype=np.int32)
+        begin = np.cumsum(size) - size
+        # Distinct words of each text, then their distinct terms.
+        doc = np.repeat(np.arange(j - i), words.counts)
+        pair, times = np.unique(doc * max(len(terms), 1) + words.codes, return_counts=True)
+        doc, code = np.divmod(pair, max(len(terms), 1))
+        key = np.repeat(doc, size[code]) * max(len(kept), 1) + place[_expand(begin[code], size[code])]
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], np.repeat(times, size[code])[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        counts = np.add.reduceat(times, first).astype(np.int32) if len(first) else np.zeros(0, np.int32)
+        doc, term = np.divmod(key[first], max(len(kept), 1))
+        ends = np.searchsorted(doc, np.arange(j - i + 1))
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            yield kept[term[a:b]], counts[a:b]
+
+
+def _pack(terms: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    return planes(np.diff(terms, prepend=terms.dtype.type(0))), planes(counts)
+
+
+def _unpack(terms: bytes, counts: bytes, dtype) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(unplanes(terms, dtype), dtype=dtype), unplanes(counts, np.int32)
+
+
+def _term_counts(docs: DataFrame, carry: list[str], text_col: str = "text", known=None) -> DataFrame:
+    """(*carry, terms, counts): the terms that each text holds, and how often, packed.  ``known``: broadcast
+    fingerprints, sorted, the places of which stand for the terms; other terms are left out."""
     docs = docs.select(*carry, F.col(text_col).cast("string").alias("_term_text"))
-    schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField("terms", T.ArrayType(T.IntegerType())),
-                           T.StructField("counts", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField("terms", T.BinaryType()),
+                           T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = place.value
         for batch in batches:
-            texts = batch.column(len(carry))
-            for i, j in slices(texts, AT_ONCE):
-                words = Words(texts.slice(i, j - i))
-                hits = {c: found for c, w in enumerate(words.vocab)
-                        if (found := [known[t] for t in terms_of(w) if t in known])}
-                some = np.zeros(len(words.vocab), bool)
-                some[list(hits)] = True
-                at = np.flatnonzero(some[words.codes])
-                doc = np.searchsorted(words.ends, at, "right")
-                bags: list[Counter] = [Counter() for _ in range(i, j)]
-                for d, c in zip(doc.tolist(), words.codes[at].tolist()):
-                    bags[d].update(hits[c])
-                bags = [sorted(b.items()) for b in bags]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).slice(i, j - i) for k in range(len(carry))),
-                     pa.array([[t for t, _ in b] for b in bags], pa.list_(pa.int32())),
-                     pa.array([[n for _, n in b] for b in bags], pa.list_(pa.int32()))], [*carry, "terms", "counts"])
+            packed = [_pack(*bag) for bag in _bags(batch.column(len(carry)), known and known.value)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in range(len(carry))), pa.array([t for t, _ in packed], pa.binary()),
+                 pa.array([n for _, n in packed], pa.binary())], [*carry, "terms", "counts"])
 
     return docs.mapInArrow(run, schema)
 
 
-def _document_frequency(bags: DataFrame, n_terms: int) -> dict[int, int]:
-    """Documents that hold each term; a task gives one row per term."""
+def _document_frequency(bags: DataFrame, n_terms: int) -> np.ndarray:
+    """Documents that hold each term; a task gives one packet for ``PACKET`` neighbouring terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(n_terms, np.int64)
         for batch in batches:
-            seen += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=n_terms)
-        held = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(seen[held])], ["term", "n"])
+            for terms in batch.column(0).to_pylist():
+                seen[np.cumsum(unplanes(terms, np.int32))] += 1
+        some = [k for k in range(0, n_terms, PACKET) if seen[k:k + PACKET].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([squeeze(seen[k:k + PACKET]) for k in some], pa.binary())],
+                                         ["first", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for first, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = unsqueeze(n, np.int64)
+                total[first] = total[first] + n if first in total else n
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([squeeze(n) for n in total.values()], pa.binary())],
+                                         ["first", "n"])
+
+    out = np.zeros(n_terms, np.int64)
+    for r in bags.mapInArrow(count, "first int, n binary").repartition("first").mapInArrow(add, "first int, n binary").collect():
+        n = unsqueeze(bytes(r["n"]), np.int64)
+        out[r["first"]:r["first"] + len(n)] = n
+    return out
 
-    counted = bags.mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return {r["term"]: r["n"] for r in counted.collect()}
 
+def relevance(bags: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.ndarray:
+    """log2(2 + toxic / clean) of each term: its examples of both labels, as if there were as many of each."""
+    seen = [np.zeros(n_terms), np.zeros(n_terms)]
+    for terms, y in zip(bags, toxic):
+        seen[int(y)][terms] += 1
+    n = [max(1, int((toxic == y).sum())) for y in (0, 1)]
+    return np.log2(2 + seen[1] / np.maximum(1, seen[0] * n[1] / n[0]))
 
-def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF weights of one text's terms."""
-    w = (1 + np.log(counts)) * idf[terms]
+
+def weighted(terms: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Unit weights of one text's terms."""
+    w = (1 + np.log(counts)) * weight[terms]
     return w / np.sqrt((w * w).sum())
 
 
@@ -180,41 +211,46 @@ class BlockMaxIndex:
         self.place = np.array(order, np.int64)
         self.slot_of = np.argsort(self.place)
         self.blocks = -(-len(order) // BLOCK)
-        self.largest = np.zeros((n_terms, max(self.blocks, 1)))
         sizes = [len(vectors[o][0]) for o in order]
-        slot = np.repeat(np.arange(len(order)), sizes)
-        term = np.concatenate([vectors[o][0] for o in order] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weight = np.concatenate([vectors[o][1] for o in order] or [np.zeros(0)])
-        np.maximum.at(self.largest, (term, slot // BLOCK), weight)
-        by_term = np.lexsort((slot, term))
-        self.slot, self.weight = slot[by_term], weight[by_term]
-        cell = term[by_term] * max(self.blocks, 1) + self.slot // BLOCK
-        self.begin = np.searchsorted(cell, np.arange(n_terms * max(self.blocks, 1) + 1))
-
-    def _read(self, cosine: np.ndarray, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> None:
-        """Add up the cosines of the examples in the marked blocks."""
-        for t, w in zip(terms.tolist(), weights.tolist()):
-            some = slice(self.begin[t * self.blocks], self.begin[(t + 1) * self.blocks])
-            slot = self.slot[some]
-            here = blocks[slot // BLOCK]
-            cosine[slot[here]] += w * self.weight[some][here]
+        slot = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+        term = np.concatenate([vectors[o][0] for o in order] or [np.zeros(0, np.int32)]).astype(np.int32, copy=False)
+        by_term = np.argsort(term, kind="stable")
+        self.slot, term = slot[by_term], term[by_term]
+        self.weight = np.concatenate([vectors[o][1] for o in order] or [np.zeros(0)])[by_term]
+        del slot, by_term
+        # A cell: the postings of a term in a block.
+        block = self.slot // BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        self.block = block[first]
+        self.begin = np.append(first, len(term)).astype(np.int32)
+        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.cells = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> Neighbours:
         """The k examples with the highest positive cosine, ties to the smaller place."""
-        bound = weights @ self.largest[terms]
+        sizes = self.cells[terms + 1] - self.cells[terms]
+        cells, weights = _expand(self.cells[terms], sizes), np.repeat(weights, sizes)
+        block = self.block[cells]
+        bound = np.bincount(block, weights * self.largest[cells], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[:int((bound > 0).sum())]
         cosine = np.zeros(len(self.place))
-        read = np.zeros(len(bound), bool)
-        # The likeliest blocks give a first k-th best cosine; then all blocks that may still reach it.
-        read[np.argsort(-bound, kind="stable")[:1 + k // BLOCK]] = True
-        self._read(cosine, terms, weights, read)
-        if without >= 0:
-            cosine[self.slot_of[without]] = 0
-        least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
-        rest = (bound > 0) & (bound >= least - 1e-9) & ~read
-        if rest.any():
-            self._read(cosine, terms, weights, rest)
+        at, step, least = 0, 1 + k // BLOCK, 0.0
+        # The likeliest blocks first, while their bounds reach the k-th best cosine.
+        while at < len(order) and bound[order[at]] >= least - 1e-9:
+            marked = np.zeros(self.blocks, bool)
+            marked[order[at:at + step]] = True
+            some = marked[block]
+            begin = self.begin[cells[some]]
+            length = self.begin[cells[some] + 1] - begin
+            read = _expand(begin, length)
+            cosine += np.bincount(self.slot[read], np.repeat(weights[some], length) * self.weight[read], len(cosine))
             if without >= 0:
                 cosine[self.slot_of[without]] = 0
+            least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
+            at, step = at + step, max(1, int((bound >= least - 1e-9).sum()) - at - step)
         cosine = np.round(cosine, 12)
         least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
         slot = np.flatnonzero((cosine > 0) & (cosine >= least))
@@ -228,7 +264,7 @@ class Model(NamedTuple):
     ids: list
     toxic: np.ndarray
     stands_for: np.ndarray
-    idf: np.ndarray
+    weight: np.ndarray
     index: BlockMaxIndex
     prior: float
     alone: float
@@ -266,34 +302,69 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, floa
     return float(beta[0]), float(max(beta[1], 0.0))
 
 
-def _model(examples: list, counts: dict[int, int], frequency: dict[int, int], n_docs: int, n_terms: int, k: int) -> Model:
-    """``examples``: rows (id, toxic, terms, counts)."""
-    examples = sorted(examples, key=lambda r: (r["id"], r["toxic"]))
-    df = np.array([frequency.get(t, 0) for t in range(n_terms)], float)
-    idf = np.log((n_docs + 1) / (df + 1)) + 1
-    toxic = np.array([r["toxic"] for r in examples], float)
+class Examples(NamedTuple):
+    """The examples by id; ``terms[ends[i - 1]:ends[i]]`` are those of example i, as places in ``known``."""
+
+    ids: list
+    toxic: np.ndarray
+    known: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+    ends: np.ndarray
+
+    def bags(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return list(zip(np.split(self.terms, self.ends[:-1]), np.split(self.counts, self.ends[:-1])))
+
+
+def _examples(bags: DataFrame) -> Examples:
+    rows = sorted(bags.collect(), key=lambda r: r["id"])  # at most 2 * examples rows
+    some = [_unpack(bytes(r["terms"]), bytes(r["counts"]), np.uint64) for r in rows]
+    ends = np.cumsum([len(t) for t, _ in some], dtype=np.int64)
+    counts = np.concatenate([c for _, c in some] or [np.zeros(0, np.int32)])
+    prints = np.concatenate([t for t, _ in some] or [np.zeros(0, np.uint64)])
+    del some
+    known = np.unique(prints)
+    return Examples([r["id"] for r in rows], np.array([r["toxic"] for r in rows], float), known,
+                    np.searchsorted(known, prints).astype(np.int32), counts, ends)
+
+
+def _model(examples: Examples, counts: dict[int, int], frequency: np.ndarray, n_docs: int) -> Model:
+    toxic, bags = examples.toxic, examples.bags() if examples.ids else []
+    weight = (np.log((n_docs + 1) / (frequency + 1)) + 1) * relevance([t for t, _ in bags], toxic, len(frequency))
     drawn = [max(1, int((toxic == y).sum())) for y in (0, 1)]
     stands_for = np.array([counts.get(int(y), 0) / drawn[int(y)] for y in toxic])
     prior = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 2)
-    empty = np.array([not r["terms"] for r in examples], bool)
+    empty = np.array([not len(t) for t, _ in bags], bool)
     alone = ((stands_for * toxic)[empty].sum() + 0.5 * prior) / (stands_for[empty].sum() + 0.5)
-    held = [i for i, e in enumerate(empty) if not e]
-    vectors = []
-    for i in held:
-        t = np.array(examples[i]["terms"], np.int64)
-        vectors.append((t, weighted(t, np.array(examples[i]["counts"], float), idf)))
-    model = Model([examples[i]["id"] for i in held], toxic[held], stands_for[held], idf, BlockMaxIndex(vectors, n_terms),
-                  prior, float(alone), (0.0, 1.0))
-    votes, truth, weight = [], [], []
-    for i, (t, w) in enumerate(vectors):
-        near = model.index.nearest(t, w, k, without=i)
-        if len(near.places):
-            votes.append(model.vote(near))
-            truth.append(model.toxic[i])
-            weight.append(model.stands_for[i])
-    if votes:
-        model = model._replace(curve=_fit_curve(_logit(np.array(votes)), np.array(truth), np.array(weight)))
-    return model
+    held = np.flatnonzero(~empty)
+    index = BlockMaxIndex([(bags[i][0], weighted(*bags[i], weight)) for i in held], len(frequency))
+    return Model([examples.ids[i] for i in held], toxic[held], stands_for[held], weight, index, prior, float(alone), (0.0, 1.0))
+
+
+def _left_out(bags: DataFrame, known, model, k: int) -> tuple[float, float]:
+    """The curve of the votes that the examples get when each is left out; ``known``, ``model`` are broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        place = {i: p for p, i in enumerate(m.ids)}
+        for batch in batches:
+            out = []
+            for i, t, c in zip(*(column.to_pylist() for column in batch.columns)):
+                if i in place:
+                    t, c = _unpack(t, c, np.uint64)
+                    t = np.searchsorted(known.value, t)
+                    near = m.index.nearest(t, weighted(t, c, m.weight), k, without=place[i])
+                    if len(near.places):
+                        out.append((place[i], m.vote(near)))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int32()), pa.array([v for _, v in out], pa.float64())], ["i", "vote"])
+
+    m = model.value
+    bags = bags.select("id", "terms", "counts").repartition(len(m.ids) // EXAMPLES_PER_TASK + 1)
+    votes = sorted((r["i"], r["vote"]) for r in bags.mapInArrow(run, "i int, vote double").collect())
+    if not votes:
+        return m.curve
+    at = [i for i, _ in votes]
+    return _fit_curve(_logit(np.array([v for _, v in votes])), m.toxic[at], m.stands_for[at])
 
 
 # ------------------------------------------------------------------ scoring
@@ -309,32 +380,35 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sample, counts = _sample(texts, learn, examples, seed)
     sample = written(sample, "toxicity-sample")
-    terms = _telling_terms(sample, counts)
+    sample = written(_term_counts(sample, ["id", "toxic"]), "toxicity-examples")
+    learned = _examples(sample)
 
     kept = [id_col, *(c for c in carry if c != id_col)]
-    bags = written(_term_counts(docs, terms, kept, text_col), "toxicity-bags")
-    frequency = _document_frequency(bags.select("terms"), len(terms))
-    learned = _term_counts(sample, terms, ["id", "toxic"]).collect()  # at most 2 * examples rows
+    known = spark.sparkContext.broadcast(learned.known)
+    n_terms = len(learned.known)
+    bags = written(_term_counts(docs, kept, text_col, known), "toxicity-bags")
     n_docs = bags.count()
-    model = spark.sparkContext.broadcast(_model(learned, counts, frequency, n_docs, len(terms), k))
+    model = spark.sparkContext.broadcast(_model(learned, counts, _document_frequency(bags.select("terms"), n_terms), n_docs))
+    del learned
+    curve = _left_out(sample, known, model, k)
     evidence = T.ArrayType(T.StructType([T.StructField("id", bags.schema[id_col].dataType), T.StructField("cosine", T.DoubleType()),
                                          T.StructField("toxic", T.IntegerType())]))
     schema = T.StructType([*(bags.schema[c] for c in kept), T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType()), T.StructField("evidence", evidence)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = model.value._replace(curve=curve)
         none = Neighbours(np.zeros(0, np.int64), np.zeros(0))
         for batch in batches:
             done: dict[tuple, tuple[float, list]] = {}
             scores, proofs = [], []
             for t, c in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
-                key = (*t, *c)
+                key = (t, c)
                 if key not in done:
                     near = none
                     if t:
-                        at = np.array(t, np.int64)
-                        near = m.index.nearest(at, weighted(at, np.array(c, float), m.idf), k)
+                        at, n = _unpack(t, c, np.int32)
+                        near = m.index.nearest(at, weighted(at, n, m.weight), k)
                     done[key] = (m.score(near), [{"id": m.ids[p], "cosine": x, "toxic": int(m.toxic[p])}
                                                  for p, x in zip(near.places.tolist(), near.cosines.tolist())])
                 scores.append(done[key][0])

@@ -81,6 +81,57 @@ def test_without_toxic_keeps_columns(spark, frame):
     assert {i for i, y in truth.items() if not y} <= kept  # clean documents stay
 
 
+def rare_insults():
+    """Each insult stands in three toxic documents only; the first of the three carries no label."""
+    rng = np.random.default_rng(4)
+    names = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 9)) for _ in range(5030)]
+    names, insults = names[:5000], names[5000:]
+    docs, labels = [], []
+    for i in range(300):
+        text = [str(w) for w in rng.choice(names, 12)]
+        if i < 90:
+            text.insert(5, insults[i // 3])
+        docs.append((i, " ".join(text), "en", "s", 0))
+        if i >= 90 or i % 3:
+            labels.append((i, int(i < 90)))
+    return docs, labels
+
+
+def test_rare_insults_are_terms(spark, frame):
+    docs, labels = rare_insults()
+    out = toxicity.score(frame(docs, DOCS), frame(labels, "doc_id long, toxic int"), F.lit(True)).collect()
+    by = {r["doc_id"]: r for r in out}
+    assert all({i + 1, i + 2} <= {e["id"] for e in by[i]["evidence"]} for i in range(0, 90, 3))
+
+
+def test_cosines_are_over_all_words_of_the_examples(spark, frame):
+    docs, labels = rare_insults()
+    bags = {i: Counter(t for w in text.split() for t in toxicity.terms_of(w.encode())) for i, text, *_ in docs}
+    known = {t for i, _ in labels for t in bags[i]}
+    seen = [Counter(t for i, y in labels if y == label for t in bags[i]) for label in (0, 1)]
+    n = [sum(y == label for _, y in labels) for label in (0, 1)]
+    weight = {t: (np.log((len(docs) + 1) / (sum(t in b for b in bags.values()) + 1)) + 1)
+              * np.log2(2 + seen[1][t] / max(1, seen[0][t] * n[1] / n[0])) for t in known}
+    units = {}
+    for i, bag in bags.items():
+        w = {t: (1 + np.log(c)) * weight[t] for t, c in bag.items() if t in known}
+        units[i] = {t: x / np.sqrt(sum(v * v for v in w.values())) for t, x in w.items()}
+    out = toxicity.score(frame(docs, DOCS), frame(labels, "doc_id long, toxic int"), F.lit(True)).collect()
+    for r in out[::10]:
+        mine = units[r["doc_id"]]
+        want = sorted((sum(mine[t] * x for t, x in units[i].items() if t in mine) for i, _ in labels), reverse=True)[:15]
+        assert np.allclose([e["cosine"] for e in r["evidence"]], [c for c in want if c > 1e-12])
+
+
+def test_weights_count_the_drawn_examples_only(spark, frame):
+    """Labels without a document teach nothing about the terms."""
+    docs, labels = corpus(90)
+    orphans = [(100_000 + i, i % 2) for i in range(3000)]
+    a, b = (toxicity.score(frame(docs, DOCS), frame(x, "doc_id long, toxic int"), fold() != 0).collect() for x in (labels, labels + orphans))
+    cosines = [{r["doc_id"]: [(e["id"], e["cosine"]) for e in r["evidence"]] for r in out} for out in (a, b)]
+    assert cosines[0] == cosines[1] and any(cosines[0].values())
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(2)
     vectors = []
