@@ -12,7 +12,10 @@ Texts are handled one by one within tasks; nothing is shuffled or broadcast but
 
 Kept as they are: separators, a phone's country code, an address's domain, the prefix of an access key, a
 card's first digit, an IBAN's country.  Defined results: a null text stays null, an empty one empty, both
-without spans; numbers that fail their test are left alone; where findings overlap, the earlier kind of
+without spans; numbers that fail their test are left alone; of a run of groups (digits for a card,
+capitals and digits for an IBAN) every part from group to group is tested, cards in their printed groups
+first, then from the left and the longest first, and where neighbours would make another part valid the
+permutation walks on, so that it can be inverted (such a value is not linked to its other places); where findings overlap, the earlier kind of
 ``KINDS`` wins; repeated rows and extra columns pass through (columns named like an output are replaced).
 An empty table gives no rows.
 """
@@ -125,27 +128,124 @@ def luhn_sum(digits: str) -> int:
     return total % 10
 
 
-def _card(m: re.Match, f: Feistel, back: bool) -> str | None:
-    digits = _digits(m[0])
-    if luhn_sum(digits) or len(set(digits)) == 1:
-        return None
+def _card(text: str, f: Feistel, back: bool) -> str:
+    digits = _digits(text)
     n = len(digits)
     body = f"{f.permute(int(digits[1:-1]), 10 ** (n - 2), b'card' + digits[:1].encode(), back):0{n - 2}d}"
     body = digits[0] + body
-    return _into(m[0], body + str((10 - luhn_sum(body + "0")) % 10))
+    return _into(text, body + str((10 - luhn_sum(body + "0")) % 10))
+
+
+def _is_card(text: str) -> bool:
+    digits = _digits(text)
+    return not luhn_sum(digits) and len(set(digits)) > 1
+
+
+#: Groups in which cards are printed; such parts of a run of digits are tried first.
+_CARD_SHAPES = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
+
+
+def _card_parts(groups: list[str]) -> list[tuple[int, int]]:
+    ranked = []
+    for i in range(len(groups)):
+        n = 0
+        for j in range(i, len(groups)):
+            n += len(groups[j])
+            if n > 19:
+                break
+            if n >= 13:
+                shape = tuple(len(g) for g in groups[i:j + 1])
+                rank = 0 if j == i else 1 + _CARD_SHAPES.index(shape) if shape in _CARD_SHAPES else 9
+                ranked.append((rank, i, -j))
+    return [(i, -j + 1) for _, i, j in sorted(ranked)]
+
+
+def _printed_parts(groups: list[str]) -> list[tuple[int, int]]:
+    """The parts of one group or of printed groups."""
+    return [(i, j) for i, j in _card_parts(groups) if j == i + 1 or tuple(len(g) for g in groups[i:j]) in _CARD_SHAPES]
 
 
 def _iban_rest(country: str, account: str) -> int:
     return int("".join(str(int(c, 36)) for c in account + country + "00")) % 97
 
 
-def _iban(m: re.Match, f: Feistel, back: bool) -> str | None:
-    plain = m[0].replace(" ", "")
-    if not 15 <= len(plain) <= 34 or int(plain[2:4]) != 98 - _iban_rest(plain[:2], plain[4:]):
-        return None
+def _iban(text: str, f: Feistel, back: bool) -> str:
+    plain = text.replace(" ", "")
     account = _characters(plain[4:], f, b"iban" + plain[:2].encode(), back)
     out = iter(f"{plain[:2]}{98 - _iban_rest(plain[:2], account):02d}{account}")
-    return "".join(c if c == " " else next(out) for c in m[0])
+    return "".join(c if c == " " else next(out) for c in text)
+
+
+_IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+
+
+def _is_iban(text: str) -> bool:
+    plain = text.replace(" ", "")
+    return (15 <= len(plain) <= 34 and _IBAN.fullmatch(text) is not None
+            and int(plain[2:4]) == 98 - _iban_rest(plain[:2], plain[4:]))
+
+
+def _iban_parts(groups: list[str]) -> list[tuple[int, int]]:
+    out = []
+    for i, first in enumerate(groups):
+        if re.match(r"[A-Z]{2}\d{2}", first):
+            n, ends = 0, []
+            for j in range(i, len(groups)):
+                n += len(groups[j])
+                if n > 34:
+                    break
+                if n >= 15:
+                    ends.append(j + 1)
+            out += [(i, j) for j in reversed(ends)]
+    return out
+
+
+class Run(NamedTuple):
+    """Values that are parts of a run of groups: ``parts`` gives the places to try, (first, end) group, best
+    first; of those that are ``valid``, each that meets no better one is a value."""
+
+    parts: Callable[[list[str]], list[tuple[int, int]]]
+    valid: Callable[[str], bool]
+    pseudonym: Callable[[str, Feistel, bool], str]
+
+    def values(self, m: re.Match, f: Feistel, back: bool, free: Callable[[int, int], bool],
+               other: Callable[[str, int, int], bool]) -> Iterator[tuple[int, int, str]]:
+        at = [g.span() for g in re.finditer(r"[A-Z0-9]+", m[0])]
+        text, start = list(m[0]), m.start()
+        tried = [(i, j) for i, j in self.parts([m[0][a:b] for a, b in at]) if free(start + at[i][0], start + at[j - 1][1])]
+        holds = lambda i, j: self.valid("".join(text[at[i][0]:at[j - 1][1]]))
+
+        def clash(text: list[str], a: int, b: int) -> bool:
+            low = max(0, a - 40)
+            left = m.string[max(0, start + a - 40):start] if a < 40 else ""
+            piece = left + "".join(text[low:b + 40])
+            return other(piece + m.string[m.end():m.end() + 40], len(left) + a - low, len(left) + b - low)
+
+        owner: dict[int, int] = {}
+        taken = []
+        for n, (i, j) in enumerate(tried):
+            if not any(g in owner for g in range(i, j)) and holds(i, j):
+                owner.update((g, n) for g in range(i, j))
+                taken.append(n)
+        meets: dict[int, list[int]] = {}
+        for n, (i, j) in enumerate(tried):
+            for g in range(i, j):
+                if g in owner:
+                    meets.setdefault(owner[g], []).append(n)
+        # One value after the other (from the last, to invert) walks on until no other part or kind would be
+        # taken in its place: the new text has its values where the old one has them.
+        for n in reversed(taken) if back else taken:
+            i, j = tried[n]
+            a, b = at[i][0], at[j - 1][1]
+            was = clash(text, a, b)
+            while True:
+                text[a:b] = self.pseudonym("".join(text[a:b]), f, back)
+                if clash(text, a, b) == was and not any(
+                        holds(*tried[c]) and all(owner.get(g, c) >= c for g in range(*tried[c])) for c in set(meets[n]) - {n}):
+                    break
+        for n in sorted(taken, key=tried.__getitem__):
+            a, b = at[tried[n][0]][0], at[tried[n][1] - 1][1]
+            yield start + a, start + b, "".join(text[a:b])
 
 
 def _ssn(m: re.Match, f: Feistel, back: bool) -> str | None:
@@ -206,7 +306,7 @@ def _access_key(m: re.Match, f: Feistel, back: bool) -> str | None:
 class Kind(NamedTuple):
     name: str
     pattern: re.Pattern
-    pseudonym: Callable[[re.Match, Feistel, bool], str | None]
+    pseudonym: Callable[[re.Match, Feistel, bool], str | None] | Run
     #: A character that every value of the kind has; texts without it are not searched.
     needs: str = ""
 
@@ -215,13 +315,15 @@ KINDS = (
     Kind("email", re.compile(r"(?<![\w.+-])([A-Za-z0-9][A-Za-z0-9._%+-]*)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"), _email, "@"),
     Kind("access_key", re.compile(r"(?<![A-Za-z0-9])(A[KS]IA)([0-9A-Z]{16})(?![A-Za-z0-9])"), _access_key, "IA"),
     Kind("access_key", re.compile(r"((?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)([A-Za-z0-9][^\s\"']{4,}[A-Za-z0-9])"), _access_key),
-    Kind("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), _iban),
-    Kind("card", re.compile(r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])"), _card),
+    Kind("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]*(?: [A-Z0-9]+(?![A-Za-z0-9]))*(?![A-Za-z0-9])"), Run(_iban_parts, _is_iban, _iban)),
+    Kind("card", re.compile(r"(?<![\d.+-])\d+(?:[ -]\d+)*(?<=\d)"), Run(_printed_parts, _is_card, _card)),
     Kind("phone", re.compile(r"(?<![\w.+(-])(\+?1[ .-]?)?(\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-])"), _phone),
     Kind("phone", re.compile(r"(?<![\w.+-])(\+\d{1,3}[ .-]?)(\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4})(?![\w-])"), _phone, "+"),
     Kind("ssn", re.compile(r"(?<![\w-])(\d{3})-(\d{2})-(\d{4})(?![\w-])"), _ssn, "-"),
     Kind("ipv4", re.compile(r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)"), _ipv4, "."),
     Kind("date", re.compile(r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?!\w|[./-]\d)"), _date),
+    # Other parts after the kinds of a fixed layout: one in ten has a valid sum by chance.
+    Kind("card", re.compile(r"(?<![\d.+-])\d+(?:[ -]\d+)*(?<=\d)"), Run(_card_parts, _is_card, _card)),
 )
 
 
@@ -231,8 +333,15 @@ def findings(text: str, feistel: Feistel, back: bool = False) -> list[tuple[int,
     for kind in KINDS:
         if kind.needs and kind.needs not in text:
             continue
+        before = [k for k in KINDS[:KINDS.index(kind)] if not isinstance(k.pseudonym, Run)]
+        other = lambda piece, a, b: any(
+            m.start() < b and m.end() > a and k.pseudonym(m, feistel, back) is not None for k in before for m in k.pattern.finditer(piece))
+        free = lambda a, b: all(b <= s or a >= e for s, e, *_ in found)
         for m in kind.pattern.finditer(text):
-            if all(m.end() <= s or m.start() >= e for s, e, *_ in found):
+            if isinstance(kind.pseudonym, Run):
+                if m.end() - m.start() >= 13:
+                    found += [(s, e, kind.name, new) for s, e, new in kind.pseudonym.values(m, feistel, back, free, other)]
+            elif all(m.end() <= s or m.start() >= e for s, e, *_ in found):
                 new = kind.pseudonym(m, feistel, back)
                 if new is not None:
                     found.append((m.start(), m.end(), kind.name, new))

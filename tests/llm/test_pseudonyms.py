@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -69,6 +70,32 @@ def test_numbers_that_fail_their_test_stay(text):
     assert change(f"x {text} y") == f"x {text} y"
 
 
+BESIDE = [("card 4111 1111 1111 1111 12/27", "4111 1111 1111 1111"), ("4111111111111111 123", "4111111111111111"),
+          ("4111-1111-1111-1111 09/26", "4111-1111-1111-1111"), ("pay 2 4111 1111 1111 1111.", "4111 1111 1111 1111"),
+          ("4111111111111111-", "4111111111111111"), ("4111 1111 1111 1111 123 5500 0000 0000 0004", "5500 0000 0000 0004"),
+          ("IBAN AT61 1904 3002 3457 3201 BIC BKAUATWW", "AT61 1904 3002 3457 3201"), ("DE89370400440532013000 BIC COBADEFF", "DE89370400440532013000"),
+          ("REF AB12 DE89 3704 0044 0532 0130 00 EUR", "DE89 3704 0044 0532 0130 00")]
+
+
+@pytest.mark.parametrize("text,value", BESIDE)
+def test_values_are_found_beside_other_groups(text, value):
+    found = [(text[s:e], p) for s, e, _, p in ps.findings(text, F)]
+    assert value in [v for v, _ in found] and value not in change(text)
+    assert back(change(text)) == text
+
+
+def test_no_neighbour_hides_a_card():
+    r = random.Random(3)
+    some = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    for _ in range(500):
+        body = some(15)
+        card = body + str((10 - ps.luhn_sum(body + "0")) % 10)
+        card = r.choice([card, " ".join(card[i:i + 4] for i in range(0, 16, 4)), "-".join(card[i:i + 4] for i in range(0, 16, 4))])
+        beside = [some(r.randrange(1, 5)) for _ in range(3)]
+        text = r.choice([f"{beside[0]} ", ""]) + card + r.choice([f" {beside[1]}", f" {beside[1]}/{beside[2]}", "", f" {beside[1]} {beside[2]}"])
+        assert card not in change(text) and back(change(text)) == text
+
+
 def test_equal_values_are_linked_however_they_are_written():
     digits = lambda t: re.sub(r"\D", "", t)
     assert digits(change("4111 1111 1111 1111")) == digits(change("4111-1111-1111-1111")) == change("4111111111111111")
