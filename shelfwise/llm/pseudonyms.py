@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data, by a keyed Feistel permutation.
 
 Numbers and dates are found by pattern and validated: card numbers by Luhn's sum, IBANs modulo 97, social
-security numbers by their ranges, IPv4 addresses by their octets, dates by the calendar (1900-2099), phone
+security numbers by their ranges, IPv4 addresses by their octets, dates by the calendar (1900-2099; two-digit days and months, no word character
+behind but an ISO time's T and digit: 3/7/1985 and 2024-05-01_log are left out), phone
 numbers by their layout; so are e-mail addresses and access keys.  A value is its place among all values of
 its format (the valid ones: a date stays a date, a card number keeps a valid sum).  A Feistel network over
 that range, keyed and walked until it falls inside, permutes the places.  So a pseudonym has the format of
@@ -321,7 +322,7 @@ KINDS = (
     Kind("phone", re.compile(r"(?<![\w.+-])(\+\d{1,3}[ .-]?)(\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4})(?![\w-])"), _phone, "+"),
     Kind("ssn", re.compile(r"(?<![\w-])(\d{3})-(\d{2})-(\d{4})(?![\w-])"), _ssn, "-"),
     Kind("ipv4", re.compile(r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)"), _ipv4, "."),
-    Kind("date", re.compile(r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?!\w|[./-]\d)"), _date),
+    Kind("date", re.compile(r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}(?=T\d)|\d{4}([-/.])\d{2}\2\d{2}(?!\w|[./-]\d)|\d{2}([-/.])\d{2}\3\d{4}(?!\w|[./-]\d))"), _date),
     # Other parts after the kinds of a fixed layout: one in ten has a valid sum by chance.
     Kind("card", re.compile(r"(?<![\d.+-])\d+(?:[ -]\d+)*(?<=\d)"), Run(_card_parts, _is_card, _card)),
 )

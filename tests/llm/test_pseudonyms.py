@@ -84,6 +84,11 @@ def test_values_are_found_beside_other_groups(text, value):
     assert back(change(text)) == text
 
 
+def test_dates_of_time_stamps():
+    text = "at 2024-05-01T12:00:00Z"
+    assert [k for _, _, k, _ in ps.findings(text, F)] == ["date"] and change(text).endswith("T12:00:00Z") and back(change(text)) == text
+
+
 def test_no_neighbour_hides_a_card():
     r = random.Random(3)
     some = lambda n: "".join(r.choice("0123456789") for _ in range(n))
