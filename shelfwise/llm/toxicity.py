@@ -48,8 +48,6 @@ BLOCK = 64
 #: A neighbour at distance d votes with weight (1 - d) ** NEARNESS; the prior has a weight of its own.
 NEARNESS, PRIOR_WEIGHT = 2.0, 0.5
 SEED = 11
-#: Rows that a task scores, about, where they carry no texts.
-ROWS_PER_TASK = 5_000
 #: Left-out examples that a task votes on.
 EXAMPLES_PER_TASK = 512
 #: Text bytes of which the words are held at once.
@@ -258,6 +256,20 @@ class BlockMaxIndex:
         return Neighbours(self.place[slot[best]], cosine[slot[best]])
 
 
+    #: What a copy on an executor is built from; a tenth of the index.
+    source: tuple | None = None
+
+    def __reduce__(self):
+        return (_index_of, self.source) if self.source else super().__reduce__()
+
+
+def _index_of(terms: bytes, counts: bytes, ends: np.ndarray, weight: np.ndarray) -> BlockMaxIndex:
+    bags = zip(np.split(unsqueeze(terms, np.int32), ends[:-1]), np.split(unsqueeze(counts, np.int32), ends[:-1]))
+    index = BlockMaxIndex([(t, weighted(t, c, weight)) for t, c in bags], len(weight))
+    index.source = (terms, counts, ends, weight)
+    return index
+
+
 class Model(NamedTuple):
     """Everything a task needs to score a text; bounded by the examples and terms."""
 
@@ -337,7 +349,10 @@ def _model(examples: Examples, counts: dict[int, int], frequency: np.ndarray, n_
     empty = np.array([not len(t) for t, _ in bags], bool)
     alone = ((stands_for * toxic)[empty].sum() + 0.5 * prior) / (stands_for[empty].sum() + 0.5)
     held = np.flatnonzero(~empty)
-    index = BlockMaxIndex([(bags[i][0], weighted(*bags[i], weight)) for i in held], len(frequency))
+    if len(held):
+        index = _index_of(squeeze(examples.terms), squeeze(examples.counts), np.unique(examples.ends[examples.ends > 0]), weight)
+    else:
+        index = BlockMaxIndex([], len(frequency))
     return Model([examples.ids[i] for i in held], toxic[held], stands_for[held], weight, index, prior, float(alone), (0.0, 1.0))
 
 
@@ -419,8 +434,6 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()),
                  pa.array(proofs, _arrow(kinds))], [*kept, "score", "predicted", "evidence"])
 
-    if kept == [id_col]:  # narrow rows lie in few small files
-        bags = bags.repartition(max(1, n_docs // ROWS_PER_TASK))
     return bags.mapInArrow(run, schema)
 
 
