@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, linededup, lmscore, mixing, ngramjoin, polytope, pseudonyms, topk, toxicity, urlfilter
+from shelfwise.llm import (
+    bpe, linededup, lmscore, mixing, ngramjoin, polytope, pseudonyms, sharding, topk, toxicity, urlfilter,
+)
 from shelfwise.llm.common import crc_fold
 
 
@@ -192,6 +194,72 @@ SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(roots.root, w.doc_
 FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON roots.a = w.doc_id"""
 
 
+# ------------------------------------------------------------------ 12: sharding
+def op12_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign(docs).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _crc32_steps() -> list[int]:
+    """What four shifts of the CRC-32 register (reversed polynomial EDB88320) add for each low half byte."""
+    steps = []
+    for c in range(16):
+        for _ in range(4):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        steps.append(c)
+    return steps
+
+
+def crc32_sql(blob: str) -> str:
+    """Unsigned CRC-32 of a blob, half byte by half byte."""
+    halves = f"string_split(regexp_replace(hex({blob}), '(.)(.)', '\\2\\1', 'g'), '')"
+    numbers = (f"list_transform(list_filter({halves}, lambda x: x <> ''), "
+               "lambda x: CAST(strpos('0123456789ABCDEF', x) - 1 AS BIGINT))")
+    return (f"xor(4294967295, list_reduce({numbers}, "
+            f"lambda c, x: xor({_crc32_steps()}[CAST(xor(c, x) & 15 AS INTEGER) + 1], c >> 4), 4294967295))")
+
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+g AS (SELECT md5(text) AS key, count(*) AS n, sum(strlen(text) + 1) AS bytes FROM d GROUP BY 1),
+ends AS (
+  SELECT key, n, CAST(sum(bytes) OVER (ORDER BY key) AS BIGINT) AS e, CAST(sum(n) OVER (ORDER BY key) AS BIGINT) AS upto FROM g),
+line AS (SELECT e, upto FROM ends UNION ALL SELECT 0, 0),
+whole AS (SELECT CAST(sum(bytes) AS BIGINT) AS total, CAST(max(bytes) AS BIGINT) AS largest FROM g),
+search(low, high, k, pos) AS (
+  SELECT greatest(largest, (total + 15) // 16) - 1, total, 0, CAST(0 AS BIGINT) FROM whole
+  UNION ALL
+  SELECT if(k = 16 AND pos < total, (low + high) // 2, low), if(pos = total, (low + high) // 2, high),
+    if(k = 16 OR pos = total, 0, k + 1),
+    if(k = 16 OR pos = total, 0, (SELECT max(e) FROM line WHERE e <= pos + (low + high) // 2))
+  FROM search, whole WHERE high - low > 1),
+best AS (SELECT min(high) AS capacity FROM search),
+earliest(k, e) AS (
+  SELECT 15, total FROM whole
+  UNION ALL
+  SELECT k - 1, (SELECT min(l.e) FROM line l WHERE l.e >= greatest(0, x.e - capacity))
+  FROM earliest x, best WHERE k > 0),
+cuts(k, cut) AS (
+  SELECT -1, CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT k, least(greatest(if(b <= prev OR a - share < share - b, a, b), first_end), latest)
+  FROM (
+    SELECT c.k + 1 AS k, c.cut AS prev, x.e AS first_end, c.cut + (total - c.cut) // (15 - c.k) AS share,
+      (SELECT max(e) FROM line WHERE e <= c.cut + (total - c.cut) // (15 - c.k)) AS b,
+      (SELECT min(e) FROM line WHERE e >= c.cut + (total - c.cut) // (15 - c.k)) AS a,
+      (SELECT max(e) FROM line WHERE e <= c.cut + capacity) AS latest
+    FROM cuts c JOIN earliest x ON x.k = c.k + 1, whole, best WHERE c.k < 14)),
+placed AS (
+  SELECT key, (SELECT count(*) FROM cuts WHERE k >= 0 AND e > cut) AS shard, upto - n AS before FROM ends),
+starts AS (SELECT shard, min(before) AS before FROM placed GROUP BY shard)
+SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS size, CAST({crc32_sql("encode(text)")} AS BIGINT) AS text_crc32,
+  'bytes' AS law, CAST(p.shard AS INTEGER) AS shard,
+  p.before - s.before + row_number() OVER (PARTITION BY p.key ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM d JOIN placed p ON p.key = md5(text) JOIN starts s ON s.shard = p.shard"""
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_topk": op2_exact_topk,
@@ -203,6 +271,7 @@ QUERIES = {
     "op8_bloom_line_dedup": op8_bloom_line_dedup,
     "op9_url_rules": op9_url_rules,
     "op10_ngram_classes": op10_ngram_classes,
+    "op12_minimax_shards": op12_minimax_shards,
 }
 ORACLES: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
@@ -210,4 +279,5 @@ ORACLES: dict[str, str] = {
     "op8_bloom_line_dedup": OP8_SQL,
     "op9_url_rules": OP9_SQL,
     "op10_ngram_classes": OP10_SQL,
+    "op12_minimax_shards": OP12_SQL,
 }
