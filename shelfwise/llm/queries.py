@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    bpe, linededup, lmscore, mixing, ngramjoin, polytope, pseudonyms, sharding, topk, toxicity, urlfilter,
+    bpe, linededup, lmscore, mixing, negatives, ngramjoin, polytope, pseudonyms, sharding, topk, toxicity, urlfilter,
 )
 from shelfwise.llm.common import crc_fold
 
@@ -194,6 +194,34 @@ SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(roots.root, w.doc_
 FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON roots.a = w.doc_id"""
 
 
+# ------------------------------------------------------------------ 11: hard negatives
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.e, x.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v x ON a.vec_id % 100 = 0 AND x.vec_id <> a.vec_id AND len(a.e) = len(x.e)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+QUALIFY rank <= 5"""
+
+
 # ------------------------------------------------------------------ 12: sharding
 def op12_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -271,6 +299,7 @@ QUERIES = {
     "op8_bloom_line_dedup": op8_bloom_line_dedup,
     "op9_url_rules": op9_url_rules,
     "op10_ngram_classes": op10_ngram_classes,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_minimax_shards": op12_minimax_shards,
 }
 ORACLES: dict[str, str] = {
@@ -279,5 +308,6 @@ ORACLES: dict[str, str] = {
     "op8_bloom_line_dedup": OP8_SQL,
     "op9_url_rules": OP9_SQL,
     "op10_ngram_classes": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op12_minimax_shards": OP12_SQL,
 }
