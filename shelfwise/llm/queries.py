@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    bpe, linededup, lmscore, mixing, negatives, ngramjoin, polytope, pseudonyms, sharding, topk, toxicity, urlfilter,
+    bpe, convtrie, linededup, lmscore, mixing, negatives, ngramjoin, polytope, pseudonyms, sharding, topk, toxicity,
+    urlfilter,
 )
 from shelfwise.llm.common import crc_fold
 
@@ -288,6 +289,44 @@ SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS size, CAST({crc32_sql("encode
 FROM d JOIN placed p ON p.key = md5(text) JOIN starts s ON s.shard = p.shard"""
 
 
+# ------------------------------------------------------------------ 13: conversation prefix trie
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.trie_of(_table(spark, sf_dir, "conversations"), group=5, heads=9)
+
+
+OP13_SQL = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, count(*) AS own FROM t GROUP BY c),
+heads AS (SELECT c, c - c % 5 AS base, {crc32_sql("encode(CAST(c AS VARCHAR))")} % 9 AS h FROM own),
+lent AS (SELECT heads.*, least(h, coalesce(own, 0)) AS taken FROM heads LEFT JOIN own ON own.c = base),
+turns AS (
+  SELECT l.c, pos, role, text FROM lent l JOIN t ON t.c = base AND pos <= taken
+  UNION ALL SELECT l.c, pos - h + taken, role, text FROM lent l JOIN t ON t.c = l.c AND pos > h),
+prefixes AS (
+  SELECT c, pos AS d, strlen(text) AS n,
+    string_agg(strlen(role) || ':' || role || md5(text), '' ORDER BY pos) OVER (PARTITION BY c ORDER BY pos) AS key FROM turns
+  UNION ALL SELECT c, 0, 0, '' FROM own),
+whole AS (SELECT c, max(d) AS length FROM prefixes GROUP BY c),
+nodes AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n_convs, max(n) AS n,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = length), '')) AS ends_sha256
+  FROM prefixes JOIN whole USING (c) GROUP BY d, key),
+parents AS (
+  SELECT DISTINCT b.d, b.key, a.key AS above FROM prefixes a JOIN prefixes b ON a.c = b.c AND a.d = b.d - 1),
+children AS (SELECT d - 1 AS d, above AS key, count(*) AS n_children FROM parents GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (d, key)),
+sums AS (
+  SELECT a.d, a.key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * f.n) AS saved_tokens
+  FROM full_nodes f JOIN prefixes a ON a.c = f.conv_id AND a.d <= f.d GROUP BY a.d, a.key)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN sums USING (d, key) LEFT JOIN parents u ON u.d = f.d AND u.key = f.key
+LEFT JOIN nodes p ON p.d = f.d - 1 AND p.key = u.above"""
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_topk": op2_exact_topk,
@@ -301,6 +340,7 @@ QUERIES = {
     "op10_ngram_classes": op10_ngram_classes,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_minimax_shards": op12_minimax_shards,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLES: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
@@ -310,4 +350,5 @@ ORACLES: dict[str, str] = {
     "op10_ngram_classes": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,
     "op12_minimax_shards": OP12_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }
