@@ -49,7 +49,8 @@ class Ends:
         self.at = np.array([0, total], np.int64)
         self.open = np.array([groups > 1])
         self.total = total
-        self.doubts: list[tuple[int, int]] = []
+        self.doubts: set[tuple[int, int]] = set()
+        self.spans: list[tuple[int, int]] = []
 
     def last(self, x: int) -> tuple[int, int]:
         """Bounds of the last end at or before ``x``."""
@@ -68,20 +69,24 @@ class Ends:
     def doubt(self, low: int, high: int) -> None:
         """Ask for the ends of the open gaps that meet low..high."""
         i = max(0, int(np.searchsorted(self.at, low, "right")) - 1)
-        while i < len(self.open) and self.at[i] <= high:
-            if self.open[i]:
-                self.doubts.append((int(self.at[i]), int(self.at[i + 1])))
-            i += 1
+        gaps = np.arange(i, max(i, int(np.searchsorted(self.at[:-1], high, "right"))))
+        gaps = gaps[self.open[gaps]]
+        if len(gaps):
+            self.doubts |= {(int(self.at[g]), int(self.at[g + 1])) for g in gaps}
+            self.spans.append((int(self.at[gaps[0]]), int(self.at[gaps[-1] + 1])))
 
-    def windows(self) -> list[tuple[int, int]]:
-        """The gaps in doubt, neighbouring ones joined."""
+    def windows(self, bins: int) -> tuple[list[tuple[int, int]], int]:
+        """The spans in doubt, joined where they meet (a few for each shard), and the width of a slice.
+
+        Slices lie where ends are, so closed gaps within a span take none.
+        """
         out: list[tuple[int, int]] = []
-        for low, high in sorted(set(self.doubts)):
+        for low, high in sorted(self.spans):
             if out and low <= out[-1][1]:
                 out[-1] = (out[-1][0], max(high, out[-1][1]))
             else:
                 out.append((low, high))
-        return out
+        return out, max(1, -(-sum(b - a for a, b in self.doubts) // bins))
 
     def learn(self, windows: list[tuple[int, int]], slices: list[tuple[int, int, int]]) -> None:
         """(first end, last end, ends) of slices that cover the windows: only within a slice can more lie."""
@@ -95,7 +100,7 @@ class Ends:
         for first, last, n in slices:
             a, b = np.searchsorted(at, [first, last])
             self.open[a:b] = n > b - a + 1
-        self.at, self.doubts = at, []
+        self.at, self.doubts, self.spans = at, set(), []
 
 
 def _reach(ends: Ends, capacity: int, shards: int) -> list[tuple[int, int]]:
@@ -194,8 +199,7 @@ def _asker(groups: DataFrame, bins: int):
     """Resolves the doubts of some ends by one job over the groups that end inside them."""
 
     def ask(ends: Ends) -> None:
-        windows = ends.windows()
-        width = max(1, -(-sum(b - a for a, b in windows) // bins))
+        windows, width = ends.windows(bins)
         inside, window = F.lit(False), F.lit(0)
         for a, b in windows:
             inside = inside | ((F.col("end") > a) & (F.col("end") < b))
