@@ -1,24 +1,28 @@
 """Toxicity by the nearest labelled examples, found exactly with a block-max inverted index.
 
-Terms are words (runs of letters, lower case) and their first 4, 5 and 6 letters, which catch inflected
-and invented forms.  A bounded sample of labelled rows (at most ``EXAMPLES`` of each label, those with
-the least hash of their id) gives the examples; every term of an example counts.  Each text is a vector
-of TF-IDF weights, document frequencies being counted over all documents, times the relevance frequency
-log2(2 + toxic / clean) of the term among the examples (tf.rf weighting): terms that lean towards toxic
-weigh more, none weighs nothing.  Words that no example has are no terms: they are in no product, and
-would shorten all cosines of a text alike.  A text's nearest examples by cosine vote with weights that
-fall with the distance, and a logistic curve, fitted to the examples with each left out of its own vote,
-makes the vote a probability.
-
-The index keeps, per term, postings in blocks of neighbouring examples and each block's largest weight.
-The sum of a query's weights times these maxima bounds the cosine of every example of a block.  The
-blocks with the highest bounds give a k-th best cosine, and of the others only those whose bound reaches
-it are read: the result is that of reading all.
-Examples and so their terms are bounded, so the index is broadcast; terms are known by 64-bit fingerprints.
+Terms are words (runs of letters, lower case) and, of longer ones, their first ``LETTERS`` letters, which
+catch inflected and invented forms.  A bounded sample of labelled rows (at most
+``EXAMPLES`` of each label, those with the least hash of their id) gives the examples; every term of an
+example counts.  Each text is a vector of TF-IDF weights, document frequencies being counted over all
+documents, times the relevance frequency log2(2 + toxic / clean) of the term among the examples (tf.rf
+weighting): terms that lean towards toxic weigh more, none weighs nothing.  Words that no example has are
+no terms: they are in no product, and would shorten all cosines of a text alike.  A text's nearest examples
+by cosine vote with weights that fall with the distance, and a logistic curve, fitted to the examples with
+each left out of its own vote, makes the vote a probability.
+
+The index keeps the postings of rare terms by term; these are few, and are added up first.  Those of common
+terms lie in blocks of ``BLOCK`` similar examples, with each term's largest weight in each block.  The sum
+of a query's weights times these maxima, and the block's largest sum of rare terms, bound the cosine of
+every example of the block.  Blocks are read from the highest bound on, until the next one is below the k-th best cosine found: the
+result is that of reading all.  Examples are put in order by the most similar of some of them, so that a
+block has few distinct terms and its bound is near its cosines.
+Examples and so their terms are bounded, so they are broadcast, and executors build the index; terms are
+known by 64-bit fingerprints.
 
 Defined results: a null or empty text, or one without any of the terms, has no neighbours and gets the
 share of toxic rows among the examples that have none either.  Without labelled rows all scores are the
-same, below 0.5.  A label counts as toxic if any row of its id says so; null labels and ids teach nothing.
+same, below 0.5.  A label counts as toxic if any row of its id says so; null labels and ids, and ids
+without a document, teach nothing.
 Repeated rows are scored one by one; ties of the cosine go to the smaller id.  An empty table gives no
 rows.  Scores depend on texts and training labels alone.
 """
@@ -41,10 +45,15 @@ from pyspark.sql import types as T
 from shelfwise.llm.common import Words, planes, ship, slices, squeeze, unplanes, unsqueeze, written
 
 #: Labelled rows of each label that are learned from at most.
-EXAMPLES = 4096
-STEMS = (4, 5, 6)
+EXAMPLES = 1024
+#: Letters of a longer word that are a term, too.
+LETTERS = 4
 K = 15
-BLOCK = 64
+BLOCK = 32
+#: Examples that hold a common term at least; rare ones are added up before any block is read.
+COMMON = 16
+#: Examples that the others are put in order by, and the leaders of these.
+SEEDS, LEADERS = 64, 8
 #: A neighbour at distance d votes with weight (1 - d) ** NEARNESS; the prior has a weight of its own.
 NEARNESS, PRIOR_WEIGHT = 2.0, 0.5
 SEED = 11
@@ -64,7 +73,8 @@ def terms_of(word: bytes) -> list[str]:
     out = []
     for run in [text] if text.isalpha() else _LETTERS.findall(text):
         out.append(run)
-        out += [f"{run[:n]}*" for n in STEMS if len(run) > n]
+        if len(run) > LETTERS:
+            out.append(f"{run[:LETTERS]}*")
     return out
 
 
@@ -78,6 +88,7 @@ def _sample(docs: DataFrame, labels: DataFrame, examples: int, seed: int) -> tup
     """(id, toxic, text) of the examples, and the number of labelled rows of each label."""
     rows = labels.filter("id is not null and toxic is not null").groupBy("id").agg(
         F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    rows = rows.join(docs.select("id"), "id", "left_semi")  # a label without a document teaches nothing
     rows = written(rows.withColumn("draw", F.xxhash64(F.lit(seed), F.col("id").cast("string"))), "toxicity-labels")
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     drawn = None
@@ -199,96 +210,121 @@ class Neighbours(NamedTuple):
     cosines: np.ndarray
 
 
+def _arranged(vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> list[int]:
+    """The examples by their most similar seed, seeds of one leader together."""
+    seeds = np.arange(0, len(vectors), max(1, len(vectors) // SEEDS))
+    leads = np.arange(0, len(seeds), max(1, len(seeds) // LEADERS))
+    of_seed = np.zeros((n_terms, len(seeds)), np.float32)
+    for j, s in enumerate(seeds):
+        of_seed[vectors[s][0], j] = vectors[s][1]
+    cosine = np.array([w.astype(np.float32) @ of_seed[t] for t, w in vectors]).reshape(len(vectors), len(seeds))
+    nearest = cosine.argmax(1)
+    leader = cosine[seeds][:, leads].argmax(1)
+    return np.lexsort((-cosine[np.arange(len(vectors)), nearest], nearest, leader[nearest])).tolist()
+
+
 class BlockMaxIndex:
-    """Postings of unit vectors, per term and block of ``BLOCK`` neighbouring examples, with maxima."""
+    """Postings of unit vectors: rare terms by term, common ones in blocks of ``BLOCK`` similar examples, with
+    each common term's maximum in each block."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        # Examples with the same strongest term stand together, so that few blocks have high bounds.
-        strongest = [(int(t[np.argmax(w)]), -float(w.max())) for t, w in vectors]
-        order = sorted(range(len(vectors)), key=strongest.__getitem__)
+        order = _arranged(vectors, n_terms) if vectors else []
         self.place = np.array(order, np.int64)
         self.slot_of = np.argsort(self.place)
         self.blocks = -(-len(order) // BLOCK)
-        sizes = [len(vectors[o][0]) for o in order]
-        slot = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
-        term = np.concatenate([vectors[o][0] for o in order] or [np.zeros(0, np.int32)]).astype(np.int32, copy=False)
-        by_term = np.argsort(term, kind="stable")
-        self.slot, term = slot[by_term], term[by_term]
-        self.weight = np.concatenate([vectors[o][1] for o in order] or [np.zeros(0)])[by_term]
-        del slot, by_term
-        # A cell: the postings of a term in a block.
-        block = self.slot // BLOCK
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        first = np.flatnonzero(new)
-        self.block = block[first]
-        self.begin = np.append(first, len(term)).astype(np.int32)
-        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.cells = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)
+        slot = np.repeat(np.arange(len(order)), [len(vectors[o][0]) for o in order])
+        term = np.concatenate([vectors[o][0] for o in order] or [np.zeros(0, np.int64)]).astype(np.int64)
+        weight = np.concatenate([vectors[o][1] for o in order] or [np.zeros(0)])
+        common = np.bincount(term, minlength=n_terms) >= COMMON
+        self.row = np.where(common, np.cumsum(common) - 1, -1)
+        rare = np.flatnonzero(~common[term])
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.begin = np.searchsorted(term[rare], np.arange(n_terms + 1))
+        self.slot, self.weight = slot[rare], weight[rare]
+        #: Bounds are in single precision, rounded up.
+        self.largest = np.zeros((int(common.sum()), self.blocks), np.float32)
+        self.postings = []
+        for b in range(self.blocks):
+            i, j = np.searchsorted(slot, [b * BLOCK, (b + 1) * BLOCK])
+            some = np.flatnonzero(common[term[i:j]]) + i
+            t, w = self.row[term[some]], weight[some]
+            begin = np.flatnonzero(np.diff(slot[some], prepend=-1))
+            self.postings.append((t, w, begin, slot[some][begin]))
+            np.maximum.at(self.largest[:, b], t, np.nextafter(w.astype(np.float32), np.float32(2)))
+        self.query = np.zeros(len(self.largest))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> Neighbours:
         """The k examples with the highest positive cosine, ties to the smaller place."""
-        sizes = self.cells[terms + 1] - self.cells[terms]
-        cells, weights = _expand(self.cells[terms], sizes), np.repeat(weights, sizes)
-        block = self.block[cells]
-        bound = np.bincount(block, weights * self.largest[cells], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[:int((bound > 0).sum())]
-        cosine = np.zeros(len(self.place))
-        at, step, least = 0, 1 + k // BLOCK, 0.0
-        # The likeliest blocks first, while their bounds reach the k-th best cosine.
-        while at < len(order) and bound[order[at]] >= least - 1e-9:
-            marked = np.zeros(self.blocks, bool)
-            marked[order[at:at + step]] = True
-            some = marked[block]
-            begin = self.begin[cells[some]]
-            length = self.begin[cells[some] + 1] - begin
-            read = _expand(begin, length)
-            cosine += np.bincount(self.slot[read], np.repeat(weights[some], length) * self.weight[read], len(cosine))
-            if without >= 0:
-                cosine[self.slot_of[without]] = 0
-            least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
-            at, step = at + step, max(1, int((bound >= least - 1e-9).sum()) - at - step)
-        cosine = np.round(cosine, 12)
+        row = self.row[terms]
+        t, w = row[row >= 0], weights[row >= 0]
+        rare = terms[row < 0]
+        size = self.begin[rare + 1] - self.begin[rare]
+        read = _expand(self.begin[rare], size)
+        cosine = np.bincount(self.slot[read], np.repeat(weights[row < 0], size) * self.weight[read], self.blocks * BLOCK).astype(float)
+        left_out = self.slot_of[without] if without >= 0 else -1
+        if left_out >= 0:
+            cosine[left_out] = 0
+        bound = (w.astype(np.float32) @ self.largest[t]) * np.float32(1 + 1e-5) + np.float32(1e-6)
+        bound = bound + cosine.reshape(-1, BLOCK).max(1, initial=0)
+        self.query[t] = w
+        least = 0.0
+        for nth, b in enumerate(np.argsort(-bound, kind="stable").tolist()):
+            if bound[b] < least:
+                break
+            term, weight, begin, slot = self.postings[b]
+            if len(begin):
+                product = self.query.take(term)
+                product *= weight
+                cosine[slot] += np.add.reduceat(product, begin)
+            if left_out // BLOCK == b:
+                cosine[left_out] = 0
+            # The k-th best only rises: an older one reads some blocks more, and finds the same.
+            if len(cosine) >= k and (nth < 4 or nth % 4 == 0):
+                least = np.partition(cosine, -k)[-k]
+        self.query[t] = 0
+        cosine = np.round(cosine[:len(self.place)], 12)
         least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
         slot = np.flatnonzero((cosine > 0) & (cosine >= least))
         best = np.lexsort((self.place[slot], -cosine[slot]))[:k]
         return Neighbours(self.place[slot[best]], cosine[slot[best]])
 
 
-    #: What a copy on an executor is built from; a tenth of the index.
-    source: tuple | None = None
-
-    def __reduce__(self):
-        return (_index_of, self.source) if self.source else super().__reduce__()
-
-
-def _index_of(terms: bytes, counts: bytes, ends: np.ndarray, weight: np.ndarray) -> BlockMaxIndex:
-    bags = zip(np.split(unsqueeze(terms, np.int32), ends[:-1]), np.split(unsqueeze(counts, np.int32), ends[:-1]))
-    index = BlockMaxIndex([(t, weighted(t, c, weight)) for t, c in bags], len(weight))
-    index.source = (terms, counts, ends, weight)
-    return index
-
-
 class Model(NamedTuple):
-    """Everything a task needs to score a text; bounded by the examples and terms."""
+    """What a task needs to score a text; bounded by the examples.  ``terms`` and ``counts`` are squeezed."""
 
     ids: list
     toxic: np.ndarray
     stands_for: np.ndarray
     weight: np.ndarray
-    index: BlockMaxIndex
+    terms: bytes
+    counts: bytes
+    ends: np.ndarray
     prior: float
     alone: float
-    curve: tuple[float, float]
+
+    def index(self) -> BlockMaxIndex:
+        cut = self.ends[:-1]
+        bags = zip(np.split(unsqueeze(self.terms, np.int32), cut), np.split(unsqueeze(self.counts, np.int32), cut))
+        return BlockMaxIndex([(t, weighted(t, c, self.weight)) for t, c in bags] if self.ids else [], len(self.weight))
 
     def vote(self, near: Neighbours) -> float:
         weight = near.cosines ** NEARNESS * self.stands_for[near.places]
         toxic = (weight * self.toxic[near.places]).sum()
         return float((toxic + PRIOR_WEIGHT * self.prior) / (weight.sum() + PRIOR_WEIGHT))
 
-    def score(self, near: Neighbours) -> float:
-        return _sigmoid(self.curve[0] + self.curve[1] * _logit(self.vote(near))) if len(near.places) else self.alone
+    def score(self, near: Neighbours, curve: tuple[float, float]) -> float:
+        return _sigmoid(curve[0] + curve[1] * _logit(self.vote(near))) if len(near.places) else self.alone
+
+
+#: The last model that this Python worker met, and its index; a worker serves one task at a time.
+_BUILT: list = [None, None]
+
+
+def _index_of(model) -> BlockMaxIndex:
+    """The index of a broadcast model, built once for each Python worker."""
+    if _BUILT[0] is not model.value:
+        _BUILT[:] = [model.value, model.value.index()]
+    return _BUILT[1]
 
 
 def _logit(p):
@@ -349,18 +385,15 @@ def _model(examples: Examples, counts: dict[int, int], frequency: np.ndarray, n_
     empty = np.array([not len(t) for t, _ in bags], bool)
     alone = ((stands_for * toxic)[empty].sum() + 0.5 * prior) / (stands_for[empty].sum() + 0.5)
     held = np.flatnonzero(~empty)
-    if len(held):
-        index = _index_of(squeeze(examples.terms), squeeze(examples.counts), np.unique(examples.ends[examples.ends > 0]), weight)
-    else:
-        index = BlockMaxIndex([], len(frequency))
-    return Model([examples.ids[i] for i in held], toxic[held], stands_for[held], weight, index, prior, float(alone), (0.0, 1.0))
+    return Model([examples.ids[i] for i in held], toxic[held], stands_for[held], weight, squeeze(examples.terms),
+                 squeeze(examples.counts), np.unique(examples.ends[examples.ends > 0]), prior, float(alone))
 
 
-def _left_out(bags: DataFrame, known, model, k: int) -> tuple[float, float]:
+def _left_out(bags: DataFrame, known, model, ids: list, toxic: np.ndarray, stands_for: np.ndarray, k: int) -> tuple[float, float]:
     """The curve of the votes that the examples get when each is left out; ``known``, ``model`` are broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m, index = model.value, _index_of(model)
         place = {i: p for p, i in enumerate(m.ids)}
         for batch in batches:
             out = []
@@ -368,18 +401,17 @@ def _left_out(bags: DataFrame, known, model, k: int) -> tuple[float, float]:
                 if i in place:
                     t, c = _unpack(t, c, np.uint64)
                     t = np.searchsorted(known.value, t)
-                    near = m.index.nearest(t, weighted(t, c, m.weight), k, without=place[i])
+                    near = index.nearest(t, weighted(t, c, m.weight), k, without=place[i])
                     if len(near.places):
                         out.append((place[i], m.vote(near)))
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int32()), pa.array([v for _, v in out], pa.float64())], ["i", "vote"])
 
-    m = model.value
-    bags = bags.select("id", "terms", "counts").repartition(len(m.ids) // EXAMPLES_PER_TASK + 1)
+    bags = bags.select("id", "terms", "counts").repartition(len(ids) // EXAMPLES_PER_TASK + 1)
     votes = sorted((r["i"], r["vote"]) for r in bags.mapInArrow(run, "i int, vote double").collect())
     if not votes:
-        return m.curve
+        return 0.0, 1.0
     at = [i for i, _ in votes]
-    return _fit_curve(_logit(np.array([v for _, v in votes])), m.toxic[at], m.stands_for[at])
+    return _fit_curve(_logit(np.array([v for _, v in votes])), toxic[at], stands_for[at])
 
 
 # ------------------------------------------------------------------ scoring
@@ -403,16 +435,18 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
     n_terms = len(learned.known)
     bags = written(_term_counts(docs, kept, text_col, known), "toxicity-bags")
     n_docs = bags.count()
-    model = spark.sparkContext.broadcast(_model(learned, counts, _document_frequency(bags.select("terms"), n_terms), n_docs))
+    model = _model(learned, counts, _document_frequency(bags.select("terms"), n_terms), n_docs)
+    ids, toxic, stands_for = model.ids, model.toxic, model.stands_for
+    model = spark.sparkContext.broadcast(model)
     del learned
-    curve = _left_out(sample, known, model, k)
+    curve = _left_out(sample, known, model, ids, toxic, stands_for, k)
     evidence = T.ArrayType(T.StructType([T.StructField("id", bags.schema[id_col].dataType), T.StructField("cosine", T.DoubleType()),
                                          T.StructField("toxic", T.IntegerType())]))
     schema = T.StructType([*(bags.schema[c] for c in kept), T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType()), T.StructField("evidence", evidence)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value._replace(curve=curve)
+        m, index = model.value, _index_of(model)
         none = Neighbours(np.zeros(0, np.int64), np.zeros(0))
         for batch in batches:
             done: dict[tuple, tuple[float, list]] = {}
@@ -423,8 +457,8 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
                     near = none
                     if t:
                         at, n = _unpack(t, c, np.int32)
-                        near = m.index.nearest(at, weighted(at, n, m.weight), k)
-                    done[key] = (m.score(near), [{"id": m.ids[p], "cosine": x, "toxic": int(m.toxic[p])}
+                        near = index.nearest(at, weighted(at, n, m.weight), k)
+                    done[key] = (m.score(near, curve), [{"id": m.ids[p], "cosine": x, "toxic": int(m.toxic[p])}
                                                  for p, x in zip(near.places.tolist(), near.cosines.tolist())])
                 scores.append(done[key][0])
                 proofs.append(done[key][1])
