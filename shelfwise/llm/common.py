@@ -53,9 +53,11 @@ def ship(spark: SparkSession) -> SparkSession:
 
 # ------------------------------------------------------------------ scratch tables
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a fresh one only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a fresh one of this machine only on a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="llm-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -144,10 +144,10 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the repeated lines of ``text_col``, with ``n_lines`` (before) and ``n_dropped``."""
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
-    lost = dropped_keys(docs, min_chars, min_docs, bits, id_col, text_col).select(
-        F.col("id").alias("_lost_id"), F.col("keys").alias("_lost_keys"))
+    lost = dropped_keys(docs, min_chars, min_docs, bits, id_col, text_col)
     rows = docs.select(*[f"`{c}`" for c in names])
-    joined = rows.join(lost, F.col(id_col) == F.col("_lost_id"), "left").drop("_lost_id")
+    plain = [f"c{i}" for i in range(len(names))]  # no column of ``docs`` meets one of ``lost``
+    joined = rows.toDF(*plain).join(lost, F.col(plain[names.index(id_col)]) == F.col("id"), "left").select(*plain, "keys")
     schema = T.StructType([*rows.schema, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -497,8 +497,10 @@ def representatives(docs: DataFrame, size: int = SIZE, similarity: tuple[int, in
     Of rows that repeat the id, the one whose text has the least hash stays.
     """
     kept = (classes(docs, size, similarity, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
-            .select(F.col(id_col).alias("_kept_id")).distinct())
-    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(text_col))))
-    one = (docs.join(kept, F.col(id_col).cast("long") == F.col("_kept_id")).withColumn("_kept_nth", nth)
-           .filter("_kept_nth = 1").select(*[f"`{c}`" for c in docs.columns]))
-    return one.union(docs.filter(F.col(id_col).isNull()))
+            .select(F.col(id_col).alias("kept")).distinct())
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # no column of ``docs`` meets one of ``kept``
+    own, text = (F.col(plain[docs.columns.index(c)]) for c in (id_col, text_col))
+    nth = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64(text)))
+    rows = docs.toDF(*plain)
+    one = rows.join(kept, own.cast("long") == F.col("kept")).withColumn("nth", nth).filter("nth = 1").select(*plain)
+    return one.union(rows.filter(own.isNull())).toDF(*docs.columns)
