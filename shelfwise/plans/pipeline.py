@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import JD_EPOCH
 from shelfwise.operators import extract
-from shelfwise.plans import publish, storage
+from shelfwise.plans import publish, snapshots, storage
 from shelfwise.sources.tables import first_rows
 
 # Upserted by key in incremental mode; everything else is reloaded whole.
@@ -57,12 +57,13 @@ def _run(spark: SparkSession, root: str, tables: Callable[[], dict[str, DataFram
             telemetry.record_stage(run_id, time.time_ns(), stage["stage"], stage["rows"], stage["elapsed_seconds"])
 
     try:
+        base = snapshots.read(spark, root)
         build = publish.new_staging(spark, root)
         stats = _write_all(tables(), build, workers, ended)
         publish.run_stats_table(spark, started, stats).coalesce(1).write.mode("overwrite").parquet(
             storage.join(build, "_pipeline_run"))
         names = [s["stage"] for s in stats] + ["_pipeline_run"]
-        publish.publish(spark, root, {n: storage.join(build, n) for n in names})
+        publish.publish(spark, root, {n: storage.join(build, n) for n in names}, base)
         ok = True
         return {"build": build, "stats": stats}
     finally:

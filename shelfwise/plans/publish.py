@@ -1,11 +1,11 @@
 """Sinks and write modes (K01-K08): staged build, atomic publish, upsert, exports.
 
 A snapshot is a set of parquet tables.  A build writes tables into a fresh
-staging folder; only when all succeed does a new ``CURRENT`` file, a manifest
-of table -> path, replace the old one by rename, so readers always see either
-the old or the new snapshot, never a mix.  Failed builds leave the live
-snapshot untouched.  A build that renews some tables carries the others over
-by their paths.  All paths are on the cluster's storage (any Hadoop URI).
+staging folder; only when all succeed is a new manifest (table -> path) added
+to the snapshot log (``plans/snapshots.py``), so readers always see either the
+old or the new snapshot, never a mix.  Failed builds leave the live snapshot
+untouched.  A build that renews some tables carries the others over by their
+paths.  All paths are on the cluster's storage (any Hadoop URI).
 
 Tables are stored as plain parquet, not bucketed: joins on a hot title then
 pass a shuffle, whose partitions can be split at run time.
@@ -20,9 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.plans import storage
-
-POINTER = "CURRENT"
+from shelfwise.plans import snapshots, storage
 
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=None) -> int:
@@ -70,25 +68,27 @@ def new_staging(spark: SparkSession, root: str) -> str:
     return path
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, str]) -> None:
-    """Atomically make ``tables`` (name -> path) the snapshot of ``root``."""
-    storage.replace_text(spark, storage.join(root, POINTER), json.dumps({"tables": tables}, sort_keys=True))
+def publish(spark: SparkSession, root: str, tables: dict[str, str], base: snapshots.Snapshot | None = None) -> None:
+    """Atomically make ``tables`` (name -> path) the snapshot of ``root``.
+
+    With ``base``, the snapshot from which the run started, the other tables stay, also those that were
+    published meanwhile; a table that another run has replaced meanwhile raises ``snapshots.Conflict``.
+    """
+    entries = {n: {"path": p} for n, p in tables.items()}
+    snapshots.commit(spark, root, entries, base or snapshots.Snapshot(0, {}), whole=base is None)
 
 
-def current(spark: SparkSession, root: str) -> dict[str, str]:
-    """Tables of the published snapshot (name -> path); empty before the first publish."""
-    pointer = storage.join(root, POINTER)
-    if not storage.exists(spark, pointer):
-        return {}
-    return json.loads(storage.read_text(spark, pointer))["tables"]
+def current(spark: SparkSession, root: str, version: int | None = None) -> dict[str, str]:
+    """Plain tables of a published snapshot (name -> path), the newest by default; empty before the first."""
+    return {n: e["path"] for n, e in snapshots.read(spark, root, version).tables.items() if "path" in e}
 
 
-def read_snapshot(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
-    """The snapshot's tables, all or the named ones."""
-    live = current(spark, root)
+def read_snapshot(spark: SparkSession, root: str, names=None, version: int | None = None) -> dict[str, DataFrame]:
+    """The snapshot's tables, all or the named ones, of the newest or an older version."""
+    live = snapshots.read(spark, root, version).tables
     if not live:
         raise FileNotFoundError(f"no published snapshot under {root}")
-    return {n: spark.read.parquet(live[n]) for n in (names or sorted(live))}
+    return {n: snapshots.table(spark, live[n]) for n in (names or sorted(live))}
 
 
 def upsert(existing: DataFrame, delta: DataFrame, key: str | list[str], order_col: str | None = None,
@@ -97,13 +97,16 @@ def upsert(existing: DataFrame, delta: DataFrame, key: str | list[str], order_co
 
     A key may have several rows (an item linked to two titles, a volume that
     spans two): all rows of the delta count, or with ``order_col`` all rows of
-    a key's newest version.  Keys listed in ``deleted_keys`` are removed.
+    a key's newest version, be it the delta's or the one that is there (the
+    delta's at a tie).  Keys listed in ``deleted_keys`` are removed.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if order_col is not None:
-        newest = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last())
-        delta = delta.withColumn("_version", F.rank().over(newest)).filter("_version = 1").drop("_version")
-    out = existing.join(delta.select(*keys).distinct(), keys, "left_anti").unionByName(delta)
+        newest = F.max(F.struct(order_col, "_new")).over(Window.partitionBy(*keys))
+        both = existing.withColumn("_new", F.lit(0)).unionByName(delta.withColumn("_new", F.lit(1)))
+        out = both.withColumn("_newest", newest).filter(F.struct(order_col, "_new").eqNullSafe(F.col("_newest")))
+    else:
+        out = existing.join(delta.select(*keys).distinct(), keys, "left_anti").unionByName(delta)
     if deleted_keys is not None:
         out = out.join(deleted_keys.select(*keys), keys, "left_anti")
     return out.select(*existing.columns)

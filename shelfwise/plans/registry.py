@@ -296,3 +296,32 @@ register("K04_upsert_item", _upserted_items, f"""
 SELECT i.* REPLACE (i.checkout_total + if(m.record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}', 1, 0) AS checkout_total)
 FROM x_item i JOIN record_metadata m ON m.id = i.item_record_id
 WHERE i.item_record_id NOT IN (SELECT item_record_id FROM x_item WHERE item_status_code = 'w')""")
+
+
+# ----------------------------------------------------------------- K04 by version: late deltas and tombstones
+from shelfwise.plans import snapshots  # noqa: E402
+
+
+def _items_merged_by_version(spark, sf_dir):
+    """Items after two deltas that arrive in the wrong order, the newer one twice, and a deletion.
+
+    The rows have version 0.  Withdrawn items are deleted at version 2.  Changed records come with one more
+    checkout at version 3, then late with 100 more at version 1; neither changes what is newer.
+    """
+    item = context.base(spark, sf_dir)["item"]
+    changed = X.item(context.sources(spark, sf_dir), _SINCE)
+    more = lambda n, v: snapshots.versioned(
+        changed.withColumn("checkout_total", F.col("checkout_total") + n), F.lit(v).cast("long"))
+    gone = item.filter("item_status_code = 'w'").select("item_record_id", F.lit(2).cast("long").alias(snapshots.VERSION))
+    table = snapshots.versioned(item, F.lit(0).cast("long"))
+    deltas = [more(1, 3), snapshots.versioned(changed.limit(0), F.lit(2).cast("long"), gone), more(100, 1), more(1, 3)]
+    for delta in deltas:
+        table = snapshots.merge_versions(table, delta, "item_record_id")
+    return snapshots.live_rows(table)
+
+
+register("K04_merge_by_version", _items_merged_by_version, f"""
+SELECT i.* REPLACE (i.checkout_total + if(m.record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}', 1, 0) AS checkout_total)
+FROM x_item i JOIN record_metadata m ON m.id = i.item_record_id
+WHERE m.record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}'
+  OR i.item_record_id NOT IN (SELECT item_record_id FROM x_item WHERE item_status_code = 'w')""")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import codes
-from shelfwise.plans import publish, storage
+from shelfwise.plans import publish, snapshots, storage
 
 
 def start_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, root: str, table: str,
@@ -26,11 +26,17 @@ def start_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType,
     """Merge every new landing file into ``root``'s snapshot table ``table`` by ``key``."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        live = publish.current(spark, root)
-        existing = spark.read.parquet(live[table]) if table in live else batch.limit(0)
-        path = storage.join(publish.new_staging(spark, root), table)
-        publish.write_table(publish.upsert(existing, batch, key, order_col), path)
-        publish.publish(spark, root, {**live, table: path})  # the other tables stay as they are
+        for _ in range(snapshots.TRIES):
+            base = snapshots.read(spark, root)
+            existing = snapshots.table(spark, base.tables[table]) if table in base.tables else batch.limit(0)
+            path = storage.join(publish.new_staging(spark, root), table)
+            publish.write_table(publish.upsert(existing, batch, key, order_col), path)
+            try:
+                publish.publish(spark, root, {table: path}, base)  # the other tables stay as they are
+                return
+            except snapshots.Conflict:
+                continue
+        raise snapshots.Conflict(f"{table}: replaced by others {snapshots.TRIES} times")
 
     stream = spark.readStream.schema(schema).parquet(landing)
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
