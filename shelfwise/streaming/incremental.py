@@ -6,9 +6,7 @@
   storage, so a restarted query resumes where it stopped.
 - ``daily_circulation``: circulation transactions aggregated per day, stat
   group, op, item type and loan rule with a watermark, the streaming form of
-  the daily circulation table.  Distinct patrons are approximate here
-  (exact distinct counts are not supported on streams); the batch build keeps
-  the exact count.
+  the daily circulation table, with exact distinct patrons.
 """
 
 from __future__ import annotations
@@ -45,21 +43,28 @@ def start_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType,
 
 
 def daily_circulation(circ_stream: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Windowed daily circulation counts over a stream of transactions."""
-    return (circ_stream.filter(F.col("op_code").isin(*codes.CIRC_OPS))
-            .withColumn("transaction_gmt", F.col("transaction_gmt").cast("timestamp"))
-            .withWatermark("transaction_gmt", watermark)
-            .groupBy(F.window("transaction_gmt", "1 day").alias("day"), "stat_group_code_num", "op_code",
-                     "itype_code_num", "loanrule_code_num")
-            .agg(F.count(F.lit(1)).alias("count_op_code"),
-                 F.approx_count_distinct("patron_record_id").alias("approx_distinct_patrons"))
-            .select(F.date_format("day.start", "yyyy-MM-dd").alias("transaction_day"), "stat_group_code_num",
-                    "op_code", "itype_code_num", "loanrule_code_num", "count_op_code", "approx_distinct_patrons"))
+    """Daily circulation counts with exact distinct patrons over a stream of transactions.
+
+    A transaction that arrives again within the watermark counts once (by ``id``).  Counts per day, group
+    and patron are summed per day and group: the distinct patrons are the rows of the first step, so no
+    state holds a group's patrons together.  State of a day is dropped when the watermark passes its end.
+    """
+    group = ["stat_group_code_num", "op_code", "itype_code_num", "loanrule_code_num"]
+    per_patron = (circ_stream.filter(F.col("op_code").isin(*codes.CIRC_OPS))
+                  .withColumn("transaction_gmt", F.col("transaction_gmt").cast("timestamp"))
+                  .withWatermark("transaction_gmt", watermark)
+                  .dropDuplicatesWithinWatermark(["id"])
+                  .groupBy(F.window("transaction_gmt", "1 day").alias("day"), *group, "patron_record_id")
+                  .agg(F.count(F.lit(1)).alias("n")))
+    return (per_patron.groupBy(F.window(F.window_time("day"), "1 day").alias("day"), *group)
+            .agg(F.sum("n").alias("count_op_code"), F.count("patron_record_id").alias("count_distinct_patrons"))
+            .select(F.date_format("day.start", "yyyy-MM-dd").alias("transaction_day"), *group, "count_op_code",
+                    "count_distinct_patrons"))
 
 
 def start_daily_circulation(spark: SparkSession, landing: str, schema: T.StructType, out: str, checkpoint: str,
-                            available_now: bool = True):
-    agg = daily_circulation(spark.readStream.schema(schema).parquet(landing))
+                            available_now: bool = True, watermark: str = "1 day"):
+    agg = daily_circulation(spark.readStream.schema(schema).parquet(landing), watermark)
     writer = (agg.writeStream.outputMode("append").format("parquet").option("path", out)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 minutes")
