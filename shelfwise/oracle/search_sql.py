@@ -13,7 +13,7 @@ def _lst(words) -> str:
     return ", ".join(f"'{w.lower()}'" for w in words)
 
 
-def search_sql(tokens_sql: str, all_of=(), any_of=(), none_of=(), phrase=()) -> tuple[list, str]:
+def search_sql(tokens_sql: str, all_of=(), any_of=(), none_of=(), phrase=(), prefixes=()) -> tuple[list, str]:
     conds = [f"id IN (SELECT id FROM tok WHERE term = '{t.lower()}')" for t in all_of]
     if any_of:
         conds.append(f"id IN (SELECT id FROM tok WHERE term IN ({_lst(any_of)}))")
@@ -21,6 +21,7 @@ def search_sql(tokens_sql: str, all_of=(), any_of=(), none_of=(), phrase=()) ->
         joins = " ".join(f"JOIN tok p{k} ON p{k}.id = p0.id AND p{k}.pos = p0.pos + {k} AND p{k}.term = '{w.lower()}'"
                          for k, w in enumerate(phrase[1:], start=1))
         conds.append(f"id IN (SELECT p0.id FROM tok p0 {joins} WHERE p0.term = '{phrase[0].lower()}')")
+    conds += [f"id IN (SELECT id FROM tok WHERE starts_with(term, '{p.lower()}'))" for p in prefixes]
     conds += [f"id NOT IN (SELECT id FROM tok WHERE term = '{t.lower()}')" for t in none_of]
     terms = sorted({t.lower() for t in list(all_of) + list(any_of) + list(phrase)})
     ctes = [("tok", tokens_sql),
@@ -53,3 +54,10 @@ def search_documents_sql(**query) -> tuple[list, str]:
     ctes, hits = search_sql(_tokens("documents", "doc_id", "text"), **query)
     final = f"SELECT h.id AS doc_id, h.score, d.lang, d.source FROM {hits} h JOIN documents d ON d.doc_id = h.id"
     return ctes, final
+
+
+def search_all_bib_columns_sql(**query) -> tuple[list, str]:
+    texts = ["best_title", "best_author", "publisher", "CAST(publish_year AS VARCHAR)", "bib_level_callnumber",
+             *(f"array_to_string({c}, ' ')" for c in ("isbn_values", "indexed_subjects", "genres", "item_types"))]
+    ctes, hits = search_sql(_tokens("x_bib", "bib_record_num", "concat_ws(' ', " + ", ".join(texts) + ")"), **query)
+    return ctes, f"SELECT h.id AS bib_record_num, b.best_title, h.score FROM {hits} h JOIN x_bib b ON b.bib_record_num = h.id"

@@ -325,3 +325,15 @@ SELECT i.* REPLACE (i.checkout_total + if(m.record_last_updated_gmt >= TIMESTAMP
 FROM x_item i JOIN record_metadata m ON m.id = i.item_record_id
 WHERE m.record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}'
   OR i.item_record_id NOT IN (SELECT item_record_id FROM x_item WHERE item_status_code = 'w')""")
+
+
+# ----------------------------------------------------------------- R14 by a positional inverted index
+from shelfwise.oracle.search_sql import search_all_bib_columns_sql  # noqa: E402
+from shelfwise.operators import fulltext  # noqa: E402
+
+BIB_INDEX_QUERY = dict(any_of=["dvd", "book"], none_of=["small"], prefixes=["re"])
+_ctes, _final = search_all_bib_columns_sql(**BIB_INDEX_QUERY)
+register("R14_index_bibs", lambda spark, sf: fulltext.search_bibs(context.base(spark, sf)["bib"], **BIB_INDEX_QUERY), _final, _ctes)
+_ctes, _final = search_documents_sql(**DOC_QUERY)
+register("R14_index_documents",
+         lambda spark, sf: fulltext.search_documents(spark.read.parquet(f"{sf}/documents.parquet"), **DOC_QUERY), _final, _ctes)
