@@ -11,10 +11,10 @@ by cosine vote with weights that fall with the distance, and a logistic curve, f
 each left out of its own vote, makes the vote a probability.
 
 The index keeps the postings of rare terms by term; these are few, and are added up first.  Those of common
-terms lie in blocks of ``BLOCK`` similar examples, with each term's largest weight in each block.  The sum
+terms lie, a line for each term, in blocks of ``BLOCK`` similar examples, with each term's largest weight in each block.  The sum
 of a query's weights times these maxima, and the block's largest sum of rare terms, bound the cosine of
-every example of the block.  Blocks are read from the highest bound on, until the next one is below the k-th best cosine found: the
-result is that of reading all.  Examples are put in order by the most similar of some of them, so that a
+every example of the block.  Blocks are read by falling bound, in rounds; a block with a bound below the k-th best cosine
+found is left out: the result is that of reading all.  Texts read the index together, block by block.  Examples are put in order by the most similar of some of them, so that a
 block has few distinct terms and its bound is near its cosines.
 Examples and so their terms are bounded, so they are broadcast, and executors build the index; terms are
 known by 64-bit fingerprints.
@@ -57,6 +57,8 @@ SEEDS, LEADERS = 64, 8
 #: A neighbour at distance d votes with weight (1 - d) ** NEARNESS; the prior has a weight of its own.
 NEARNESS, PRIOR_WEIGHT = 2.0, 0.5
 SEED = 11
+#: Blocks that a text reads before it first drops some; texts that read the index together.
+FIRST_BLOCKS, TOGETHER = 4, 256
 #: Left-out examples that a task votes on.
 EXAMPLES_PER_TASK = 512
 #: Text bytes of which the words are held at once.
@@ -243,50 +245,69 @@ class BlockMaxIndex:
         self.slot, self.weight = slot[rare], weight[rare]
         #: Bounds are in single precision, rounded up.
         self.largest = np.zeros((int(common.sum()), self.blocks), np.float32)
+        #: Of each block: the line of each common term (0: none has it), and lines of its weights by example.
         self.postings = []
         for b in range(self.blocks):
             i, j = np.searchsorted(slot, [b * BLOCK, (b + 1) * BLOCK])
             some = np.flatnonzero(common[term[i:j]]) + i
             t, w = self.row[term[some]], weight[some]
-            begin = np.flatnonzero(np.diff(slot[some], prepend=-1))
-            self.postings.append((t, w, begin, slot[some][begin]))
-            np.maximum.at(self.largest[:, b], t, np.nextafter(w.astype(np.float32), np.float32(2)))
-        self.query = np.zeros(len(self.largest))
+            held, line = np.unique(t, return_inverse=True)
+            line_of = np.zeros(len(self.largest), np.int32)
+            line_of[held] = np.arange(1, len(held) + 1)
+            lines = np.zeros((len(held) + 1, BLOCK))
+            lines[line + 1, slot[some] - b * BLOCK] = w
+            self.postings.append((line_of, lines))
+            self.largest[held, b] = np.nextafter(lines[1:].max(1).astype(np.float32), np.float32(2))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> Neighbours:
         """The k examples with the highest positive cosine, ties to the smaller place."""
-        row = self.row[terms]
-        t, w = row[row >= 0], weights[row >= 0]
-        rare = terms[row < 0]
-        size = self.begin[rare + 1] - self.begin[rare]
-        read = _expand(self.begin[rare], size)
-        cosine = np.bincount(self.slot[read], np.repeat(weights[row < 0], size) * self.weight[read], self.blocks * BLOCK).astype(float)
-        left_out = self.slot_of[without] if without >= 0 else -1
-        if left_out >= 0:
-            cosine[left_out] = 0
-        bound = (w.astype(np.float32) @ self.largest[t]) * np.float32(1 + 1e-5) + np.float32(1e-6)
-        bound = bound + cosine.reshape(-1, BLOCK).max(1, initial=0)
-        self.query[t] = w
-        least = 0.0
-        for nth, b in enumerate(np.argsort(-bound, kind="stable").tolist()):
-            if bound[b] < least:
+        return self.nearest_of([(terms, weights)], k, [without])[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[Neighbours]:
+        """``nearest`` of each vector.  All of them read a block before the next one, their most promising
+        blocks in the first round; a round's k-th best cosines tell which blocks are left to the next."""
+        n, slots = len(vectors), self.blocks * BLOCK
+        if not slots:
+            return [Neighbours(np.zeros(0, np.int64), np.zeros(0)) for _ in vectors]
+        left_out = np.array([self.slot_of[p] if p >= 0 else -1 for p in without or [-1] * n], np.int64)
+        forgotten = np.flatnonzero(left_out >= 0), left_out[left_out >= 0]
+        cosine, bound, common = np.zeros((n, slots)), np.zeros((n, self.blocks), np.float32), []
+        for i, (terms, weights) in enumerate(vectors):
+            row = self.row[terms]
+            t, w = row[row >= 0], weights[row >= 0]
+            rare = terms[row < 0]
+            size = self.begin[rare + 1] - self.begin[rare]
+            read = _expand(self.begin[rare], size)
+            cosine[i] = np.bincount(self.slot[read], np.repeat(weights[row < 0], size) * self.weight[read], slots)
+            bound[i] = (w.astype(np.float32) @ self.largest.take(t, 0)) * np.float32(1 + 1e-5) + np.float32(1e-6)
+            common.append((t, w))
+        cosine[forgotten] = 0
+        by_block = cosine.reshape(n, self.blocks, BLOCK)
+        bound += by_block.max(2)
+        rank = np.argsort(np.argsort(-bound, 1, kind="stable"), 1)
+        best, done = np.zeros((n, k)), 0
+        while done < self.blocks:
+            upto = max(FIRST_BLOCKS, 2 * done)
+            reads = (rank >= done) & (rank < upto) & (bound >= best.min(1)[:, None])
+            if not reads.any():
                 break
-            term, weight, begin, slot = self.postings[b]
-            if len(begin):
-                product = self.query.take(term)
-                product *= weight
-                cosine[slot] += np.add.reduceat(product, begin)
-            if left_out // BLOCK == b:
-                cosine[left_out] = 0
-            # The k-th best only rises: an older one reads some blocks more, and finds the same.
-            if len(cosine) >= k and (nth < 4 or nth % 4 == 0):
-                least = np.partition(cosine, -k)[-k]
-        self.query[t] = 0
-        cosine = np.round(cosine[:len(self.place)], 12)
-        least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
-        slot = np.flatnonzero((cosine > 0) & (cosine >= least))
-        best = np.lexsort((self.place[slot], -cosine[slot]))[:k]
-        return Neighbours(self.place[slot[best]], cosine[slot[best]])
+            for b in np.flatnonzero(reads.any(0)).tolist():
+                line_of, lines = self.postings[b]
+                for i in np.flatnonzero(reads[:, b]).tolist():
+                    t, w = common[i]
+                    by_block[i, b] += w @ lines.take(line_of.take(t), 0)
+            cosine[forgotten] = 0
+            for i in np.flatnonzero(reads.any(1)).tolist():
+                found = np.concatenate([best[i], by_block[i, reads[i]].ravel()])
+                best[i] = np.partition(found, -k)[-k:]
+            done = upto
+        cosine = np.round(cosine[:, :len(self.place)], 12)
+        out = []
+        for i, least in enumerate(np.round(best.min(1), 12).tolist()):
+            slot = np.flatnonzero((cosine[i] > 0) & (cosine[i] >= least))
+            slot = slot[np.lexsort((self.place[slot], -cosine[i, slot]))[:k]]
+            out.append(Neighbours(self.place[slot], cosine[i, slot]))
+        return out
 
 
 class Model(NamedTuple):
@@ -396,14 +417,12 @@ def _left_out(bags: DataFrame, known, model, ids: list, toxic: np.ndarray, stand
         m, index = model.value, _index_of(model)
         place = {i: p for p, i in enumerate(m.ids)}
         for batch in batches:
+            rows = [(place[i], *_unpack(t, c, np.uint64)) for i, t, c in zip(*(column.to_pylist() for column in batch.columns)) if i in place]
             out = []
-            for i, t, c in zip(*(column.to_pylist() for column in batch.columns)):
-                if i in place:
-                    t, c = _unpack(t, c, np.uint64)
-                    t = np.searchsorted(known.value, t)
-                    near = index.nearest(t, weighted(t, c, m.weight), k, without=place[i])
-                    if len(near.places):
-                        out.append((place[i], m.vote(near)))
+            for i in range(0, len(rows), TOGETHER):
+                some = [(p, np.searchsorted(known.value, t), c) for p, t, c in rows[i:i + TOGETHER]]
+                nearest = index.nearest_of([(t, weighted(t, c, m.weight)) for _, t, c in some], k, [p for p, _, _ in some])
+                out += [(p, m.vote(near)) for (p, _, _), near in zip(some, nearest) if len(near.places)]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int32()), pa.array([v for _, v in out], pa.float64())], ["i", "vote"])
 
     bags = bags.select("id", "terms", "counts").repartition(len(ids) // EXAMPLES_PER_TASK + 1)
@@ -447,21 +466,17 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, index = model.value, _index_of(model)
-        none = Neighbours(np.zeros(0, np.int64), np.zeros(0))
         for batch in batches:
+            texts = list(zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()))
+            unlike = list(dict.fromkeys(texts))
             done: dict[tuple, tuple[float, list]] = {}
-            scores, proofs = [], []
-            for t, c in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
-                key = (t, c)
-                if key not in done:
-                    near = none
-                    if t:
-                        at, n = _unpack(t, c, np.int32)
-                        near = index.nearest(at, weighted(at, n, m.weight), k)
+            for i in range(0, len(unlike), TOGETHER):
+                some = [_unpack(t, c, np.int32) for t, c in unlike[i:i + TOGETHER]]
+                nearest = index.nearest_of([(at, weighted(at, n, m.weight)) for at, n in some], k)
+                for key, near in zip(unlike[i:], nearest):
                     done[key] = (m.score(near, curve), [{"id": m.ids[p], "cosine": x, "toxic": int(m.toxic[p])}
                                                  for p, x in zip(near.places.tolist(), near.cosines.tolist())])
-                scores.append(done[key][0])
-                proofs.append(done[key][1])
+            scores, proofs = [done[key][0] for key in texts], [done[key][1] for key in texts]
             kinds = schema["evidence"].dataType
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(kept))), pa.array(scores, pa.float64()),

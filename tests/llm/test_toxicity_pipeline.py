@@ -150,6 +150,29 @@ def test_nearest_is_exact():
         assert near.places.tolist() == [j for _, j in best] and np.allclose(near.cosines, [-c for c, _ in best])
 
 
+def test_a_batch_finds_what_each_text_finds():
+    """Texts read blocks together; rare and common terms, no term at all, and fewer than k partners."""
+    rng = np.random.default_rng(5)
+    n, terms = 700, 900
+    vectors = []
+    for i in range(n):
+        topic = rng.choice(30, 6, replace=False) + 30 * (i % 5)
+        t = np.unique(np.concatenate([topic, rng.choice(terms - 150, int(rng.integers(0, 9))) + 150]))[:0 if i % 97 == 5 else None]
+        vectors.append((t, toxicity.weighted(t, rng.integers(1, 4, len(t)).astype(float), np.linspace(1, 5, terms))))
+    index = toxicity.BlockMaxIndex(vectors, terms)
+    dense = np.zeros((n, terms))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    cosine = np.round(dense @ dense.T, 12)
+    np.fill_diagonal(cosine, 0)
+    for k in (1, 15, 2000):
+        for i, near in enumerate(index.nearest_of(vectors, k, list(range(n)))):
+            best = sorted((-c, j) for j, c in enumerate(cosine[i].tolist()) if c > 0)[:k]
+            assert np.allclose(near.cosines, [-c for c, _ in best])
+            assert k == 2000 or near.places.tolist() == [j for _, j in best]
+    assert toxicity.BlockMaxIndex([], 3).nearest_of(vectors[:2], 5)[1].places.tolist() == []
+
+
 # ------------------------------------------------------------------ the pipeline, stage by stage
 def stage(name):
     return dict(corpus_pipeline.STAGES)[name]
