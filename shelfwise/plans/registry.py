@@ -337,3 +337,15 @@ register("R14_index_bibs", lambda spark, sf: fulltext.search_bibs(context.base(s
 _ctes, _final = search_documents_sql(**DOC_QUERY)
 register("R14_index_documents",
          lambda spark, sf: fulltext.search_documents(spark.read.parquet(f"{sf}/documents.parquet"), **DOC_QUERY), _final, _ctes)
+
+
+# ----------------------------------------------------------------- E07 by seeking
+from shelfwise.operators import paging  # noqa: E402
+
+PAGE_CURSOR = ["m", 8]  # sort keys of the last row seen
+register("E07_seek_page",
+         lambda spark, sf: paging.page_after(context.base(spark, sf)["bib"].select("best_title", "bib_record_num"),
+                                             ["best_title", "bib_record_num"], PAGE_CURSOR, limit=100),
+         f"""SELECT best_title, bib_record_num FROM x_bib
+WHERE best_title > '{PAGE_CURSOR[0]}' OR (best_title = '{PAGE_CURSOR[0]}' AND bib_record_num > {PAGE_CURSOR[1]})
+ORDER BY best_title NULLS FIRST, bib_record_num LIMIT 100""")
