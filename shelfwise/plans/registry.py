@@ -349,3 +349,43 @@ register("E07_seek_page",
          f"""SELECT best_title, bib_record_num FROM x_bib
 WHERE best_title > '{PAGE_CURSOR[0]}' OR (best_title = '{PAGE_CURSOR[0]}' AND bib_record_num > {PAGE_CURSOR[1]})
 ORDER BY best_title NULLS FIRST, bib_record_num LIMIT 100""")
+
+
+# ----------------------------------------------------------------- S05 closed under links
+from shelfwise.sources import sampling  # noqa: E402
+
+SAMPLE_SHARE = 0.05
+SAMPLED = {"bib_record": "record_id", "volume_record": "record_id", "item_record": "record_id", "hold": "id",
+           "circ_trans": "id", "patron_record": "record_id"}
+
+
+def _closed_sample(spark, sf_dir):
+    """Ids of the records, holds, transactions and patrons of a sample build."""
+    sample = sampling.closed_sample(context.sources(spark, sf_dir), SAMPLE_SHARE)
+    parts = [sample[n].select(F.lit(n).alias("relation"), F.col(c).cast("long").alias("id")) for n, c in SAMPLED.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+register("S05_closed_sample", _closed_sample, f"""
+SELECT relation, CAST(id AS BIGINT) AS id FROM (
+  WITH RECURSIVE edge AS MATERIALIZED (
+    SELECT bib_record_id AS a, item_record_id AS b FROM bib_record_item_record_link
+    UNION SELECT bib_record_id, volume_record_id FROM bib_record_volume_record_link
+    UNION SELECT volume_record_id, item_record_id FROM volume_record_item_record_link),
+  both_ways AS MATERIALIZED (SELECT a, b FROM edge UNION ALL SELECT b, a FROM edge),
+  inside(id) AS (
+    SELECT record_id FROM bib_record
+    WHERE substr(md5(CAST(record_id AS VARCHAR) || ':0'), 1, 8) < '{int(SAMPLE_SHARE * 16 ** 8):08x}'
+    UNION SELECT e.b FROM inside i JOIN both_ways e ON e.a = i.id)
+  SELECT 'bib_record' AS relation, record_id AS id FROM bib_record WHERE record_id IN (SELECT id FROM inside)
+  UNION ALL SELECT 'volume_record', record_id FROM volume_record WHERE record_id IN (SELECT id FROM inside)
+  UNION ALL SELECT 'item_record', record_id FROM item_record WHERE record_id IN (SELECT id FROM inside)
+  UNION ALL SELECT 'hold', id FROM hold WHERE record_id IN (SELECT id FROM inside)
+  UNION ALL SELECT 'circ_trans', id FROM circ_trans WHERE item_record_id IN (SELECT id FROM inside)
+  UNION ALL SELECT 'patron_record', record_id FROM patron_record WHERE record_id IN (
+    SELECT patron_record_id FROM hold WHERE record_id IN (SELECT id FROM inside)
+    UNION ALL SELECT patron_record_id FROM checkout WHERE item_record_id IN (SELECT id FROM inside)
+    UNION ALL SELECT patron_record_id FROM circ_trans WHERE item_record_id IN (SELECT id FROM inside)))""")
