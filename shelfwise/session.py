@@ -46,6 +46,5 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return configured
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback folder was given")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
+    spark.sparkContext.setCheckpointDir(fallback)  # the setting itself cannot change in a running session
     return fallback
