@@ -58,8 +58,11 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="llm-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The setting cannot change in a running session: the context's own folder stands in.
+        context = spark.sparkContext
+        if context._jsc.sc().getCheckpointDir().isEmpty():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-scratch-"))
+        return context._jsc.sc().getCheckpointDir().get()
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(root)
     return root
