@@ -29,6 +29,13 @@ def _loc_names(t) -> DataFrame:
     return loc, ln, br, bn
 
 
+def named_locations(t) -> DataFrame:
+    """Locations that have a name and a branch (small)."""
+    loc, ln, br, bn = _loc_names(t)
+    return (loc.join(ln, "location_id").join(br, F.col("branch_code_num") == F.col("b_code_num"))
+            .join(bn, "branch_id").select("location_code", "location_id", "location_name", "branch_name"))
+
+
 def _isbn0(isbn_values: Column) -> Column:
     return F.get(isbn_values, 0)
 
@@ -162,11 +169,8 @@ def branch_location_view(t, as_of=None) -> DataFrame:
 
 
 def collection_value_branch_view(t, as_of=None) -> DataFrame:
-    loc, ln, br, bn = _loc_names(t)
-    dim = (loc.join(ln, "location_id").join(br, F.col("branch_code_num") == F.col("b_code_num"))
-           .join(bn, "branch_id").select("location_code", "location_name", "branch_name"))
     return (t["item"].select("location_code", "item_format", "item_record_num", "price_cents")
-            .join(bounded_broadcast(dim), "location_code")
+            .join(bounded_broadcast(named_locations(t).drop("location_id")), "location_code")
             .groupBy("branch_name", "location_name", "item_format")
             .agg(F.count("item_record_num").alias("count_items"),
                  (F.sum("price_cents") / F.lit(100.0)).alias("sum_price")))
@@ -342,10 +346,12 @@ def location_percent_checkout_view(t, as_of=None) -> DataFrame:
     agg = (t["item"].filter(F.col("item_status_code").isin(*codes.ACTIVE_STATUS))
            .groupBy("location_code")
            .agg(F.count("item_record_num").alias("count_total"), F.count("due_date").alias("count_checkout")))
-    loc, ln, br, bn = _loc_names(t)
-    dim = (loc.join(ln, "location_id").join(br, F.col("branch_code_num") == F.col("b_code_num"))
-           .join(bn, "branch_id").select("location_code", "location_id", "location_name", "branch_name"))
-    out = agg.join(bounded_broadcast(dim), "location_code")
+    return percent_checkout(agg, t)
+
+
+def percent_checkout(counts: DataFrame, t) -> DataFrame:
+    """V12 from the active items of each location."""
+    out = counts.join(bounded_broadcast(named_locations(t)), "location_code")
     pct = F.floor((F.col("count_checkout") * 20000 + F.col("count_total")) / (F.col("count_total") * 2))
     return (out.orderBy("location_id")
             .select("count_checkout", "count_total", "location_code", "location_name", "branch_name",
@@ -399,10 +405,14 @@ def new_titles_view(t, as_of) -> DataFrame:
 
 def genre_view(t, as_of=None) -> DataFrame:
     g = t["bib"].select("bib_record_num", F.explode("genres").alias("genre"))
-    return (g.groupBy("genre").agg(F.count("bib_record_num").alias("count_bibs"))
-            .select("genre", "count_bibs",
-                    json_object(("href", F.concat(F.lit(codes.GENRE_HREF_PREFIX), F.col("genre"))),
-                                ("label", F.lit("bibs with this genre"))).alias("link")))
+    return linked_genres(g.groupBy("genre").agg(F.count("bib_record_num").alias("count_bibs")))
+
+
+def linked_genres(counts: DataFrame) -> DataFrame:
+    """V26 from the bibs of each genre."""
+    return counts.select("genre", "count_bibs",
+                         json_object(("href", F.concat(F.lit(codes.GENRE_HREF_PREFIX), F.col("genre"))),
+                                     ("label", F.lit("bibs with this genre"))).alias("link"))
 
 
 # ----------------------------------------------------------------- copies V17, V18, V23, V24
@@ -525,6 +535,11 @@ def circ_agg_branch_view(t, as_of=None) -> DataFrame:
              .groupBy(F.substring("transaction_day", 1, 7).alias("transaction_month"), "branch_name", "itype_name")
              .agg(F.sum(F.when(F.col("op_code") == "o", F.col("count_op_code"))).alias("o_sum"),
                   F.sum(F.when(F.col("op_code") == "f", F.col("count_op_code"))).alias("f_sum")))
+    return checkout_types(month)
+
+
+def checkout_types(month: DataFrame) -> DataFrame:
+    """V22 from the checkouts and filled holds of each month, branch and item type."""
     rows = F.filter(F.array(
         F.struct(F.lit("from_browse").alias("checkout_type"),
                  (F.col("o_sum") - F.coalesce("f_sum", F.lit(0))).alias("sum_transactions"),

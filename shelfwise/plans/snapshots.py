@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from shelfwise.plans import storage
 
-VERSION, DELETED, RANGE = "_version", "_deleted", "_range"
+VERSION, DELETED, RANGE, SIGN = "_version", "_deleted", "_range", "_sign"
 #: Rows that a range holds on average, when a table is cut.
 ROWS_PER_RANGE = 1_000_000
 TRIES = 8
@@ -146,6 +148,16 @@ def live_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(~F.col(DELETED)).drop(VERSION, DELETED)
 
 
+def images(before: DataFrame, after: DataFrame, delta: DataFrame, key: str | list[str]) -> DataFrame:
+    """The live rows of a delta's keys before (``SIGN`` -1) and after it is merged (``SIGN`` 1)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    changed = delta.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    side = lambda rows, sign: (
+        live_rows(rows.join(changed, same, "left_semi")).withColumn(SIGN, F.lit(sign).cast("long")))
+    return side(before, -1).unionByName(side(after, 1))
+
+
 # ------------------------------------------------------------------ ranged tables
 def _range(key: str, span: int) -> Column:
     return F.floor(F.col(key).cast("decimal(20,0)") / F.lit(span)).cast("long")
@@ -185,8 +197,13 @@ def create_ranged(spark: SparkSession, root: str, name: str, rows: DataFrame, ke
     return commit(spark, root, {name: entry}, base)
 
 
-def merge_ranged(spark: SparkSession, root: str, name: str, delta: DataFrame) -> Snapshot:
-    """Merge a delta (rows and tombstones, with version and deletion mark) into the ranges that its keys fall into."""
+def merge_ranged(spark: SparkSession, root: str, name: str, delta: DataFrame,
+                 also: Callable[[Snapshot, DataFrame], dict[str, dict]] | None = None) -> Snapshot:
+    """Merge a delta (rows and tombstones, with version and deletion mark) into the ranges that its keys fall into.
+
+    ``also`` gets the snapshot merged into and the images of the delta's keys; the entries that it returns
+    are published with the table or not at all.  The delta is read several times and must be repeatable.
+    """
     for _ in range(TRIES):
         base = read(spark, root)
         entry = base.tables[name]
@@ -195,11 +212,14 @@ def merge_ranged(spark: SparkSession, root: str, name: str, delta: DataFrame) ->
         touched = {"__HIVE_DEFAULT_PARTITION__" if r["r"] is None else str(r["r"]) for r in found}
         if not touched:
             return base
-        merged = merge_versions(_rows(spark, entry, touched), delta, key)
-        ranges = _write_ranges(merged, _build(root, name), key, span)
+        before = _rows(spark, entry, touched)
+        ranges = _write_ranges(merge_versions(before, delta, key), _build(root, name), key, span)
         others = {r: p for r, p in entry["ranges"].items() if r not in touched}
+        changes = {name: {**entry, "ranges": others | ranges}}
+        if also is not None:
+            changes |= also(base, images(before, _rows(spark, {**entry, "ranges": ranges}), delta, key))
         try:
-            return commit(spark, root, {name: {**entry, "ranges": others | ranges}}, base, {name: touched})
+            return commit(spark, root, changes, base, {name: touched})
         except Conflict:
             continue
     raise Conflict(f"{name}: another publisher changed the same ranges {TRIES} times")
