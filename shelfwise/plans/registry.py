@@ -389,3 +389,94 @@ SELECT relation, CAST(id AS BIGINT) AS id FROM (
     SELECT patron_record_id FROM hold WHERE record_id IN (SELECT id FROM inside)
     UNION ALL SELECT patron_record_id FROM checkout WHERE item_record_id IN (SELECT id FROM inside)
     UNION ALL SELECT patron_record_id FROM circ_trans WHERE item_record_id IN (SELECT id FROM inside)))""")
+
+
+# ----------------------------------------------------------------- V07, V12, V22, V26 kept up to date from deltas
+from shelfwise.operators import totals as T  # noqa: E402
+
+
+#: What the totals read of their tables.  Equal rows of a delta are one, so circulation rows keep their group.
+_ITS_COLUMNS = {
+    "items": ["item_record_num", "location_code", "item_format", "item_status_code", "due_date", "price_cents"],
+    "genres": ["bib_record_num", "genres"],
+    "circulation": ["stat_group_code_num", "op_code", "itype_code_num", "loanrule_code_num", "branch_name", "count_op_code"]}
+
+
+def _long(n: int):
+    return F.lit(n).cast("long")
+
+
+def _after_deltas(table, deltas, key, columns, totals):
+    """Totals of ``table`` (version 0), changed by the images of the keys of a batch of deltas.
+
+    The newest version counts in whatever order deltas come, so a batch is merged at once.
+    """
+    table = table.select(key, *columns)
+    rows = snapshots.versioned(table, _long(0))
+    batch = deltas[0].select(*rows.columns)
+    for delta in deltas[1:]:
+        batch = batch.unionByName(delta.select(*rows.columns))
+    changed = T.change(snapshots.images(rows, snapshots.merge_versions(rows, batch, key), batch, key), totals)
+    return T.add(T.computed(table, totals), changed, totals=totals)
+
+
+def _item_totals(spark, sf_dir):
+    """Changed items come dearer, lent and at another location at version 3, late with no price at version 1;
+    withdrawn ones are deleted at version 2."""
+    item = context.base(spark, sf_dir)["item"]
+    changed = X.item(context.sources(spark, sf_dir), _SINCE)
+    gone = item.filter("item_status_code = 'w'").select("item_record_id", _long(2).alias(snapshots.VERSION))
+    newer = snapshots.versioned(
+        changed.withColumn("price_cents", F.col("price_cents") + F.lit(5).cast(item.schema["price_cents"].dataType))
+        .withColumn("due_date", F.coalesce("due_date", F.lit("2024-03-01").cast(item.schema["due_date"].dataType)))
+        .withColumn("location_code", F.lit("l1")), _long(3), gone)
+    late = snapshots.versioned(
+        changed.withColumn("price_cents", F.lit(None).cast(item.schema["price_cents"].dataType)), _long(1))
+    return _after_deltas(item, [newer, late], "item_record_id", _ITS_COLUMNS["items"], T.ITEMS)
+
+
+def _genre_totals(spark, sf_dir):
+    """Changed bibs come with two other genres, then with their old ones at an older version."""
+    bib = context.base(spark, sf_dir)["bib"]
+    changed = X.bib(context.sources(spark, sf_dir), _SINCE)
+    other = F.array(F.lit("renewed"), F.lit("by delta"))
+    deltas = [snapshots.versioned(changed.withColumn("genres", other), _long(2)), snapshots.versioned(changed, _long(1))]
+    return _after_deltas(bib, deltas, "bib_record_id", _ITS_COLUMNS["genres"], T.GENRES)
+
+
+RENEWED_FROM = "2024-01-10"
+
+
+def _circulation_totals(spark, sf_dir):
+    """Days from RENEWED_FROM are counted again, with one more in each group."""
+    circ = context.base(spark, sf_dir)["circ_agg"]
+    again = circ.filter(F.col("transaction_day") >= RENEWED_FROM).withColumn("count_op_code", F.col("count_op_code") + 1)
+    return _after_deltas(circ, [snapshots.versioned(again, _long(1))] * 2, "transaction_day", _ITS_COLUMNS["circulation"], T.CIRCULATION)
+
+
+_CHANGED = f"SELECT id FROM record_metadata WHERE record_last_updated_gmt >= TIMESTAMP '{CHANGED_SINCE}'"
+_RENEWED = {
+    "x_item": ("renewed_item", f"""
+SELECT i.* REPLACE (if(c.id IS NULL, i.price_cents, i.price_cents + 5) AS price_cents,
+  if(c.id IS NULL, i.due_date, coalesce(i.due_date, DATE '2024-03-01')) AS due_date,
+  if(c.id IS NULL, i.location_code, 'l1') AS location_code)
+FROM x_item i LEFT JOIN ({_CHANGED}) c ON c.id = i.item_record_id
+WHERE c.id IS NOT NULL OR i.item_status_code IS DISTINCT FROM 'w'"""),
+    "x_bib": ("renewed_bib", f"""
+SELECT b.* REPLACE (if(c.id IS NULL, b.genres, ['renewed', 'by delta']) AS genres)
+FROM x_bib b LEFT JOIN ({_CHANGED}) c ON c.id = b.bib_record_id"""),
+    "x_circ_agg": ("renewed_circ_agg", f"""
+SELECT a.* REPLACE (a.count_op_code + if(a.transaction_day >= '{RENEWED_FROM}', 1, 0) AS count_op_code) FROM x_circ_agg a"""),
+}
+
+
+def _register_kept(mart, table, state, read):
+    cte, text = _RENEWED[table]
+    register(f"{mart}_from_deltas", lambda spark, sf: read(state(spark, sf), context.base(spark, sf)),
+             MART_SQL[mart].replace(f"{table} ", f"{cte} "), [(cte, text)])
+
+
+_register_kept("V07", "x_item", _item_totals, T.collection_value_branch)
+_register_kept("V12", "x_item", _item_totals, T.location_percent_checkout)
+_register_kept("V22", "x_circ_agg", _circulation_totals, T.circ_agg_branch)
+_register_kept("V26", "x_bib", _genre_totals, T.genres)
