@@ -395,9 +395,10 @@ SELECT relation, CAST(id AS BIGINT) AS id FROM (
 from shelfwise.operators import totals as T  # noqa: E402
 
 
-#: What the totals read of their tables.  Equal rows of a delta are one, so circulation rows keep their group.
+#: What the totals read of their tables, and what tells the rows of a key apart: equal rows of a delta are one.
 _ITS_COLUMNS = {
-    "items": ["item_record_num", "location_code", "item_format", "item_status_code", "due_date", "price_cents"],
+    "items": ["item_record_num", "location_code", "item_format", "item_status_code", "due_date", "price_cents",
+              "bib_record_num", "volume_record_num", "volume_record_statement"],
     "genres": ["bib_record_num", "genres"],
     "circulation": ["stat_group_code_num", "op_code", "itype_code_num", "loanrule_code_num", "branch_name", "count_op_code"]}
 
