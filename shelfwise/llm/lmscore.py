@@ -43,11 +43,14 @@ NGRAMS_PER_BUCKET = 1_000_000
 #: Text bytes of a block.
 BLOCK_BYTES = 8 << 20
 
+#: Tokens that are read at once, about: a block's arrays of eight-byte values are never whole.
+PART_TOKENS = 1 << 17
+
 _START, _END = (np.array([x], np.uint64) for x in (0x7374617274, 0x656E64))
 
 
 class _Block:
-    """Tokens of a block's documents: a start, the words, an end for each document."""
+    """Tokens of some of a block's documents: a start, the words, an end for each document."""
 
     def __init__(self, vocab: np.ndarray, codes: np.ndarray, counts: np.ndarray, trains: np.ndarray):
         self.counts, self.trains = counts, trains
@@ -61,7 +64,7 @@ class _Block:
         inner[ends - 1] = False
         inner[ends - length] = False
         place[inner] = codes
-        self.doc = np.repeat(np.arange(n), length)
+        self.doc = np.repeat(np.arange(n, dtype=np.int32), length)
         self.read = np.ones(len(place), bool)  # what is scored: all but the start
         self.read[ends - length] = False
         self.token = ids[place]
@@ -77,14 +80,26 @@ class _Block:
         return key, fits
 
 
-def _distinct(block: _Block, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of a block, ascending; their training counts; and each position's place, or -1."""
-    key, fits = block.grams(order)
-    keys, inverse = np.unique(key[fits], return_inverse=True)
-    counts = np.bincount(inverse[block.train[fits]], minlength=len(keys)).astype(np.uint32)
-    at = np.full(len(key), -1, np.int64)
-    at[fits] = inverse
-    return keys, counts, at
+def _distinct(parts: list[_Block], order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct n-grams of a block, ascending; their training counts; and each position's place, or -1, by part."""
+    found = []
+    for part in parts:
+        key, fits = part.grams(order)
+        keys, inverse = np.unique(key[fits], return_inverse=True)
+        counts = np.bincount(inverse[part.train[fits]], minlength=len(keys)).astype(np.uint32)
+        found.append((keys, counts, inverse.astype(np.int32), fits))
+    every = np.sort(np.concatenate([keys for keys, *_ in found]))
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    every = every[new]
+    totals, places = np.zeros(len(every), np.uint32), []
+    for keys, counts, inverse, fits in found:
+        to = np.searchsorted(every, keys).astype(np.int32)
+        totals[to] += counts
+        at = np.full(len(fits), -1, np.int32)
+        at[fits] = to[inverse]
+        places.append(at)
+    return every, totals, places
 
 
 _BLOCK_SCHEMA = ("block long, ids array<long>, trains binary, counts binary, vocab binary, codes binary, "
@@ -117,9 +132,15 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(pack, _BLOCK_SCHEMA)
 
 
-def _unpack(row: dict) -> _Block:
-    return _Block(unpack_sorted(row["vocab"]), unplanes(row["codes"], np.int32),
-                  unplanes(row["counts"], np.int32).astype(np.int64), unplanes(row["trains"], np.uint8) > 0)
+def _unpack(row: dict) -> list[_Block]:
+    """A block's documents in parts of about ``PART_TOKENS`` tokens, or one longer document."""
+    vocab, codes = unpack_sorted(row["vocab"]), unplanes(row["codes"], np.int32)
+    counts, trains = unplanes(row["counts"], np.int32).astype(np.int64), unplanes(row["trains"], np.uint8) > 0
+    ends = np.cumsum(counts)
+    number = (ends + 2 * np.arange(1, len(ends) + 1)) // PART_TOKENS
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1), len(counts)]
+    return [_Block(vocab, codes[ends[i] - counts[i]:ends[j - 1]], counts[i:j], trains[i:j])
+            for i, j in zip(cuts, cuts[1:])]
 
 
 def _totals(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -131,9 +152,9 @@ def _totals(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = _unpack(row)
+                parts = _unpack(row)
                 for gram in range(1, order + 1):
-                    keys, counts, _ = _distinct(block, gram)
+                    keys, counts, _ = _distinct(parts, gram)
                     at = bucket_bounds(keys, buckets)
                     for i in range(0, buckets, 64):  # so that a block's packets are not held twice
                         some = [(b, pack_sorted(keys[at[b]:at[b + 1]]), planes(counts[at[b]:at[b + 1]]))
@@ -160,20 +181,25 @@ def _totals(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
         add_up, "block long, gram int, bucket int, totals binary, seen long")
 
 
-def _read(block: _Block, totals: list[np.ndarray], n_train: int, n_words: int, mu: float) -> dict[str, np.ndarray]:
+def _read(parts: list[_Block], totals: list[np.ndarray], n_train: int, n_words: int, mu: float) -> dict[str, np.ndarray]:
     """Scores of a block's documents; totals[k]: counts of its distinct (k+1)-grams, ascending by key."""
-    read = block.read
+    places = [_distinct(parts, k)[2] for k in range(1, len(totals) + 1)]
+    scores = [_read_part(part, list(at), totals, n_train, n_words, mu) for part, *at in zip(parts, *places)]
+    return {c: np.concatenate([x[c] for x in scores]) for c in scores[0]}
+
+
+def _read_part(part: _Block, places: list[np.ndarray], totals: list[np.ndarray], n_train: int, n_words: int,
+               mu: float) -> dict[str, np.ndarray]:
+    read = part.read
     starts = np.flatnonzero(~read)  # a document's tokens begin with its start
-    _, _, at = _distinct(block, 1)
-    count = totals[0][at].astype(np.float64)
+    count = totals[0][places[0]].astype(np.float64)
     prob = (count + 0.5) / (n_train + 0.5 * (n_words + 1))
     base = np.where(read, np.log10(prob), 0.0)
     context = count  # how often the context that ends at a position was seen; its start: as a word
     weight = np.where(read, np.log10(prob), 0.0)
-    for k in range(2, len(totals) + 1):
-        _, _, place = _distinct(block, k)
+    for place, total in zip(places[1:], totals[1:]):
         has = (place >= 0) & read
-        seen = np.where(has, totals[k - 1][np.maximum(place, 0)], 0).astype(np.float64)
+        seen = np.where(has, total[np.maximum(place, 0)], 0).astype(np.float64)
         before = np.concatenate([[0.0], context[:-1]])  # of the state in which this token is read
         state = has & (before > 0)
         prob = np.where(state, (seen + mu * prob) / (before + mu), prob)

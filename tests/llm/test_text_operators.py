@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import components, lmscore, linededup, mixing, ngramjoin, urlfilter
 from shelfwise.llm import queries as llm_queries
-from shelfwise.llm.common import crc_fold
+from shelfwise.llm.common import crc_fold, pack_sorted, planes
 from tests.llm.conftest import rows_of
 
 SPACE = "[^\\x20\\x09-\\x0D]+"
@@ -238,6 +239,43 @@ def test_scores_equal_brute_force(spark, frame, monkeypatch, order):
     assert np.allclose([r[4:] for r in got], [r[4:] for r in want], rtol=1e-9)
 
 
+def _block_row(n_docs, n_words, vocab, seed=3):
+    """A block's row of documents of ``n_words`` words each."""
+    rng = np.random.default_rng(seed)
+    return {"vocab": pack_sorted(np.sort(rng.integers(0, 1 << 63, vocab).astype(np.uint64))),
+            "codes": planes(rng.integers(0, vocab, n_docs * n_words).astype(np.int32)),
+            "counts": planes(np.full(n_docs, n_words, np.int32)),
+            "trains": planes((np.arange(n_docs) % 5 != 1).astype(np.uint8))}
+
+
+def _scores_of(row, order):
+    found = [lmscore._distinct(lmscore._unpack(row), k) for k in range(1, order + 1)]
+    totals = [counts.astype(np.uint64) for _, counts, _ in found]
+    return found, totals, lmscore._read(lmscore._unpack(row), totals, 10_000, 500, 3.0)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_parts_of_a_block_change_nothing(monkeypatch, order):
+    row = _block_row(120, 37, 90)
+    whole, _, scores = _scores_of(row, order)
+    monkeypatch.setattr(lmscore, "PART_TOKENS", 100)
+    assert len(lmscore._unpack(row)) > 10
+    parts, _, again = _scores_of(row, order)
+    for (keys, counts, places), (k, c, p) in zip(whole, parts):
+        assert (keys == k).all() and (counts == c).all() and (np.concatenate(places) == np.concatenate(p)).all()
+    assert all((scores[x] == again[x]).all() for x in scores)
+
+
+def test_a_block_is_read_in_bounded_memory():
+    row = _block_row(3000, 400, 50_000)
+    _, totals, _ = _scores_of(row, 2)
+    tracemalloc.start()
+    lmscore._read(lmscore._unpack(row), totals, 10_000, 500, 3.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * 3000 * 402  # bytes a token; 124 when a block's arrays were whole
+
+
 def test_probabilities_sum_to_one():
     trains = [True] * 3
     rows = [(0, "a b a c"), (1, "a b b"), (2, "c a")]
