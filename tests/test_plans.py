@@ -81,3 +81,14 @@ def test_item_scans_of_the_snapshot(spark, scratch, name, scans):
 
 def test_a_page_is_as_long_as_asked(spark):
     assert explore.sort_page(spark.range(30_000), ["id"], limit=20_000).count() == 20_000
+
+
+@pytest.mark.parametrize("name", ["K04_merge_by_version", "K04_upsert_item"])
+def test_merges_derive_the_items_once(spark, name):
+    df = registry.QUERIES[name](spark, SF_SMALL)
+    plan = _plan(df)
+    # The merge reads written rows: neither the source tables nor the joins that make items are under it.
+    assert "lineitem.parquet" not in "".join(df.inputFiles()) and "item_status_code" in plan
+    assert plan.count("itype_code_num") == 0
+    item = context.base(spark, SF_SMALL)["item"]
+    assert df.columns == item.columns and 0 < df.count() <= item.count()
