@@ -124,10 +124,13 @@ class Words:
         start = word.copy()
         start[1:] &= ~word[:-1] | first[1:-1]
         starts = np.flatnonzero(start)
-        bound = np.searchsorted(np.flatnonzero(word), starts)
+        # A word stops before a space, the next text or the end.
+        stop = word.copy()
+        stop[:-1] &= ~word[1:] | start[1:]
         data = _LOWER[raw[word]]
         self.ends = np.searchsorted(starts, offsets[1:])
-        at = np.append(bound, len(data)).astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(np.flatnonzero(stop) + 1 - starts)]).astype(np.int64)
+        del word, first, start, stop
         tokens = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data)])
         coded = tokens.dictionary_encode()
         self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)

@@ -59,6 +59,8 @@ STEP, SPARE = 1.2, 1.3
 PARTS_PER_BUCKET = 2_000_000
 #: Pieces in which sketches are merged.
 SEGMENTS = 64
+#: Text bytes, and shingles, whose arrays are held at once.
+AT_ONCE, SHINGLES_AT_ONCE = 2 << 20, 1 << 18
 #: Pairs of nodes that are expanded at once.
 PAIRS_AT_ONCE = 20_000
 
@@ -66,23 +68,25 @@ PAIRS_AT_ONCE = 20_000
 # ------------------------------------------------------------------ sets of shingles
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """The distinct shingles of each text, as ascending 64-bit fingerprints."""
-    words = Words(texts)
-    own = fingerprints(words.vocab)[words.codes]
-    whole = own[:max(0, len(own) - size + 1)]
-    for k in range(1, size):
-        whole = chain(whole, own[k:k + len(whole)])
-    out, start = [], 0
-    for end in words.ends.tolist():
-        if end - start >= size:
-            out.append(np.unique(whole[start:end - size + 1]))
-        elif end > start:
-            one = own[start:start + 1]
-            for k in range(start + 1, end):
-                one = chain(one, own[k:k + 1])
-            out.append(one)
-        else:
-            out.append(own[:0])
-        start = end
+    out: list[np.ndarray] = []
+    for i, j in slices(texts, AT_ONCE):
+        words = Words(texts.slice(i, j - i))
+        own = fingerprints(words.vocab)[words.codes]
+        whole = own[:max(0, len(own) - size + 1)]
+        for k in range(1, size):
+            whole = chain(whole, own[k:k + len(whole)])
+        start = 0
+        for end in words.ends.tolist():
+            if end - start >= size:
+                out.append(np.unique(whole[start:end - size + 1]))
+            elif end > start:
+                one = own[start:start + 1]
+                for k in range(start + 1, end):
+                    one = chain(one, own[k:k + 1])
+                out.append(one.copy())
+            else:
+                out.append(own[:0].copy())
+            start = end
     return out
 
 
@@ -120,32 +124,34 @@ def part_keys(sets: list[np.ndarray], similarity: tuple[int, int], common: np.nd
     low, high = np.searchsorted(levels, sizes), np.searchsorted(levels, sizes * q // p)
     keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for k in range(int((high - low).max(initial=-1)) + 1):
-        some = np.flatnonzero((sizes > 0) & (low + k <= high))
-        if not len(some):
-            continue
-        level = low[some] + k
-        differ = 2 * levels[level] * (q - p) // (q + p)
-        parts = np.ceil((differ + 1) * SPARE).astype(np.int64)
-        base = np.cumsum(parts) - parts
-        of = np.repeat(np.arange(len(some)), sizes[some])
-        h = np.concatenate([sets[i] for i in some.tolist()])
-        part = (mix(h ^ np.uint64(0x5851F42D4C957F2D)) % parts[of].astype(np.uint64)).astype(np.int64)
-        cell = base[of] + part
-        content = mix(h + np.uint64(0x14057B7EF767814F))
-        n = int(parts.sum())
-        half = np.uint64(32)
-        left = np.bincount(cell, weights=(content >> half).astype(float), minlength=n).astype(np.uint64)
-        right = np.bincount(cell, weights=(content & np.uint64(0xFFFFFFFF)).astype(float), minlength=n).astype(np.uint64)
-        fills = np.where(common[(h % np.uint64(len(common))).astype(np.int64)], 1.0, 256.0)
-        held = np.bincount(cell, weights=fills, minlength=n)
-        owner = np.repeat(np.arange(len(some)), parts)
-        number = np.arange(n) - base[owner]
-        # The fullest parts, one more than can differ, and those as full as the last of them.
-        by_size = held[np.lexsort((-held, owner))]
-        emit = held >= by_size[base + differ][owner]
-        key = chain(mix(left * np.uint64(0x9E3779B97F4A7C15) + right), mix((level[owner] << 32 | number).astype(np.uint64)))
-        keys.append(key[emit])
-        places.append(some[owner[emit]])
+        every = np.flatnonzero((sizes > 0) & (low + k <= high))
+        before = np.cumsum(sizes[every]) - sizes[every]
+        for some in np.split(every, np.flatnonzero(np.diff(before // SHINGLES_AT_ONCE)) + 1):
+            if not len(some):
+                continue
+            level = low[some] + k
+            differ = 2 * levels[level] * (q - p) // (q + p)
+            parts = np.ceil((differ + 1) * SPARE).astype(np.int64)
+            base = np.cumsum(parts) - parts
+            of = np.repeat(np.arange(len(some)), sizes[some])
+            h = np.concatenate([sets[i] for i in some.tolist()])
+            part = (mix(h ^ np.uint64(0x5851F42D4C957F2D)) % parts[of].astype(np.uint64)).astype(np.int64)
+            cell = base[of] + part
+            content = mix(h + np.uint64(0x14057B7EF767814F))
+            n = int(parts.sum())
+            half = np.uint64(32)
+            left = np.bincount(cell, weights=(content >> half).astype(float), minlength=n).astype(np.uint64)
+            right = np.bincount(cell, weights=(content & np.uint64(0xFFFFFFFF)).astype(float), minlength=n).astype(np.uint64)
+            fills = np.where(common[(h % np.uint64(len(common))).astype(np.int64)], 1.0, 256.0)
+            held = np.bincount(cell, weights=fills, minlength=n)
+            owner = np.repeat(np.arange(len(some)), parts)
+            number = np.arange(n) - base[owner]
+            # The fullest parts, one more than can differ, and those as full as the last of them.
+            by_size = held[np.lexsort((-held, owner))]
+            emit = held >= by_size[base + differ][owner]
+            key = chain(mix(left * np.uint64(0x9E3779B97F4A7C15) + right), mix((level[owner] << 32 | number).astype(np.uint64)))
+            keys.append(key[emit])
+            places.append(some[owner[emit]])
     return np.concatenate(keys), np.concatenate(places)
 
 
@@ -445,7 +451,8 @@ def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIM
             for i, j in slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(i, j - i), size)
                 a, b = set_identity(sets)
-                cells += np.bincount((np.concatenate(sets) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+                met, times = np.unique(np.concatenate(sets) % np.uint64(CELLS), return_counts=True)
+                cells[met.astype(np.int64)] += times.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(b),
                      nothing(j - i, pa.int32()), nothing(j - i, pa.binary())], names)
