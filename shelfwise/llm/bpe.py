@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import ship, slices
+from shelfwise.llm.common import ship, slices, tidy
 
 #: Pieces remembered in a task between blocks.
 MEMO_PIECES = 150_000
@@ -208,7 +208,7 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text
                 cols = [part.column(part.schema.get_field_index(c)) for c in names]
                 yield pa.RecordBatch.from_arrays([*cols, encoder(texts.slice(i, j - i))], [*names, out_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

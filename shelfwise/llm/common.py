@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -51,6 +51,25 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def give_back() -> None:
+    """Return the memory that this Python worker has freed to the system."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()  # also what numpy and Python have freed
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``; its task ends by giving back what it has freed.
+
+    A worker idles beside the tasks that follow; what it keeps is memory that the executor lacks.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 # ------------------------------------------------------------------ scratch tables
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a fresh one of this machine only on a local master."""

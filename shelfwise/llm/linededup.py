@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import mix, ship, slices
+from shelfwise.llm.common import mix, ship, slices, tidy
 
 MIN_CHARS, MIN_DOCS = 20, 3
 FILTER_BITS = 1 << 26
@@ -108,7 +108,7 @@ def repeated_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FIL
             yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "twice": [zlib.compress(twice, 1)]})
 
     parts = (docs.filter(F.col(id_col).isNotNull()).select(F.col(text_col).cast("string"))
-             .mapInArrow(build, "segment int, once binary, twice binary")
+             .mapInArrow(tidy(build), "segment int, once binary, twice binary")
              .repartition(SEGMENTS, "segment").mapInArrow(merge, "segment int, twice binary"))
     out = np.zeros(bits // 8, np.uint8)
     for row in parts.collect():  # at most SEGMENTS rows, together the bytes of one filter
@@ -134,7 +134,7 @@ def dropped_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
                 yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x in hit.tolist()], pa.binary()),
                                                   batch.column(0).take(pa.array(of[hit]))], ["key", "id"])
 
-    held = named.mapInArrow(suspects, schema).distinct()
+    held = named.mapInArrow(tidy(suspects), schema).distinct()
     losing = held.groupBy("key").agg(F.count("*").alias("docs"), F.max("id").alias("keeper")).filter(F.col("docs") >= min_docs)
     return (held.join(losing.select("key", "keeper"), "key").filter(F.col("id") != F.col("keeper"))
             .groupBy("id").agg(F.collect_list("key").alias("keys")))
@@ -169,4 +169,4 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lines, pa.int64()), pa.array(drops, pa.int64())],
                                              [*names, "n_lines", "n_dropped"])
 
-    return joined.mapInArrow(rebuild, schema)
+    return joined.mapInArrow(tidy(rebuild), schema)

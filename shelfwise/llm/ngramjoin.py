@@ -40,8 +40,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (Words, bucket_bounds, chain, checkpointed, fingerprints, group_starts, mix,
-                                  pack_sorted, planes, ship, slices, squeeze, unpack_sorted, unplanes, unsqueeze,
-                                  whole_groups)
+                                  pack_sorted, planes, ship, slices, squeeze, tidy, unpack_sorted, unplanes,
+                                  unsqueeze, whole_groups)
 from shelfwise.llm.components import connected
 
 SIZE, SIMILARITY = 5, (4, 5)
@@ -205,7 +205,7 @@ def _common_cells(sketches: DataFrame) -> np.ndarray:
 
     total = np.zeros(CELLS, np.uint64)
     width = CELLS // SEGMENTS
-    for row in sketches.repartition(SEGMENTS, "segment").mapInArrow(merge, "segment int, cells binary").toLocalIterator():
+    for row in sketches.repartition(SEGMENTS, "segment").mapInArrow(tidy(merge), "segment int, cells binary").toLocalIterator():
         total[row["segment"] * width:(row["segment"] + 1) * width] = unsqueeze(row["cells"], np.uint64)
     return total > COMMON * total.mean() + COMMON
 
@@ -242,7 +242,7 @@ def _candidate_edges(docs: DataFrame, size: int, similarity, buckets: int, commo
                          np.concatenate([b, *(unplanes(x, np.int64) for x in pdf["b"])]))
         return pd.DataFrame({"a": a, "b": b})
 
-    packets = docs.select("id", "text").mapInArrow(pack, "bucket int, keys binary, ids binary, a binary, b binary")
+    packets = docs.select("id", "text").mapInArrow(tidy(pack), "bucket int, keys binary, ids binary, a binary, b binary")
     return packets.groupBy("bucket").applyInPandas(meet, "a long, b long")
 
 
@@ -368,7 +368,7 @@ def _link_tiles(tiled: DataFrame, size: int, similarity) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
 
-    return tiled.mapInArrow(run, "a long, b long")
+    return tiled.mapInArrow(tidy(run), "a long, b long")
 
 
 def _tiles_for(which) -> Column:
@@ -464,7 +464,7 @@ def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIM
                      pa.array([squeeze(cells[k * width:(k + 1) * width])], pa.binary())], names)
 
     described = checkpointed(texts.mapInArrow(
-        describe, "id long, n long, set_a long, set_b long, segment int, cells binary"))
+        tidy(describe), "id long, n long, set_a long, set_b long, segment int, cells binary"))
     every = described.filter("segment is null").drop("segment", "cells")
     common = _common_cells(described.filter("segment is not null").select("segment", "cells"))
     some = every.filter("id is not null and n > 0")

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import Words, planes, ship, slices, squeeze, unplanes, unsqueeze, written
+from shelfwise.llm.common import Words, planes, ship, slices, squeeze, tidy, unplanes, unsqueeze, written
 
 #: Labelled rows of each label that are learned from at most.
 EXAMPLES = 1024
@@ -160,7 +161,7 @@ def _term_counts(docs: DataFrame, carry: list[str], text_col: str = "text", know
                 [*(batch.column(k) for k in range(len(carry))), pa.array([t for t, _ in packed], pa.binary()),
                  pa.array([n for _, n in packed], pa.binary())], [*carry, "terms", "counts"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def _document_frequency(bags: DataFrame, n_terms: int) -> np.ndarray:
@@ -185,7 +186,7 @@ def _document_frequency(bags: DataFrame, n_terms: int) -> np.ndarray:
                                          ["first", "n"])
 
     out = np.zeros(n_terms, np.int64)
-    for r in bags.mapInArrow(count, "first int, n binary").repartition("first").mapInArrow(add, "first int, n binary").collect():
+    for r in bags.mapInArrow(tidy(count), "first int, n binary").repartition("first").mapInArrow(add, "first int, n binary").collect():
         n = unsqueeze(bytes(r["n"]), np.int64)
         out[r["first"]:r["first"] + len(n)] = n
     return out
@@ -337,15 +338,15 @@ class Model(NamedTuple):
         return _sigmoid(curve[0] + curve[1] * _logit(self.vote(near))) if len(near.places) else self.alone
 
 
-#: The last model that this Python worker met, and its index; a worker serves one task at a time.
-_BUILT: list = [None, None]
+#: Indexes of the broadcast models that this Python worker holds; one goes when Spark drops its model.
+_BUILT: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def _index_of(model) -> BlockMaxIndex:
     """The index of a broadcast model, built once for each Python worker."""
-    if _BUILT[0] is not model.value:
-        _BUILT[:] = [model.value, model.value.index()]
-    return _BUILT[1]
+    if model not in _BUILT:
+        _BUILT[model] = model.value.index()
+    return _BUILT[model]
 
 
 def _logit(p):
@@ -483,7 +484,7 @@ def score(docs: DataFrame, labels: DataFrame, is_training, k: int = K, examples:
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()),
                  pa.array(proofs, _arrow(kinds))], [*kept, "score", "predicted", "evidence"])
 
-    return bags.mapInArrow(run, schema)
+    return bags.mapInArrow(tidy(run), schema)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

@@ -88,3 +88,18 @@ def test_sets_and_parts_do_not_depend_on_what_is_held_at_once(monkeypatch):
     monkeypatch.setattr(ngramjoin, "AT_ONCE", 100)
     monkeypatch.setattr(ngramjoin, "SHINGLES_AT_ONCE", 50)
     assert found() == whole
+
+
+def test_a_task_gives_back_what_it_freed(monkeypatch):
+    told = []
+    monkeypatch.setattr(common, "give_back", lambda: told.append("given back"))
+
+    def run(batches):
+        for b in batches:
+            told.append(len(b))
+            yield b
+        told.append("end")
+
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (3, 0, 2)]
+    assert list(common.tidy(run)(iter(batches))) == batches
+    assert told == [3, 0, 2, "end", "given back"]

@@ -1,3 +1,5 @@
+import gc
+import weakref
 import zlib
 from collections import Counter
 
@@ -225,3 +227,23 @@ def test_mixing_stage_repeats_rows(spark, frame):
     total = sum(len(words(t)) for _, t, *_ in docs)
     assert abs(sum(len(words(r["text"])) for r in out) - total) < 60
     assert max(Counter(r["doc_id"] for r in out).values()) <= 3
+
+
+def test_a_worker_drops_the_index_with_its_model():
+    class Held:  # a broadcast as a worker holds it
+        def __init__(self, value):
+            self.value = value
+
+    vectors = [(np.array([0, 1]), np.array([0.6, 0.8])), (np.array([1]), np.array([1.0]))]
+
+    class Learned:
+        def index(self):
+            return toxicity.BlockMaxIndex(vectors, 2)
+
+    one, other = Held(Learned()), Held(Learned())
+    index = toxicity._index_of(one)
+    assert toxicity._index_of(one) is index and toxicity._index_of(other) is not index
+    gone = weakref.ref(index)
+    del one, index
+    gc.collect()
+    assert gone() is None and len(toxicity._index_of(other).place) == 2
