@@ -91,7 +91,7 @@ def copies(request, tmp_path_factory):
     return str(folder), con, forms
 
 
-@pytest.mark.parametrize("name", ["Q03_most_checked_out"])
+@pytest.mark.parametrize("name", ["Q03_most_checked_out", "R02_legacy_item_export"])
 def test_queries_on_shifted_copies_match_their_oracle(spark, copies, name):
     folder, con, forms = copies
     _, used = item_forms(read_driver_tables(spark, folder)["lineitem"])
