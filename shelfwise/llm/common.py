@@ -22,6 +22,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.plans import storage
+from shelfwise.session import save
+
 #: Text bytes that one block of documents holds at most (a single longer text is a block of its own).
 BLOCK_BYTES = 12 << 20
 
@@ -89,10 +92,26 @@ def scratch_root(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet into the shared scratch folder and read it back."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return save(df, f"{scratch_root(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}")
+
+
+class Scratch:
+    """Scratch tables of one computation, so that those which nothing reads any more can go before it ends."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self._paths = spark, name, {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``, written and read back; the shuffle files that made it are gone."""
+        path = f"{scratch_root(self.spark).rstrip('/')}/llm-{self.name}-{uuid.uuid4().hex}"
+        out = save(df, path)
+        self._paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that ``keep`` returned; plans over them can no longer run."""
+        for t in tables:
+            storage.delete(self.spark, self._paths.pop(id(t))[1])
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

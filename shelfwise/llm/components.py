@@ -3,7 +3,7 @@
 A large star links each node's larger neighbours to the least node of its neighbourhood, a small star
 does so with the smaller ones; both are an aggregate and a join on the node.  A node with very many
 neighbours is one row on the aggregate's side, so its join partition can be split; the rounds grow with
-the logarithm of the longest path.  Each round is checkpointed to the shared folder.
+the logarithm of the longest path.  Each round is written to the shared folder and replaces the one before.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import checkpointed
+from shelfwise.llm.common import Scratch
+from shelfwise.session import shuffles_freed
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,7 +33,8 @@ def _are_stars(edges: DataFrame) -> bool:
         edges.select("b", F.lit(0), F.lit(1)))
     wrong = ends.groupBy("n").agg(F.sum("leads").alias("leads"), F.max("led").alias("led")).filter(
         "leads > 1 or (leads = 1 and led = 1)")
-    return wrong.isEmpty()
+    with shuffles_freed(edges.sparkSession):
+        return wrong.isEmpty()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -40,8 +42,10 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Ids are any ordered type without nulls; edges may repeat, point either way or lead to themselves.
     """
-    edges = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    scratch = Scratch(edges.sparkSession, "edges")
+    edges = scratch.keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                          .distinct())
     while not _are_stars(edges):
-        edges = checkpointed(_small_star(_large_star(edges)))
+        before, edges = edges, scratch.keep(_small_star(_large_star(edges)))
+        scratch.drop(before)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -39,9 +39,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import (Words, bucket_bounds, chain, checkpointed, fingerprints, group_starts, mix,
-                                  pack_sorted, planes, ship, slices, squeeze, tidy, unpack_sorted, unplanes,
-                                  unsqueeze, whole_groups)
+from shelfwise.llm.common import (Scratch, Words, bucket_bounds, chain, fingerprints, group_starts, mix, pack_sorted,
+                                  planes, ship, slices, squeeze, tidy, unpack_sorted, unplanes, unsqueeze,
+                                  whole_groups)
 from shelfwise.llm.components import connected
 
 SIZE, SIMILARITY = 5, (4, 5)
@@ -61,6 +61,8 @@ PARTS_PER_BUCKET = 2_000_000
 SEGMENTS = 64
 #: Text bytes, and shingles, whose arrays are held at once.
 AT_ONCE, SHINGLES_AT_ONCE = 2 << 20, 1 << 18
+#: Characters of text that pairs of tiles are sent at a time, or as many as the tiles hold if these hold more.
+TURN_CHARS = 1 << 30
 #: Pairs of nodes that are expanded at once.
 PAIRS_AT_ONCE = 20_000
 
@@ -205,8 +207,11 @@ def _common_cells(sketches: DataFrame) -> np.ndarray:
 
     total = np.zeros(CELLS, np.uint64)
     width = CELLS // SEGMENTS
-    for row in sketches.repartition(SEGMENTS, "segment").mapInArrow(tidy(merge), "segment int, cells binary").toLocalIterator():
+    scratch = Scratch(sketches.sparkSession, "ngram-sketch")
+    merged = scratch.keep(sketches.repartition(SEGMENTS, "segment").mapInArrow(tidy(merge), "segment int, cells binary"))
+    for row in merged.toLocalIterator():
         total[row["segment"] * width:(row["segment"] + 1) * width] = unsqueeze(row["cells"], np.uint64)
+    scratch.drop(merged)
     return total > COMMON * total.mean() + COMMON
 
 
@@ -396,12 +401,14 @@ def _links_in_blocks(members: DataFrame, texts: DataFrame, size: int, similarity
         rows = rows.withColumn("low", F.when(one, -1).otherwise(own))
         return rows.withColumn("high", F.col("low")).drop("parts", "of_block", "of_block_shingles")
 
+    scratch = Scratch(members.sparkSession, "ngram-blocks")
     members = tile(members)
     members = texts.withColumnRenamed("id", "rep").join(members, "rep")
-    tiled = checkpointed(members)
-    found = checkpointed(_link_tiles(tiled, size, similarity))
+    tiled = scratch.keep(members)
+    found = scratch.keep(_link_tiles(tiled, size, similarity))
     large = tiled.filter("low >= 0")
     if large.isEmpty():
+        scratch.drop(tiled)
         return found
 
     def classed(edges: DataFrame) -> DataFrame:
@@ -412,7 +419,7 @@ def _links_in_blocks(members: DataFrame, texts: DataFrame, size: int, similarity
     now = classed(found)
     heads = now.groupBy("block", "low", "class").agg(F.count("*").alias("n_in"), F.min_by(F.struct("rep", "n", "z", "text"), "rep").alias("one"))
     heads = tile(heads.filter("n_in > 1").select("block", "class", "one.*"))
-    found = checkpointed(found.union(_link_tiles(heads, size, similarity)))
+    found = scratch.keep(found.union(_link_tiles(heads, size, similarity)))
 
     # Tiles anew, of one large class each or of leftovers; pairs of tiles of one and the same class are done.
     now = classed(found)
@@ -421,8 +428,9 @@ def _links_in_blocks(members: DataFrame, texts: DataFrame, size: int, similarity
         "own", F.when(F.col("of_class") > 1, F.col("class")))
     left = now.groupBy("block", "z").agg(_tiles_for(F.col("own").isNull()).alias("left"))
     part = F.pmod(F.xxhash64("rep"), F.when(F.col("own").isNotNull(), F.col("of_class")).otherwise(F.col("left")))
-    now = checkpointed(now.join(left, ["block", "z"]).withColumn("tile", F.xxhash64("z", F.coalesce("own", F.lit(-1)), part))
+    now = scratch.keep(now.join(left, ["block", "z"]).withColumn("tile", F.xxhash64("z", F.coalesce("own", F.lit(-1)), part))
                        .select("block", "z", "own", "tile", "rep", "class", "text"))
+    scratch.drop(tiled)
     tiles = now.select("block", "z", "own", "tile").distinct()
     near = tiles.withColumn("z", F.explode(F.array("z", F.col("z") + 1))).toDF("block", "z", "own_2", "tile_2")
     # A tile meets those of its own size class once, and all of the class below.
@@ -430,11 +438,20 @@ def _links_in_blocks(members: DataFrame, texts: DataFrame, size: int, similarity
     pairs = (first.join(near.join(tiles.select("block", F.col("z").alias("z_2"), F.col("tile").alias("tile_2")), ["block", "tile_2"]),
                         ["block", "z"])
              .filter("(z = z_2 and t <= tile_2 or z <> z_2) and (o is null or own_2 is null or o <> own_2)"))
-    pairs = checkpointed(pairs.select("block", F.col("t").alias("low"), F.col("tile_2").alias("high")))
+    pairs = scratch.keep(pairs.select("block", F.col("t").alias("low"), F.col("tile_2").alias("high")))
     ends = pairs.select("block", F.col("low").alias("tile"), "low", "high").union(
         pairs.filter("low <> high").select("block", "high", "low", "high"))
-    again = now.select("block", "tile", "rep", "class", "text").join(ends, ["block", "tile"])
-    return found.union(_link_tiles(again, size, similarity))
+    # A tile's texts travel once for each of its pairs: so many pairs at a time that these are about the texts given.
+    weight = now.groupBy("block", "tile").agg(F.sum(F.length("text")).alias("chars"))
+    sent = ends.join(weight, ["block", "tile"]).agg(F.coalesce(F.sum("chars"), F.lit(0))).first()[0]
+    given = weight.agg(F.coalesce(F.sum("chars"), F.lit(0))).first()[0]
+    turns = max(1, -(-sent // max(given, TURN_CHARS)))
+    for k in range(turns):
+        some = ends.filter(F.pmod(F.xxhash64("low", "block", "high"), F.lit(turns)) == k)
+        again = now.select("block", "tile", "rep", "class", "text").join(some, ["block", "tile"])
+        found = found.union(scratch.keep(_link_tiles(again, size, similarity)))
+    scratch.drop(now)
+    return found
 
 
 def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIMILARITY, id_col: str = "doc_id",
@@ -463,16 +480,18 @@ def classes(docs: DataFrame, size: int = SIZE, similarity: tuple[int, int] = SIM
                     [*(nothing(1, pa.int64()) for _ in range(4)), pa.array([k], pa.int32()),
                      pa.array([squeeze(cells[k * width:(k + 1) * width])], pa.binary())], names)
 
-    described = checkpointed(texts.mapInArrow(
+    scratch = Scratch(docs.sparkSession, "ngram-sets")
+    described = scratch.keep(texts.mapInArrow(
         tidy(describe), "id long, n long, set_a long, set_b long, segment int, cells binary"))
-    every = described.filter("segment is null").drop("segment", "cells")
+    every = scratch.keep(described.filter("segment is null").drop("segment", "cells"))
     common = _common_cells(described.filter("segment is not null").select("segment", "cells"))
+    scratch.drop(described)
     some = every.filter("id is not null and n > 0")
     equal = some.groupBy("n", "set_a", "set_b").agg(F.min("id").alias("rep"))
     known = some.join(equal, ["n", "set_a", "set_b"])
     # An id has one set, unless rows repeat it: then the sets of all of them are one document's.
-    known = checkpointed(known.groupBy("id", "rep").agg(F.max("n").alias("n")))
-    per_id = checkpointed(known.groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last_rep")))
+    known = scratch.keep(known.groupBy("id", "rep").agg(F.max("n").alias("n")))
+    per_id = scratch.keep(known.groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last_rep")))
 
     total = every.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     p, q = similarity

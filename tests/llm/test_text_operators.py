@@ -1,9 +1,12 @@
 import hashlib
 import math
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import duckdb
 import numpy as np
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import components, lmscore, linededup, mixing, ngramjoin, urlfilter
 from shelfwise.llm import queries as llm_queries
-from shelfwise.llm.common import crc_fold, pack_sorted, planes
+from shelfwise.llm.common import crc_fold, pack_sorted, planes, scratch_root
 from tests.llm.conftest import rows_of
 
 SPACE = "[^\\x20\\x09-\\x0D]+"
@@ -83,6 +86,17 @@ def test_rows_of_one_id_are_one_document(spark, frame):
     assert rows_of(ngramjoin.representatives(frame(rows, SCHEMA)), "doc_id", "text") == [(3, b)]
 
 
+def test_pairs_of_tiles_in_turns_find_the_same_classes(spark, frame, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "TILE", 4)
+    rows = make_docs()
+    whole = rows_of(ngramjoin.classes(frame(rows, SCHEMA), 3, (9, 10)), "doc_id", "component_id")
+    turns, link = [], ngramjoin._link_tiles
+    monkeypatch.setattr(ngramjoin, "_link_tiles", lambda *a: turns.append(1) or link(*a))
+    monkeypatch.setattr(ngramjoin, "TURN_CHARS", 1)
+    assert rows_of(ngramjoin.classes(frame(rows, SCHEMA), 3, (9, 10)), "doc_id", "component_id") == whole
+    assert len(turns) > 3
+
+
 def test_classes_of_an_empty_table(spark, frame):
     assert ngramjoin.classes(frame([], SCHEMA)).count() == 0
     assert ngramjoin.representatives(frame([], SCHEMA)).count() == 0
@@ -132,6 +146,23 @@ def test_components(spark, frame):
     assert components.connected(frame([], "a long, b long")).count() == 0
 
 
+def test_rounds_leave_one_table_and_no_shuffle_files(spark, frame):
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f.rsplit("/", 1)[-1] for f in files if f.endswith(".data")}
+
+    folder = Path(urlparse(scratch_root(spark)).path)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    tables, before = set(folder.glob("llm-edges-*")), shuffles()
+    assert components.connected(edges).count() == 60
+    left = [t for t in folder.glob("llm-edges-*") if t not in tables]
+    assert len(left) == 1
+    until = time.time() + 20
+    while len(shuffles() - before) > 4 and time.time() < until:  # the count above leaves the files of its four tasks
+        time.sleep(0.2)
+    assert len(shuffles() - before) <= 4
+
+
 # ------------------------------------------------------------------ line dedup
 def test_lines_equal_sql(spark, frame):
     long = ["A line that many documents share ", "  a LINE that many documents share", "x" * 19, "é" * 20, "É" * 20, "Ünïcode line of twenty cp"]
