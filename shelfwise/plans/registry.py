@@ -363,11 +363,8 @@ SAMPLED = {"bib_record": "record_id", "volume_record": "record_id", "item_record
 def _closed_sample(spark, sf_dir):
     """Ids of the records, holds, transactions and patrons of a sample build."""
     sample = sampling.closed_sample(context.sources(spark, sf_dir), SAMPLE_SHARE)
-    parts = [sample[n].select(F.lit(n).alias("relation"), F.col(c).cast("long").alias("id")) for n, c in SAMPLED.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    return written_in_turn(sample[n].select(F.lit(n).alias("relation"), F.col(c).cast("long").alias("id"))
+                           for n, c in SAMPLED.items())
 
 
 register("S05_closed_sample", _closed_sample, f"""

@@ -9,16 +9,26 @@ source database.  Nothing here iterates rows: every relation is a plan.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from shelfwise.session import checkpoint_dir
+from shelfwise.functions.plan import estimated_bytes
+from shelfwise.plans import storage
+from shelfwise.session import checkpoint_dir, save, scratch_path, written, written_in_turn
 from shelfwise.sources import adapter
 
 
+#: Relations of distinct codes, and the estimated bytes from which they are written.
+LOOKUPS = ("language_property", "item_status_property", "itype_property", "physical_format_name", "bib_level_property",
+           "material_property")
+LOOKUP_BYTES = 1 << 20
+
+
 def read_driver_tables(spark: SparkSession, sf_dir: str,
                        names=adapter.DRIVER_TABLES) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
@@ -35,6 +45,9 @@ def adapt(spark: SparkSession, driver: dict[str, DataFrame], forms: dict[str, st
         for part, form in (forms or {}).items():
             text = text.replace(part, form)
         frames[name] = spark.sql(text, **deps)
+        # A few codes found in a large table: their own size is what tells the planner to broadcast them.
+        if name in LOOKUPS and (estimated_bytes(frames[name]) or 0) > LOOKUP_BYTES:
+            frames[name] = written(frames[name])
     return frames
 
 
@@ -63,24 +76,72 @@ def _packs_apart(lineitem: DataFrame, tops: dict[str, int]) -> bool:
     return numbers.groupBy("n").agg(F.min("rest").alias("low"), F.max("rest").alias("high")).filter("low < high").isEmpty()
 
 
+#: Estimated bytes of lineitem, or of other item relations, to a slice, and the most slices.
+SLICE_BYTES, SLICES = 16 << 20, 12
+
+
+def slices_for(df: DataFrame) -> int:
+    """In how many slices ``df`` is worked through, so that only one slice's shuffle files are on disk."""
+    size = estimated_bytes(df)
+    return SLICES if size is None else min(SLICES, max(1, -(-size // SLICE_BYTES)))
+
+
+def _ranges_of(df: DataFrame, column: str, n: int) -> list[Column]:
+    """Conditions that deal the rows of ``df`` into at most ``n`` ranges of ``column``, in ascending order."""
+    if n == 1:
+        return [F.lit(True)]
+    ends = sorted({int(x) for x in df.approxQuantile(column, [k / n for k in range(1, n)], 0.25 / n)})
+    c = F.col(column)
+    if not ends:
+        return [F.lit(True)]
+    return [c < ends[0], *((c >= a) & (c < b) for a, b in zip(ends, ends[1:])), c >= ends[-1]]
+
+
+def _ranked(rows: DataFrame, before: int) -> tuple[DataFrame, int, str]:
+    """``rows`` with ``item_num``, the rank by their keys after ``before`` others, how many keys there are up
+    to here, and the folder of the sorted rows."""
+    spark = rows.sparkSession
+    nth = F.row_number().over(Window.partitionBy(*ITEM_KEYS).orderBy(ITEM_KEYS[0]))
+    # The window sorts each range of keys; the low 33 bits of the id are the place in the range, the others the range.
+    folder = scratch_path(spark)
+    placed = save(rows.repartitionByRange(*ITEM_KEYS).withColumn("_nth", nth)
+                  .withColumn("_at", F.monotonically_increasing_id()), folder)
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    sizes = placed.groupBy("_part").agg(F.count_if(F.col("_nth") == 1).alias("size"), F.count_if(F.col("_nth") > 1).alias("more"))
+    ends = sizes.orderBy("_part").collect()  # a row for each shuffle partition
+    firsts, repeats = [], 0
+    for r in ends:
+        firsts.append((r["_part"], before))
+        before, repeats = before + r["size"], repeats + r["more"]
+    place = F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    if repeats:  # equal keys have one rank
+        place = F.count_if(F.col("_nth") == 1).over(Window.partitionBy("_part").orderBy("_at"))
+    starts = spark.createDataFrame(firsts, "_part long, _before long")
+    numbered = placed.join(F.broadcast(starts), "_part").select(*rows.columns, (F.col("_before") + place).alias("item_num"))
+    return numbered, before, folder
+
+
 def ranked_items(lineitem: DataFrame) -> DataFrame:
     """``lineitem`` with ``item_num``: the rank of an item by its keys, from 1; null where a key is null.
 
     Ranks come from the place in a range of the sorted keys and the sizes of the ranges before it, so they
-    depend on the items alone.
+    depend on the items alone.  The rows are sorted and written once, one range of orders after the other.
     """
     spark = lineitem.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         checkpoint_dir(spark)
-    # The low 33 bits of the id are the place in the partition, the others the partition.
-    placed = (lineitem.select(*ITEM_KEYS).dropna().distinct().repartitionByRange(*ITEM_KEYS)
-              .sortWithinPartitions(*ITEM_KEYS).withColumn("at", F.monotonically_increasing_id()).checkpoint())
-    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("size"))
-    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
-    ranks = (placed.withColumn("part", part).join(F.broadcast(before), "part")
-             .select(*ITEM_KEYS, (F.col("before") + place + 1).alias("item_num")))
-    return lineitem.join(ranks, list(ITEM_KEYS), "left")
+    keyed = lineitem.dropna(subset=list(ITEM_KEYS))
+
+    def parts() -> Iterator[DataFrame]:
+        before = 0
+        for here in _ranges_of(keyed, ITEM_KEYS[0], -(-slices_for(lineitem) // 4)):  # rows are sent once: larger ranges do
+            part, before, folder = _ranked(keyed.filter(here), before)
+            yield part
+            storage.delete(spark, folder)
+        lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ITEM_KEYS])
+        yield lineitem.filter(lacking).withColumn("item_num", F.lit(None).cast("long"))
+
+    return written_in_turn(parts())
 
 
 def item_forms(lineitem: DataFrame) -> tuple[DataFrame, dict[str, str]]:
