@@ -63,7 +63,7 @@ def _in_parts(fn, as_of) -> Query:
     return query
 
 
-IN_PARTS = ("V25",)
+IN_PARTS = ("V04", "V25")
 for _id, (_name, _fn) in marts.MARTS.items():
     _as_of = V14_AS_OF if _id == "V14" else context.AS_OF
     register(f"{_id}_{_name}", (_in_parts if _id in IN_PARTS else _mart_query)(_fn, _as_of), MART_SQL[_id])
